@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("quality",)
+MODULES = ("quality", "tokens")
 
 
 def queries() -> dict:
