@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("quality", "tokens")
+MODULES = ("quality", "tokens", "urls")
 
 
 def queries() -> dict:
