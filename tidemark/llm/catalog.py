@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("quality", "tokens", "urls")
+MODULES = ("quality", "tokens", "urls", "html")
 
 
 def queries() -> dict:
