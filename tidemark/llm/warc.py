@@ -55,12 +55,18 @@ def member(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
-def members(data: bytes) -> Iterator[bytes]:
-    """The contents of the gzip members of a file, one by one."""
-    while data.strip(b"\0"):
-        z = zlib.decompressobj(31)
-        yield z.decompress(data) + z.flush()
-        data = z.unused_data
+def members(data: bytes, window: int = 1 << 15) -> Iterator[bytes]:
+    """The contents of the gzip members of a file, one by one, fed in windows: what follows a member is never copied whole."""
+    view, at = memoryview(data), 0
+    while at < len(view) and any(view[at : at + 2]):
+        z, out = zlib.decompressobj(31), []
+        while not z.eof:
+            piece = view[at : at + window]
+            if not piece:
+                raise ValueError("a gzip member is cut off")
+            out.append(z.decompress(piece))
+            at += len(piece) - len(z.unused_data)
+        yield b"".join(out)
 
 
 def sha1(data: bytes) -> str:
@@ -270,7 +276,9 @@ def revisits(records: DataFrame, least_bytes: int = 0, sizes: str | None = None)
 
 def arc_to_warc(spark: SparkSession, arc: str, warc: str, most: int = ARCHIVE_BYTES, most_broadcast: int = MOST_BROADCAST) -> None:
     """Convert the ARC files under ``arc`` to WARC files under ``warc``."""
-    known = written(revisits(read_arc(spark, arc, with_payload=False).select("page_id", "payload_digest")), "revisits")
+    digests = written(read_arc(spark, arc, with_payload=False).select("page_id", "payload_digest"), "digests")
+    known = written(revisits(digests), "revisits")
+    drop(digests)
     small = known.count() <= most_broadcast
     rows = read_arc(spark, arc)
     key = known.select(F.col("page_id").alias("k_page"), F.col("payload_digest").alias("k_digest"), "refers_to")
