@@ -106,7 +106,9 @@ def measure(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size(F.filter("words", lambda w: F.lower(w).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
-        F.expr(REPEATED).cast("long").alias("n_repeat_words"),
+        # The row number makes this projection one that filters on the result aren't pushed below;
+        # pushed, they would repeat the array expressions for every element.
+        F.when(F.monotonically_increasing_id() >= 0, F.expr(REPEATED)).cast("long").alias("n_repeat_words"),
     )
     broken = F.concat_ws(",", *[F.when(r.broken(), F.lit(r.name)) for r in rules])
     judged = counted.withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")).withColumn("failed_rules", broken)
