@@ -14,7 +14,8 @@ are indexed too has weight 2 (the subsets differ in at most one shingle).
 expensive lists, by the counted lengths of the lists, and looks only into the
 rest. A set whose weight is too small under one partition takes part under the
 next hash salt; no set is left out.
-*Verification* compares whole sets.
+*Verification*: a pair whose parity maps already differ in too many bits can't
+link; what remains compares whole sets.
 
 Only connectivity is wanted, so lists aren't expanded into all pairs: each set
 is first verified against the smallest members of its lists; pairs are then
@@ -43,6 +44,8 @@ from .components import components
 from .shared import drop, table, written
 
 SALTS = 24
+#: Bits of a set's parity map, in longs. Two sets differ in at least as many shingles as their maps differ in bits.
+MAP = [f"f{i}" for i in range(8)]
 OWN, DELETION = 1, 2  # bits of ``info``; the set size is above them
 
 
@@ -121,8 +124,17 @@ def place(label: int, band: np.ndarray, segment: np.ndarray) -> np.ndarray:
     return mix((U(label) << U(56)) + (band.astype(U) << U(40)) + segment.astype(U))
 
 
+def parity(s: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Columns MAP of the sets: bit b tells whether an odd number of shingles falls on b."""
+    rows, bits = len(at) - 1, 64 * len(MAP)
+    fall = (mix(s ^ U(0x3C6EF372FE94F82B)) >> U(64 - bits.bit_length() + 1)).astype(np.int64)
+    odd = np.bincount(np.repeat(np.arange(rows), np.diff(at)) * bits + fall, minlength=rows * bits) & 1
+    packed = np.packbits(odd.astype(np.uint8).reshape(rows, bits), axis=1).view(">i8").astype(np.int64)
+    return [packed[:, i] for i in range(len(MAP))]
+
+
 def measure_sets(df: DataFrame, plan: Plan) -> DataFrame:
-    """(doc_id, n, h1, h2, salt, slack, band): size, 128-bit digest, and the first salt under which the weights suffice, with the weight to spare."""
+    """(doc_id, n, h1, h2, salt, slack, band, parity map): size, 128-bit digest, and the first salt under which the weights suffice, with the weight to spare."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -152,11 +164,11 @@ def measure_sets(df: DataFrame, plan: Plan) -> DataFrame:
                 if (whole & (salt < 0)).any():
                     raise RuntimeError("no partition gives a set enough segments")
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first, last - first), *(pa.array(x.astype(np.int64)) for x in (n, h1.view(np.int64), h2.view(np.int64), salt, slack, band))],
-                    ["doc_id", "n", "h1", "h2", "salt", "slack", "band"],
+                    [b.column(0).slice(first, last - first), *(pa.array(x.astype(np.int64)) for x in (n, h1.view(np.int64), h2.view(np.int64), salt, slack, band, *parity(s, at)))],
+                    ["doc_id", "n", "h1", "h2", "salt", "slack", "band", *MAP],
                 )
 
-    return df.mapInArrow(run, "doc_id bigint, n bigint, h1 bigint, h2 bigint, salt bigint, slack bigint, band bigint")
+    return df.mapInArrow(run, "doc_id bigint, n bigint, h1 bigint, h2 bigint, salt bigint, slack bigint, band bigint, " + ", ".join(f"{f} bigint" for f in MAP))
 
 
 def emit(batches: Iterator[pa.RecordBatch], plan: Plan, more: dict[int, set[int]]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +296,10 @@ def link_classes(docs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     comps = written(components(links, "star-components"), "components")
 
     # Allocation: units of weight 1 by cost; a set leaves out its most expensive ones as far as its weight allows.
-    spare = sets.groupBy("doc_id", "n").agg(F.min("slack").alias("slack"), F.max("salt").alias("salt")).withColumnRenamed("doc_id", "node")
+    one = F.min("h1") == F.max("h1")  # an id with several sets of a size has no map
+    spare = sets.groupBy("doc_id", "n").agg(F.min("slack").alias("slack"), F.max("salt").alias("salt"), *[F.when(one, F.max(f)).alias(f) for f in MAP]).withColumnRenamed("doc_id", "node")
+    maps = spare.select("node", "n", *MAP)
+    spare = spare.drop(*MAP)
     mine = found2.where("own").join(spare, ["node", "n", "salt"])
     costs = mine.groupBy("node", "n", "segment", "slack").agg(
         F.coalesce(F.max(F.when(~F.col("deletion"), F.col("n_full") - 1)), F.lit(0)).alias("c0"),
@@ -302,7 +317,8 @@ def link_classes(docs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
         placed.join(largest, "key")
         .join(spare.select("node", "n", "salt", F.lit(True).alias("resolves")), ["node", "n", "salt"], "left")
         .join(chosen, ["node", "n", "segment"], "left")
-        .select("key", "node", "n", "deletion", "component", "main", *[(F.col("own") & F.coalesce("resolves", F.lit(False)) & F.coalesce(c, F.lit(False))).alias(c) for c in ("v0", "v1")])
+        .join(maps, ["node", "n"], "left")
+        .select("key", "node", "n", "deletion", "component", "main", *MAP, *[(F.col("own") & F.coalesce("resolves", F.lit(False)) & F.coalesce(c, F.lit(False))).alias(c) for c in ("v0", "v1")])
     )
     flagged = written(flagged, "members")
     drop(found2)
@@ -310,7 +326,9 @@ def link_classes(docs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     y = flagged.alias("y")
     smaller = F.expr("x.n < y.n or (x.n = y.n and x.node < y.node)")
     finds = lambda s, t: F.expr(f"(not {s}.deletion and not {t}.deletion and {s}.v0) or (({s}.deletion <> {t}.deletion) and {s}.v1)")
-    pairs = x.join(y, F.expr(f"x.key = y.key and x.component <> y.component and x.n * {plan.p} <= y.n * {plan.q} and y.n * {plan.p} <= x.n * {plan.q}") & ((smaller & finds("x", "y")) | (~smaller & finds("y", "x"))))
+    differ = " + ".join(f"bit_count(x.{f} ^ y.{f})" for f in MAP)
+    near = F.expr(f"coalesce(({differ}) * {plan.p + plan.q} <= (x.n + y.n) * {plan.q - plan.p}, true)")
+    pairs = x.join(y, F.expr(f"x.key = y.key and x.component <> y.component and x.n * {plan.p} <= y.n * {plan.q} and y.n * {plan.p} <= x.n * {plan.q}") & near & ((smaller & finds("x", "y")) | (~smaller & finds("y", "x"))))
     pairs = pairs.select(F.expr("least(x.node, y.node)").alias("a"), F.expr("greatest(x.node, y.node)").alias("b")).distinct()
     more_links = verify(pairs, docs, plan, "rest")
     drop(flagged)
@@ -329,7 +347,7 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     leaders = member.where("n > 0 and doc_id = class_id")
     followers = written(member.where("doc_id <> class_id").select("doc_id").distinct().join(leaders.select("doc_id"), "doc_id", "left_anti"), "followers")
     rest = only(docs.where("doc_id is not null and text is not null"), followers, plan, "left_anti")
-    found = link_classes(rest, leaders.drop("class_id", "h1", "h2"), plan)
+    found = link_classes(rest, leaders.drop("class_id", "h2"), plan)
     repeated = member.where("n > 0 and doc_id <> class_id").join(leaders.select("doc_id").distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
     if not repeated.isEmpty():  # an id with several texts that leads one class and follows in another ties them
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(repeated), "components")
