@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bytes import U, chunks, hashes, mix, spans
+from .bytes import DIGIT, LETTER, U, chunks, hashes, lowered, mix, spans, word_bytes
 from .shared import table, written
 
 NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
@@ -41,10 +41,6 @@ UNITS = (
 ).split()
 BITS = 23
 
-LETTER = np.zeros(256, bool)
-LETTER[0x41:0x5B] = LETTER[0x61:0x7B] = LETTER[0x80:] = True
-DIGIT = np.zeros(256, bool)
-DIGIT[0x30:0x3A] = True
 STOP = np.zeros(256, bool)
 STOP[[ord(c) for c in ".!?:\n\"()"]] = True
 
@@ -57,30 +53,6 @@ class Settings:
     most_broadcast: int = 500_000
 
 
-def lowered(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes in lower case (A-Z and the Latin-1 letters), and which were upper case."""
-    upper = (buf >= 0x41) & (buf <= 0x5A)
-    if len(buf):
-        after = np.concatenate(([False], buf[:-1] == 0xC3))
-        upper |= after & (buf >= 0x80) & (buf <= 0x9E) & (buf != 0x97)
-    return buf + upper.astype(np.uint8) * np.uint8(0x20), upper
-
-
-def word_bytes(buf: np.ndarray) -> np.ndarray:
-    """Letters, digits, and points or commas between digits; Latin-1 and general punctuation are none."""
-    inside = LETTER[buf] | DIGIT[buf]
-    n = len(buf)
-    if n > 2:
-        digit = DIGIT[buf]
-        mark = (buf == 0x2E) | (buf == 0x2C)
-        inside[1:-1] |= mark[1:-1] & digit[:-2] & digit[2:]
-        for lead in np.flatnonzero(buf == 0xC2):
-            inside[lead : lead + 2] = False
-        for lead in np.flatnonzero((buf[:-2] == 0xE2) & ((buf[1:-1] == 0x80) | (buf[1:-1] == 0x81))):
-            inside[lead : lead + 3] = False
-    return inside
-
-
 def fixed(words: list[str]) -> np.ndarray:
     raw = "".join(words).encode()
     ends = np.cumsum([len(w.encode()) for w in words])
