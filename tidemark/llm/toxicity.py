@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples.
 
 *Terms* are lower-case words of letters and their prefixes of ``PREFIXES``
-letters. Those that tell the labels apart are kept: a chi-square over all
+bytes, as 64-bit hashes. Those that tell the labels apart are kept: a chi-square over all
 labelled training rows, at most ``max_terms``.
 *Weights* are TF-IDF: (1 + ln tf) * ln(1 + N / df) over all documents, with unit length.
 *Examples* are a bounded sample of the labelled training rows
@@ -23,8 +23,6 @@ get equal scores; extra columns are not returned.
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,10 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bytes import DIGIT, U, chunks, hashes, lowered, mix, spans, word_bytes
 from .shared import drop, fresh, table, written
 
-LETTERS = re.compile(r"[^\W\d_]+")
-PREFIXES = (4, 5, 6, 7, 8)
+PREFIXES = (4, 5, 6, 7, 8)  # in bytes of UTF-8
+COUNTED = 2_000_000  # terms that a task adds up at once
 BLOCK = 64
 
 
@@ -44,7 +43,7 @@ BLOCK = 64
 class Settings:
     max_toxic: int = 1500
     max_clean: int = 3000
-    max_terms: int = 2048
+    max_terms: int = 1024
     least_chi: float = 20.0
     neighbours: int = 15
     prior_vote: float = 0.15
@@ -52,63 +51,85 @@ class Settings:
     folds: int = 5
 
 
-def terms_of_word(word: str) -> tuple[str, ...]:
-    return (word, *(f"{word[:k]}-" for k in PREFIXES if len(word) >= k))
+def row_terms(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of every word and prefix in a run of texts, as often as it occurs."""
+    low, _ = lowered(buf)
+    inside = word_bytes(buf) & ~DIGIT[buf]
+    starts, ends, first = spans(np.where(inside, np.uint8(0x61), np.uint8(0x20)), offsets)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+    size = ends - starts
+    rows, found = [row], [hashes(low, starts, ends)]
+    for k in PREFIXES:
+        long = size >= k
+        rows.append(row[long])
+        found.append(mix(hashes(low, starts[long], starts[long] + k) + U(k)))
+    return np.concatenate(rows), np.concatenate(found)
 
 
-def word_counts(text: str | None) -> Counter:
-    return Counter(LETTERS.findall((text or "").lower()))
+def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, toxic) as (term, pos, neg): in how many toxic and clean rows a term is, added up over many rows."""
 
+    def done() -> pa.RecordBatch:
+        h, of = np.unique(np.concatenate(terms), return_inverse=True)
+        pos = np.bincount(of, np.concatenate(labels), len(h)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(pos), pa.array(np.bincount(of, minlength=len(h)) - pos)], ["term", "pos", "neg"])
 
-def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, toxic) as (term, pos, neg): in how many toxic and clean rows of the batch a term is."""
+    terms: list[np.ndarray] = []
+    labels: list[np.ndarray] = []
+    held = 0
     for b in batches:
-        found = {0: Counter(), 1: Counter()}
-        for text, toxic in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-            found[toxic].update({t for w in word_counts(text.as_py()) for t in terms_of_word(w)})
-        names = list(found[0].keys() | found[1].keys())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([found[1][t] for t in names], pa.int64()), pa.array([found[0][t] for t in names], pa.int64())], ["term", "pos", "neg"])
+        toxic = np.asarray(b.column(1))
+        for first, _, buf, offsets in chunks(b.column(0)):
+            row, h = row_terms(buf, offsets)
+            _, once = np.unique(h ^ mix(row.astype(U) + U(1)), return_index=True)
+            terms.append(h[once])
+            labels.append(toxic[first + row[once]].astype(np.int8))
+            held += len(once)
+            if held >= COUNTED:
+                yield done()
+                terms, labels, held = [], [], 0
+    if held:
+        yield done()
 
 
 class Vectors:
-    """Sparse vectors of texts over the kept terms."""
-
-    def __init__(self, terms: list[str], idf: np.ndarray | None = None):
-        self.ids = {t: i for i, t in enumerate(terms)}
-        self.idf = idf
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        out: dict[int, int] = {}
-        if len(self.known) > 300_000:
-            self.known = {}
-        known, ids = self.known, self.ids
-        for w, n in word_counts(text).items():
-            at = known.get(w)
-            if at is None:
-                at = known[w] = tuple(ids[t] for t in terms_of_word(w) if t in ids)
-            for i in at:
-                out[i] = out.get(i, 0) + n
-        return out
-
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        found = self.counts(text)
-        at = np.fromiter(found.keys(), np.int64, len(found))
-        w = (1 + np.log(np.fromiter(found.values(), np.float64, len(found)))) * self.idf[at]
-        size = math.sqrt(float(w @ w))
-        return at, w / size if size else w
-
-
-def count_documents(terms: list[str]):
-    """Batches (text) as (term, df) sums of the batch, and term -1 for the number of rows."""
+    """Sparse vectors of texts over the kept terms, which are sorted hashes."""
+
+    def __init__(self, terms: np.ndarray, idf: np.ndarray | None = None):
+        self.terms, self.idf = terms, idf
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(terms >> U(44)).astype(np.int64)] = True
+
+    def counts(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(where each row's begin, term, occurrences) in the order of rows."""
+        n_rows, n = len(offsets) - 1, max(1, len(self.terms))
+        row, h = row_terms(buf, offsets)
+        use = self.maybe[(h >> U(44)).astype(np.int64)]
+        row, h = row[use], h[use]
+        at = np.searchsorted(self.terms, h)
+        same = at < len(self.terms)
+        same[same] = self.terms[at[same]] == h[same]
+        cell, tf = np.unique(row[same] * n + at[same], return_counts=True)
+        return np.searchsorted(cell // n, np.arange(n_rows + 1)), cell % n, tf
+
+    def vectors(self, buf: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        first, term, tf = self.counts(buf, offsets)
+        w = (1 + np.log(tf)) * self.idf[term] if len(term) else np.zeros(0)
+        for a, z in zip(first[:-1], first[1:], strict=True):
+            size = math.sqrt(float(w[a:z] @ w[a:z]))
+            yield term[a:z], w[a:z] / size if size else w[a:z]
+
+
+def count_documents(terms: np.ndarray):
+    """Batches (text) as (term, df) sums of the task, and term -1 for the number of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vectors(terms)
         df, rows = np.zeros(len(terms), np.int64), 0
         for b in batches:
-            for text in b.column(0):
-                at = list(v.counts(text.as_py()))
-                df[at] += 1
+            for _, _, buf, offsets in chunks(b.column(0)):
+                _, term, _ = v.counts(buf, offsets)
+                df += np.bincount(term, minlength=len(terms))[: len(terms)]
             rows += b.num_rows
         yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(len(terms)), -1)), pa.array(np.append(df, rows))], ["term", "df"])
 
@@ -117,7 +138,7 @@ def count_documents(terms: list[str]):
 
 @dataclass
 class Model:
-    terms: list[str]
+    terms: np.ndarray
     idf: np.ndarray
     examples: np.ndarray  # their ids, only for the evidence
     toxic: np.ndarray
@@ -144,30 +165,31 @@ class Index:
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.n = len(rows)
-        n_blocks = -(-self.n // BLOCK)
-        self.blocks = np.zeros((n_blocks, n_terms, BLOCK), np.float32)
+        self.weights = np.zeros((n_terms, -(-self.n // BLOCK), BLOCK), np.float32)  # term, block, example in it
         for i, (at, w) in enumerate(rows):
-            self.blocks[i // BLOCK, at, i % BLOCK] = w
-        self.most = np.ascontiguousarray(self.blocks.max(axis=2).T)  # term x block
+            self.weights[at, i // BLOCK, i % BLOCK] = w
+        self.most = self.weights.max(axis=2)  # term, block
 
     def nearest(self, at: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples with a positive cosine, nearest first."""
+        found_at, found = np.zeros(0, np.int64), np.zeros(0, np.float32)
         if not len(at) or not self.n:
-            return np.zeros(0, np.int64), np.zeros(0)
+            return found_at, found.astype(np.float64)
         w = w.astype(np.float32)
         bound = w @ self.most[at]
         order = np.argsort(-bound, kind="stable")
-        found_at, found = np.zeros(0, np.int64), np.zeros(0, np.float32)
-        for first in range(0, len(order), 4):
-            group = order[first : first + 4]
-            if bound[group[0]] <= 0 or (len(found) >= k and bound[group[0]] < found[-1] - 1e-6):
-                break
-            score = np.einsum("t,gtb->gb", w, self.blocks[group[:, None], at[None, :]]).ravel()
+        first, size = 0, 4
+        while first < len(order) and bound[order[first]] > 0 and not (len(found) >= k and bound[order[first]] < found[-1] - 1e-6):
+            group = order[first : first + size]
+            score = w @ self.weights[at[:, None], group[None, :]].reshape(len(at), -1)
             place = (group[:, None] * BLOCK + np.arange(BLOCK)).ravel()
             hit = (score > 0) & (place != without)
+            if len(found) >= k:
+                hit &= score >= found[-1]
             found_at, found = np.concatenate((found_at, place[hit])), np.concatenate((found, score[hit]))
             best = np.lexsort((found_at, -found))[:k]
             found_at, found = found_at[best], found[best]
+            first, size = first + size, size * 3
         return found_at, found.astype(np.float64)
 
 
@@ -189,12 +211,12 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     sizes = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
     prior = pos / (pos + neg) if pos else 0.0
-    counts = known.select("text", "toxic").mapInArrow(count_terms, "term string, pos bigint, neg bigint").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counts = known.select("text", "toxic").mapInArrow(count_terms, "term bigint, pos bigint, neg bigint").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     n = pos + neg
     both = F.col("pos") + F.col("neg")
     chi = n * F.pow(F.col("pos") * float(neg) - F.col("neg") * float(pos), 2) / (both * (n - both) * float(max(1, pos)) * float(max(1, neg)))
     kept = counts.where((both >= 3) & (both < n)).withColumn("chi", chi).where(F.col("chi") >= settings.least_chi).orderBy(F.desc("chi"), "term").limit(settings.max_terms)
-    terms = sorted(r.term for r in kept.select("term").collect())
+    terms = np.sort(np.array([r.term for r in kept.select("term").collect()], np.int64).view(U))
 
     totals = {r.term: r.df for r in docs.select("text").mapInArrow(count_documents(terms), "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).collect()}
     idf = np.log(1 + totals.get(-1, 0) / np.maximum([totals.get(i, 0) for i in range(len(terms))], 1))
@@ -203,7 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [vectors.vector(t.as_py()) for t in b.column(1)]
+            found = [x for _, _, buf, offsets in chunks(b.column(1)) for x in vectors.vectors(buf, offsets)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([x[0] for x in found], pa.list_(pa.int64())), pa.array([x[1] for x in found], pa.list_(pa.float64()))], ["doc_id", "toxic", "at", "w"])
 
     rows = []
@@ -254,15 +276,14 @@ def score(df: DataFrame, model: Model, text_col: str = "text", id_col: str = "do
         if m.index is None:
             m.index = Index(m.rows, len(m.terms))
         vectors = Vectors(m.terms, m.idf)
-        for whole in batches:
-            for first in range(0, whole.num_rows, 500):
-                b = whole.slice(first, 500)
+        for b in batches:
+            for first, last, buf, offsets in chunks(b.column(1)):
                 scores, why = [], []
-                for text in b.column(1):
-                    at, cosine = m.index.nearest(*vectors.vector(text.as_py()), m.settings.neighbours)
+                for vector in vectors.vectors(buf, offsets):
+                    at, cosine = m.index.nearest(*vector, m.settings.neighbours)
                     scores.append(m.calibrated(share(m, at, cosine)) if len(m.rows) else 0.0)
                     why.append([{"example": int(m.examples[i]), "similarity": float(c), "toxic": int(m.toxic[i])} for i, c in zip(at[:3], cosine[:3], strict=True)])
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(why, evidence)], ["a", "b", "c"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, last - first), pa.array(scores, pa.float64()), pa.array(why, evidence)], ["a", "b", "c"])
 
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double, evidence array<struct<example:bigint,similarity:double,toxic:int>>")
 
