@@ -6,8 +6,11 @@ placeholders, all else is lower-cased and stripped of punctuation. Windows of
 ``width`` template tokens are hash-joined with those of the benchmark items.
 Within one alignment of a document and an item, the values in the placeholders
 must map one to one (the same name always becomes the same other name), which
-tells a re-parameterised question from text that only has its form. A document
-is contaminated by an item when consistent windows make up ``least_share`` of the item's.
+tells a re-parameterised question from text that only has its form: each value
+goes with the one that it most often meets, windows with other pairs are
+inconsistent, and an alignment counts when at least ``least_consistent`` of its
+matched windows are not. A document is contaminated by an item when consistent
+windows make up ``least_share`` of the item's.
 
 The document side is one numpy pass that keeps only windows in a bitmap of the
 benchmark's hashes (its size is fixed, whatever the benchmark's); the join with
@@ -15,8 +18,8 @@ the item windows then decides. Nothing of all documents is collected.
 
 Defined results: null and empty texts match nothing. Items with fewer tokens
 than ``width`` are one window of their length; windows with fewer than
-``least_literal`` tokens that are no placeholders match nothing (half of a
-shorter window). Rows without an id take no part. Repeated rows and items give one row for
+``least_literal`` tokens that are no placeholders match nothing, whatever their
+width. Rows without an id take no part. Repeated rows and items give one row for
 each pair of ids; extra columns are not returned.
 """
 
@@ -50,6 +53,7 @@ class Settings:
     width: int = 8
     least_literal: int = 4
     least_share: float = 0.25
+    least_consistent: float = 0.67
     most_broadcast: int = 500_000
 
 
@@ -130,7 +134,7 @@ def template_windows(df: DataFrame, settings: Settings, widths: list[int] | None
                 length = np.diff(first)
                 owner = np.repeat(np.arange(len(ids)), length)
                 for width in widths or range(1, settings.width + 1):
-                    at, h = windows(token, first, width, min(settings.least_literal, -(-width // 2)))
+                    at, h = windows(token, first, width, settings.least_literal)
                     if not widths:
                         use = (length[owner[at]] == width) if width < settings.width else np.ones(len(at), bool)
                         at, h = at[use], h[use]
@@ -169,13 +173,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     found = template_windows(named(docs, id_col), settings, widths, bitmap)
     item = items.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "n_windows", "hash", F.col("slots").alias("item_slots"))
     pairs = found.drop("n_windows").join(item, "hash").withColumn("shift", F.col("place") - F.col("item_place"))
-    aligned = pairs.groupBy("id", "item_id", "shift", "n_windows").agg(
-        F.collect_set("item_place").alias("places"),  # at most the item's windows
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))))).alias("values"),
-    )
-    one_to_one = F.expr("size(array_distinct(transform(values, x -> x.i))) = size(values) and size(array_distinct(transform(values, x -> x.d))) = size(values)")
-    verbatim = F.expr("forall(values, x -> x.i = x.d)")
-    best = aligned.where(one_to_one).groupBy("id", "item_id", "n_windows").agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n"), F.max(verbatim).alias("verbatim"))
+    # The windows of an alignment are at most the item's: places differ within it, and repeated rows are dropped.
+    zipped = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
+    aligned = pairs.groupBy("id", "item_id", "shift", "n_windows").agg(F.collect_set(F.struct(F.col("item_place").alias("at"), zipped.alias("z"))).alias("w"))
+    met = aligned.withColumn("every", F.expr("flatten(transform(w, x -> x.z))"))
+    met = met.withColumn("met", F.expr("transform(array_distinct(every), p -> named_struct('i', p.i, 'd', p.d, 'c', size(filter(every, q -> q = p))))")).drop("every")
+    good = "filter(met, p -> not exists(met, q -> (q.i = p.i or q.d = p.d) and (q.c > p.c or (q.c = p.c and (q.i < p.i or (q.i = p.i and q.d < p.d))))))"
+    held = met.withColumn("good", F.expr(f"transform({good}, p -> named_struct('i', p.i, 'd', p.d))")).withColumn("ok", F.expr("filter(w, x -> size(array_except(x.z, good)) = 0)"))
+    counted = held.where(F.size("ok") >= settings.least_consistent * F.size("w")).select("id", "item_id", "n_windows", F.expr("transform(ok, x -> x.at)").alias("places"), F.expr("forall(ok, x -> forall(x.z, p -> p.i = p.d))").alias("verbatim"))
+    best = counted.groupBy("id", "item_id", "n_windows").agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n"), F.max("verbatim").alias("verbatim"))
     # repeated items may differ in text: the best of them counts
     return (
         best.withColumn("share", F.col("n") / F.col("n_windows"))

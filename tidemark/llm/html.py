@@ -100,7 +100,7 @@ def blocks(page: str) -> list[Block]:
             links.clear()
 
     at = 0
-    for m in TOKEN.finditer(page):
+    for m in TOKEN.finditer(page, 0, page.rfind(">") + 1):  # what follows can't be a tag
         if m.start() > at:
             piece = page[at : m.start()]
             parts.append(piece)

@@ -66,18 +66,24 @@ def ruled(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def bucket(kind: str, text: Column, n: int, bits: int):
-    return lambda i: F.pmod(F.xxhash64(F.lit(kind), F.substring(text, i, F.lit(n))), F.lit(1 << bits)).cast("int")
+def grams(chars: Column, kind: str, n: int, bits: int) -> Column:
+    """Buckets of the n-grams of an array of characters."""
+    places = F.when(F.size(chars) >= n, F.sequence(F.lit(1), F.size(chars) - (n - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.pmod(F.xxhash64(F.lit(kind), F.slice(chars, i, n)), F.lit(1 << bits)).cast("int"))
 
 
 def features(host: Column, path: Column, bits: int = BITS) -> Column:
-    """Distinct buckets of the character n-grams of ^host$ and of the path."""
-    grams = []
+    """Distinct buckets of the character n-grams of ^host$ and of the path, in time proportional to their length."""
+    found = []
     for kind, text in (("h", F.concat(F.lit("^"), host, F.lit("$"))), ("p", path)):
-        for n in SIZES:
-            places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(F.array().cast("array<int>"))
-            grams.append(F.transform(places, bucket(kind, text, n, bits)))
-    return F.array_distinct(F.concat(*grams))
+        chars = F.filter(F.split(text, ""), lambda c: c != "")
+        # The array is bound once, as a variable, not evaluated for every place.
+        found.append(F.flatten(F.transform(F.array(chars), all_grams(kind, bits))))
+    return F.array_distinct(F.concat(*found))
+
+
+def all_grams(kind: str, bits: int):
+    return lambda c: F.concat(*[grams(c, kind, n, bits) for n in SIZES])
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
