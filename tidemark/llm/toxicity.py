@@ -35,7 +35,7 @@ from .bytes import DIGIT, U, chunks, hashes, lowered, mix, spans, word_bytes
 from .shared import drop, fresh, table, written
 
 PREFIXES = (4, 5, 6, 7, 8)  # in bytes of UTF-8
-COUNTED = 2_000_000  # terms that a task adds up at once
+COUNTED = 1_000_000  # terms that a task adds up at once
 BLOCK = 64
 
 
@@ -230,7 +230,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
     rows = []
     for kind, most in ((1, settings.max_toxic), (0, settings.max_clean)):
-        sample = known.where(F.col("toxic") == kind).orderBy(F.xxhash64("text"), "doc_id").limit(most)
+        # The smallest hashes of the text; those over what twice the sample would need don't leave their task.
+        place = (F.xxhash64("text") / float(1 << 64)) + 0.5
+        sample = known.where(F.col("toxic") == kind).where(place <= min(1.0, 2 * most / max(1, sizes.get(kind, 0)))).orderBy(F.xxhash64("text"), "doc_id").limit(most)
         rows += sample.mapInArrow(vectorise, "doc_id bigint, toxic int, at array<bigint>, w array<double>").collect()
     drop(known)
     # Like examples stand together: by label, then by their heaviest term.
