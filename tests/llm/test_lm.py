@@ -73,6 +73,22 @@ def test_model_is_a_distribution(spark):
         assert abs((sum(words.values()) + 0.5 * len(words) + 0.5) / total - 1) < 1e-12
 
 
+def test_rounds_take_every_training_row(spark, monkeypatch):
+    """Each training token is observed once over all rounds, and copies of one text aren't all in one round."""
+    rows = [(i, f"w{i} x y") for i in range(200)] + [(i, "copy of one text") for i in range(200, 400)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bias = []
+
+    real = L.np.frombuffer
+    monkeypatch.setattr(L.np, "frombuffer", lambda raw, kind: (bias.append(real(raw, kind)), real(raw, kind))[1])
+    model, _ = L.fit(docs, L.Settings())
+    # The last block of the weights is the bias alone: its observed classes are the round's tokens.
+    last = [x[L.CLASSES :].sum() for x in bias if len(x) == 2 * L.CLASSES]
+    assert sum(last) == model.n
+    got = docs.where("text like 'copy%'").groupBy(L.in_round(L.Settings()).alias("r")).count().collect()
+    assert len(got) == L.Settings().rounds and max(r["count"] for r in got) < 100
+
+
 def test_better_than_the_base_on_held_out_texts(spark):
     got = L.op8_lm_scoring(spark, "/root/testdata/sf0.01").toPandas()
     held = got[got.held_out]

@@ -9,7 +9,8 @@ word a class, so the factors are proper distributions.
 
 *Counts*: tokens are 64-bit hashes; each task adds up its own before they are
 shuffled. *Training*: rounds of distributed gradient updates, each over another
-fixed share of the training texts; every core sends one block-wise sum of
+part of the training rows and together over all of them (dealt by id and text, so
+that copies of one text are in all rounds); every core sends one block-wise sum of
 expected and observed classes, blocks are added up by key, and only the model's own size reaches the driver.
 *Scoring*: numpy over runs of texts. Counts of frequent words (a bounded table) are
 at hand in every task; all other words go through a join with the counts.
@@ -35,7 +36,7 @@ from .shared import drop, table, written
 END = U(0x656E642D6F662D74)
 SINGLE, ENDINGS = 24, 40  # classes of one word (the end is the first), and of word endings
 CLASSES = SINGLE + ENDINGS
-BITS = (11, 11, 11)
+BITS = (11, 11, 12)
 STARTS = np.cumsum([0] + [1 << b for b in BITS])
 ROWS = int(STARTS[-1]) + 1  # the last one is the bias
 BLOCK = 64
@@ -48,7 +49,7 @@ class Settings:
     fold: int = 1
     #: Most words whose counts every task holds.
     frequent: int = 400_000
-    #: Rounds of gradient updates, and the share 1/shares of the training texts in each.
+    #: Rounds of gradient updates, and the shares that the training rows are dealt into: share i is in round i % rounds, so the rounds together take every row.
     rounds: int = 6
     shares: int = 32
     damping: float = 30.0
@@ -76,6 +77,11 @@ def held_out(doc_id, s: Settings):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % s.folds == s.fold, F.lit(False))
 
 
+def in_round(s: Settings):
+    """The round that learns from a training row."""
+    return F.pmod(F.pmod(F.xxhash64("doc_id", "text"), F.lit(s.shares)), F.lit(s.rounds)).cast("int")
+
+
 def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches (text) as (token, c, kind), added up over many rows."""
 
@@ -144,7 +150,7 @@ class Model:
 
 def slopes(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches (text) as one sum of expected and observed classes a task, in blocks of BLOCK rows of the weights."""
-    expected = np.zeros((ROWS, CLASSES), np.float32)
+    expected = np.zeros((ROWS, CLASSES))
     observed = np.zeros(ROWS * CLASSES, np.int64)
     for b in batches:
         for _, _, buf, offsets in chunks(b.column(0), 1 << 18):
@@ -193,11 +199,10 @@ def fit(docs: DataFrame, s: Settings = Settings()) -> tuple[Model, DataFrame]:
     model = Model(row[0], row[1], h, c, single, class_n, class_v, np.zeros((ROWS, CLASSES), np.float32))
     model.weights[-1] = np.log((class_n + 1) / (class_n.sum() + CLASSES))
 
-    share = F.pmod(F.xxhash64("text"), F.lit(s.shares)).cast("int")
-    taught = written(training.select("text", share.alias("share")).where(F.col("share") < s.rounds), "taught")
+    taught = written(training.select("text", in_round(s).alias("round")), "taught", "round")
     for r in range(s.rounds):
         shared = spark.sparkContext.broadcast(model)
-        part = taught.where(F.col("share") == r).select("text").coalesce(spark.sparkContext.defaultParallelism)
+        part = taught.where(F.col("round") == r).select("text").coalesce(spark.sparkContext.defaultParallelism)
         sums = part.mapInArrow(lambda it, m=shared: slopes(m.value, it), "block int, sums binary").groupBy("block").applyInArrow(add_up, "block int, sums binary").collect()
         both = np.zeros((-(-ROWS // BLOCK) * BLOCK, 2 * CLASSES), np.float32)
         for x in sums:

@@ -26,11 +26,11 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back."""
+def written(df: DataFrame, label: str, *by: str) -> DataFrame:
+    """Write ``df`` once to the shared folder, in one folder for each value of the columns ``by``, and read it back."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tidemark_path = path
     return out
