@@ -70,6 +70,19 @@ def test_held_out_labels(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.score < 0.5}
 
 
+def test_every_telling_term_is_kept(spark):
+    """The word of few toxic texts counts however many stronger words there are."""
+    rng = np.random.default_rng(7)
+    strong = ["".join(rng.choice(list("abcdefghijklm"), 9)) for _ in range(400)]  # six terms each
+    rows = [(i, " ".join(strong), 1) for i in range(80)] + [(i, f"grumble n{i}", 1) for i in range(80, 110)] + [(i, f"plain text m{i} as it is", 0) for i in range(110, 500)]
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5] + [(1000, "they grumble here", None)]
+    docs = spark.createDataFrame([(i, f"{t} {i}") for i, t, _ in rows], "doc_id long, text string")
+    model = X.fit(docs, spark.createDataFrame([(i, x) for i, _, x in rows if x is not None], "doc_id long, toxic int"))
+    assert len(model.terms) > 2000
+    got = {r.doc_id: r for r in X.score(docs, model).collect()}
+    assert got[1000].score >= 0.5 and got[1000].evidence[0].toxic == 1 and got[1000].evidence[0].similarity > 0.5
+
+
 def test_edge_tables(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "c"), (4, "x " * 50_000)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")

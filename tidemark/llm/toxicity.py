@@ -1,16 +1,15 @@
 """Toxicity by the nearest labelled examples.
 
 *Terms* are lower-case words of letters and their prefixes of ``PREFIXES``
-bytes, as 64-bit hashes. Those that tell the labels apart are kept: a chi-square over all
-labelled training rows, at most ``max_terms``.
+bytes, as 64-bit hashes. All that tell the labels apart are kept: a chi-square of at
+least ``least_chi`` over all labelled training rows.
 *Weights* are TF-IDF: (1 + ln tf) * ln(1 + N / df) over all documents, with unit length.
 *Examples* are a bounded sample of the labelled training rows
 (``max_toxic`` and ``max_clean``, by the hash of the text); their votes are weighted
 back to the classes' true shares.
-*Index*: examples of like terms stand together in blocks; for each term and
-block the largest weight is kept. A query visits blocks by falling upper bound
-and stops when no block can hold a nearer example, so the neighbours and their
-cosines are exact.
+*Index*: for each term the examples that have it, with their weights. Its size is
+that of the examples, however many terms are kept; a query adds up the lists of
+its terms, so the neighbours and their cosines are exact.
 *Score*: votes weighted by distance, then a logistic calibration fitted on the
 examples' own leave-one-out votes. The nearest examples are the evidence.
 
@@ -36,14 +35,12 @@ from .shared import drop, fresh, table, written
 
 PREFIXES = (4, 5, 6, 7, 8)  # in bytes of UTF-8
 COUNTED = 1_000_000  # terms that a task adds up at once
-BLOCK = 64
 
 
 @dataclass(frozen=True)
 class Settings:
     max_toxic: int = 1500
     max_clean: int = 3000
-    max_terms: int = 1024
     least_chi: float = 20.0
     neighbours: int = 15
     prior_vote: float = 0.15
@@ -131,7 +128,8 @@ def count_documents(terms: np.ndarray):
                 _, term, _ = v.counts(buf, offsets)
                 df += np.bincount(term, minlength=len(terms))[: len(terms)]
             rows += b.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(len(terms)), -1)), pa.array(np.append(df, rows))], ["term", "df"])
+        found = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(found, -1)), pa.array(np.append(df[found], rows))], ["term", "df"])
 
     return run
 
@@ -161,36 +159,29 @@ def logit(p: float) -> float:
 
 
 class Index:
-    """Block-max inverted index over the examples' vectors."""
+    """Inverted index over the examples' vectors: of each term the examples that have it."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.n = len(rows)
-        self.weights = np.zeros((n_terms, -(-self.n // BLOCK), BLOCK), np.float32)  # term, block, example in it
-        for i, (at, w) in enumerate(rows):
-            self.weights[at, i // BLOCK, i % BLOCK] = w
-        self.most = self.weights.max(axis=2)  # term, block
+        term = np.concatenate([np.zeros(0, np.int64), *(at for at, _ in rows)])
+        order = np.argsort(term, kind="stable")
+        self.place = np.repeat(np.arange(self.n), [len(at) for at, _ in rows])[order].astype(np.int32)
+        self.weights = np.concatenate([np.zeros(0), *(w for _, w in rows)])[order].astype(np.float32)
+        self.first = np.searchsorted(term[order], np.arange(n_terms + 1))  # where each term's list begins
 
     def nearest(self, at: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples with a positive cosine, nearest first."""
-        found_at, found = np.zeros(0, np.int64), np.zeros(0, np.float32)
-        if not len(at) or not self.n:
-            return found_at, found.astype(np.float64)
-        w = w.astype(np.float32)
-        bound = w @ self.most[at]
-        order = np.argsort(-bound, kind="stable")
-        first, size = 0, 4
-        while first < len(order) and bound[order[first]] > 0 and not (len(found) >= k and bound[order[first]] < found[-1] - 1e-6):
-            group = order[first : first + size]
-            score = w @ self.weights[at[:, None], group[None, :]].reshape(len(at), -1)
-            place = (group[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            hit = (score > 0) & (place != without)
-            if len(found) >= k:
-                hit &= score >= found[-1]
-            found_at, found = np.concatenate((found_at, place[hit])), np.concatenate((found, score[hit]))
-            best = np.lexsort((found_at, -found))[:k]
-            found_at, found = found_at[best], found[best]
-            first, size = first + size, size * 3
-        return found_at, found.astype(np.float64)
+        size = self.first[at + 1] - self.first[at] if len(at) else np.zeros(0, np.int64)
+        ends = np.cumsum(size)
+        if not len(ends) or not ends[-1]:
+            return np.zeros(0, np.int64), np.zeros(0)
+        of = np.arange(ends[-1]) + np.repeat(self.first[at] - ends + size, size)
+        score = np.bincount(self.place[of], self.weights[of] * np.repeat(w, size), self.n)
+        if without >= 0:
+            score[without] = 0
+        found_at = np.flatnonzero(score >= max(np.partition(score, -k)[-k], 1e-12) if self.n > k else score > 1e-12)
+        best = np.lexsort((found_at, -score[found_at]))[:k]
+        return found_at[best], score[found_at[best]]
 
 
 def share(model: Model, at: np.ndarray, cosine: np.ndarray) -> float:
@@ -215,8 +206,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     n = pos + neg
     both = F.col("pos") + F.col("neg")
     chi = n * F.pow(F.col("pos") * float(neg) - F.col("neg") * float(pos), 2) / (both * (n - both) * float(max(1, pos)) * float(max(1, neg)))
-    kept = counts.where((both >= 3) & (both < n)).withColumn("chi", chi).where(F.col("chi") >= settings.least_chi).orderBy(F.desc("chi"), "term").limit(settings.max_terms)
-    terms = np.sort(np.array([r.term for r in kept.select("term").collect()], np.int64).view(U))
+    kept = counts.where((both >= 3) & (both < n)).withColumn("chi", chi).where(F.col("chi") >= settings.least_chi)
+    terms = np.sort(kept.select("term").toArrow().column("term").to_numpy().view(U))
 
     totals = {r.term: r.df for r in docs.select("text").mapInArrow(count_documents(terms), "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).collect()}
     idf = np.log(1 + totals.get(-1, 0) / np.maximum([totals.get(i, 0) for i in range(len(terms))], 1))
@@ -226,21 +217,22 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [x for _, _, buf, offsets in chunks(b.column(1)) for x in vectors.vectors(buf, offsets)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([x[0] for x in found], pa.list_(pa.int64())), pa.array([x[1] for x in found], pa.list_(pa.float64()))], ["doc_id", "toxic", "at", "w"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([x[0].astype(np.int64).tobytes() for x in found], pa.binary()), pa.array([x[1].tobytes() for x in found], pa.binary())], ["doc_id", "toxic", "at", "w"])
 
     rows = []
     for kind, most in ((1, settings.max_toxic), (0, settings.max_clean)):
         # The smallest hashes of the text; those over what twice the sample would need don't leave their task.
         place = (F.xxhash64("text") / float(1 << 64)) + 0.5
         sample = known.where(F.col("toxic") == kind).where(place <= min(1.0, 2 * most / max(1, sizes.get(kind, 0)))).orderBy(F.xxhash64("text"), "doc_id").limit(most)
-        rows += sample.mapInArrow(vectorise, "doc_id bigint, toxic int, at array<bigint>, w array<double>").collect()
+        found = sample.mapInArrow(vectorise, "doc_id bigint, toxic int, at binary, w binary").collect()
+        rows += [(r.doc_id, r.toxic, np.frombuffer(r["at"], np.int64), np.frombuffer(r.w)) for r in found]
     drop(known)
-    # Like examples stand together: by label, then by their heaviest term.
-    rows.sort(key=lambda r: (r.toxic, max(zip(r.w, r["at"], strict=True), default=(0, -1))[1], -max(r.w, default=0), r.doc_id))
-    toxic = np.array([r.toxic for r in rows], float)
+    # A fixed order for ties: by label, then by their heaviest term.
+    rows.sort(key=lambda r: (r[1], max(zip(r[3], r[2], strict=True), default=(0, -1))[1], -max(r[3], default=0), r[0]))
+    toxic = np.array([r[1] for r in rows], float)
     used = {1: toxic.sum(), 0: len(toxic) - toxic.sum()}
     true = np.array([(pos if t else neg) / used[int(t)] for t in toxic])
-    model = Model(terms, idf, np.array([r.doc_id for r in rows], np.int64), toxic, true / true.mean() if len(true) else true, [(np.array(r["at"], np.int64), np.array(r.w)) for r in rows], prior, settings)
+    model = Model(terms, idf, np.array([r[0] for r in rows], np.int64), toxic, true / true.mean() if len(true) else true, [r[2:] for r in rows], prior, settings)
     return calibrate(model)
 
 
