@@ -47,6 +47,24 @@ def test_slots_must_be_consistent(spark):
     assert {d for d, _ in got} == {1, 2, 5} and not got[2, 50].verbatim
 
 
+def test_few_literal_words(spark):
+    """Items and windows of numbers and names are found word by word; short items of three literal words with other values too."""
+    dense = "Add 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15"
+    items = [(1, "What is 17 times 23?"), (2, "12 + 7 = 19"), (3, dense)]
+    docs = [(1, FILL + "What is 17 times 23? " + FILL), (2, FILL + "12 + 7 = 19"), (3, FILL + dense), (4, "what is 5 times 6"), (5, "13 + 8 = 21"), (6, FILL + dense.replace("1", "3")), (7, FILL * 3)]
+    got = pairs(spark, docs, items)
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 1)}
+    assert got[1, 1].verbatim and got[2, 2].verbatim and got[3, 3].verbatim and not got[4, 1].verbatim
+
+
+def test_weak_windows_take_nothing_away(spark):
+    """An item mostly of numbers is still found by its worded windows alone when the numbers differ."""
+    numbers = lambda k: " ".join(str(i * k) for i in range(1, 60))
+    item = "the red bus drove down the hill to the old town and stopped "
+    got = pairs(spark, [(1, item + numbers(7))], [(1, item + numbers(3))])
+    assert set(got) == {(1, 1)} and not got[1, 1].verbatim
+
+
 def test_edge_rows(spark):
     docs = [(1, None), (2, ""), (3, "a"), (None, ITEM), (4, ITEM), (4, ITEM), (5, "x " * 100_000 + ITEM), (6, "red green blue pink grey")]
     got = pairs(spark, docs, [(1, ITEM), (1, ITEM), (2, None), (3, ""), (4, "a"), (5, "red green blue pink grey"), (None, ITEM), (7, "5 km 7 kg 8 cm")])

@@ -17,9 +17,11 @@ benchmark's hashes (its size is fixed, whatever the benchmark's); the join with
 the item windows then decides. Nothing of all documents is collected.
 
 Defined results: null and empty texts match nothing. Items with fewer tokens
-than ``width`` are one window of their length; windows with fewer than
-``least_literal`` tokens that are no placeholders match nothing, whatever their
-width. Rows without an id take no part. Repeated rows and items give one row for
+than ``width`` are one window of their length. Windows with fewer than
+``least_literal`` tokens that are no placeholders (``least_short`` for items of at
+most six tokens) have the form of too many texts: they match only with equal
+values, and an item counts by the better of its share of the others and its share
+of all. A single word is no passage. Rows without an id take no part. Repeated rows and items give one row for
 each pair of ids; extra columns are not returned.
 """
 
@@ -52,6 +54,7 @@ STOP[[ord(c) for c in ".!?:\n\"()"]] = True
 class Settings:
     width: int = 8
     least_literal: int = 4
+    least_short: int = 3
     least_share: float = 0.25
     least_consistent: float = 0.67
     most_broadcast: int = 500_000
@@ -101,28 +104,34 @@ def templates(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return token[keep], value[keep], np.searchsorted(np.flatnonzero(keep), first)
 
 
-def windows(token: np.ndarray, first: np.ndarray, width: int, least_literal: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows of ``width`` tokens within a row that have enough literal tokens."""
+def windows(token: np.ndarray, value: np.ndarray, first: np.ndarray, width: int, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and hashes of the windows of ``width`` tokens within a row, and whether they have enough literal tokens; the hashes of those without are of their values too."""
     n = len(token)
-    if n < width:
-        return np.zeros(0, np.int64), np.zeros(0, U)
+    if n < max(width, 2) or width < 2:
+        return np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, bool)
     h = np.full(n - width + 1, U(width))
     for k in range(width):
         h = mix(h * U(0xD1342543DE82EF95) + token[k : n - width + 1 + k])
     literal = np.concatenate(([0], np.cumsum(token > UNIT)))
-    ok = literal[width:] - literal[: n - width + 1] >= least_literal
+    least = settings.least_literal if width > 6 else min(settings.least_short, settings.least_literal)
+    strong = literal[width:] - literal[: n - width + 1] >= least
     row_end = np.repeat(first[1:], np.diff(first))[: n - width + 1]
-    at = np.flatnonzero(ok & (np.arange(n - width + 1) + width <= row_end))
-    return at, h[at]
+    at = np.flatnonzero(np.arange(n - width + 1) + width <= row_end)
+    weak = at[~strong[at]]
+    exact = h[weak] ^ U(0x7665726261746D)
+    for k in range(width):
+        exact = mix(exact * U(0xD1342543DE82EF95) + value[weak + k])
+    h[weak] = exact
+    return at, h[at], strong[at]
 
 
-SCHEMA = "id bigint, place int, n_windows int, hash bigint, slots array<bigint>"
+SCHEMA = "id bigint, place int, n_windows int, n_strong int, strong boolean, hash bigint, slots array<bigint>"
 
 
 def template_windows(df: DataFrame, settings: Settings, widths: list[int] | None = None, bitmap=None) -> DataFrame:
     """Windows of (id, text) as rows of SCHEMA. Without ``widths`` (items) a text has windows of the settings' width, or one of its length.
 
-    slots: of each placeholder in the window its kind and value, in order. bitmap: a broadcast filter of hashes.
+    slots: of each placeholder in the window its kind and value, in order; none for windows that match only with equal values. bitmap: a broadcast filter of hashes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,21 +143,23 @@ def template_windows(df: DataFrame, settings: Settings, widths: list[int] | None
                 length = np.diff(first)
                 owner = np.repeat(np.arange(len(ids)), length)
                 for width in widths or range(1, settings.width + 1):
-                    at, h = windows(token, first, width, settings.least_literal)
+                    at, h, strong = windows(token, value, first, width, settings)
                     if not widths:
                         use = (length[owner[at]] == width) if width < settings.width else np.ones(len(at), bool)
-                        at, h = at[use], h[use]
+                        at, h, strong = at[use], h[use], strong[use]
                     if bits is not None and len(h):
                         slot = h >> U(64 - BITS)
                         use = (bits[slot >> U(3)] >> (slot & U(7)).astype(np.uint8)) & 1 == 1
-                        at, h = at[use], h[use]
+                        at, h, strong = at[use], h[use], strong[use]
                     if not len(at):
                         continue
                     n = np.bincount(owner[at], minlength=len(ids))
-                    slots = [(mix(value[i : i + width] * U(4) + token[i : i + width])[token[i : i + width] <= UNIT]).view(np.int64) for i in at]
+                    n_strong = np.bincount(owner[at[strong]], minlength=len(ids))
+                    none = np.zeros(0, np.int64)
+                    slots = [(mix(value[i : i + width] * U(4) + token[i : i + width])[token[i : i + width] <= UNIT]).view(np.int64) if s else none for i, s in zip(at, strong, strict=True)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[owner[at]]), pa.array((at - first[owner[at]]).astype(np.int32)), pa.array(n[owner[at]].astype(np.int32)), pa.array(h.view(np.int64)), pa.array(slots, pa.list_(pa.int64()))],
-                        ["id", "place", "n_windows", "hash", "slots"],
+                        [pa.array(ids[owner[at]]), pa.array((at - first[owner[at]]).astype(np.int32)), pa.array(n[owner[at]].astype(np.int32)), pa.array(n_strong[owner[at]].astype(np.int32)), pa.array(strong), pa.array(h.view(np.int64)), pa.array(slots, pa.list_(pa.int64()))],
+                        ["id", "place", "n_windows", "n_strong", "strong", "hash", "slots"],
                     )
 
     return df.mapInArrow(run, SCHEMA)
@@ -171,17 +182,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     widths = list(range(1, settings.width + 1)) if 1 in lengths else [settings.width]
     bitmap = spark.sparkContext.broadcast(filter_bits(items))
     found = template_windows(named(docs, id_col), settings, widths, bitmap)
-    item = items.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "n_windows", "hash", F.col("slots").alias("item_slots"))
-    pairs = found.drop("n_windows").join(item, "hash").withColumn("shift", F.col("place") - F.col("item_place"))
+    item = items.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "n_windows", "n_strong", "strong", "hash", F.col("slots").alias("item_slots"))
+    pairs = found.drop("n_windows", "n_strong", "strong").join(item, "hash").withColumn("shift", F.col("place") - F.col("item_place"))
     # The windows of an alignment are at most the item's: places differ within it, and repeated rows are dropped.
     zipped = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
-    aligned = pairs.groupBy("id", "item_id", "shift", "n_windows").agg(F.collect_set(F.struct(F.col("item_place").alias("at"), zipped.alias("z"))).alias("w"))
+    aligned = pairs.groupBy("id", "item_id", "shift", "n_windows", "n_strong").agg(F.collect_set(F.struct(F.col("item_place").alias("at"), "strong", zipped.alias("z"))).alias("w"))
     met = aligned.withColumn("every", F.expr("flatten(transform(w, x -> x.z))"))
     met = met.withColumn("met", F.expr("transform(array_distinct(every), p -> named_struct('i', p.i, 'd', p.d, 'c', size(filter(every, q -> q = p))))")).drop("every")
     good = "filter(met, p -> not exists(met, q -> (q.i = p.i or q.d = p.d) and (q.c > p.c or (q.c = p.c and (q.i < p.i or (q.i = p.i and q.d < p.d))))))"
     held = met.withColumn("good", F.expr(f"transform({good}, p -> named_struct('i', p.i, 'd', p.d))")).withColumn("ok", F.expr("filter(w, x -> size(array_except(x.z, good)) = 0)"))
-    counted = held.where(F.size("ok") >= settings.least_consistent * F.size("w")).select("id", "item_id", "n_windows", F.expr("transform(ok, x -> x.at)").alias("places"), F.expr("forall(ok, x -> forall(x.z, p -> p.i = p.d))").alias("verbatim"))
-    best = counted.groupBy("id", "item_id", "n_windows").agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n"), F.max("verbatim").alias("verbatim"))
+    counted = held.where(F.size("ok") >= settings.least_consistent * F.size("w")).select("id", "item_id", "n_windows", "n_strong", F.expr("transform(ok, x -> named_struct('at', x.at, 'strong', x.strong))").alias("places"), F.expr("forall(ok, x -> forall(x.z, p -> p.i = p.d))").alias("verbatim"))
+    best = counted.groupBy("id", "item_id", "n_windows", "n_strong").agg(F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"), F.max("verbatim").alias("verbatim"))
+    best = best.withColumn("n", F.size("places")).withColumn("m", F.expr("size(filter(places, x -> x.strong))"))
+    # The others alone if their share is the better one; then they are what is counted.
+    alone = F.col("m") * F.col("n_windows") >= F.col("n") * F.col("n_strong")
+    alone = alone & (F.col("n_strong") > 0)
+    best = best.select("id", "item_id", F.when(alone, F.col("m")).otherwise(F.col("n")).alias("n"), F.when(alone, F.col("n_strong")).otherwise(F.col("n_windows")).alias("n_windows"), "verbatim")
     # repeated items may differ in text: the best of them counts
     return (
         best.withColumn("share", F.col("n") / F.col("n_windows"))
