@@ -26,6 +26,23 @@ PAGES = {
 }
 
 
+LIST = "Alpha Bravo Charlie Delta Echo Foxtrot Golf Hotel India Juliet Kilo Lima Mike November Oscar Papa"
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        (f"<nav>Menu</nav><h2>Head</h2><div>{LONG} {LONG}</div><p>Short one.</p><div>{LONG} {LONG}</div><article><p>Teaser.</p></article>", f"Head\n{LONG} {LONG}\nShort one.\n{LONG} {LONG}\nTeaser."),
+        (f"<article><p>{LONG}</p><p><a href=1>{LIST}</a></p><p>{LIST}</p><p><a href=2>{LIST}</a></p><p>{LONG} {LONG}</p></article>", f"{LONG}\n{LONG} {LONG}"),
+        (f"<article><p>{LIST}</p><p>{LIST}.</p></article>", f"{LIST}\n{LIST}."),
+        (f"<article><p>{LONG} {LONG} {LONG}</p></article><p>{LONG} {LONG}</p><footer>x</footer><p>{LIST}</p>", f"{LONG} {LONG} {LONG}\n{LONG} {LONG}"),
+    ],
+    ids=["body beside a small article", "few stop words between links", "other language", "dense block outside"],
+)
+def test_density_on_all_blocks(page, want):
+    assert H.extract(page) == want
+
+
 @pytest.mark.parametrize("name", sorted(PAGES))
 def test_hand_made(name):
     page, want = PAGES[name]

@@ -3,8 +3,10 @@
 A page is cut into blocks at block-level tags. Pass one labels blocks by
 structure, link density, length and stop-word density as good, bad or undecided
 (short or nearly good). Pass two gives undecided blocks the label of their
-nearest decided neighbours. Where a page marks its article (``article`` or
-``main``), only blocks in it are candidates and neighbours are looked for in it.
+nearest decided neighbours. Where ``article`` or ``main`` holds most of a page's
+unlinked text, it is a prior for undecided blocks: those in it are rather good and
+look for neighbours in it, those outside rather bad. Blocks with few stop words are
+undecided in it, as paragraphs of articles have few now and then, and bad elsewhere.
 
 Defined results: a null, empty or markup-free page without text gives "".
 Unclosed tags are closed by the end of what holds them; text outside any tag is
@@ -155,26 +157,35 @@ def stop_density(text: str) -> float:
 
 
 def first_pass(b: Block, marked: bool) -> str:
-    """good, bad, short or near; marked: the page marks its article."""
-    if b.excluded or (marked and not b.article):
+    """good, bad, short or near; marked: the article holds most of the text."""
+    if b.excluded:
         return "bad"
     n = len(b.text)
     if b.linked > MOST_LINKS * n:
         return "bad"
-    if "\xa9" in b.text and n < LONG and not b.article:
+    inside = marked and b.article
+    if "\xa9" in b.text and n < LONG and not inside:
         return "bad"
     if n < SHORT:
         return "short"
-    if marked:
-        return "good"
     if stop_density(b.text) >= LEAST_STOPS:
-        return "good" if n >= LONG else "near"
+        return "good" if n >= LONG or inside else "near"
+    if inside:
+        return "near"
     return "near" if n >= 4 * LONG and not b.linked else "bad"
 
 
 def second_pass(found: list[Block], marked: bool) -> None:
     """Undecided blocks take the label of their nearest decided neighbours; a heading that of what follows it."""
-    near = found if not marked else [b for b in found if b.article and not b.excluded]
+    if marked:
+        vote([b for b in found if b.article and not b.excluded], True)
+        vote([b for b in found if not b.article or b.excluded], False)
+    else:
+        vote(found, None)
+
+
+def vote(near: list[Block], prior: bool | None) -> None:
+    """Labels for the undecided of blocks that are neighbours; prior: what they rather are."""
     decided = [b.label if b.label in ("good", "bad") else "" for b in near]
     before, last = [], ""
     for x in decided:
@@ -184,21 +195,24 @@ def second_pass(found: list[Block], marked: bool) -> None:
     for x in reversed(decided):
         after.append(last)
         last = x or last
+    rather = lambda b: "good" if (b.label == "near" if prior is None else prior) else "bad"
     for b, x, y in zip(near, before, reversed(after), strict=True):
         if b.label in ("good", "bad"):
             continue
         if b.heading and y:
             b.label = y
         elif x == y or not x or not y:
-            b.label = x or y or ("good" if marked or b.label == "near" else "bad")
+            b.label = x or y or rather(b)
         else:
-            b.label = "good" if marked or b.label == "near" else "bad"
+            b.label = rather(b)
 
 
 def extract(page: str | None) -> str:
     """The main text: good blocks in page order, one line each."""
     found = blocks(page or "")
-    marked = any(b.article and not b.excluded for b in found)
+    article = [b for b in found if b.article and not b.excluded]
+    unlinked = lambda of: sum(len(b.text) - b.linked for b in of if not b.excluded)
+    marked = bool(article) and 2 * unlinked(article) >= unlinked(found)
     for b in found:
         b.label = first_pass(b, marked)
     second_pass(found, marked)
