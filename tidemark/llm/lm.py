@@ -51,6 +51,7 @@ STARTS = np.cumsum([0] + [1 << b for b in BITS + LEAF_BITS])
 BIAS = int(STARTS[-1])  # the classes' bias, and then one row for the leaves of each class
 ROWS = BIAS + 1 + CLASSES
 BLOCK = 64
+RUN = 1 << 15  # tokens whose probabilities are held at once
 COUNTED = 4_000_000  # tokens that a task adds up at once
 NEVER = -60.0  # weight of a leaf that no word has
 
@@ -182,36 +183,49 @@ class Model:
         return softmax(z)
 
 
+def grouped(sums: np.ndarray, rows: np.ndarray, p: np.ndarray, few: int = 6) -> None:
+    """Add the rows of p to the rows of sums that are named; rows named up to ``few`` times are added turn by turn."""
+    order = np.argsort(rows, kind="stable")
+    own = rows[order]
+    new = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.zeros(0, np.int64)
+    size = np.diff(np.append(new, len(own)))
+    for i in np.flatnonzero(size > few):
+        sums[own[new[i]]] += p[order[new[i] : new[i] + size[i]]].sum(axis=0)
+    small = np.flatnonzero(size <= few)
+    for j in range(few):
+        turn = new[small[size[small] > j]]
+        sums[own[turn]] += p[order[turn + j]]
+
+
 def slopes(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches (text) as one sum of expected and observed outcomes a task, in blocks of BLOCK rows of the weights."""
-    expected = np.zeros(ROWS * LEAVES)
-    recent = np.zeros(ROWS * LEAVES, np.float32)  # the expected ones of a few runs, before they are added up exactly
+    expected = np.zeros((ROWS, LEAVES))
+    recent = np.zeros((ROWS, LEAVES), np.float32)  # the expected ones of a few runs, before they are added up exactly
     observed = np.zeros(ROWS * LEAVES, np.int64)
-    across = np.arange(LEAVES)
-    runs = 0
+    since = 0
 
     def learn(rows: np.ndarray, target: np.ndarray) -> None:
         p = model.probabilities(rows)
         for i in range(rows.shape[1]):
-            of = rows[:, i].astype(np.int64) * LEAVES
-            np.add.at(observed, of + target, 1)
-            if len(of) and rows[0, i] == BIAS:
-                recent[BIAS * LEAVES : (BIAS + 1) * LEAVES] += p.sum(axis=0)
-            else:
-                np.add.at(recent, (of[:, None] + across).ravel(), p.ravel())
+            cell, n = np.unique(rows[:, i].astype(np.int64) * LEAVES + target, return_counts=True)
+            observed[cell] += n
+            grouped(recent, rows[:, i], p)
 
     for b in batches:
         for _, _, buf, offsets in chunks(b.column(0), 1 << 18):
-            if (runs := runs + 1) % 32 == 0:
-                expected += recent
-                recent[:] = 0
             h, bins, at = tokens(buf, offsets)
             history = model.history(h, at)
             k, leaf, _ = model.outcomes(h, bins)
-            learn(model.class_rows(history), k)
-            many = np.flatnonzero(k >= SINGLE)
-            learn(model.leaf_rows([x[many] for x in history], k[many]), leaf[many])
-    both = np.concatenate(((expected + recent).reshape(ROWS, LEAVES), observed.reshape(ROWS, LEAVES)), axis=1)
+            for i in range(0, len(h), RUN):
+                of = np.arange(i, min(i + RUN, len(h)))
+                learn(model.class_rows([x[of] for x in history]), k[of])
+                many = of[k[of] >= SINGLE]
+                learn(model.leaf_rows([x[many] for x in history], k[many]), leaf[many])
+            since += len(h)
+            if since > 1 << 20:
+                expected += recent
+                recent[:], since = 0, 0
+    both = np.concatenate((expected + recent, observed.reshape(ROWS, LEAVES)), axis=1)
     used = [i for i in range(0, ROWS, BLOCK) if both[i : i + BLOCK].any()]
     yield pa.RecordBatch.from_arrays([pa.array([i // BLOCK for i in used], pa.int32()), pa.array([packed(both[i : i + BLOCK]) for i in used], pa.binary())], ["block", "sums"])
 
@@ -320,8 +334,8 @@ def log_factors(model: Model, h: np.ndarray, bins: np.ndarray, at: np.ndarray) -
         p = model.probabilities(rows)
         logs[of] += np.log10(np.maximum(p[np.arange(len(of)), target], 1e-30))
 
-    for i in range(0, len(h), 1 << 15):
-        of = np.arange(i, min(i + (1 << 15), len(h)))
+    for i in range(0, len(h), RUN):
+        of = np.arange(i, min(i + RUN, len(h)))
         add(of, model.class_rows([x[of] for x in history]), k[of])
         many = of[k[of] >= SINGLE]
         add(many, model.leaf_rows([x[many] for x in history], k[many]), leaf[many])
