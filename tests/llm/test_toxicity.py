@@ -1,3 +1,6 @@
+import collections
+import math
+import re
 import zlib
 
 import numpy as np
@@ -8,40 +11,119 @@ from tidemark.llm import toxicity as X
 from tidemark.llm.bytes import chunks
 
 
-def vectors(texts, terms, idf):
-    v = X.Vectors(terms, idf)
-    return [x for _, _, buf, at in chunks(pa.array(texts)) for x in v.vectors(buf, at)]
+def run_of(texts):
+    [(_, _, buf, at)] = list(chunks(pa.array(texts)))
+    return buf, at
+
+
+def word(w):
+    return X.hashes(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())]))[0]
 
 
 def test_terms_of_texts():
-    texts = ["Idiot, idiots! ÉTÉ été x1y", "", None, "a"]
-    got = [X.row_terms(buf, at) for _, _, buf, at in chunks(pa.array(texts))][0]
-    word = lambda w: X.hashes(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())]))[0]
+    got = X.row_terms(*run_of(["Idiot, idiots! ÉTÉ été x1y", "", None, "a"]))
     one = [h for r, h in zip(*got) if r == 0]
     assert one.count(word("été")) == 2 and one.count(word("idiot")) == 1 and word("x") in one and word("y") in one
     assert one.count(X.mix(np.array([word("idio")]) + X.U(4))[0]) == 2
     assert [int((got[0] == r).sum()) > 0 for r in range(4)] == [True, False, False, True]
+    first, h, tf = X.bags(*run_of(["b a b", None, "a"]))
+    assert first.tolist() == [0, 2, 2, 3] and {(int(x), int(n)) for x, n in zip(h[:2], tf[:2])} == {(int(word("a")) >> 16, 1), (int(word("b")) >> 16, 2)}
 
 
 def test_index_is_exact():
     rng = np.random.default_rng(0)
     rows = []
-    for _ in range(700):
-        at = np.sort(rng.choice(60, rng.integers(0, 8), replace=False))
-        w = rng.random(len(at)) + 0.01
+    for i in range(700):
+        at = np.sort(rng.choice(200, rng.integers(0, 12), replace=False, p=np.arange(1, 201) / 20100))
+        w = rng.random(len(at)) ** 4 + 0.01
         rows.append((at, w / max(np.linalg.norm(w), 1e-9)))
-    index = X.Index(rows, 60)
-    dense = np.zeros((700, 60))
+    dense = np.zeros((700, 200))
     for i, (at, w) in enumerate(rows):
         dense[i, at] = w
-    for i, (at, w) in enumerate(rows[:200]):
-        for without in (-1, i):
-            cos = dense[:, at] @ w
-            if without >= 0:
-                cos[without] = 0
-            want = np.sort(cos[cos > 1e-9])[::-1][:15]
-            place, got = index.nearest(at, w, 15, without)
-            assert np.allclose(got, want, atol=1e-5) and np.allclose(cos[place], got, atol=1e-5) and without not in place
+    for common, block in ((0, 8), (16, 64), (200, 16), (16, 1000)):
+        index = X.Index(rows, 200, common, block)
+        for i, (at, w) in enumerate(rows[:150]):
+            for without in (-1, i):
+                cos = dense[:, at] @ w
+                if without >= 0:
+                    cos[without] = 0
+                want = np.sort(cos[cos > 1e-9])[::-1][:15]
+                place, got = index.nearest(at, w, 15, None, without)
+                assert np.allclose(got, want, atol=1e-5) and np.allclose(cos[place], got, atol=1e-5) and without not in place
+
+
+def test_blocks_are_passed_over():
+    """Rare words decide: few blocks are read, and the neighbours are still exact."""
+    rows = [(np.array([i // 8, 300]), np.array([0.99, 0.14])) for i in range(1600)]
+    index = X.Index(rows, 301, 1, 16)
+    read = []
+    real = X.ranges
+    X.ranges = lambda a, b: (read.append(int((b - a).sum())), real(a, b))[1]
+    try:
+        at, cosine = index.nearest(np.array([7, 300]), np.array([0.99, 0.14]), 8)
+    finally:
+        X.ranges = real
+    assert at.tolist() == list(range(56, 64)) and np.allclose(cosine, 0.99**2 + 0.14**2, atol=1e-4) and sum(read[1:]) < 100
+
+
+def tokens_of(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[a-z]+", low)
+    return collections.Counter(words + [(k, w[:k]) for w in words for k in X.PREFIXES if len(w) >= k])
+
+
+def test_scores_are_those_of_brute_force(spark):
+    """Neighbours, cosines and scores from counted words, without any hash, block or bucket."""
+    rng = np.random.default_rng(11)
+    vocab = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(500)]
+    texts, labels = {}, {}
+    for i in range(420):
+        toxic = int(i % 5 == 0 and i % 3 != 0)
+        texts[i] = " ".join([*rng.choice(vocab, rng.integers(5, 40)), *(["Vile", "scum"][: 1 + i % 2] * toxic)])
+        if i < 300:
+            labels[i] = toxic
+    texts |= {900: None, 901: "", 902: "zz unknown words", 903: "vile scum"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    model = X.fit(docs, spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"), X.Settings(common=20, block=8))
+    got = {r.doc_id: r for r in X.score(docs, model).collect()}
+
+    bag = {i: tokens_of(t) for i, t in texts.items()}
+    learnt = [i for i in labels if zlib.crc32(str(i).encode()) % 5]
+    assert sorted(model.examples) == sorted(learnt)
+    df = collections.Counter(w for b in bag.values() for w in b)
+    pos = [i for i in learnt if labels[i]]
+    neg = [i for i in learnt if not labels[i]]
+    vocabulary = {w for i in learnt for w in bag[i]}
+
+    def weight(w):
+        a, b = sum(w in bag[i] for i in pos), sum(w in bag[i] for i in neg)
+        n, both = len(learnt), a + b
+        under = math.sqrt(both * (n - both) * len(pos) * len(neg))
+        phi = abs(a * len(neg) - b * len(pos)) / under if under and w in vocabulary else 0.0
+        return math.log(1 + len(texts) / df[w]) * (0.02 + phi)
+
+    weights = {w: weight(w) for w in df}
+
+    def vector(i):
+        v = {w: (1 + math.log(n)) * weights[w] for w, n in bag[i].items()}
+        size = math.sqrt(sum(x * x for x in v.values())) or 1
+        return {w: x / size for w, x in v.items()}
+
+    examples = {i: vector(i) for i in learnt}
+    # Words of no example share hashed counts, which may add up two of them; those texts are compared loosely.
+    for i in [*range(0, 420, 7), 900, 901, 902, 903]:
+        v = vector(i)
+        cos = {e: sum(x * examples[e].get(w, 0) for w, x in v.items()) for e in learnt}
+        near = sorted((c for c in cos.values() if c > 1e-9), reverse=True)[:15]
+        assert [round(e.similarity, 3) for e in got[i].evidence] == [round(c, 3) for c in near[:3]]
+        assert all(abs(cos[e.example] - e.similarity) < 1e-3 and e.toxic == labels[e.example] for e in got[i].evidence)
+        best = sorted(((c, e) for e, c in cos.items() if c > 1e-9), reverse=True)[:15]
+        if len(best) < 15 or best[-1][0] - sorted(cos.values(), reverse=True)[15] > 1e-6:
+            vote = {e: model.vote[list(model.examples).index(e)] for _, e in best}
+            num = sum(vote[e] * c * c * labels[e] for c, e in best) + 0.15 * len(pos) / len(learnt)
+            den = sum(vote[e] * c * c for c, e in best) + 0.15
+            assert abs(got[i].score - model.calibrated(num / den)) < 1e-3
+    assert got[903].score > 0.5 and got[902].score == got[901].score == got[900].score < 0.5
 
 
 def test_held_out_labels(spark):
@@ -78,7 +160,7 @@ def test_every_telling_term_is_kept(spark):
     rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5] + [(1000, "they grumble here", None)]
     docs = spark.createDataFrame([(i, f"{t} {i}") for i, t, _ in rows], "doc_id long, text string")
     model = X.fit(docs, spark.createDataFrame([(i, x) for i, _, x in rows if x is not None], "doc_id long, toxic int"))
-    assert len(model.terms) > 2000
+    assert len(model.vectors.terms) > 2000
     got = {r.doc_id: r for r in X.score(docs, model).collect()}
     assert got[1000].score >= 0.5 and got[1000].evidence[0].toxic == 1 and got[1000].evidence[0].similarity > 0.5
 

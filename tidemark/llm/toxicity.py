@@ -1,28 +1,34 @@
 """Toxicity by the nearest labelled examples.
 
-*Terms* are lower-case words of letters and their prefixes of ``PREFIXES``
-bytes, as 64-bit hashes. All that tell the labels apart are kept: a chi-square of at
-least ``least_chi`` over all labelled training rows.
-*Weights* are TF-IDF: (1 + ln tf) * ln(1 + N / df) over all documents, with unit length.
-*Examples* are a bounded sample of the labelled training rows
-(``max_toxic`` and ``max_clean``, by the hash of the text); their votes are weighted
-back to the classes' true shares.
-*Index*: for each term the examples that have it, with their weights. Its size is
-that of the examples, however many terms are kept; a query adds up the lists of
-its terms, so the neighbours and their cosines are exact.
+*Terms* are all lower-case words of letters and their prefixes of ``PREFIXES`` bytes,
+as 48-bit hashes; none is left out.
+*Weights* are TF-IDF of every term of a text, (1 + ln tf) * ln(1 + N / df) with N and
+df over all documents, times ``least_weight`` + phi: phi is the strength (0 to 1) of the
+word's association with the label over all labelled training rows. Vectors have unit length.
+*Examples* are a bounded sample of the labelled training rows (``max_toxic``,
+``max_clean``, whole texts of at most ``max_bytes``, by the hash of the text); their
+votes are weighted back to the classes' true shares. Terms that no example has count
+in a text's length only, with phi 0 and a document frequency from a table of
+``BUCKETS`` hashed counts; df of all others is exact.
+*Index*: examples in blocks. For each term and block with it there are the largest
+weight and the list of the block's weights; the ``common`` terms with the longest
+lists are dense columns instead. A query adds up the blocks' bounds, reads the best
+blocks, and then all whose bound reaches the last of the neighbours found: the
+neighbours and their cosines are exact.
 *Score*: votes weighted by distance, then a logistic calibration fitted on the
 examples' own leave-one-out votes. The nearest examples are the evidence.
 
 Only columns of text are inputs. Null and empty texts, and texts without any
-kept term, get the calibrated share of toxic rows. Without training rows every
-score is 0. Ties between neighbours go to the earlier example. Repeated rows
-get equal scores; extra columns are not returned.
+word of an example, get the calibrated share of toxic rows. A very long text is one
+vector of all its words. Without training rows every score is 0. Ties between
+neighbours go to the earlier example. Repeated rows get equal scores; extra columns
+are not returned.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,18 +40,23 @@ from .bytes import DIGIT, U, chunks, hashes, lowered, mix, spans, word_bytes
 from .shared import drop, fresh, table, written
 
 PREFIXES = (4, 5, 6, 7, 8)  # in bytes of UTF-8
-COUNTED = 1_000_000  # terms that a task adds up at once
+BUCKETS = 1 << 18  # hashed counts of terms that no example has
+PIECE = 512  # counts in a row of sums
+ROWS = 256  # texts that are multiplied with the dense columns at once
 
 
 @dataclass(frozen=True)
 class Settings:
     max_toxic: int = 1500
     max_clean: int = 3000
-    least_chi: float = 20.0
+    max_bytes: int = 20_000
+    least_weight: float = 0.02
     neighbours: int = 15
     prior_vote: float = 0.15
     most_broadcast: int = 500_000
     folds: int = 5
+    common: int = 256
+    block: int = 64
 
 
 def row_terms(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -63,81 +74,102 @@ def row_terms(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(rows), np.concatenate(found)
 
 
-def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, toxic) as (term, pos, neg): in how many toxic and clean rows a term is, added up over many rows."""
-
-    def done() -> pa.RecordBatch:
-        h, of = np.unique(np.concatenate(terms), return_inverse=True)
-        pos = np.bincount(of, np.concatenate(labels), len(h)).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(pos), pa.array(np.bincount(of, minlength=len(h)) - pos)], ["term", "pos", "neg"])
-
-    terms: list[np.ndarray] = []
-    labels: list[np.ndarray] = []
-    held = 0
-    for b in batches:
-        toxic = np.asarray(b.column(1))
-        for first, _, buf, offsets in chunks(b.column(0)):
-            row, h = row_terms(buf, offsets)
-            _, once = np.unique(h ^ mix(row.astype(U) + U(1)), return_index=True)
-            terms.append(h[once])
-            labels.append(toxic[first + row[once]].astype(np.int8))
-            held += len(once)
-            if held >= COUNTED:
-                yield done()
-                terms, labels, held = [], [], 0
-    if held:
-        yield done()
+def bags(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(where each row's begin, hash of 48 bits, occurrences) of the distinct terms of each of up to 65,536 rows."""
+    row, h = row_terms(buf, offsets)
+    key = np.sort(row.astype(U) << U(48) | h >> U(16))
+    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    first = key[new]
+    return np.searchsorted(first >> U(48), np.arange(len(offsets)).astype(U)), first & U((1 << 48) - 1), np.diff(np.append(new, len(key)))
 
 
-class Vectors:
-    """Sparse vectors of texts over the kept terms, which are sorted hashes."""
-
-    def __init__(self, terms: np.ndarray, idf: np.ndarray | None = None):
-        self.terms, self.idf = terms, idf
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[(terms >> U(44)).astype(np.int64)] = True
-
-    def counts(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(where each row's begin, term, occurrences) in the order of rows."""
-        n_rows, n = len(offsets) - 1, max(1, len(self.terms))
-        row, h = row_terms(buf, offsets)
-        use = self.maybe[(h >> U(44)).astype(np.int64)]
-        row, h = row[use], h[use]
-        at = np.searchsorted(self.terms, h)
-        same = at < len(self.terms)
-        same[same] = self.terms[at[same]] == h[same]
-        cell, tf = np.unique(row[same] * n + at[same], return_counts=True)
-        return np.searchsorted(cell // n, np.arange(n_rows + 1)), cell % n, tf
+def located(terms: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Places of hashes among the sorted terms; -1 for others."""
+    if not len(terms):
+        return np.full(len(h), -1)
+    at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
+    return np.where(terms[at] == h, at, -1)
 
-    def vectors(self, buf: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        first, term, tf = self.counts(buf, offsets)
-        w = (1 + np.log(tf)) * self.idf[term] if len(term) else np.zeros(0)
-        for a, z in zip(first[:-1], first[1:], strict=True):
-            size = math.sqrt(float(w[a:z] @ w[a:z]))
-            yield term[a:z], w[a:z] / size if size else w[a:z]
+
+def bucket(h: np.ndarray) -> np.ndarray:
+    return (mix(h ^ U(0x64660000)) % U(BUCKETS)).astype(np.int64)
 
 
-def count_documents(terms: np.ndarray):
-    """Batches (text) as (term, df) sums of the task, and term -1 for the number of rows."""
+def totals(df: DataFrame, size: int, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray]) -> np.ndarray:
+    """The sum over all tasks of the arrays of ``size`` counts that ``count`` gives; it is added up by pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vectors(terms)
-        df, rows = np.zeros(len(terms), np.int64), 0
+        found = np.asarray(count(batches), np.int64)
+        used = [i for i in range(0, size, PIECE) if found[i : i + PIECE].any()]
+        yield pa.RecordBatch.from_arrays([pa.array([i // PIECE for i in used], pa.int32()), pa.array([found[i : i + PIECE].tobytes() for i in used], pa.binary())], ["piece", "sums"])
+
+    def add_up(group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_py(), np.int64) for x in group.column("sums"))
+        return pa.table({"piece": group.column("piece")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "piece int, sums binary"
+    few = df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
+    out = np.zeros(size, np.int64)
+    for r in few.mapInArrow(run, schema).groupBy("piece").applyInArrow(add_up, schema).collect():  # ``size`` counts
+        piece = np.frombuffer(r.sums, np.int64)
+        out[r.piece * PIECE : r.piece * PIECE + len(piece)] = piece
+    return out
+
+
+def count_labels(terms: np.ndarray) -> Callable:
+    """Batches (text, toxic): in how many toxic rows each term is, and then in how many clean ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        found = np.zeros(2 * len(terms), np.int64)
+        for b in batches:
+            toxic = np.asarray(b.column(1))
+            for first, _, buf, offsets in chunks(b.column(0)):
+                begin, h, _ = bags(buf, offsets)
+                at = located(terms, h)
+                clean = np.repeat(toxic[first : first + len(offsets) - 1] == 0, np.diff(begin))
+                found += np.bincount((at + len(terms) * clean)[at >= 0], minlength=2 * len(terms))
+        return found
+
+    return run
+
+
+def count_documents(terms: np.ndarray) -> Callable:
+    """Batches (text): in how many rows each term is, then those of the hashed others, and last the number of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        found = np.zeros(len(terms) + BUCKETS + 1, np.int64)
         for b in batches:
             for _, _, buf, offsets in chunks(b.column(0)):
-                _, term, _ = v.counts(buf, offsets)
-                df += np.bincount(term, minlength=len(terms))[: len(terms)]
-            rows += b.num_rows
-        found = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(found, -1)), pa.array(np.append(df[found], rows))], ["term", "df"])
+                _, h, _ = bags(buf, offsets)
+                at = located(terms, h)
+                found += np.bincount(np.where(at >= 0, at, len(terms) + bucket(h)), minlength=len(found))
+            found[-1] += b.num_rows
+        return found
 
     return run
 
 
+@dataclass
+class Vectors:
+    """Unit vectors over all words; a vector lists its words that examples have."""
+
+    terms: np.ndarray  # sorted hashes of the examples' words
+    weight: np.ndarray  # of each term
+    other: np.ndarray  # of the words of each bucket
+
+    def vectors(self, buf: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        first, h, tf = bags(buf, offsets)
+        at = located(self.terms, h)
+        w = (1 + np.log(np.maximum(tf, 1))) * np.where(at >= 0, self.weight[at] if len(self.terms) else 0.0, self.other[bucket(h)])
+        for a, z in zip(first[:-1], first[1:], strict=True):
+            size = math.sqrt(float(w[a:z] @ w[a:z]))
+            own = at[a:z] >= 0
+            yield at[a:z][own], w[a:z][own] / size if size else w[a:z][own]
+
+
 @dataclass
 class Model:
-    terms: np.ndarray
-    idf: np.ndarray
+    vectors: Vectors
     examples: np.ndarray  # their ids, only for the evidence
     toxic: np.ndarray
     vote: np.ndarray  # weight of an example's vote for its class' sampling
@@ -152,33 +184,90 @@ class Model:
         z = self.slope * logit(share) + self.shift
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
 
+    def indexed(self) -> Index:
+        if self.index is None:
+            self.index = Index(self.rows, len(self.vectors.terms), self.settings.common, self.settings.block)
+        return self.index
+
 
 def logit(p: float) -> float:
     p = min(max(p, 1e-4), 1 - 1e-4)
     return math.log(p / (1 - p))
 
 
+def ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after the other."""
+    size = end - start
+    last = np.cumsum(size)
+    return np.arange(last[-1] if len(last) else 0) + np.repeat(start - last + size, size)
+
+
 class Index:
-    """Inverted index over the examples' vectors: of each term the examples that have it."""
+    """Block-max inverted index over the examples' vectors, with dense columns for the terms that most examples have."""
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        self.n = len(rows)
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, common: int = 256, block: int = 64):
+        self.n, self.block = len(rows), block
+        self.n_blocks = -(-self.n // block)
         term = np.concatenate([np.zeros(0, np.int64), *(at for at, _ in rows)])
-        order = np.argsort(term, kind="stable")
-        self.place = np.repeat(np.arange(self.n), [len(at) for at, _ in rows])[order].astype(np.int32)
-        self.weights = np.concatenate([np.zeros(0), *(w for _, w in rows)])[order].astype(np.float32)
-        self.first = np.searchsorted(term[order], np.arange(n_terms + 1))  # where each term's list begins
-
-    def nearest(self, at: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the k nearest examples with a positive cosine, nearest first."""
-        size = self.first[at + 1] - self.first[at] if len(at) else np.zeros(0, np.int64)
-        ends = np.cumsum(size)
-        if not len(ends) or not ends[-1]:
+        place = np.repeat(np.arange(self.n), [len(at) for at, _ in rows])
+        weight = np.concatenate([np.zeros(0), *(w for _, w in rows)])
+        often = np.bincount(term, minlength=n_terms)
+        most = np.argsort(-often, kind="stable")[:common]
+        self.column = np.full(n_terms, -1, np.int64)
+        self.column[most] = np.arange(len(most))
+        self.dense = np.zeros((len(most), self.n_blocks * block), np.float32)
+        dense = self.column[term] >= 0
+        self.dense[self.column[term[dense]], place[dense]] = weight[dense]
+        order = np.argsort(term[~dense], kind="stable")
+        term, self.place, self.weights = term[~dense][order], place[~dense][order].astype(np.int32), weight[~dense][order]
+        key = term * max(1, self.n_blocks) + self.place // block
+        new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+        self.most = np.maximum.reduceat(self.weights, new) if len(new) else np.zeros(0)
+        self.of_block = self.place[new] // block
+        self.start, self.end = new, np.append(new[1:], len(key)) if len(new) else new
+        self.first = np.searchsorted(term[new], np.arange(n_terms + 1))  # where each term's blocks begin
+
+    def common_scores(self, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the dense columns add to the cosines of each query with every example."""
+        q = np.zeros((len(found), len(self.dense)), np.float32)
+        for i, (at, w) in enumerate(found):
+            c = self.column[at]
+            q[i, c[c >= 0]] = w[c >= 0]
+        return q @ self.dense
+
+    def nearest(self, at: np.ndarray, w: np.ndarray, k: int, common: np.ndarray | None = None, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and cosines of the k nearest examples with a positive cosine, nearest first. common: a row of ``common_scores``."""
+        if not self.n or not len(at):
             return np.zeros(0, np.int64), np.zeros(0)
-        of = np.arange(ends[-1]) + np.repeat(self.first[at] - ends + size, size)
-        score = np.bincount(self.place[of], self.weights[of] * np.repeat(w, size), self.n)
+        score = (self.common_scores([(at, w)])[0] if common is None else common).astype(float)
+        rare = self.column[at] < 0
+        at, w = at[rare], w[rare]
+        listed = ranges(self.first[at], self.first[at + 1])
+        of = self.of_block[listed]
+        q = np.repeat(w, self.first[at + 1] - self.first[at])
+        bound = score.reshape(-1, self.block).max(axis=1) + np.bincount(of, self.most[listed] * q, self.n_blocks)
+        read = np.zeros(self.n_blocks, bool)
+        score_of = score.reshape(-1, self.block)
+
+        def add(blocks: np.ndarray) -> None:
+            now = np.zeros(self.n_blocks, bool)
+            now[blocks] = True
+            use = listed[now[of]]
+            post = ranges(self.start[use], self.end[use])
+            score[:] += np.bincount(self.place[post], self.weights[post] * np.repeat(q[now[of]], self.end[use] - self.start[use]), len(score))
+            read[blocks] = True
+
+        few = min(self.n_blocks, 1 + k // 8)
+        add(np.argpartition(-bound, few - 1)[:few])
         if without >= 0:
-            score[without] = 0
+            score[without] = -1
+        got = score_of[read].ravel()
+        least = np.partition(got, -k)[-k] if len(got) > k else 0.0
+        add(np.flatnonzero(~read & (bound * (1 + 1e-6) + 1e-9 >= max(least, 0.0))))
+        if without >= 0:
+            score[without] = -1
+        score_of[~read] = -1
+        score = score[: self.n]
         found_at = np.flatnonzero(score >= max(np.partition(score, -k)[-k], 1e-12) if self.n > k else score > 1e-12)
         best = np.lexsort((found_at, -score[found_at]))[:k]
         return found_at[best], score[found_at[best]]
@@ -190,58 +279,83 @@ def share(model: Model, at: np.ndarray, cosine: np.ndarray) -> float:
     return float((weight @ model.toxic[at] + model.settings.prior_vote * model.prior) / (weight.sum() + model.settings.prior_vote))
 
 
-def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
-    """docs: (doc_id, text); labels: (doc_id, toxic). Rows whose crc32 of the id is a multiple of ``folds`` are never learnt from."""
-    training = labels.where("toxic in (0, 1)").where(~held_out(F.col("doc_id"), settings.folds)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+def labelled_once(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """(doc_id, text, toxic, of_text) of the labelled training rows, one of each text and label: copies' words are no evidence of their own."""
+    training = labels.where("toxic in (0, 1)").where(~held_out(F.col("doc_id"), settings.folds)).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
     training = written(training, "labels")
-    small = training.count() <= settings.most_broadcast
-    labelled = docs.join(F.broadcast(training) if small else training, "doc_id").withColumn("of_text", F.xxhash64("text"))
-    # Copies count once: their words are no evidence of their own.
-    known = written(labelled.dropDuplicates(["of_text", "toxic"]).select("doc_id", "text", "toxic"), "labelled")
-    drop(training)
-    sizes = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    pos, neg = sizes.get(1, 0), sizes.get(0, 0)
-    prior = pos / (pos + neg) if pos else 0.0
-    counts = known.select("text", "toxic").mapInArrow(count_terms, "term bigint, pos bigint, neg bigint").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    n = pos + neg
-    both = F.col("pos") + F.col("neg")
-    chi = n * F.pow(F.col("pos") * float(neg) - F.col("neg") * float(pos), 2) / (both * (n - both) * float(max(1, pos)) * float(max(1, neg)))
-    kept = counts.where((both >= 3) & (both < n)).withColumn("chi", chi).where(F.col("chi") >= settings.least_chi)
-    terms = np.sort(kept.select("term").toArrow().column("term").to_numpy().view(U))
+    few = lambda df: F.broadcast(df) if df.count() <= settings.most_broadcast else df
+    texts = docs.withColumn("of_text", F.xxhash64("text"))
+    ids = texts.select("doc_id", "of_text").join(few(training), "doc_id").groupBy("of_text", "toxic").agg(F.min("doc_id").alias("doc_id"))
+    ids = written(ids, "labelled-ids")
+    out = written(texts.join(few(ids), ["doc_id", "of_text"]).select("doc_id", "text", "toxic", "of_text"), "labelled")
+    drop(training, ids)
+    return out
 
-    totals = {r.term: r.df for r in docs.select("text").mapInArrow(count_documents(terms), "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).collect()}
-    idf = np.log(1 + totals.get(-1, 0) / np.maximum([totals.get(i, 0) for i in range(len(terms))], 1))
 
-    vectors = Vectors(terms, idf)
+def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
+    """docs: (doc_id, text); labels: (doc_id, toxic). Rows whose crc32 of the id is a multiple of ``folds`` are never learnt from."""
+    known = labelled_once(docs, labels, settings)
+    usable = F.coalesce(F.octet_length("text"), F.lit(0)) <= settings.max_bytes
+    sizes = {r.toxic: (r.n, r.m) for r in known.groupBy("toxic").agg(F.count("*").alias("n"), F.count_if(usable).alias("m")).collect()}
+    pos, neg = (sizes.get(kind, (0, 0))[0] for kind in (1, 0))
+    prior = pos / (pos + neg) if pos else 0.0
 
-    def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [x for _, _, buf, offsets in chunks(b.column(1)) for x in vectors.vectors(buf, offsets)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([x[0].astype(np.int64).tobytes() for x in found], pa.binary()), pa.array([x[1].tobytes() for x in found], pa.binary())], ["doc_id", "toxic", "at", "w"])
+            found = []
+            for _, _, buf, offsets in chunks(b.column(1)):
+                first, h, tf = bags(buf, offsets)
+                found += [(h[a:z].tobytes(), tf[a:z].astype(np.int32).tobytes()) for a, z in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([x for x, _ in found], pa.binary()), pa.array([x for _, x in found], pa.binary())], ["doc_id", "toxic", "h", "tf"])
 
     rows = []
     for kind, most in ((1, settings.max_toxic), (0, settings.max_clean)):
         # The smallest hashes of the text; those over what twice the sample would need don't leave their task.
-        place = (F.xxhash64("text") / float(1 << 64)) + 0.5
-        sample = known.where(F.col("toxic") == kind).where(place <= min(1.0, 2 * most / max(1, sizes.get(kind, 0)))).orderBy(F.xxhash64("text"), "doc_id").limit(most)
-        found = sample.mapInArrow(vectorise, "doc_id bigint, toxic int, at binary, w binary").collect()
-        rows += [(r.doc_id, r.toxic, np.frombuffer(r["at"], np.int64), np.frombuffer(r.w)) for r in found]
+        place = (F.col("of_text") / float(1 << 64)) + 0.5
+        sample = known.where(F.col("toxic") == kind).where(usable).where(place <= min(1.0, 2 * most / max(1, sizes.get(kind, (0, 0))[1]))).orderBy("of_text", "doc_id").limit(most)
+        found = sample.select("doc_id", "text", "toxic").mapInArrow(words, "doc_id bigint, toxic int, h binary, tf binary").collect()
+        rows += [(r.doc_id, r.toxic, np.frombuffer(r.h, U), np.frombuffer(r.tf, np.int32)) for r in found]
+    terms = np.unique(np.concatenate([np.zeros(0, U), *(r[2] for r in rows)]))
+    with_label = totals(known.select("text", "toxic"), 2 * len(terms), count_labels(terms))
     drop(known)
-    # A fixed order for ties: by label, then by their heaviest term.
-    rows.sort(key=lambda r: (r[1], max(zip(r[3], r[2], strict=True), default=(0, -1))[1], -max(r[3], default=0), r[0]))
-    toxic = np.array([r[1] for r in rows], float)
+    df = totals(docs.select("text"), len(terms) + BUCKETS + 1, count_documents(terms))
+    vectors = weighted(terms, with_label[: len(terms)], with_label[len(terms) :], pos, neg, df, settings.least_weight)
+
+    found = []
+    for doc_id, toxic, h, tf in rows:
+        at = np.searchsorted(terms, h)
+        w = (1 + np.log(tf)) * vectors.weight[at]
+        size = math.sqrt(float(w @ w))
+        found.append((doc_id, toxic, at, w / size if size else w))
+    # A fixed order for blocks and ties: by label, then by their heaviest term.
+    found.sort(key=lambda r: (r[1], max(zip(r[3], r[2], strict=True), default=(0, -1))[1], -max(r[3], default=0), r[0]))
+    toxic = np.array([r[1] for r in found], float)
     used = {1: toxic.sum(), 0: len(toxic) - toxic.sum()}
     true = np.array([(pos if t else neg) / used[int(t)] for t in toxic])
-    model = Model(terms, idf, np.array([r[0] for r in rows], np.int64), toxic, true / true.mean() if len(true) else true, [r[2:] for r in rows], prior, settings)
+    model = Model(vectors, np.array([r[0] for r in found], np.int64), toxic, true / true.mean() if len(true) else true, [r[2:] for r in found], prior, settings)
     return calibrate(model)
 
 
+def weighted(terms: np.ndarray, toxic: np.ndarray, clean: np.ndarray, pos: int, neg: int, df: np.ndarray, least: float) -> Vectors:
+    """The weights of terms that are in so many toxic and clean of pos and neg rows. df: of ``count_documents``."""
+    n, both = pos + neg, toxic + clean
+    under = np.sqrt(both * (n - both) * float(max(1, pos)) * float(max(1, neg)))
+    phi = np.where(under > 0, np.abs(toxic * float(neg) - clean * float(pos)) / np.maximum(under, 1e-300), 0.0)
+    idf = np.log(1 + df[-1] / np.maximum(df[:-1], 1))
+    return Vectors(terms, idf[: len(terms)] * (least + phi), idf[len(terms) :] * least)
+
+
 def calibrate(model: Model) -> Model:
     """Slope and shift of a logistic regression of the labels on the examples' leave-one-out votes, by Newton steps."""
     if not len(model.rows) or not 0 < model.toxic.sum() < len(model.rows):
         return model
-    index = Index(model.rows, len(model.terms))
-    x = np.array([logit(share(model, *index.nearest(at, w, model.settings.neighbours, i))) for i, (at, w) in enumerate(model.rows)])
+    index, k = model.indexed(), model.settings.neighbours
+    shares = []
+    for first in range(0, len(model.rows), ROWS):
+        part = model.rows[first : first + ROWS]
+        shares += [share(model, *index.nearest(at, w, k, common, first + i)) for i, ((at, w), common) in enumerate(zip(part, index.common_scores(part), strict=True))]
+    x = np.array([logit(p) for p in shares])
+    model.index = None  # every task makes its own
     a, b, y, c = 1.0, 0.0, model.toxic, model.vote
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -50, 50)))
@@ -267,16 +381,17 @@ def score(df: DataFrame, model: Model, text_col: str = "text", id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        if m.index is None:
-            m.index = Index(m.rows, len(m.terms))
-        vectors = Vectors(m.terms, m.idf)
+        index = m.indexed()
         for b in batches:
             for first, last, buf, offsets in chunks(b.column(1)):
                 scores, why = [], []
-                for vector in vectors.vectors(buf, offsets):
-                    at, cosine = m.index.nearest(*vector, m.settings.neighbours)
-                    scores.append(m.calibrated(share(m, at, cosine)) if len(m.rows) else 0.0)
-                    why.append([{"example": int(m.examples[i]), "similarity": float(c), "toxic": int(m.toxic[i])} for i, c in zip(at[:3], cosine[:3], strict=True)])
+                found = list(m.vectors.vectors(buf, offsets))
+                for at in range(0, len(found), ROWS):
+                    part = found[at : at + ROWS]
+                    for vector, common in zip(part, index.common_scores(part), strict=True):
+                        near, cosine = index.nearest(*vector, m.settings.neighbours, common)
+                        scores.append(m.calibrated(share(m, near, cosine)) if len(m.rows) else 0.0)
+                        why.append([{"example": int(m.examples[i]), "similarity": float(c), "toxic": int(m.toxic[i])} for i, c in zip(near[:3], cosine[:3], strict=True)])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, last - first), pa.array(scores, pa.float64()), pa.array(why, evidence)], ["a", "b", "c"])
 
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double, evidence array<struct<example:bigint,similarity:double,toxic:int>>")
