@@ -7,10 +7,14 @@ nearest decided neighbours. Where ``article`` or ``main`` holds most of a page's
 unlinked text, it is a prior for undecided blocks: those in it are rather good and
 look for neighbours in it, those outside rather bad. Blocks with few stop words are
 undecided in it, as paragraphs of articles have few now and then, and bad elsewhere.
+On a page whose language has none of the known stop words, length and links decide.
+A name (class or id) is a feature like others: one that is all boilerplate words leaves
+its element out, one that only has such a word does where the element holds the smaller
+part of the page's unlinked text.
 
 Defined results: a null, empty or markup-free page without text gives "".
-Unclosed tags are closed by the end of what holds them; text outside any tag is
-a block. Repeated rows give equal results and extra columns are not returned.
+Unclosed elements end with what holds them, or where HTML lets their end tag be left
+out; text outside any tag is a block. A very long page is read in one pass. Repeated rows give equal results and extra columns are not returned.
 Pages are handled one by one inside an Arrow function: nothing is shuffled.
 """
 
@@ -30,6 +34,8 @@ STOPS = frozenset(STOP_WORDS)
 #: Shorter blocks are undecided; longer ones with enough stop words are good.
 SHORT, LONG = 70, 140
 MOST_LINKS, LEAST_STOPS = 0.33, 0.08
+#: Pages with a lower density of known stop words are in a language that these don't tell.
+LEAST_TOLD = 0.03
 
 SKIPPED = ("script", "style", "noscript", "template", "svg", "iframe", "object", "math", "canvas", "head")
 TOKEN = re.compile(
@@ -43,61 +49,147 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BOILER_TAGS = frozenset("nav footer aside form menu dialog button select label fieldset head".split())
+#: Words that name what isn't an article, and words that say nothing beside them.
 BOILER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox banner banners sponsor sponsored promo promotion promoted cookie cookies consent gdpr notice notices alert popup modal overlay "
     "newsletter subscribe subscription signup login sidebar side widget widgets related recommended recommendations menu submenu nav navbar navigation breadcrumb breadcrumbs "
     "footer header masthead topbar toolbar comment comments commentlist disqus replies reply respond share sharing social pagination pager paywall copyright disclaimer search searchform skip".split()
 )
+NEUTRAL_WORDS = frozenset("site page main global top bottom left right list box area section block wrap wrapper container inner outer item items content bar group row col panel links link buttons button posts post text body form policy js id".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: Start tags that end open elements, as far as the holders named second; a paragraph ends at every block.
+IMPLIED = {
+    **dict.fromkeys(("li",), (frozenset(("li",)), frozenset(("ul", "ol", "menu")))),
+    **dict.fromkeys(("dt", "dd"), (frozenset(("dt", "dd")), frozenset(("dl",)))),
+    **dict.fromkeys(("option", "optgroup"), (frozenset(("option",)), frozenset(("select",)))),
+    **dict.fromkeys(("td", "th"), (frozenset(("td", "th")), frozenset(("tr", "table")))),
+    **dict.fromkeys(("tr",), (frozenset(("tr",)), frozenset(("table",)))),
+    **dict.fromkeys(("thead", "tbody", "tfoot"), (frozenset(("thead", "tbody", "tfoot")), frozenset(("table",)))),
+}
+IN_HEAD = frozenset("meta link title base script style noscript template".split())
+PARAGRAPH = (frozenset(("p",)), frozenset(("button", "td", "th", "table", "object")))
+ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style|href)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 PARTS = re.compile(r"[a-z]+")
 LETTERS = re.compile(r"[^\W\d_]+")
+WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
 
+NO, WEAK, STRONG = 0, 1, 2
 
-def boiler(tag: str, rest: str, in_article: bool) -> bool:
-    """Whether an element is no part of an article by its name or attributes."""
+
+def boiler(tag: str, rest: str, in_article: bool) -> int:
+    """Whether an element is no part of an article by its tag or attributes (STRONG), or only may be by a part of its name (WEAK)."""
     if tag in BOILER_TAGS or (tag == "header" and not in_article):
-        return True
+        return STRONG
     if not rest or tag in ("html", "body", "article", "main") and "comment" not in rest.lower():
-        return False
+        return NO
+    out = NO
     for name, a, b, c in ATTRIBUTE.findall(rest):
         value = (a or b or c).lower()
         name = name.lower()
         if name in ("class", "id"):
-            if not BOILER_WORDS.isdisjoint(PARTS.findall(value)):
-                return True
+            for word in value.split():
+                parts = PARTS.findall(word)
+                if not BOILER_WORDS.isdisjoint(parts):
+                    out = max(out, STRONG if all(x in BOILER_WORDS or x in NEUTRAL_WORDS for x in parts) else WEAK)
         elif name == "role":
             if value in ROLES:
-                return True
+                return STRONG
         elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
-            return True
-    return False
+            return STRONG
+    return out
 
 
 class Block:
-    __slots__ = ("text", "linked", "excluded", "article", "heading", "label")
+    __slots__ = ("text", "linked", "excluded", "article", "heading", "weak", "label")
 
-    def __init__(self, text: str, linked: int, excluded: bool, article: bool, heading: bool):
-        self.text, self.linked, self.excluded, self.article, self.heading = text, linked, excluded, article, heading
+    def __init__(self, text: str, linked: int, excluded: bool, article: bool, heading: bool, weak: tuple[int, ...]):
+        self.text, self.linked, self.excluded, self.article, self.heading, self.weak = text, linked, excluded, article, heading, weak
         self.label = ""
 
+    @property
+    def unlinked(self) -> int:
+        return 0 if self.excluded else len(self.text) - self.linked
+
+
+class Open:
+    """The open elements, with implied end tags: what holds an element ends it."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int, int]] = []  # tag, verdict of its name, number of a weak one
+        self.tags: dict[str, int] = {}
+        self.strong = self.article = self.links = 0
+        self.weak: tuple[int, ...] = ()
+
+    def push(self, tag: str, kind: int, number: int) -> None:
+        self.stack.append((tag, kind, number))
+        self.tags[tag] = self.tags.get(tag, 0) + 1
+        self.strong += kind == STRONG
+        self.article += tag in ("article", "main")
+        self.links += tag == "a"
+        if kind == WEAK:
+            self.weak += (number,)
+
+    def pop(self, at: int = -1) -> None:
+        tag, kind, number = self.stack.pop(at)
+        self.tags[tag] -= 1
+        self.strong -= kind == STRONG
+        self.article -= tag in ("article", "main")
+        self.links -= tag == "a"
+        if kind == WEAK:
+            self.weak = tuple(x for x in self.weak if x != number)
+
+    def end(self, tag: str) -> None:
+        """An end tag: a block ends with all that it holds, an inline element alone. Without its start it is nothing."""
+        if not self.tags.get(tag):
+            return
+        at = len(self.stack) - 1
+        while self.stack[at][0] != tag:
+            if tag not in BLOCKS and self.stack[at][0] in BLOCKS:
+                at = next(i for i in range(at, -1, -1) if self.stack[i][0] == tag)
+                self.pop(at)
+                return
+            at -= 1
+        while len(self.stack) > at:
+            self.pop()
+
+    def implied(self, ends: frozenset[str], holders: frozenset[str]) -> None:
+        if not any(self.tags.get(x) for x in ends):
+            return
+        for at in range(len(self.stack) - 1, -1, -1):
+            tag = self.stack[at][0]
+            if tag in ends:
+                while len(self.stack) > at:
+                    self.pop()
+                return
+            if tag in holders:
+                return
+
+    def start(self, tag: str) -> None:
+        """End what a start tag ends without saying so."""
+        if self.tags.get("head") and tag not in IN_HEAD:
+            self.end("head")
+        if tag in BLOCKS and self.tags.get("p"):
+            self.implied(*PARAGRAPH)
+        if tag in IMPLIED:
+            self.implied(*IMPLIED[tag])
+        if tag == "a":
+            self.end("a")
+
 
 def blocks(page: str) -> list[Block]:
     """The blocks in page order with what the rules need."""
     out: list[Block] = []
     parts: list[str] = []
     links: list[str] = []
-    anchor = False
-    skip, depth = "", 0  # the tag of the excluded element that is open, and how many of that tag
-    article = 0
+    opened = Open()
     heading = False
+    n_weak = 0
 
     def close() -> None:
-        nonlocal heading
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, len(" ".join(html.unescape("".join(links)).split())), bool(skip), article > 0, heading))
+                out.append(Block(text, len(" ".join(html.unescape("".join(links)).split())), opened.strong > 0, opened.article > 0, heading, opened.weak))
             parts.clear()
             links.clear()
 
@@ -106,7 +198,7 @@ def blocks(page: str) -> list[Block]:
         if m.start() > at:
             piece = page[at : m.start()]
             parts.append(piece)
-            if anchor:
+            if opened.links:
                 links.append(piece)
         at = m.end()
         tag = m["tag"]
@@ -114,41 +206,51 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = tag.lower()
         if m["end"]:
-            if tag in BLOCKS:
+            if tag in BLOCKS or tag == "head":
                 close()
                 heading = False
-                if tag in ("article", "main") and article:
-                    article -= 1
-            elif tag == "a":
-                anchor = False
-            if tag == skip:
-                depth -= 1
-                if not depth:
+                opened.end(tag)
+            else:
+                was = opened.strong, opened.weak
+                n = len(opened.stack)
+                if opened.tags.get(tag) and opened.stack[-1][0] == tag and opened.stack[-1][1]:
+                    close()  # an inline element of a telling name is a block of its own
+                opened.end(tag)
+                if (opened.strong, opened.weak) != was and n == len(opened.stack):
                     close()
-                    skip = ""
             continue
-        if tag in BLOCKS:
+        rest = m["rest"] or ""
+        if tag in BLOCKS or tag == "head":
             close()
             heading = tag in HEADINGS
-            if skip == "p":
-                skip, depth = "", 0
         elif tag == "br":
             parts.append(" ")
-        elif tag == "a":
-            anchor = True
-        if tag in ("article", "main") and not skip:
-            article += 1
         if tag in VOID:
             continue
-        if skip:
-            depth += tag == skip and not (m["rest"] or "").endswith("/")
-        elif boiler(tag, m["rest"] or "", article > 0):
+        opened.start(tag)
+        kind = boiler(tag, rest, opened.article > 0)
+        if rest.endswith("/") or (tag == "a" and "href" not in rest.lower() and not kind):
+            continue
+        if kind and tag not in BLOCKS:
             close()
-            skip, depth = tag, 1
+        n_weak += kind == WEAK
+        opened.push(tag, kind, n_weak)
     if at < len(page):
         parts.append(page[at:])
     close()
-    return out
+    return outweighed(out)
+
+
+def outweighed(found: list[Block]) -> list[Block]:
+    """Elements whose name may be boilerplate's are so where they hold the smaller part of the page's text."""
+    total = sum(b.unlinked for b in found)
+    held: dict[int, int] = {}
+    for b in found:
+        for x in b.weak:
+            held[x] = held.get(x, 0) + b.unlinked
+    for b in found:
+        b.excluded = b.excluded or any(2 * held[x] < total for x in b.weak)
+    return found
 
 
 def stop_density(text: str) -> float:
@@ -156,19 +258,24 @@ def stop_density(text: str) -> float:
     return sum(map(STOPS.__contains__, words)) / len(words) if words else 0.0
 
 
-def first_pass(b: Block, marked: bool) -> str:
-    """good, bad, short or near; marked: the article holds most of the text."""
+def size(text: str) -> int:
+    """Length in characters; those of scripts that write words or syllables count for more."""
+    return len(text) + 2 * len(WIDE.findall(text)) if not text.isascii() else len(text)
+
+
+def first_pass(b: Block, marked: bool, told: bool) -> str:
+    """good, bad, short or near; marked: the article holds most of the text; told: stop words tell text from lists on this page."""
     if b.excluded:
         return "bad"
-    n = len(b.text)
-    if b.linked > MOST_LINKS * n:
+    n = size(b.text)
+    if b.linked > MOST_LINKS * len(b.text):
         return "bad"
     inside = marked and b.article
     if "\xa9" in b.text and n < LONG and not inside:
         return "bad"
     if n < SHORT:
         return "short"
-    if stop_density(b.text) >= LEAST_STOPS:
+    if not told or stop_density(b.text) >= LEAST_STOPS:
         return "good" if n >= LONG or inside else "near"
     if inside:
         return "near"
@@ -210,11 +317,12 @@ def vote(near: list[Block], prior: bool | None) -> None:
 def extract(page: str | None) -> str:
     """The main text: good blocks in page order, one line each."""
     found = blocks(page or "")
-    article = [b for b in found if b.article and not b.excluded]
-    unlinked = lambda of: sum(len(b.text) - b.linked for b in of if not b.excluded)
-    marked = bool(article) and 2 * unlinked(article) >= unlinked(found)
+    total = sum(b.unlinked for b in found)
+    article = sum(b.unlinked for b in found if b.article)
+    marked = article > 0 and 2 * article >= total
+    told = stop_density(" ".join(b.text for b in found if not b.excluded)) >= LEAST_TOLD
     for b in found:
-        b.label = first_pass(b, marked)
+        b.label = first_pass(b, marked, told)
     second_pass(found, marked)
     return "\n".join(b.text for b in found if b.label == "good")
 
