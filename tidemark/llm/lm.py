@@ -29,6 +29,7 @@ returned. Equally frequent words are told apart by their hash.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,9 +52,9 @@ STARTS = np.cumsum([0] + [1 << b for b in BITS + LEAF_BITS])
 BIAS = int(STARTS[-1])  # the classes' bias, and then one row for the leaves of each class
 ROWS = BIAS + 1 + CLASSES
 BLOCK = 64
-RUN = 1 << 15  # tokens whose probabilities are held at once
+RUN = 1 << 14  # tokens whose probabilities are held at once
 COUNTED = 4_000_000  # tokens that a task adds up at once
-NEVER = -60.0  # weight of a leaf that no word has
+NEVER = -40.0  # weight of a leaf that no word has
 
 
 @dataclass(frozen=True)
@@ -122,13 +123,6 @@ def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
-    return z
-
-
 @dataclass
 class Model:
     """What every task needs; its size is bounded by the settings."""
@@ -175,12 +169,19 @@ class Model:
         out[:, -1] = BIAS + 1 + k
         return out
 
-    def probabilities(self, rows: np.ndarray) -> np.ndarray:
-        """Softmax over the outcomes for each token."""
+    def sums(self, rows: np.ndarray) -> np.ndarray:
+        """The sum of the weights for each token and outcome. It is far from where exp overflows: a bias is at most 0, and a step at most 2."""
         z = self.weights[rows[:, 0]]
         for i in range(1, rows.shape[1]):
             z += self.weights[rows[:, i]]
-        return softmax(z)
+        return z
+
+    def probabilities(self, rows: np.ndarray) -> np.ndarray:
+        """Softmax over the outcomes for each token."""
+        z = self.sums(rows)
+        np.exp(z, out=z)
+        z *= 1 / z.sum(axis=1, keepdims=True)
+        return z
 
 
 def grouped(sums: np.ndarray, rows: np.ndarray, p: np.ndarray, few: int = 6) -> None:
@@ -331,8 +332,9 @@ def log_factors(model: Model, h: np.ndarray, bins: np.ndarray, at: np.ndarray) -
     logs = np.zeros(len(h))
 
     def add(of: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
-        p = model.probabilities(rows)
-        logs[of] += np.log10(np.maximum(p[np.arange(len(of)), target], 1e-30))
+        z = model.sums(rows)
+        own = z[np.arange(len(of)), target] * math.log10(math.e)
+        logs[of] += own - np.log10(np.exp(z, out=z).sum(axis=1))
 
     for i in range(0, len(h), RUN):
         of = np.arange(i, min(i + RUN, len(h)))
