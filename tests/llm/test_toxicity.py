@@ -30,6 +30,11 @@ def test_terms_of_texts():
     assert first.tolist() == [0, 2, 2, 3] and {(int(x), int(n)) for x, n in zip(h[:2], tf[:2])} == {(int(word("a")) >> 16, 1), (int(word("b")) >> 16, 2)}
 
 
+def index_of(rows, *more):
+    first = np.cumsum([0, *(len(at) for at, _ in rows)])
+    return X.Index(first, np.concatenate([at for at, _ in rows]).astype(np.int32), np.concatenate([w for _, w in rows]).astype(np.float32), *more)
+
+
 def test_index_is_exact():
     rng = np.random.default_rng(0)
     rows = []
@@ -41,7 +46,7 @@ def test_index_is_exact():
     for i, (at, w) in enumerate(rows):
         dense[i, at] = w
     for common, block in ((0, 8), (16, 64), (200, 16), (16, 1000)):
-        index = X.Index(rows, 200, common, block)
+        index = index_of(rows, 200, common, block)
         for i, (at, w) in enumerate(rows[:150]):
             for without in (-1, i):
                 cos = dense[:, at] @ w
@@ -55,7 +60,7 @@ def test_index_is_exact():
 def test_blocks_are_passed_over():
     """Rare words decide: few blocks are read, and the neighbours are still exact."""
     rows = [(np.array([i // 8, 300]), np.array([0.99, 0.14])) for i in range(1600)]
-    index = X.Index(rows, 301, 1, 16)
+    index = index_of(rows, 301, 1, 16)
     read = []
     real = X.ranges
     X.ranges = lambda a, b: (read.append(int((b - a).sum())), real(a, b))[1]

@@ -173,7 +173,9 @@ class Model:
     examples: np.ndarray  # their ids, only for the evidence
     toxic: np.ndarray
     vote: np.ndarray  # weight of an example's vote for its class' sampling
-    rows: list[tuple[np.ndarray, np.ndarray]]
+    first: np.ndarray  # where each example's terms and weights begin, and the end
+    at: np.ndarray
+    w: np.ndarray
     prior: float
     settings: Settings
     slope: float = 1.0
@@ -186,9 +188,13 @@ class Model:
 
     def indexed(self) -> Index:
         if self.index is None:
-            self.index = Index(self.rows, len(self.vectors.terms), self.settings.common, self.settings.block)
+            self.index = Index(self.first, self.at, self.w, len(self.vectors.terms), self.settings.common, self.settings.block)
         return self.index
 
+    def example(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(self.first[i], self.first[i + 1])
+        return self.at[own], self.w[own]
+
 
 def logit(p: float) -> float:
     p = min(max(p, 1e-4), 1 - 1e-4)
@@ -205,12 +211,10 @@ def ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
 class Index:
     """Block-max inverted index over the examples' vectors, with dense columns for the terms that most examples have."""
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, common: int = 256, block: int = 64):
-        self.n, self.block = len(rows), block
+    def __init__(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, common: int = 256, block: int = 64):
+        self.n, self.block = len(first) - 1, block
         self.n_blocks = -(-self.n // block)
-        term = np.concatenate([np.zeros(0, np.int64), *(at for at, _ in rows)])
-        place = np.repeat(np.arange(self.n), [len(at) for at, _ in rows])
-        weight = np.concatenate([np.zeros(0), *(w for _, w in rows)])
+        place = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(first))
         often = np.bincount(term, minlength=n_terms)
         most = np.argsort(-often, kind="stable")[:common]
         self.column = np.full(n_terms, -1, np.int64)
@@ -219,10 +223,10 @@ class Index:
         dense = self.column[term] >= 0
         self.dense[self.column[term[dense]], place[dense]] = weight[dense]
         order = np.argsort(term[~dense], kind="stable")
-        term, self.place, self.weights = term[~dense][order], place[~dense][order].astype(np.int32), weight[~dense][order]
-        key = term * max(1, self.n_blocks) + self.place // block
+        term, self.place, self.weights = term[~dense][order], place[~dense][order], weight[~dense][order]
+        key = term.astype(np.int64) * max(1, self.n_blocks) + self.place // block
         new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-        self.most = np.maximum.reduceat(self.weights, new) if len(new) else np.zeros(0)
+        self.most = np.maximum.reduceat(self.weights, new) if len(new) else np.zeros(0, np.float32)
         self.of_block = self.place[new] // block
         self.start, self.end = new, np.append(new[1:], len(key)) if len(new) else new
         self.first = np.searchsorted(term[new], np.arange(n_terms + 1))  # where each term's blocks begin
@@ -308,32 +312,39 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
                 found += [(h[a:z].tobytes(), tf[a:z].astype(np.int32).tobytes()) for a, z in zip(first[:-1], first[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([x for x, _ in found], pa.binary()), pa.array([x for _, x in found], pa.binary())], ["doc_id", "toxic", "h", "tf"])
 
-    rows = []
+    samples = []
     for kind, most in ((1, settings.max_toxic), (0, settings.max_clean)):
         # The smallest hashes of the text; those over what twice the sample would need don't leave their task.
         place = (F.col("of_text") / float(1 << 64)) + 0.5
         sample = known.where(F.col("toxic") == kind).where(usable).where(place <= min(1.0, 2 * most / max(1, sizes.get(kind, (0, 0))[1]))).orderBy("of_text", "doc_id").limit(most)
-        found = sample.select("doc_id", "text", "toxic").mapInArrow(words, "doc_id bigint, toxic int, h binary, tf binary").collect()
-        rows += [(r.doc_id, r.toxic, np.frombuffer(r.h, U), np.frombuffer(r.tf, np.int32)) for r in found]
-    terms = np.unique(np.concatenate([np.zeros(0, U), *(r[2] for r in rows)]))
+        samples.append(sample.select("doc_id", "text", "toxic").mapInArrow(words, "doc_id bigint, toxic int, h binary, tf binary").toArrow())
+    rows = pa.concat_tables(samples)
+    h = [np.frombuffer(x, U) for c in rows.column("h").chunks for x in map(memoryview, (y.as_buffer() for y in c))]
+    tf = [np.frombuffer(x, np.int32) for c in rows.column("tf").chunks for x in map(memoryview, (y.as_buffer() for y in c))]
+    terms = np.unique(np.concatenate([np.zeros(0, U), *h]))
     with_label = totals(known.select("text", "toxic"), 2 * len(terms), count_labels(terms))
     drop(known)
     df = totals(docs.select("text"), len(terms) + BUCKETS + 1, count_documents(terms))
     vectors = weighted(terms, with_label[: len(terms)], with_label[len(terms) :], pos, neg, df, settings.least_weight)
 
-    found = []
-    for doc_id, toxic, h, tf in rows:
-        at = np.searchsorted(terms, h)
-        w = (1 + np.log(tf)) * vectors.weight[at]
+    ids, labels_of = rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy()
+    places, weights, heaviest = [], [], []
+    for x, n in zip(h, tf, strict=True):
+        at = np.searchsorted(terms, x).astype(np.int32)
+        w = (1 + np.log(n)) * vectors.weight[at]
         size = math.sqrt(float(w @ w))
-        found.append((doc_id, toxic, at, w / size if size else w))
+        places.append(at)
+        weights.append((w / size if size else w).astype(np.float32))
+        heaviest.append((int(at[np.argmax(w)]), -float(weights[-1].max())) if len(w) else (-1, 0.0))
     # A fixed order for blocks and ties: by label, then by their heaviest term.
-    found.sort(key=lambda r: (r[1], max(zip(r[3], r[2], strict=True), default=(0, -1))[1], -max(r[3], default=0), r[0]))
-    toxic = np.array([r[1] for r in found], float)
+    order = sorted(range(len(ids)), key=lambda i: (labels_of[i], *heaviest[i], ids[i]))
+    toxic = labels_of[order].astype(float) if order else np.zeros(0)
     used = {1: toxic.sum(), 0: len(toxic) - toxic.sum()}
     true = np.array([(pos if t else neg) / used[int(t)] for t in toxic])
-    model = Model(vectors, np.array([r[0] for r in found], np.int64), toxic, true / true.mean() if len(true) else true, [r[2:] for r in found], prior, settings)
-    return calibrate(model)
+    first = np.cumsum([0, *(len(places[i]) for i in order)])
+    flat = lambda of, kind: np.concatenate([np.zeros(0, kind), *(of[i] for i in order)])
+    model = Model(vectors, ids[order] if order else np.zeros(0, np.int64), toxic, true / true.mean() if len(true) else true, first, flat(places, np.int32), flat(weights, np.float32), prior, settings)
+    return calibrate(docs.sparkSession, model)
 
 
 def weighted(terms: np.ndarray, toxic: np.ndarray, clean: np.ndarray, pos: int, neg: int, df: np.ndarray, least: float) -> Vectors:
@@ -345,17 +356,28 @@ def weighted(terms: np.ndarray, toxic: np.ndarray, clean: np.ndarray, pos: int,
     return Vectors(terms, idf[: len(terms)] * (least + phi), idf[len(terms) :] * least)
 
 
-def calibrate(model: Model) -> Model:
+def calibrate(spark: SparkSession, model: Model) -> Model:
     """Slope and shift of a logistic regression of the labels on the examples' leave-one-out votes, by Newton steps."""
-    if not len(model.rows) or not 0 < model.toxic.sum() < len(model.rows):
+    n = len(model.toxic)
+    if not 0 < model.toxic.sum() < n:
         return model
-    index, k = model.indexed(), model.settings.neighbours
-    shares = []
-    for first in range(0, len(model.rows), ROWS):
-        part = model.rows[first : first + ROWS]
-        shares += [share(model, *index.nearest(at, w, k, common, first + i)) for i, ((at, w), common) in enumerate(zip(part, index.common_scores(part), strict=True))]
-    x = np.array([logit(p) for p in shares])
-    model.index = None  # every task makes its own
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        index = m.indexed()
+        for b in batches:
+            which = b.column(0).to_pylist()
+            for at in range(0, len(which), ROWS):
+                part = which[at : at + ROWS]
+                found = [m.example(i) for i in part]
+                shares = [share(m, *index.nearest(*v, m.settings.neighbours, common, i)) for i, v, common in zip(part, found, index.common_scores(found), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(shares, pa.float64())], ["i", "share"])
+
+    x = np.zeros(n)
+    for r in spark.range(n).mapInArrow(run, "i bigint, share double").collect():  # a number for each example
+        x[r.i] = logit(r.share)
+    shared.unpersist()
     a, b, y, c = 1.0, 0.0, model.toxic, model.vote
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -50, 50)))
@@ -390,7 +412,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", id_col: str = "do
                     part = found[at : at + ROWS]
                     for vector, common in zip(part, index.common_scores(part), strict=True):
                         near, cosine = index.nearest(*vector, m.settings.neighbours, common)
-                        scores.append(m.calibrated(share(m, near, cosine)) if len(m.rows) else 0.0)
+                        scores.append(m.calibrated(share(m, near, cosine)) if len(m.toxic) else 0.0)
                         why.append([{"example": int(m.examples[i]), "similarity": float(c), "toxic": int(m.toxic[i])} for i, c in zip(near[:3], cosine[:3], strict=True)])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, last - first), pa.array(scores, pa.float64()), pa.array(why, evidence)], ["a", "b", "c"])
 
