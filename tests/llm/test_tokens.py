@@ -19,6 +19,32 @@ def test_parting_changes_nothing(text):
     assert tok.count([text]) == tok.sizes([text])
 
 
+@given(st.text(alphabet="ab12'. ,\n\té😀 \x1c、。字_-²٣!", min_size=20, max_size=200))
+@settings(max_examples=1500, deadline=None)
+def test_parting_without_spaces_changes_nothing(text):
+    assert "".join(T.pieces(text, 5)) == text
+    assert T.encode_text(text, long=5).tolist() == T.encoding().encode_ordinary(text)
+    tok = T.counter(T.VOCABULARY)
+    assert sum(tok.sizes(T.parts(text, 5))) == tok.sizes([text])[0]
+
+
+@pytest.mark.parametrize("text", ["word\n" * 120_000, "我们在城市的中心，看到了。" * 12_000, "word " * 60_000, "a,b" * 90_000, "x" * 90_000 + " y"], ids=["lines", "Chinese", "spaces", "marks", "one word"])
+def test_long_texts_are_parted(spark, text):
+    found = T.pieces(text)
+    assert "".join(found) == text and (max(map(len, found)) < 2 * T.LONG or "x" * 90_000 in text)
+    want = T.encoding().encode_ordinary(text)
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    r = T.round_trip(df).first()
+    assert r.n_tokens == len(want) and r.ids_sha256 == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest() and r.round_trips
+    assert T.count(df).first().n_tokens == T.counter(T.VOCABULARY).sizes([text])[0]
+
+
+def test_what_a_worker_remembers_is_bounded():
+    tok = T.Counter(T.VOCABULARY)
+    tok.count([" ".join(f"w{i}" + "x" * 200 for i in range(3000))])
+    assert all(len(k) <= T.SHORT for k in tok.known)
+
+
 def rows(spark):
     return spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate([*TEXTS, None, "a"])], "doc_id long, text string, n_tokens string, ids int")
 

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from .shared import table
@@ -32,9 +33,13 @@ from .shared import table
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
 
-#: A space between two non-space characters always begins a match of the split
-#: pattern: no match of it holds a space after a non-space character.
-SAFE = re.compile(r"(?<=[^\s])(?= [^\s])")
+#: White space between two non-space characters always begins a match of the split
+#: pattern: no match of it holds white space after a non-space character.
+SAFE = re.compile(r"(?<=[^\s])(?=[ \t\n\r][^\s])")
+#: So does a letter after a digit or one of these marks, and the other way round: they
+#: never share a match. This parts texts that have no white space.
+_MARKS = "0-9.,;:!?\u3001\u3002\uff0c\uff01\uff1f"
+CHANGE = regex.compile(rf"(?<=\p{{L}})(?=[{_MARKS}])|(?<=[{_MARKS}])(?=\p{{L}})")
 #: Texts over so many characters are parted before they are encoded.
 LONG = 50_000
 
@@ -64,12 +69,13 @@ def encoding(ranks: str = RANKS):
 
 
 def pieces(text: str, long: int = LONG) -> list[str]:
-    """The text in pieces of about ``long`` characters that end at safe places; a piece without one stays whole."""
+    """The text in pieces of about ``long`` characters that end at safe places; a piece without one (one single word) stays whole."""
     if len(text) <= long:
         return [text]
     out, start = [], 0
     while len(text) - start > long:
-        cut = SAFE.search(text, start + long)
+        # Look near first: a text without white space is otherwise searched to its end again and again.
+        cut = SAFE.search(text, start + long, start + 2 * long) or CHANGE.search(text, start + long, start + 2 * long) or SAFE.search(text, start + long) or CHANGE.search(text, start + long)
         if not cut:
             break
         out.append(text[start : cut.start()])
@@ -136,17 +142,19 @@ def round_trip(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", ra
 
 # --- token counts -------------------------------------------------------------
 
-#: Distinct parts that a worker remembers, and bytes in a batch for the library.
-REMEMBERED, BATCH_BYTES = 300_000, 1 << 20
+#: Distinct parts that a worker remembers and their characters, those of one part, and bytes in a batch for the library.
+REMEMBERED, REMEMBERED_SIZE, SHORT, BATCH_BYTES = 300_000, 8_000_000, 64, 1 << 20
 _irregular = re.compile(r"\s | \s|^\s|\s$")
 
 
-def parts(text: str) -> list[str]:
+def parts(text: str, long: int = LONG) -> list[str]:
     """The text in parts that end at safe places; joined they are the text."""
-    words = text.split(" ")
     if not _irregular.search(text):  # no space beside white space or the edges: every space is a safe place
-        return words[:1] + [f" {w}" for w in words[1:]]
-    return SAFE.split(text)
+        words = text.split(" ")
+        found = words[:1] + [f" {w}" for w in words[1:]]
+    else:
+        found = SAFE.split(text)
+    return found if max(map(len, found)) <= long else [x for p in found for x in pieces(p, long)]
 
 
 def balanced(texts: list[str], most: int = BATCH_BYTES) -> Iterator[list[str]]:
@@ -185,6 +193,7 @@ class Counter:
             self.sizes = lambda texts: [len(x) for x in sp.encode(texts, num_threads=1)]
             self.parted = False
         self.known: dict[str, int] = {"": 0}
+        self.held = 0
 
     def count(self, texts: list[str]) -> list[int]:
         if not self.parted:
@@ -193,13 +202,18 @@ class Counter:
         out = []
         for first in range(0, len(texts), 500):
             cut = [parts(t) for t in texts[first : first + 500]]
-            if len(self.known) > REMEMBERED:
-                self.known = {"": 0}
+            if len(self.known) > REMEMBERED or self.held > REMEMBERED_SIZE:
+                self.known, self.held = {"": 0}, 0
             known = self.known
             new = {p for x in cut for p in x}.difference(known)
             for batch in balanced(list(new)):
                 known.update(zip(batch, self.sizes(batch), strict=True))
             out += [sum(map(known.__getitem__, x)) for x in cut]
+            for p in new:  # long parts hardly come again
+                if len(p) > SHORT:
+                    del known[p]
+                else:
+                    self.held += len(p)
         return out
 
 
