@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +54,39 @@ def test_unseen_urls_of_known_kinds(spark):
     assert [got[i] for i in range(len(bad))] == ["block"] * len(bad) and [got[len(bad) + i] for i in range(len(good))] == ["allow"] * len(good)
 
 
+def test_names_that_training_has_not_seen(spark, sf):
+    """Whole words are held out of both kinds; and no name of the pages is in the table."""
+    hosts = {r.host for r in U.op10_url_filters(spark, sf).select("host").distinct().collect()}
+    assert not {n for n, _ in U.labelled_names() if "-" in n} & {part for h in hosts for part in h.split(".")}
+    out = {w for i, w in enumerate([*U.SPAM_WORDS, *U.CLEAN_WORDS]) if i % 10 == 0}
+    within = lambda name: any(w in name for w in out)
+    names = U.labelled_names()
+    weights = U.train(spark, U.labelled_urls(spark, [x for x in names if not within(x[0])]))
+    joined = [(n, y) for n, y in names if "-" in n and within(n)]  # a word that is held out beside one that isn't
+    df = spark.createDataFrame([(i, f"https://{n}.example.info/en/{i}") for i, (n, _) in enumerate(joined)], "page_id long, url string")
+    got = {r.page_id: r.verdict == "block" for r in U.judge(df, weights, rules=()).collect()}
+    right = [got[i] == bool(y) for i, (_, y) in enumerate(joined)]
+    assert len(joined) > 30 and sum(right) / len(right) > 0.85
+
+
+def test_training_is_that_of_brute_force(spark):
+    """Gradient descent on dense rows gives the same weights, and takes one job."""
+    rows = U.labelled_table()[::9]
+    df = spark.createDataFrame(rows, "url string, label int")
+    weights = U.train(spark, df, rounds=20)
+    x = np.zeros((len(rows), (1 << U.BITS) + 1))
+    for i, r in enumerate(df.select(U.features(U.host(F.col("url")), U.path(F.col("url"))).alias("b")).collect()):
+        x[i, r.b] = 1 / len(r.b) ** 0.5
+    x[:, -1] = 1
+    y = np.array([b for _, b in rows], float)
+    w, q = np.zeros((1 << U.BITS) + 1), np.full((1 << U.BITS) + 1, 1e-12)
+    for _ in range(20):
+        g = x.T @ ((1 / (1 + np.exp(-x @ w)) - y) / len(y)) + U.DECAY * w
+        q += g * g
+        w -= U.RATE * g / np.sqrt(q)
+    assert np.allclose(weights, w, atol=1e-9)
+
+
 def test_training_tables(spark):
     assert set(U.train(spark, spark.createDataFrame([], "url string, label int"))) == {0.0}
     one = spark.createDataFrame([(None, 1), ("http://a.b/", None)], "url string, label int")
