@@ -55,8 +55,8 @@ class Settings:
     prior_vote: float = 0.15
     most_broadcast: int = 500_000
     folds: int = 5
-    common: int = 256
-    block: int = 64
+    common: int = 3072
+    block: int = 128
 
 
 def row_terms(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,9 +68,9 @@ def row_terms(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     size = ends - starts
     rows, found = [row], [hashes(low, starts, ends)]
     for k in PREFIXES:
-        long = size >= k
+        long = size > k  # a prefix and a word of the same bytes are one term
         rows.append(row[long])
-        found.append(mix(hashes(low, starts[long], starts[long] + k) + U(k)))
+        found.append(hashes(low, starts[long], starts[long] + k))
     return np.concatenate(rows), np.concatenate(found)
 
 
@@ -211,7 +211,7 @@ def ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
 class Index:
     """Block-max inverted index over the examples' vectors, with dense columns for the terms that most examples have."""
 
-    def __init__(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, common: int = 256, block: int = 64):
+    def __init__(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, common: int = 3072, block: int = 128):
         self.n, self.block = len(first) - 1, block
         self.n_blocks = -(-self.n // block)
         place = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(first))
@@ -223,10 +223,10 @@ class Index:
         dense = self.column[term] >= 0
         self.dense[self.column[term[dense]], place[dense]] = weight[dense]
         order = np.argsort(term[~dense], kind="stable")
-        term, self.place, self.weights = term[~dense][order], place[~dense][order], weight[~dense][order]
+        term, self.place, self.weights = term[~dense][order], place[~dense][order].astype(np.int64), weight[~dense][order].astype(float)
         key = term.astype(np.int64) * max(1, self.n_blocks) + self.place // block
         new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-        self.most = np.maximum.reduceat(self.weights, new) if len(new) else np.zeros(0, np.float32)
+        self.most = np.maximum.reduceat(self.weights, new) if len(new) else np.zeros(0)
         self.of_block = self.place[new] // block
         self.start, self.end = new, np.append(new[1:], len(key)) if len(new) else new
         self.first = np.searchsorted(term[new], np.arange(n_terms + 1))  # where each term's blocks begin
@@ -252,13 +252,15 @@ class Index:
         bound = score.reshape(-1, self.block).max(axis=1) + np.bincount(of, self.most[listed] * q, self.n_blocks)
         read = np.zeros(self.n_blocks, bool)
         score_of = score.reshape(-1, self.block)
+        start, end = self.start[listed], self.end[listed]
 
         def add(blocks: np.ndarray) -> None:
             now = np.zeros(self.n_blocks, bool)
             now[blocks] = True
-            use = listed[now[of]]
-            post = ranges(self.start[use], self.end[use])
-            score[:] += np.bincount(self.place[post], self.weights[post] * np.repeat(q[now[of]], self.end[use] - self.start[use]), len(score))
+            use = np.flatnonzero(now[of])
+            size = end[use] - start[use]
+            post = ranges(start[use], end[use])
+            score[:] += np.bincount(self.place[post], self.weights[post] * np.repeat(q[use], size), len(score))
             read[blocks] = True
 
         few = min(self.n_blocks, 1 + k // 8)
