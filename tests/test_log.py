@@ -2,6 +2,7 @@
 
 import json
 import math
+import time
 import warnings
 
 import duckdb
@@ -81,7 +82,7 @@ def test_consumer_checks():
             spec.bind(**args)
 
 
-def test_sink_checks():
+def test_sink_checks(spark):
     s = lambda text: T._parse_datatype_string(text)
     assert SinkSpec().bind(s("topic string, message int, key double, partition int, messageTimestamp long")) == {"topic": "topic", "message": "message", "key": "key", "partition": "partition", "timestamp_ms": "messageTimestamp"}
     for spec, schema in ((SinkSpec(), "message string"), (SinkSpec(), "topic int, message string"), (SinkSpec("t"), "m string"), (SinkSpec("t"), "message array<int>"), (SinkSpec("t"), "message string, partition long"), (SinkSpec("t", key_column="k"), "message string"), (SinkSpec("t"), "message string, key boolean")):
@@ -147,6 +148,17 @@ def test_serde_round_trip(spark, kind):
     assert missing == serde.DEFAULTS[kind]
 
 
+@pytest.mark.parametrize("kind,sql", [("float32", "float"), ("float64", "double")])
+def test_float_values_that_are_no_numbers(spark, kind, sql):
+    """NaN and the infinities are values, null is none; through the reader nothing of them is dropped."""
+    df = spark.createDataFrame([(0, float("nan")), (1, None), (2, float("inf")), (3, float("-inf")), (4, -0.0)], f"i int, v {sql}").repartition(1)
+    back = df.select("i", serde.decode(serde.encode(F.col("v"), kind), kind).alias("w")).orderBy("i").collect()
+    assert math.isnan(back[0].w) and back[1].w is None and [r.w for r in back[2:4]] == [float("inf"), float("-inf")] and math.copysign(1, back[4].w) == -1
+    log = df.select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("i").cast("long").alias("offset"), F.lit(0).cast("long").alias("timestamp_ms"), F.lit(None).cast("binary").alias("key"), serde.encode(F.col("v"), kind).alias("value"), F.lit(None).cast("string").alias("txn_id"), F.lit(None).cast("string").alias("txn_state"))
+    assert reader.read(log, ConsumerSpec(topics="t", start_position=StartPosition.BEGINNING, message_type=kind)).count() == 4
+    assert df.limit(0).select(serde.decode(serde.encode(F.col("v"), kind), kind)).count() == 0
+
+
 def test_malformed_text_is_replaced(spark):
     assert spark.createDataFrame([(b"\xffA",)], "v binary").select(serde.decode(F.col("v"), "string")).first()[0] == "�A"
 
@@ -208,6 +220,28 @@ def test_observed_counters(spark):
     assert seen.get == {"nSubmitted": 3, "nDroppedMalformedMessages": 1}
 
 
+def test_reader_counters(spark):
+    at = spark.createDataFrame([("a", 0, 1), ("a", 1, 1), ("b", 0, 5)], "topic string, partition int, offset long")
+    assert {r.name: r.value for r in metrics.reader_counters(at, True).collect()} == {"nAssignedPartitions": 3, "nConsumedTopics": 2, "isGroupManagementActive": 1}
+
+
+def test_progress_log(spark, tmp_path):
+    """Batches of a running query with their rows and the longest time so far."""
+    log = metrics.ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        spark.range(7).write.parquet(str(tmp_path / "in"))
+        q = spark.readStream.schema("id long").parquet(str(tmp_path / "in")).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        q.awaitTermination(60)
+        for _ in range(50):
+            if log.rows:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    assert sum(r["rows"] for r in log.rows) == 7 and log.longest_ms == max(r["ms"] for r in log.rows) == log.rows[-1]["longest_ms"]
+
+
 def test_every_partition_has_one_member(spark):
     parts = spark.createDataFrame([(t, p) for t in "abc" for p in range(7)], "topic string, partition int")
     for n in (1, 3, 10):

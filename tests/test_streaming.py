@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from tidemark import queries as Q
 from tidemark.functions import control_messages
 from tidemark.operators import offsets
-from tidemark.plans.spec import ConsumerSpec, StartPosition
+from tidemark.plans.spec import ConsumerSpec, Region, SinkSpec, StartPosition
 from tidemark.sources import log as logs
 from tidemark.streaming import subscriptions, transactions
 from tidemark.streaming.delivery import Delivery
+from tidemark.streaming.writer import LogWriter
 
 
 def run(d: Delivery) -> None:
@@ -31,8 +32,124 @@ def test_each_record_once_over_restarts(spark, sf, tmp_path):
     got = d.delivered()
     assert 0 < first < got.count() == want.count() and got.select("topic", "partition", "offset").distinct().count() == want.count()
     assert sorted(map(tuple, d.committed().collect())) == sorted(map(tuple, offsets.next_offsets(want).collect()))
-    d.deliver(want.where("offset < 3"), 0)  # a batch that runs again replaces its transaction
-    assert d.delivered().select("topic", "partition", "offset").distinct().count() <= want.count()
+    before = sorted(map(tuple, d.initial().select("topic", "partition", "offset").collect()))
+    d.deliver(want.where("offset < 3"), 700)
+    d.deliver(want.where("offset < 3"), 700)  # a batch that runs again replaces its transaction
+    assert d.delivered().count() == want.count() + want.where("offset < 3").count()
+    assert sorted(map(tuple, d.initial().select("topic", "partition", "offset").collect())) == before
+
+
+STEPS = ["prepare", "_place_new", "write", "_commit", "after"]
+
+
+@pytest.mark.parametrize("position", [StartPosition.BEGINNING, StartPosition.END])
+@pytest.mark.parametrize("step", STEPS)
+def test_replay_after_a_crash(spark, sf, tmp_path, monkeypatch, step, position):
+    """A batch that breaks off after any of its writes is delivered whole by its replay, from unchanged positions."""
+    log, path = Q.events_log(spark, sf), str(tmp_path / "log")
+    old = "offset < 10 and partition <> 2"
+    logs.write(log.where(old), path)
+    spec = ConsumerSpec(topics="click", start_position=position, isolation="read_uncommitted")
+    home = str(tmp_path / "home")
+    if position is StartPosition.END:
+        Delivery(spark, path, spec, home).prepare()
+    logs.write(log.where(f"not ({old})"), path)
+
+    class Crash(Exception):
+        pass
+
+    def then_crash(f):
+        def g(*a, **k):
+            f(*a, **k)
+            raise Crash("Crash")
+
+        return g
+
+    d = Delivery(spark, path, spec, home)
+    with monkeypatch.context() as m:
+        if step == "write":
+            m.setattr(transactions, "write", then_crash(transactions.write))
+        elif step == "after":
+            m.setattr(Delivery, "deliver", then_crash(Delivery.deliver))
+        else:
+            m.setattr(Delivery, step, then_crash(getattr(Delivery, step)))
+        with pytest.raises(Exception, match="Crash"):
+            d.start({"availableNow": True}).awaitTermination(120) if step != "prepare" else d.deliver(log, 0)
+    positions = sorted(map(tuple, d.initial().select("topic", "partition", "offset").collect()))
+    run(Delivery(spark, path, spec, home))
+    want = log.where("topic = 'click'")
+    if position is StartPosition.END:
+        want = want.where(f"not ({old})")  # the partition that came later is read from its beginning
+    key = ["topic", "partition", "offset"]
+    assert sorted(map(tuple, d.delivered().select(*key).collect())) == sorted(map(tuple, want.select(*key).collect()))
+    now = sorted(map(tuple, d.initial().select(*key).collect()))
+    assert set(positions) <= set(now) and (step in ("prepare",) or positions == now)
+    assert sorted(map(tuple, d.committed().collect())) == sorted(map(tuple, offsets.next_offsets(want).collect()))
+
+
+def test_reset_to_the_initial_state(spark, sf, tmp_path):
+    log, path = Q.events_log(spark, sf), str(tmp_path / "log")
+    logs.write(log.where("offset < 5"), path)
+    spec = ConsumerSpec(topics="click", start_position=StartPosition.END, isolation="read_uncommitted")
+    d = Delivery(spark, path, spec, str(tmp_path / "home"))
+    run(d)
+    logs.write(log.where("offset >= 5"), path)
+    run(d)
+    once = d.delivered().count()
+    assert once == log.where("topic = 'click' and offset >= 5").count() > 0
+    d.reset_to_initial()
+    assert d.committed().count() == 0 and d.committed_once().count() > 0
+    run(d)
+    assert d.delivered().count() == once
+
+
+def test_commit_by_count_of_the_reader(spark, sf, tmp_path):
+    """Commits wait until the reader's records over all partitions reach the count, malformed ones too."""
+    log, path = Q.events_log(spark, sf), str(tmp_path / "log")
+    logs.write(log.where("offset < 3"), path)
+    spec = ConsumerSpec(topics="click", start_position=StartPosition.BEGINNING, isolation="read_uncommitted", commit_count=15)
+    d = Delivery(spark, path, spec, str(tmp_path / "home"))
+    run(d)  # nine records
+    assert d.delivered().count() == 9 and d.committed().count() == 0
+    logs.write(log.where("offset >= 3 and offset < 6"), path)
+    run(d)
+    assert {(r.partition, r.offset) for r in d.committed().collect()} == {(0, 6), (1, 6), (2, 6)}
+    logs.write(log.where("offset >= 6 and offset < 7"), path)
+    run(d)
+    assert {r.offset for r in d.committed().collect()} == {6} and d.delivered().count() == 21
+
+
+def test_transactions_of_the_trigger_count(spark, sf, tmp_path):
+    log, path = Q.events_log(spark, sf), str(tmp_path / "log")
+    logs.write(log.where("offset < 8"), path)
+    spec = ConsumerSpec(topics="click", partitions=[0, 1, 2], start_position=StartPosition.BEGINNING, isolation="read_uncommitted", region=Region.OPERATOR_DRIVEN, trigger_count=10)
+    d = Delivery(spark, path, spec, str(tmp_path / "home"))
+    run(d)
+    out = transactions.read(spark, str(tmp_path / "home/run=0/out"))
+    assert sorted(r["count"] for r in out.groupBy("txn_id").count().collect()) == [4, 10, 10]
+    times = {r.txn_id: (r.lo, r.hi) for r in out.groupBy("txn_id").agg(F.min("messageTimestamp").alias("lo"), F.max("messageTimestamp").alias("hi")).collect()}
+    assert times["0r0"][1] <= times["0r1"][0] and times["0r1"][1] <= times["0r2"][0]
+
+
+def test_group_commits_and_the_committed_once_flag(spark, sf, tmp_path):
+    log, path = Q.events_log(spark, sf), str(tmp_path / "log")
+    logs.write(log.where("offset < 6"), path)
+    store = str(tmp_path / "commits")
+    spec = ConsumerSpec(topics="click", group_id="g", start_position=StartPosition.BEGINNING, isolation="read_uncommitted")
+    a = Delivery(spark, path, spec, str(tmp_path / "a"), store=store, job="a")
+    run(a)
+    logs.write(log.where("offset >= 6"), path)
+    later = log.where("topic = 'click' and offset >= 6").count()
+    default = ConsumerSpec(topics="click", group_id="g", isolation="read_uncommitted")
+    b = Delivery(spark, path, default, str(tmp_path / "b"), store=store, job="b")
+    run(b)  # Default goes on from the group's commits
+    assert b.delivered().count() == later > 0
+    again = Delivery(spark, path, spec, str(tmp_path / "a2"), store=store, job="a")
+    run(again)  # the same job has committed before: the start position no longer counts
+    assert again.delivered().count() == 0 or again.delivered().agg(F.min("offset")).first()[0] >= 6
+    fresh = Delivery(spark, path, spec, str(tmp_path / "c"), store=store, job="c")
+    run(fresh)
+    assert fresh.delivered().count() == log.where("topic = 'click'").count()
 
 
 def test_start_at_end_reads_only_later_records(spark, sf, tmp_path):
@@ -47,6 +164,54 @@ def test_start_at_end_reads_only_later_records(spark, sf, tmp_path):
     assert d.delivered().count() == log.where("topic = 'click' and offset >= 20").count()
 
 
+ROWS = "event_id long, topic string, key int, message string, messageTimestamp long"
+
+
+@pytest.mark.parametrize("transactional", [True, False])
+def test_log_writer(spark, tmp_path, monkeypatch, transactional):
+    """A failed try is repeated as a new generation, a replay replaces its batch, offsets go on, failed rows are told."""
+    spec = SinkSpec(transactional=transactional, flush=4, guarantee_ordering=True, max_generations=2, errors_only=False)
+    w = LogWriter(spark, spec, str(tmp_path / "w"), ["event_id"], 2)
+    rows = spark.createDataFrame([(i, ["a", "b", None][i % 3], i % 5, f"m{i}", 1000 + i) for i in range(30)], ROWS)
+    real = transactions.begin
+    tries = []
+
+    def once_broken(*a):
+        tries.append(1)
+        if len(tries) == 1:
+            raise OSError("broken")
+        return real(*a)
+
+    monkeypatch.setattr(transactions, "begin", once_broken)
+    w.write(rows, 0)
+    assert w.counters == {"nFailedTuples": 10, "producerGeneration": 2}
+    w.write(rows, 0)
+    w.write(rows.withColumn("messageTimestamp", F.col("messageTimestamp") + 100), 1)
+    log = w.log()
+    assert log.count() == 40 and {(r.lo, r.hi, r.n) for r in log.groupBy("topic", "partition").agg(F.min("offset").alias("lo"), (F.max("offset") + 1).alias("hi"), F.count("*").alias("n")).collect()} == {(0, r.log_end, r.log_end) for r in w.ends().where("batch = '1'").collect()}
+    assert log.where("timestamp_ms < 1100").agg(F.max("offset")).first()[0] < log.where("timestamp_ms >= 1100").agg(F.max("offset")).first()[0]
+    told = w.status()
+    assert told.count() == 60 and told.where("failureDescription is not null").count() == 20
+    files = list((tmp_path / "w/log/data/txn_id=0").glob("part-*"))
+    assert len(files) >= 5  # at most four records a file
+    with pytest.raises(OSError):
+        monkeypatch.setattr(transactions, "begin", lambda *a: (_ for _ in ()).throw(OSError("broken")))
+        w.write(rows, 2)
+    assert w.log().count() == 40
+
+
+def test_log_writer_as_a_stream(spark, sf, tmp_path):
+    e = Q.rows_to_write(spark, sf)
+    e.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    w = LogWriter(spark, SinkSpec(transactional=True), str(tmp_path / "w"), ["event_id"], 3)
+    q = w.start(stream)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    log = w.log()
+    assert log.count() == e.count() == log.select("topic", "partition", "offset").distinct().count()
+
+
 def test_transactions(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(5)

@@ -1,13 +1,15 @@
 """Encoders and decoders of the eight key and message types, as column expressions.
 
 Integers are big-endian and stay inside the JVM; floats go through a
-vectorised Arrow function. A payload of the wrong length decodes to null.
+vectorised Arrow function. A payload of the wrong length
+decodes to null; NaN and the infinities are values like others.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,25 +19,27 @@ DEFAULTS = {"string": "", "int32": 0, "int64": 0, "uint32": 0, "uint64": 0, "flo
 def _float_decoder(kind: str, result: str):
     width = int(kind[2:])
 
-    def decode(raw: pd.Series) -> pd.Series:
-        ok = np.array([x is not None and len(x) == width for x in raw], bool)
-        out = np.full(len(raw), None, object)
-        if ok.any():
-            out[ok] = np.frombuffer(b"".join(raw[ok]), kind).astype(float)
-        return pd.Series(out)
+    def decode(raw: pa.Array) -> pa.Array:
+        size = pc.fill_null(pc.binary_length(raw), -1).to_numpy(zero_copy_only=False)
+        good = raw.filter(pa.array(size == width))
+        ends = np.frombuffer(good.buffers()[1], np.int32)[good.offset : good.offset + len(good) + 1]
+        out = np.zeros(len(raw), kind[1:])
+        out[size == width] = np.frombuffer(good.buffers()[2], kind, len(good), int(ends[0])) if len(good) else 0
+        return pa.array(out, mask=size != width)  # a NaN is a value, not a null
 
-    return F.pandas_udf(decode, result)
+    return F.arrow_udf(decode, result)
 
 
 def _float_encoder(kind: str):
     width = int(kind[2:])
 
-    def encode(values: pd.Series) -> pd.Series:
-        missing = values.isna().to_numpy()
-        raw = values.fillna(0).to_numpy(np.float64).astype(kind).tobytes()
-        return pd.Series([None if m else raw[i * width : (i + 1) * width] for i, m in enumerate(missing)], dtype=object)
+    def encode(values: pa.Array) -> pa.Array:
+        raw = values.fill_null(0).to_numpy(zero_copy_only=False).astype(kind).tobytes()
+        ends = pa.array(np.arange(len(values) + 1) * width, pa.int32())
+        whole = pa.BinaryArray.from_buffers(pa.binary(), len(values), [None, ends.buffers()[1], pa.py_buffer(raw)])
+        return pc.if_else(values.is_null(), pa.scalar(None, pa.binary()), whole)
 
-    return F.pandas_udf(encode, "binary")
+    return F.arrow_udf(encode, "binary")
 
 
 def encode(value: Column, kind: str) -> Column:

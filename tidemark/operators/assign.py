@@ -1,6 +1,9 @@
 """Assignment of partitions to the members of a group, as window queries, and the difference of two assignments.
 
 These show which rows a member of a group would read; Spark itself deals partitions to tasks.
+Their windows have one group and the join with the number of members no key: the
+relations have a row for each member or topic partition of a group, thousands at most,
+and never a row for a record.
 """
 
 from __future__ import annotations

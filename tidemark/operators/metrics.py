@@ -30,6 +30,13 @@ def observed(df: DataFrame, name: str = "reader") -> tuple[DataFrame, Observatio
     return df.observe(seen, F.count(F.lit(1)).alias("nSubmitted"), F.count_if(F.col("message").isNull()).alias("nDroppedMalformedMessages")), seen
 
 
+def reader_counters(positions: DataFrame, group_managed: bool) -> DataFrame:
+    """(name, value) of what a reader with these (topic, partition, ...) reads. What pauses a client's queue has no counterpart: Spark pulls."""
+    c = positions.select("topic", "partition").distinct().agg(F.count("*").alias("n"), F.countDistinct("topic").alias("t"))
+    values = {"nAssignedPartitions": F.col("n"), "nConsumedTopics": F.col("t"), "isGroupManagementActive": F.lit(int(group_managed)).cast("long")}
+    return c.select(F.explode(F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v)])).alias("name", "value"))
+
+
 class ProgressLog(StreamingQueryListener):
     """Keeps the duration and rows of each batch of running queries, with the longest so far."""
 

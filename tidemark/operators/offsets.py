@@ -78,11 +78,38 @@ def next_offsets(records: DataFrame) -> DataFrame:
     return records.groupBy(*TP).agg((F.max("offset") + 1).alias("offset"))
 
 
-def commits_by_count(records: DataFrame, n: int) -> DataFrame:
-    """(topic, partition, offset) after the last full n records of each partition; partitions with fewer have none."""
-    place = F.row_number().over(Window.partitionBy(*TP).orderBy("offset"))
-    total = F.count("*").over(Window.partitionBy(*TP))
-    return next_offsets(records.select(*TP, "offset", place.alias("k"), total.alias("total")).where(f"k <= total - total % {int(n)}"))
+ARRIVAL = ["timestamp_ms", *TP, "offset"]
+
+
+def _buckets(records: DataFrame, bucket_ms: int) -> tuple[DataFrame, DataFrame]:
+    """Records with ``bucket``, their span of time, and (bucket, n, before, total).
+
+    The window over the buckets has one group; it holds one row for each span that occurs, however many records there are.
+    """
+    rows = records.withColumn("bucket", F.floor(F.coalesce("timestamp_ms", F.lit(0)) / bucket_ms))
+    counts = rows.groupBy("bucket").agg(F.count("*").alias("n"))
+    every = Window.orderBy("bucket")
+    before = F.coalesce(F.sum("n").over(every.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows, counts.select("bucket", "n", before.alias("before"), F.sum("n").over(Window.partitionBy()).alias("total"))
+
+
+def arrival_numbers(records: DataFrame, bucket_ms: int = 60_000) -> DataFrame:
+    """The records of one reader with ``arrival``: 0, 1, 2, ... by time, topic, partition and offset, numbered within spans of time."""
+    rows, buckets = _buckets(records, bucket_ms)
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(*ARRIVAL)) - 1
+    return rows.withColumn("place", place).join(buckets.select("bucket", "before"), "bucket").withColumn("arrival", F.col("before") + F.col("place")).drop("bucket", "place", "before")
+
+
+def commits_by_count(records: DataFrame, n: int, bucket_ms: int = 60_000) -> DataFrame:
+    """(topic, partition, offset) that one reader has committed when every n of its records, over all its partitions and in order of arrival, make a commit.
+
+    Only the span of time that the last commit falls in is put in order; spans before it count whole.
+    """
+    rows, buckets = _buckets(records.select(*ARRIVAL), bucket_ms)
+    take = F.greatest(F.lit(0), F.least("n", F.col("total") - F.col("total") % int(n) - F.col("before")))
+    taken = rows.join(buckets.select("bucket", "n", take.alias("take")), "bucket").where("take > 0")
+    last = taken.where("take < n").withColumn("k", F.row_number().over(Window.partitionBy("bucket").orderBy(*ARRIVAL))).where("k <= take")
+    return next_offsets(taken.where("take = n").select(*TP, "offset").union(last.select(*TP, "offset")))
 
 
 def commits_by_time(records: DataFrame, period_ms: int, at: Column | None = None) -> DataFrame:

@@ -205,6 +205,31 @@ def serde_float64_roundtrip(spark, sf_dir):
     return e.withColumn("cut", F.when(F.col("event_id") % 10 == 0, F.substring("raw", 1, 5)).otherwise(F.col("raw"))).select("event_id", serde.decode(F.col("cut"), "float64").alias("v"))
 
 
+#: The bits of a binary fraction v, written out from its sign, exponent and mantissa.
+FLOAT_BITS = """
+with t as (select event_id, event_id * 0.25::double - 1000 as v from events),
+u as (select event_id, v, abs(v) as a, case when v = 0 then 0 else floor(log2(abs(v))) end as e from t),
+w as (select event_id, case when v < 0 then 1 else 0 end as s, v, a, cast(case when a >= pow(2, e + 1) then e + 1 when a < pow(2, e) then e - 1 else e end as hugeint) as e from u),
+b as (select event_id, v,
+  case when v = 0 then 0 else s * 9223372036854775808::hugeint + (e + 1023) * 4503599627370496::hugeint + cast((a / pow(2, e) - 1) * 4503599627370496 as hugeint) end as d,
+  case when v = 0 then 0 else s * 2147483648::hugeint + (e + 127) * 8388608::hugeint + cast((a / pow(2, e) - 1) * 8388608 as hugeint) end as f from w)
+"""
+
+
+@query(FLOAT_BITS + """select event_id, case when event_id % 11 = 0 then '7FF8000000000000' when event_id % 13 = 0 then '7FF0000000000000' when event_id % 17 = 0 then 'FFF0000000000000' else lpad(to_hex(cast(d as ubigint)), 16, '0') end as h64,
+  case when event_id % 11 = 0 then '7FC00000' when event_id % 13 = 0 then '7F800000' when event_id % 17 = 0 then 'FF800000' else lpad(to_hex(cast(f as ubigint)), 8, '0') end as h32,
+  event_id % 11 = 0 as nan64, event_id % 11 = 0 as nan32,
+  case when event_id % 11 = 0 then null when event_id % 13 = 0 then 'inf' when event_id % 17 = 0 then '-inf' else cast(cast(v * 4 as bigint) as varchar) end as back from b""", log=False)
+def serde_float_bytes(spark, sf_dir):
+    """The IEEE bytes, high end first, of binary fractions, NaN and the infinities, and the values decoded from them."""
+    i = F.col("event_id")
+    v = F.when(i % 11 == 0, float("nan")).when(i % 13 == 0, float("inf")).when(i % 17 == 0, float("-inf")).otherwise(i * 0.25 - 1000)
+    e = events(spark, sf_dir).select("event_id", serde.encode(v, "float64").alias("r64"), serde.encode(v.cast("float"), "float32").alias("r32"))
+    d = e.select("event_id", F.hex("r64").alias("h64"), F.hex("r32").alias("h32"), serde.decode(F.col("r64"), "float64").alias("d"), serde.decode(F.col("r32"), "float32").alias("f"))
+    back = F.when(F.isnan("d"), None).when(F.col("d") == float("inf"), "inf").when(F.col("d") == float("-inf"), "-inf").otherwise((F.col("d") * 4).cast("long").cast("string"))
+    return d.select("event_id", "h64", "h32", F.isnan("d").alias("nan64"), F.isnan("f").alias("nan32"), back.alias("back"))
+
+
 @query("""select event_id, 4294967295 - event_id as v, cast(cast(18446744073709551615 - event_id as hugeint) as varchar) as w from events""", log=False)
 def serde_unsigned(spark, sf_dir):
     big = F.lit("18446744073709551615").cast("decimal(20,0)") - F.col("event_id")
@@ -254,12 +279,10 @@ def producer_integer_key_partitioner(spark, sf_dir):
     return sink.produce(rows, SinkSpec(), 3, sink.by_integer_key).groupBy("topic", "partition").agg(F.count("*").alias("n"), F.countDistinct("key").alias("n_keys"))
 
 
-@query("""select topic, count(*) as n, cast(1 as bigint) as most_partitions_of_a_key, true as in_range from log group by topic""")
+@query("""select topic, user_id as "key", cast(cast(('0x' || substr(md5(cast(user_id as varchar)), 1, 8)) as bigint) % 3 as int) as "partition", count(*) as n from log group by all""")
 def producer_default_partitioner(spark, sf_dir):
-    """A key's records are always in one partition."""
     out = sink.produce(rows_to_write(spark, sf_dir), SinkSpec(), 3)
-    each = out.groupBy("topic", "key").agg(F.count("*").alias("n"), F.countDistinct("partition").alias("p"), F.min("partition").alias("lo"), F.max("partition").alias("hi"))
-    return each.groupBy("topic").agg(F.sum("n").alias("n"), F.max("p").alias("most_partitions_of_a_key"), ((F.min("lo") >= 0) & (F.max("hi") < 3)).alias("in_range"))
+    return out.groupBy("topic", serde.decode(F.col("key"), "int32").cast("long").alias("key"), "partition").agg(F.count("*").alias("n"))
 
 
 def write_failures(spark, sf_dir):
@@ -271,6 +294,9 @@ def write_failures(spark, sf_dir):
 
 
 FAILED = "case when event_id % 34 = 0 then 'RecordTooLargeException' else 'TimeoutException' end as exception, case when event_id % 34 = 0 then '' else 'no answer' end as failure, case when event_id % 34 = 0 then 2 else 1 end as n_topics"
+#: The whole description of a row's failure.
+STATUS_TEXT = """cast(case when event_id % 34 = 0 then json_object('failedTopics', ['audit', event_type], 'lastExceptionType', 'RecordTooLargeException', 'lastFailure', '')
+  when event_id % 17 = 0 then json_object('failedTopics', [event_type], 'lastExceptionType', 'TimeoutException', 'lastFailure', 'no answer') end as varchar)"""
 TOLD = "exception string, failure string, n_topics int"
 
 
@@ -284,16 +310,16 @@ def status_errors_only(spark, sf_dir):
     return told(sink.status(rows_to_write(spark, sf_dir), write_failures(spark, sf_dir), ["event_id"]))
 
 
-@query("""select event_id, cast(user_id as int) as key, event_id % 17 = 0 as failed from events""", log=False)
+@query(f"select event_id, cast(user_id as int) as key, {STATUS_TEXT} as text from events", log=False)
 def status_all_optional(spark, sf_dir):
     out = sink.status(rows_to_write(spark, sf_dir), write_failures(spark, sf_dir), ["event_id"], errors_only=False)
-    return out.select(F.col("inTuple.event_id").alias("event_id"), F.col("inTuple.key").alias("key"), F.col("failureDescription").isNotNull().alias("failed"))
+    return out.select(F.col("inTuple.event_id").alias("event_id"), F.col("inTuple.key").alias("key"), F.col("failureDescription").alias("text"))
 
 
-@query("""select event_id, cast(user_id as int) as key, event_id % 17 = 0 as failed from events""", log=False)
+@query(f"select event_id, cast(user_id as int) as key, coalesce({STATUS_TEXT}, '') as text from events", log=False)
 def status_all_plain(spark, sf_dir):
     out = sink.status(rows_to_write(spark, sf_dir), write_failures(spark, sf_dir), ["event_id"], errors_only=False, optional_text=False)
-    return out.select(F.col("inTuple.event_id").alias("event_id"), F.col("inTuple.key").alias("key"), (F.col("failureDescription") != "").alias("failed"))
+    return out.select(F.col("inTuple.event_id").alias("event_id"), F.col("inTuple.key").alias("key"), F.col("failureDescription").alias("text"))
 
 
 @query("""select event_id, json_object('failedTopics', [event_type], 'lastExceptionType', 'TimeoutException', 'lastFailure', props) as failure from events""", log=False)
@@ -313,9 +339,15 @@ def error_classification(spark, sf_dir):
 # --- commits and replay -------------------------------------------------------------
 
 
-@query("""select topic, "partition", max("offset") + 1 as "offset" from (select *, row_number() over (partition by topic, "partition" order by "offset") as k, count(*) over (partition by topic, "partition") as t from log) where k <= t - t % 100 group by all""")
+@query("""select topic, "partition", max("offset") + 1 as "offset" from (select *, row_number() over (order by timestamp_ms, topic, "partition", "offset") as k, count(*) over () as t from log) where k <= t - t % 137 group by all""")
 def commit_by_count(spark, sf_dir):
-    return offsets.commits_by_count(events_log(spark, sf_dir), 100)
+    """One reader's records over all its partitions, in order of arrival."""
+    return offsets.commits_by_count(events_log(spark, sf_dir), 137)
+
+
+@query("""select topic, "partition", "offset", row_number() over (order by timestamp_ms, topic, "partition", "offset") - 1 as arrival from log""")
+def arrival_order(spark, sf_dir):
+    return offsets.arrival_numbers(events_log(spark, sf_dir)).select("topic", "partition", "offset", "arrival")
 
 
 @query("""select topic, "partition", commit_ms, max(o) over (partition by topic, "partition" order by commit_ms) as "offset" from (
@@ -477,6 +509,25 @@ def control_builders(spark, sf_dir):
     return p.select("event_id", "p.action", F.col("p.topics")[0]["topic"].alias("topic"), F.size("p.topics").cast("long").alias("n"))
 
 
+@query("""select event_id, k, json_extract_string(j, '$.action') as action, cast(j as varchar) as text from (
+  select event_id, unnest([0, 1, 2, 3]) as k, unnest([
+    json_object('action', 'REMOVE', 'topics', [{'topic': event_type}, {'topic': 'other'}]),
+    json_object('action', 'REMOVE', 'topicPartitionOffsets', [{'topic': event_type, 'partition': user_id % 3}, {'topic': 'other', 'partition': 0}]),
+    json_object('action', 'ADD', 'topicPartitionOffsets', [{'topic': event_type, 'partition': user_id % 3, 'offset': event_id}, {'topic': 'other', 'partition': 0, 'offset': -2}]),
+    json_object('action', 'ADD', 'topicPartitionOffsets', [{'topic': event_type, 'partition': user_id % 3}, {'topic': 'other', 'partition': 0}])]) as j from events)""", log=False)
+def control_builders_of_many(spark, sf_dir):
+    """Messages that remove topics, remove partitions, and add partitions with and without offsets, as text."""
+    tp = lambda t, p, *o: F.struct(t.alias("topic"), p.cast("int").alias("partition"), *[x.cast("long").alias("offset") for x in o])
+    topic, part = F.col("event_type"), F.col("user_id") % 3
+    plain = F.array(tp(topic, part), tp(F.lit("other"), F.lit(0)))
+    built = [
+        control_messages.remove_topics(F.array(topic, F.lit("other"))), control_messages.remove_partitions(plain),
+        control_messages.add_partitions(F.array(tp(topic, part, F.col("event_id")), tp(F.lit("other"), F.lit(0), F.lit(-2)))), control_messages.add_partitions(plain),
+    ]
+    each = events(spark, sf_dir).select("event_id", F.posexplode(F.array(*built)).alias("k", "text"))
+    return each.select("event_id", "k", F.get_json_object("text", "$.action").alias("action"), "text")
+
+
 # --- groups -------------------------------------------------------------------------
 
 

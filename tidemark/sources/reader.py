@@ -17,12 +17,12 @@ def decoded(records: DataFrame, spec: ConsumerSpec) -> DataFrame:
     return records.withColumn("message", serde.decode(F.col("value"), spec.message_type)).withColumn("decoded_key", serde.or_default(key, spec.key_type) if spec.null_key_as_default else key)
 
 
-def project(records: DataFrame, spec: ConsumerSpec, columns: list[str] | None = None, named: dict[str, str] | None = None) -> DataFrame:
-    """The output columns of a description; ``columns`` is the wanted output, all of them without it."""
+def project(records: DataFrame, spec: ConsumerSpec, columns: list[str] | None = None, named: dict[str, str] | None = None, keep: list[str] | None = None) -> DataFrame:
+    """The output columns of a description; ``columns`` is the wanted output, all of them without it. keep: further columns of the records."""
     roles = {"message": "message", "key": "decoded_key", "topic": "topic", "timestamp_ms": "timestamp_ms", "offset": "offset", "partition": "partition"}
     wanted = columns if columns is not None else [spec.message_column, spec.key_column, spec.topic_column, spec.timestamp_column, spec.offset_column, spec.partition_column]
     bound = spec.bind(wanted, named)
-    return records.where(F.col("message").isNotNull()).select(*[F.col(roles[role]).alias(name) for role, name in bound.items()])
+    return records.where(F.col("message").isNotNull()).select(*[F.col(roles[role]).alias(name) for role, name in bound.items()], *(keep or []))
 
 
 def read(log: DataFrame, spec: ConsumerSpec, committed: DataFrame | None = None, committed_once: DataFrame | None = None, columns: list[str] | None = None, named: dict[str, str] | None = None) -> DataFrame:

@@ -14,9 +14,9 @@ def _mark(spark: SparkSession, path: str, txn_id: str, state: str) -> None:
     spark.range(1).select(F.lit(state).alias("txn_state")).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/txn_id={txn_id}")
 
 
-def begin(rows: DataFrame, path: str, txn_id: str) -> None:
-    """Write the rows of a transaction; nobody who reads committed rows sees them yet."""
-    rows.write.mode("overwrite").parquet(f"{path}/data/txn_id={txn_id}")
+def begin(rows: DataFrame, path: str, txn_id: str, flush: int = 0) -> None:
+    """Write the rows of a transaction, a file for every ``flush`` of them; nobody who reads committed rows sees them yet."""
+    rows.write.mode("overwrite").option("maxRecordsPerFile", flush).parquet(f"{path}/data/txn_id={txn_id}")
 
 
 def commit(spark: SparkSession, path: str, txn_id: str) -> None:
@@ -32,6 +32,15 @@ def write(rows: DataFrame, path: str, txn_id: str) -> None:
     commit(rows.sparkSession, path, txn_id)
 
 
+def write_each(rows: DataFrame, path: str, txn: str) -> None:
+    """Write many transactions in one pass, each row into the one that its column ``txn`` names."""
+    named = rows.withColumnRenamed(txn, "txn_id")
+    kept = {"partitionOverwriteMode": "dynamic"}
+    named.write.mode("overwrite").options(**kept).partitionBy("txn_id").parquet(f"{path}/data")
+    ends = named.select("txn_id").distinct().select(F.lit("committed").alias("txn_state"), "txn_id")
+    ends.write.mode("overwrite").options(**kept).partitionBy("txn_id").parquet(f"{path}/manifest")
+
+
 def states(spark: SparkSession, path: str) -> DataFrame:
     """(txn_id, txn_state) of all transactions that have ended."""
     return spark.read.schema("txn_state string, txn_id string").parquet(f"{path}/manifest")
