@@ -35,9 +35,9 @@ def brute(rows):
     return sorted(((d, len(x), None if d is None else find(d)) for d, x in sets), key=repr)
 
 
-def check(spark, rows):
+def check(spark, rows, **plan):
     df = spark.createDataFrame([(d, t, 1, "k") for d, t in rows], "doc_id long, text string, n int, key string")
-    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(df).collect()), key=repr)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(df, plan=J.Plan(**plan)).collect()), key=repr)
     assert got == brute(rows)
 
 
@@ -80,6 +80,56 @@ def test_chains_and_shared_passages(spark):
     check(spark, rows)
 
 
+def template_rows(rng, n, share):
+    """Texts that share a passage, each in a copy with a few edits now and then."""
+    passage = [f"p{i}" for i in range(int(160 * share))]
+    rows = []
+    for i in range(n):
+        own = [f"x{i}_{k}" for k in range(160 - len(passage))]
+        rows.append((2 * i, " ".join(passage + own)))
+        if i % 7 == 0:
+            rows.append((2 * i + 1, " ".join(passage + own[:-6] + ["edit"] * 6)))
+    return rows
+
+
+@pytest.mark.parametrize("hot", [0, 1, 5])
+def test_hot_lists_lose_no_link(spark, hot):
+    rng = random.Random(8)
+    rows = template_rows(rng, 60, 0.6) + [(1000 + d, t) for d, t in template_rows(rng, 40, 0.86)]
+    check(spark, rows, hot=hot)
+    test_near_copies = [rng.choice("abcdefghij") + str(rng.randint(0, 60)) for _ in range(100)]
+    check(spark, [(i, " ".join(edited(rng, test_near_copies, 0.02))) for i in range(60)], hot=hot)
+
+
+def test_work_of_a_template_grows_in_proportion(spark, monkeypatch):
+    """Twice the texts of a template give about twice the candidates, not four times."""
+    counts = []
+    real = J.verify
+    monkeypatch.setattr(J, "verify", lambda pairs, docs, plan, label: (counts.append((label, pairs.count())), real(pairs, docs, plan, label))[1])
+    for n in (150, 300):
+        df = spark.createDataFrame(template_rows(random.Random(1), n, 0.75), "doc_id long, text string")
+        J.near_duplicates(df, plan=J.Plan(hot=20)).count()
+    rest = [c for label, c in counts if label == "rest"]
+    assert rest[1] <= 3 * max(rest[0], 10) and rest[1] < 300
+
+
+def test_the_last_salt_is_enough_for_any_set(spark, monkeypatch):
+    monkeypatch.setattr(J, "SALTS", 1)
+    rng = random.Random(2)
+    base = [f"w{i}" for i in range(90)]
+    docs = [(i, " ".join(edited(rng, base, 0.02))) for i in range(20)] + [(100 + i, f"a{i} b c d e f"[: 3 + i]) for i in range(8)]
+    sets = [(d, shingles(t)) for d, t in docs]
+    for _, _, buf, at in chunks(pa.array([t for _, t in docs])):
+        s, ends = J.sets_of(buf, at, 5)
+        n = np.diff(ends)
+        plan = J.Plan()
+        bands = plan.bands(int(n.max()))
+        band = np.searchsorted(bands, np.maximum(n, 1), "right") - 1
+        m, deep = plan.segments(bands, band, 0)
+        owner, seg, a, z, _, _ = J.cut(s, ends, m, 0, band)
+        assert (J.weights(owner, seg, z - a, deep, len(n)) >= plan.errors(n) + 1).all() and [len(x) for _, x in sets] == n.tolist()
+
+
 def test_threshold_is_exact(spark):
     """Sets whose Jaccard similarity is 0.8 exactly link, those just below don't."""
     words = [f"w{i}" for i in range(400)]
@@ -147,6 +197,12 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_one_of_each_of_repeated_rows(spark):
+    rows = [(1, "a b c d e f", 1), (1, "a b c d e f", 2), (2, "a b c d e f", 3), (3, None, 4), (3, None, 5), (None, "a b c d e f", 6), (None, "a b c d e f", 7)]
+    got = J.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, k int")).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in got) == [(False, 1, "a b c d e f"), (False, 3, ""), (False, 3, ""), (True, 0, "a b c d e f"), (True, 0, "a b c d e f")]
+
+
 def test_one_of_each(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").withColumnRenamed("source", "component_id")
     rows = [(r.doc_id, r.text) for r in docs.collect()]

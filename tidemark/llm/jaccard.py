@@ -20,12 +20,15 @@ link; what remains compares whole sets.
 Only connectivity is wanted, so lists aren't expanded into all pairs: each set
 is first verified against the smallest members of its lists; pairs are then
 formed only between members of a list that are not yet in one component, and
-never within the largest component of a list. No link between different
-components is lost.
+never within the largest component of a list. A list in which many members are in no
+component together (a template that texts share without linking) would give all their
+pairs; its members are matched by their rarest shingles instead. No link between
+different components is lost.
 
 Defined results: a null text, one without words or an empty one has an empty
 set and links with nothing. Rows with a null id take part in nothing and have a
-null component. Repeated ids are one node that has the links of all its rows.
+null component. Repeated ids are one node that has the links of all its rows. A very long
+text is one set of all its shingles.
 Extra columns are not returned.
 """
 
@@ -60,6 +63,8 @@ class Plan:
     share: float = 0.3
     more: int = 4
     each: int = 24
+    #: Members of a list outside its main component beyond which its pairs come from prefixes instead.
+    hot: int = 200
     most_broadcast: int = 500_000
 
     def bands(self, largest: int) -> np.ndarray:
@@ -73,11 +78,11 @@ class Plan:
         """Most shingles by which a set differs from a linked one of its size or larger."""
         return (size + size * self.q // self.p) * (self.q - self.p) // (self.q + self.p)
 
-    def segments(self, bands: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number of segments of bands, and how many of them have one-deletion neighbourhoods."""
+    def segments(self, bands: np.ndarray, band: np.ndarray, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Number of segments of bands, and how many of them have one-deletion neighbourhoods. Under the last salt nearly every shingle has one for itself, which is enough for any set."""
         upper = bands[band + 1] - 1
         m = np.ceil(self.share * upper).astype(np.int64) + self.more
-        return m, 1 + m // self.each
+        return m << 12 if salt == SALTS - 1 else m, 1 + m // self.each
 
 
 def sets_of(buf: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +151,6 @@ def measure_sets(df: DataFrame, plan: Plan) -> DataFrame:
                 h1, h2 = total(mix(s + U(11))), total(mix(s ^ U(0x5DEECE66D)))
                 bands = plan.bands(int(n.max(initial=1)))
                 band = np.searchsorted(bands, np.maximum(n, 1), "right") - 1
-                m, deep = plan.segments(bands, band)
                 salt, slack = np.full(len(n), -1), np.zeros(len(n), np.int64)
                 for k in range(SALTS):
                     todo = np.flatnonzero(whole & (salt < 0))
@@ -157,6 +161,7 @@ def measure_sets(df: DataFrame, plan: Plan) -> DataFrame:
                         ends = np.concatenate(([0], np.cumsum(n[todo])))
                     else:
                         part, ends = s, at
+                    m, deep = plan.segments(bands, band, k)
                     owner, segment, a, z, _, _ = cut(part, ends, m[todo], k, band[todo])
                     spare = weights(owner, segment, z - a, deep[todo], len(todo)) - plan.errors(n[todo]) - 1
                     done = spare >= 0
@@ -195,7 +200,7 @@ def emit(batches: Iterator[pa.RecordBatch], plan: Plan, more: dict[int, set[int]
                     else:
                         part, ends = s, at
                     of = band[use]
-                    m, deep = plan.segments(bands, of)
+                    m, deep = plan.segments(bands, of, salt)
                     owner, segment, a, z, sums, value = cut(part, ends, m, salt, of)
                     where = place(salt, of[owner], segment)
                     info = (n[use][owner] << 2) | role
@@ -267,6 +272,24 @@ def verify(pairs: DataFrame, docs: DataFrame, plan: Plan, label: str) -> DataFra
     return out
 
 
+def by_prefix(docs: DataFrame, comps: DataFrame, plan: Plan) -> DataFrame:
+    """Candidates (a, b) among the members of hot lists: of two linked sets of n shingles, the n - ceil(n p / q) + 1 rarest of each have one in common.
+
+    A list is hot where many texts share a passage and don't link. What they share is frequent among them, so
+    their rarest shingles are those that they don't share, and the lists of these are short.
+    """
+    sets = whole_sets(docs, plan).withColumn("of", F.xxhash64("shingles")).withColumn("n", F.size("shingles"))
+    each = sets.select("node", "of", "n", F.explode("shingles").alias("s"))
+    common = each.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")  # what one set has finds nothing, but is the rarest
+    ranked = each.join(common, "s", "left").withColumn("r", F.row_number().over(Window.partitionBy("node", "of").orderBy(F.coalesce("df", F.lit(1)), "s")))
+    prefix = ranked.where(F.col("df").isNotNull() & (F.col("r") <= F.col("n") - F.ceil(F.col("n") * plan.p / F.lit(float(plan.q)) - 1e-9) + 1))
+    placed = prefix.join(comps, "node", "left").select("s", "node", "n", F.coalesce("component", "node").alias("component"))
+    placed = written(placed, "prefixes")
+    x, y = placed.alias("x"), placed.alias("y")
+    sizes = F.expr(f"x.s = y.s and x.component <> y.component and x.node < y.node and x.n * {plan.p} <= y.n * {plan.q} and y.n * {plan.p} <= x.n * {plan.q}")
+    return x.join(y, sizes).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def link_classes(docs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     """(node, component) over one document of each class (rows without a link may be missing). docs: (doc_id, text); sets: of ``measure_sets`` for these documents."""
     more: dict[int, set[int]] = {}
@@ -312,9 +335,11 @@ def link_classes(docs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     # Pairs of different components, without those within the largest component of a list.
     placed = found2.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     by_part = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
-    largest = by_part.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("c", "component")).alias("main")).where("parts > 1").drop("parts")
+    largest = by_part.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("c", "component")).alias("main"), (F.sum("c") - F.max("c")).alias("others")).where("parts > 1").drop("parts")
+    largest = written(largest, "largest")
+    hot = written(placed.join(largest.where(F.col("others") > plan.hot).select("key"), "key").select(F.col("node").alias("doc_id")).distinct(), "hot")
     flagged = (
-        placed.join(largest, "key")
+        placed.join(largest.where(F.col("others") <= plan.hot).drop("others"), "key")
         .join(spare.select("node", "n", "salt", F.lit(True).alias("resolves")), ["node", "n", "salt"], "left")
         .join(chosen, ["node", "n", "segment"], "left")
         .join(maps, ["node", "n"], "left")
@@ -330,9 +355,12 @@ def link_classes(docs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     near = F.expr(f"coalesce(({differ}) * {plan.p + plan.q} <= (x.n + y.n) * {plan.q - plan.p}, true)")
     pairs = x.join(y, F.expr(f"x.key = y.key and x.component <> y.component and x.n * {plan.p} <= y.n * {plan.q} and y.n * {plan.p} <= x.n * {plan.q}") & near & ((smaller & finds("x", "y")) | (~smaller & finds("y", "x"))))
     pairs = pairs.select(F.expr("least(x.node, y.node)").alias("a"), F.expr("greatest(x.node, y.node)").alias("b")).distinct()
+    if not hot.isEmpty():
+        pairs = pairs.union(by_prefix(only(docs, hot, plan, "left_semi"), comps, plan)).distinct()
     more_links = verify(pairs, docs, plan, "rest")
-    drop(flagged)
+    drop(flagged, largest, hot)
     out = components(links.union(more_links), "components")
+    drop(links, more_links, comps)
     return out
 
 
@@ -349,6 +377,7 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     rest = only(docs.where("doc_id is not null and text is not null"), followers, plan, "left_anti")
     found = link_classes(rest, leaders.drop("class_id", "h2"), plan)
     repeated = member.where("n > 0 and doc_id <> class_id").join(leaders.select("doc_id").distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
+    drop(followers)
     if not repeated.isEmpty():  # an id with several texts that leads one class and follows in another ties them
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(repeated), "components")
     found = found.select(F.col("node").alias("class_id"), "component")
@@ -356,12 +385,19 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
 
 
 def one_of_each(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", plan: Plan = Plan()) -> DataFrame:
-    """The rows of ``df`` that are alone or lead their component; all columns unchanged. Rows without an id or words stay."""
+    """The rows of ``df`` that are alone or lead their component, one of each id and text; all columns unchanged. Rows without an id or words stay."""
     found = near_duplicates(df, text_col, id_col, plan)
     dropped = written(found.where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct(), "dropped")
-    small = dropped.count() <= plan.most_broadcast
-    key = dropped.withColumnRenamed("doc_id", "__dropped")
-    return df.join(F.broadcast(key) if small else key, df[id_col] == key["__dropped"], "left_anti")
+    twice = written(found.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
+    few = lambda ids: F.broadcast(ids) if ids.count() <= plan.most_broadcast else ids
+    key = lambda ids: few(ids.withColumnRenamed("doc_id", "__key"))
+    kept = df.join(key(dropped), df[id_col] == F.col("__key"), "left_anti")
+    if twice.isEmpty():
+        return kept
+    # Ids with several rows are few; only theirs are compared.
+    plain = kept.join(key(twice), kept[id_col] == F.col("__key"), "left_anti")
+    again = kept.join(key(twice), kept[id_col] == F.col("__key"), "left_semi")
+    return plain.unionByName(again.dropDuplicates([id_col, text_col]))
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
