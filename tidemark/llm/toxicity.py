@@ -407,8 +407,9 @@ def score(df: DataFrame, model: Model, text_col: str = "text", id_col: str = "do
         m = shared.value
         index = m.indexed()
         for b in batches:
-            for first, last, buf, offsets in chunks(b.column(1)):
-                scores, why = [], []
+            texts = b.column(1).dictionary_encode("encode")  # equal texts of a batch are scored once
+            scores, why = [], []
+            for _, _, buf, offsets in chunks(texts.dictionary):
                 found = list(m.vectors.vectors(buf, offsets))
                 for at in range(0, len(found), ROWS):
                     part = found[at : at + ROWS]
@@ -416,7 +417,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", id_col: str = "do
                         near, cosine = index.nearest(*vector, m.settings.neighbours, common)
                         scores.append(m.calibrated(share(m, near, cosine)) if len(m.toxic) else 0.0)
                         why.append([{"example": int(m.examples[i]), "similarity": float(c), "toxic": int(m.toxic[i])} for i, c in zip(near[:3], cosine[:3], strict=True)])
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, last - first), pa.array(scores, pa.float64()), pa.array(why, evidence)], ["a", "b", "c"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()).take(texts.indices), pa.array(why, evidence).take(texts.indices)], ["a", "b", "c"])
 
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double, evidence array<struct<example:bigint,similarity:double,toxic:int>>")
 
