@@ -220,6 +220,13 @@ def test_observed_counters(spark):
     assert seen.get == {"nSubmitted": 3, "nDroppedMalformedMessages": 1}
 
 
+def test_member_ids():
+    made = props.with_member_id({"a": "1"}, True, True, "inst", "op")
+    assert made == {"a": "1", "group.instance.id": props.group_instance_id("inst", "op")}
+    assert props.with_member_id({"group.instance.id": "mine"}, True, True, "inst", "op") == {"group.instance.id": "mine"}
+    assert props.with_member_id({"group.instance.id": "mine"}, True, False, "inst", "op") == {} == props.with_member_id({}, False, True, "inst", "op")
+
+
 def test_reader_counters(spark):
     at = spark.createDataFrame([("a", 0, 1), ("a", 1, 1), ("b", 0, 5)], "topic string, partition int, offset long")
     assert {r.name: r.value for r in metrics.reader_counters(at, True).collect()} == {"nAssignedPartitions": 3, "nConsumedTopics": 2, "isGroupManagementActive": 1}

@@ -18,10 +18,23 @@ def metric_value(value: Column, factor: int = 1) -> Column:
     return F.when(scaled.isNull() | F.isnan(scaled) | (scaled == float("-inf")), F.lit(0)).otherwise(F.floor(scaled + 0.5)).cast("long")
 
 
-def suppressed(errors: DataFrame, window_ms: int = 15_000, most: int = 2) -> DataFrame:
-    """errors (source, class, ts_ms) with ``in_window`` and ``suppressed``: at most ``most`` of a class within the window are passed over."""
-    w = Window.partitionBy("source", "class").orderBy("ts_ms").rangeBetween(-window_ms, 0)
-    return errors.withColumn("in_window", F.count("*").over(w)).withColumn("suppressed", F.col("in_window") <= most)
+def suppressed(errors: DataFrame, window_ms: int = 15_000, most: int = 2, data: DataFrame | None = None) -> DataFrame:
+    """errors (source, class, ts_ms) with ``in_window`` and ``suppressed``: at most ``most`` of a class within the window are passed over.
+
+    data: (source, ts_ms) of records that came in; they begin the count of their source anew. With a column
+    ``retriable`` such errors are always passed over. Errors of serialisation never are.
+    """
+    keys = ["source", "class"]
+    if data is not None:
+        both = errors.withColumn("__data", F.lit(None).cast("long")).unionByName(data.select("source", "ts_ms", F.col("ts_ms").alias("__data")), allowMissingColumns=True)
+        so_far = Window.partitionBy("source").orderBy("ts_ms", F.col("__data").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+        errors = both.withColumn("__since", F.last("__data", ignorenulls=True).over(so_far)).where("__data is null").drop("__data")
+        keys.append("__since")
+    w = Window.partitionBy(*keys).orderBy("ts_ms").rangeBetween(-window_ms, 0)
+    few = F.when(F.col("class") == "SerializationException", False).otherwise(F.col("in_window") <= most)
+    if "retriable" in errors.columns:
+        few = F.when(F.col("retriable"), True).otherwise(few)
+    return errors.withColumn("in_window", F.count("*").over(w)).withColumn("suppressed", few).drop("__since")
 
 
 def observed(df: DataFrame, name: str = "reader") -> tuple[DataFrame, Observation]:

@@ -84,6 +84,14 @@ def group_instance_id(instance: str, operator: str) -> str:
     return f"i{signed_tag(instance)}-o{signed_tag(operator)}"
 
 
+def with_member_id(props: dict[str, str], static: bool, group_managed: bool, instance: str, operator: str) -> dict[str, str]:
+    """Properties of a reader with its member id: a static member of a group has one, its own or a made one; readers of given partitions have none."""
+    key = "group.instance.id"
+    if not group_managed:
+        return {k: v for k, v in props.items() if k != key}
+    return {**props, key: group_instance_id(instance, operator)} if static and not props.get(key, "").strip() else dict(props)
+
+
 def client_id(is_source: bool, job: str | int, operator: str, given: str | None = None, channel: int = -1) -> str:
     if given is None:
         return f"{'C' if is_source else 'P'}-J{job}-{operator}"

@@ -556,6 +556,19 @@ def rebalance_diff(spark, sf_dir):
 # --- metrics ------------------------------------------------------------------------
 
 
+@query("""select event_id, in_window, case when retriable then true when class = 'SerializationException' then false else in_window <= 2 end as suppressed from (
+  select *, count(*) over (partition by source, class, since order by ts_ms range between 7200000 preceding and current row) as in_window from (
+    select e.*, (select max(d.ts_ms) from errors d where d.event_type = 'purchase' and d.source = e.source and d.ts_ms <= e.ts_ms) as since from errors e where e.event_type <> 'purchase'))
+""".replace("select event_id, in_window", """with errors as (select event_id, event_type, user_id % 5 as source, ['TimeoutException', 'SerializationException', 'AuthException'][event_id % 3 + 1] as class, event_id % 7 = 0 as retriable, epoch_us(ts) // 1000 as ts_ms from events)
+select event_id, in_window""", 1), log=False)
+def poll_error_rules(spark, sf_dir):
+    """Errors of a class are counted since the last data of their source; some classes are always or never passed over."""
+    kinds = F.array(*map(F.lit, ("TimeoutException", "SerializationException", "AuthException")))
+    e = events(spark, sf_dir).select("event_id", "event_type", (F.col("user_id") % 5).alias("source"), F.get(kinds, (F.col("event_id") % 3).cast("int")).alias("class"), (F.col("event_id") % 7 == 0).alias("retriable"), F.col("ms").alias("ts_ms"))
+    errors, data = e.where("event_type <> 'purchase'").drop("event_type"), e.where("event_type = 'purchase'").select("source", "ts_ms")
+    return metrics.suppressed(errors, 7_200_000, data=data).select("event_id", "in_window", "suppressed")
+
+
 @query("""select event_id, in_window, in_window <= 2 as suppressed from (select event_id, count(*) over (partition by user_id, event_type order by epoch_us(ts) // 1000 range between 3600000 preceding and current row) as in_window from events)""", log=False)
 def poll_exception_window(spark, sf_dir):
     e = events(spark, sf_dir).select("event_id", F.col("user_id").alias("source"), F.col("event_type").alias("class"), F.col("ms").alias("ts_ms"))
