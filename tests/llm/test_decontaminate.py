@@ -57,6 +57,86 @@ def test_few_literal_words(spark):
     assert got[1, 1].verbatim and got[2, 2].verbatim and got[3, 3].verbatim and not got[4, 1].verbatim
 
 
+NAMES = "Kim Max Ann Bob Cid Dot Eve Fay Gus Hal Ian Jo Lea Mia Ned Ora".split()
+
+
+def brute_found(doc, item, width=8, least=0.25, consistent=0.67):
+    """Whether a lower-cased template of one holds the other: windows by hand, a slot at a time."""
+
+    def template(text):
+        out, opens = [], True
+        for m in re.finditer(r"\w+|[.!?]", text):
+            w = m[0]
+            if w in ".!?":
+                opens = True
+                continue
+            kind = "N" if w.isdigit() else "U" if w.lower() in ("apples", "km", "miles") and w.lower() in D.UNITS else "P" if w[0].isupper() and not opens else ""
+            if not (kind == "P" and out and out[-1][0] == "P" and not opens):
+                out.append((kind, w.lower()))
+            opens = False
+        return out
+
+    a, b = template(doc), template(item)
+    windows = lambda t: [(i, tuple(k or w for k, w in t[i : i + width])) for i in range(len(t) - width + 1)]
+    where = {}
+    for i, w in windows(b):
+        where.setdefault(w, []).append(i)
+    shifts = {}
+    for i, w in windows(a):
+        for j in where.get(w, ()):
+            shifts.setdefault(i - j, []).append((i, j))
+    places = set()
+    for found in shifts.values():
+        zs = {j: [(b[j + k][1], a[i + k][1]) for k in range(width) if b[j + k][0]] for i, j in found}
+        count = {}
+        for z in zs.values():
+            for p in z:
+                count[p] = count.get(p, 0) + 1
+        ties = lambda p: [q for q in count if q != p and (q[0] == p[0] or q[1] == p[1]) and count[q] >= count[p]]
+        assert all(count[q] > count[p] for p in count for q in ties(p))  # the texts have no ties
+        ok = [j for j, z in zs.items() if not any(ties(p) for p in z)]
+        if len(ok) >= consistent * len(zs):
+            places |= set(ok)
+    return len(places) >= least * (len(b) - width + 1)
+
+
+def test_planted_items_with_other_values(spark):
+    """Many items re-parameterised, with consistent and with mixed-up values, against a brute-force version."""
+    import random
+
+    rng = random.Random(4)
+    words = [f"w{a}{b}" for a in "abcdefgh" for b in "klmnopq"]
+    word = lambda: "".join(c for c in rng.choice(words) if not c.isdigit())
+    items, docs = [], []
+    for k in range(30):
+        body = [rng.choice(["{a}", "{b}", "{n}"]) if rng.random() < 0.25 else word() + word() for _ in range(40)]
+        body[0] = "given"
+        text = " ".join(body)
+        make = lambda a, b, n: text.replace("{a}", a).replace("{b}", b).replace("{n}", str(n))
+        items.append((k, make("Kim", "Max", 7)))
+        docs.append((10 * k, make("Kim", "Max", 7)))
+        docs.append((10 * k + 1, "Some words stand here first . " + make(*rng.sample(NAMES, 2), rng.randint(10, 99))))
+        mixed = text
+        while "{" in mixed:
+            at = mixed.index("{")
+            mixed = mixed[:at] + (str(rng.randint(100, 10**6)) if mixed[at + 1] == "n" else rng.choice(NAMES) + rng.choice("abcdefg") * 3) + mixed[at + 3 :]
+        docs.append((10 * k + 2, mixed))
+    got = set(pairs(spark, docs, items))
+    compared = 0
+    for d, t in docs:
+        for k, item in items:
+            if d // 10 != k:
+                assert (d, k) not in got
+                continue
+            try:
+                want = brute_found(t, item)
+            except AssertionError:
+                continue  # ties are broken by hashes
+            compared += 1
+            assert ((d, k) in got) == want, (t, item)
+    assert compared >= 60 and {10 * k for k in range(30)} | {10 * k + 1 for k in range(30)} <= {d for d, _ in got}
+
+
 def test_weak_windows_take_nothing_away(spark):
     """An item mostly of numbers is still found by its worded windows alone when the numbers differ."""
     numbers = lambda k: " ".join(str(i * k) for i in range(1, 60))

@@ -21,7 +21,8 @@ than ``width`` are one window of their length. Windows with fewer than
 ``least_literal`` tokens that are no placeholders (``least_short`` for items of at
 most six tokens) have the form of too many texts: they match only with equal
 values, and an item counts by the better of its share of the others and its share
-of all. A single word is no passage. Rows without an id take no part. Repeated rows and items give one row for
+of all. A single word is no passage. A very long text has all its windows; it is a run of
+its own. Of values that meet equally often the smaller hash goes first. Rows without an id take no part. Repeated rows and items give one row for
 each pair of ids; extra columns are not returned.
 """
 
@@ -32,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bytes import DIGIT, LETTER, U, chunks, hashes, lowered, mix, spans, word_bytes
@@ -184,14 +185,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     found = template_windows(named(docs, id_col), settings, widths, bitmap)
     item = items.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "n_windows", "n_strong", "strong", "hash", F.col("slots").alias("item_slots"))
     pairs = found.drop("n_windows", "n_strong", "strong").join(item, "hash").withColumn("shift", F.col("place") - F.col("item_place"))
-    # The windows of an alignment are at most the item's: places differ within it, and repeated rows are dropped.
+    # All groups below are of one document and one item: they are dealt once, and an alignment has at most the item's windows.
     zipped = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
-    aligned = pairs.groupBy("id", "item_id", "shift", "n_windows", "n_strong").agg(F.collect_set(F.struct(F.col("item_place").alias("at"), "strong", zipped.alias("z"))).alias("w"))
-    met = aligned.withColumn("every", F.expr("flatten(transform(w, x -> x.z))"))
-    met = met.withColumn("met", F.expr("transform(array_distinct(every), p -> named_struct('i', p.i, 'd', p.d, 'c', size(filter(every, q -> q = p))))")).drop("every")
-    good = "filter(met, p -> not exists(met, q -> (q.i = p.i or q.d = p.d) and (q.c > p.c or (q.c = p.c and (q.i < p.i or (q.i = p.i and q.d < p.d))))))"
-    held = met.withColumn("good", F.expr(f"transform({good}, p -> named_struct('i', p.i, 'd', p.d))")).withColumn("ok", F.expr("filter(w, x -> size(array_except(x.z, good)) = 0)"))
-    counted = held.where(F.size("ok") >= settings.least_consistent * F.size("w")).select("id", "item_id", "n_windows", "n_strong", F.expr("transform(ok, x -> named_struct('at', x.at, 'strong', x.strong))").alias("places"), F.expr("forall(ok, x -> forall(x.z, p -> p.i = p.d))").alias("verbatim"))
+    key = ["id", "item_id", "shift", "n_windows", "n_strong"]
+    matched = pairs.select(*key, F.col("item_place").alias("at"), "strong", zipped.alias("z"), F.xxhash64(zipped).alias("zid")).repartition("id", "item_id").dropDuplicates([*key, "at", "strong", "zid"])
+    slots = matched.select(*key, "at", "strong", "zid", F.explode_outer("z").alias("p")).select(*key, "at", "strong", "zid", "p.i", "p.d")
+    over = lambda *more: Window.partitionBy(*key, *more)
+    rank = slots.withColumn("met", F.struct((-F.count("*").over(over("i", "d"))).alias("c"), "i", "d"))
+    good = F.col("i").isNull() | ((F.min("met").over(over("i")) == F.col("met")) & (F.min("met").over(over("d")) == F.col("met")))
+    judged = rank.withColumn("good", good).groupBy(*key, "at", "strong", "zid").agg(F.every("good").alias("ok"), F.every(F.coalesce(F.col("i") == F.col("d"), F.lit(True))).alias("same"))
+    held = judged.groupBy(*key).agg(
+        F.count("*").alias("n_matched"), F.count_if("ok").alias("n_ok"), F.every(~F.col("ok") | F.col("same")).alias("verbatim"),
+        F.collect_set(F.when(F.col("ok"), F.struct("at", "strong"))).alias("places"),
+    )
+    counted = held.where(F.col("n_ok") >= settings.least_consistent * F.col("n_matched"))
     best = counted.groupBy("id", "item_id", "n_windows", "n_strong").agg(F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"), F.max("verbatim").alias("verbatim"))
     best = best.withColumn("n", F.size("places")).withColumn("m", F.expr("size(filter(places, x -> x.strong))"))
     # The others alone if their share is the better one; then they are what is counted.
