@@ -8,7 +8,8 @@ Defined results: a null or empty text has no words, fails the base rule and is
 not kept; every ratio whose divisor is zero counts as 0. Rows are judged one by
 one, so repeated rows give repeated equal results and an empty table an empty
 result. Extra input columns, whatever their names, are not returned by
-``measure``; ``keep_good`` returns the input's columns unchanged.
+``measure``; ``keep_good`` returns the input's columns unchanged. A very long text is
+judged whole, in arrays of its words and lines. A value at a threshold is within it.
 """
 
 from __future__ import annotations

@@ -18,7 +18,9 @@ rows, else joined by page id).
 
 Defined results: a null html is an empty payload; a null url is ``-``; a null
 page id stays null. Rows that repeat a page id and its payload are each a record
-of the same type. Extra columns are not returned; an empty table gives no rows.
+of the same type; of equal payloads the largest page id is the response, so there are
+no ties. A very long page is one record and may make an archive of its own. Extra
+columns are not returned; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import drop, new_path, table, written
+from .shared import delete_path, drop, new_path, table, written
 
 ARCHIVE_BYTES = 8 << 20
 MOST_BROADCAST = 500_000
@@ -331,12 +333,15 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def convert_pages(df: DataFrame, most: int = ARCHIVE_BYTES, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
-    """Pages to ARC, ARC to WARC, and the WARC records read back."""
+    """Pages to ARC, ARC to WARC, and what the WARC records say when they are read back. The archives are deleted as soon as they have been read."""
     spark = df.sparkSession
     arc, warc = new_path(spark, "arc"), new_path(spark, "warc")
     pages_to_arc(df, arc, most=most)
     arc_to_warc(spark, arc, warc, most, most_broadcast)
-    return read_warc(spark, warc)
+    delete_path(spark, arc)
+    found = written(read_warc(spark, warc), "records")
+    delete_path(spark, warc)
+    return found
 
 
 def op6_warc_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
