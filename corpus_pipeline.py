@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before
 it kept. ``run`` writes each stage's rows to the shared folder as Parquet and
 rereads them, so a lost executor costs at most one stage's tasks.
+
+Defined results of all stages: an empty table gives an empty one, extra columns stay as
+they are whatever their names, very long texts are worked on whole, and rows are told
+apart as the operators' docstrings say. Repeated rows are judged alike; of those with
+one id and text the near-duplicate stage keeps one. Rows without an id stay where a
+decision needs one (near duplicates, decontamination). A null or empty text fails the
+quality rules and so goes in the first stage.
 """
 
 from __future__ import annotations
