@@ -186,7 +186,10 @@ class Model:
 
 def grouped(sums: np.ndarray, rows: np.ndarray, p: np.ndarray, few: int = 6) -> None:
     """Add the rows of p to the rows of sums that are named; rows named up to ``few`` times are added turn by turn."""
-    order = np.argsort(rows, kind="stable")
+    if len(rows) and (rows == rows[0]).all():
+        sums[rows[0]] += p.sum(axis=0)
+        return
+    order = np.argsort(rows)
     own = rows[order]
     new = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.zeros(0, np.int64)
     size = np.diff(np.append(new, len(own)))
@@ -208,7 +211,7 @@ def slopes(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     def learn(rows: np.ndarray, target: np.ndarray) -> None:
         p = model.probabilities(rows)
         for i in range(rows.shape[1]):
-            cell, n = np.unique(rows[:, i].astype(np.int64) * LEAVES + target, return_counts=True)
+            cell, n = np.unique(rows[:, i] * np.int32(LEAVES) + target.astype(np.int32), return_counts=True)
             observed[cell] += n
             grouped(recent, rows[:, i], p)
 
