@@ -35,7 +35,7 @@ def index_of(rows, *more):
     return X.Index(first, np.concatenate([at for at, _ in rows]).astype(np.int32), np.concatenate([w for _, w in rows]).astype(np.float32), *more)
 
 
-def test_index_is_exact():
+def test_index_is_exact(monkeypatch):
     rng = np.random.default_rng(0)
     rows = []
     for i in range(700):
@@ -45,7 +45,8 @@ def test_index_is_exact():
     dense = np.zeros((700, 200))
     for i, (at, w) in enumerate(rows):
         dense[i, at] = w
-    for common, block in ((0, 8), (16, 64), (200, 16), (16, 1000)):
+    for common, block, short in ((0, 8, 0), (16, 64, 5), (200, 16, 64), (16, 1000, 64), (0, 64, 20)):
+        monkeypatch.setattr(X, "SHORT", short)
         index = index_of(rows, 200, common, block)
         for i, (at, w) in enumerate(rows[:150]):
             for without in (-1, i):
@@ -59,16 +60,17 @@ def test_index_is_exact():
 
 def test_blocks_are_passed_over():
     """Rare words decide: few blocks are read, and the neighbours are still exact."""
-    rows = [(np.array([i // 8, 300]), np.array([0.99, 0.14])) for i in range(1600)]
+    heavy = lambda i: 0.99 if i % 128 < 32 else 0.2
+    rows = [(np.array([i // 128, 300]), np.array([heavy(i), 0.1])) for i in range(1600)]
     index = index_of(rows, 301, 1, 16)
     read = []
     real = X.ranges
     X.ranges = lambda a, b: (read.append(int((b - a).sum())), real(a, b))[1]
     try:
-        at, cosine = index.nearest(np.array([7, 300]), np.array([0.99, 0.14]), 8)
+        at, cosine = index.nearest(np.array([7, 300]), np.array([0.99, 0.1]), 8)
     finally:
         X.ranges = real
-    assert at.tolist() == list(range(56, 64)) and np.allclose(cosine, 0.99**2 + 0.14**2, atol=1e-4) and sum(read[1:]) < 100
+    assert at.tolist() == list(range(896, 904)) and np.allclose(cosine, 0.99**2 + 0.1**2, atol=1e-4) and 0 < sum(read) < 100
 
 
 def tokens_of(text):

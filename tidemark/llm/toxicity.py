@@ -12,7 +12,7 @@ in a text's length only, with phi 0 and a document frequency from a table of
 ``BUCKETS`` hashed counts; df of all others is exact.
 *Index*: examples in blocks. For each term and block with it there are the largest
 weight and the list of the block's weights; the ``common`` terms with the longest
-lists are dense columns instead. A query adds up the blocks' bounds, reads the best
+lists are dense columns instead, and lists of up to ``SHORT`` examples are read whole. A query adds up the blocks' bounds, reads the best
 blocks, and then all whose bound reaches the last of the neighbours found: the
 neighbours and their cosines are exact.
 *Score*: votes weighted by distance, then a logistic calibration fitted on the
@@ -42,6 +42,7 @@ from .shared import drop, fresh, table, written
 PREFIXES = (4, 5, 6, 7, 8)  # in bytes of UTF-8
 BUCKETS = 1 << 18  # hashed counts of terms that no example has
 PIECE = 512  # counts in a row of sums
+SHORT = 64  # lists up to this length, half a block, are read whole: their bounds would cost as much
 ROWS = 256  # texts that are multiplied with the dense columns at once
 
 
@@ -230,6 +231,8 @@ class Index:
         self.of_block = self.place[new] // block
         self.start, self.end = new, np.append(new[1:], len(key)) if len(new) else new
         self.first = np.searchsorted(term[new], np.arange(n_terms + 1))  # where each term's blocks begin
+        self.lists = np.searchsorted(term, np.arange(n_terms + 1))  # and its list
+        self.short = often <= SHORT
 
     def common_scores(self, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """What the dense columns add to the cosines of each query with every example."""
@@ -245,7 +248,12 @@ class Index:
             return np.zeros(0, np.int64), np.zeros(0)
         score = (self.common_scores([(at, w)])[0] if common is None else common).astype(float)
         rare = self.column[at] < 0
-        at, w = at[rare], w[rare]
+        short = rare & self.short[at]
+        start, end = self.lists[at[short]], self.lists[at[short] + 1]
+        post = ranges(start, end)
+        score += np.bincount(self.place[post], self.weights[post] * np.repeat(w[short], end - start), len(score))
+        long = rare & ~short
+        at, w = at[long], w[long]
         listed = ranges(self.first[at], self.first[at + 1])
         of = self.of_block[listed]
         q = np.repeat(w, self.first[at + 1] - self.first[at])
