@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("quality", "tokens", "urls", "html", "warc", "jaccard", "toxicity", "lm", "decontaminate", "trie", "search")
+MODULES = ("quality", "tokens", "urls", "html", "warc", "jaccard", "toxicity", "lm", "decontaminate", "trie", "search", "idfile")
 
 
 def queries() -> dict:
