@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tidemark.llm import idfile as I
 from tidemark.llm import mixing as M
 
-TEXTS = ["", "a", " A  b\n", "Hello WORLD's <|endoftext|> x<|startoftext|>y 12345", "x" * 5000, "é é ́a ΣΑΣ İ", "日本 語 😀", "\t\x0b\x0c \x1c\x85\xa0 z", "the the the " * 4000, "don't 've"]
+TEXTS = ["", "a", " A  b\n", "Hello WORLD's <|endoftext|> x<|startoftext|>y 12345", "x" * 5000, "é é ́a ΣΑΣ İ", "日本 語 😀", "\t\x0b\x0c \x1c\x85\xa0 z", "the the the " * 4000, "don't 've a.b,C-(d) <|ENDOFTEXT|> I'M.'s"]
 
 
 @functools.cache
@@ -24,7 +24,7 @@ def library(text):
     return tokenizer().encode(text or "", add_special_tokens=False).ids
 
 
-@given(st.lists(st.text(alphabet="abAB1'.s \n\t\x0b\x0c\x1c\x85\xa0é́Σςİ😀<|endoftx>", max_size=40), min_size=1, max_size=6))
+@given(st.lists(st.text(alphabet="abAB1'.,-()s \n\t\x0b\x0c\x1c\x85\xa0é́Σςİ😀<|endoftx>", max_size=40), min_size=1, max_size=6))
 @settings(max_examples=200, deadline=None)
 def test_words_are_encoded_as_whole_texts_are(texts):
     w = I.words(I.VOCABULARY)

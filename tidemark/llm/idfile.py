@@ -15,10 +15,10 @@ own. A reader gets a whole file and decodes its blocks side by side. Where a doc
 starts in the corpus follows from sums over the files, in two steps, so no task lists
 all of them.
 
-The text side runs the tokenizers library. A vocabulary that splits at white space
-and drops it (checked in its file) encodes different words once: a worker keeps the ids
-of words of up to ``LONGEST`` bytes in two-way slots by their 64-bit hashes, of a fixed number; other
-vocabularies get whole texts.
+The text side runs the tokenizers library. A vocabulary that lowers case, splits at
+white space, drops it and splits letters from marks (checked in its file) encodes
+different words once: a worker keeps the ids of words of up to ``LONGEST`` bytes in two-way
+slots by their 64-bit hashes, of a fixed number; other vocabularies get whole texts.
 
 Defined results: a null or empty text has the end id alone. Documents come by id, those
 without one first, then by their text's hash and length; repeated rows are documents of
@@ -50,7 +50,10 @@ END_ID = 2
 #: Ids in a file and in a block.
 MOST_IDS, BLOCK_IDS = 8_000_000, 2048
 #: Slots for known words, their longest, and ids that are kept for them.
-SLOTS, LONGEST, POOL = 1 << 20, 64, 1 << 24
+SLOTS, LONGEST, POOL = 1 << 21, 64, 1 << 24
+#: An ASCII letter and one of these marks never share a match of the split pattern, nor a special token.
+_LETTER = B.LETTER & (np.arange(256) < 0x80)
+_MARK = np.isin(np.arange(256), np.frombuffer(b'.,;:!?()"-', np.uint8))
 MAGIC, END = b"TDMKIDS1", b"TDMK.\n"
 HEADER = struct.Struct("<8sqqqqqq")
 BLOCK = struct.Struct("<IIII")
@@ -79,7 +82,8 @@ class Words:
         self.library = lambda texts: [x.ids for x in tok.encode_batch_fast(texts, add_special_tokens=False)]
         # White space parts words where the split pattern drops it, and no normalisation joins across it.
         steps = tok.pre_tokenizer.__getstate__().decode() if tok.pre_tokenizer else ""
-        self.parted = r"[^\\s\\p{L}\\p{N}]+" in steps and '"Removed"' in steps and '"invert":true' in steps and "Metaspace" not in steps
+        # So do letters and marks, and case is none of what is left then.
+        self.parted = "Lowercase" in (tok.normalizer.__getstate__().decode() if tok.normalizer else "") and r"[^\\s\\p{L}\\p{N}]+" in steps and '"Removed"' in steps and '"invert":true' in steps and "Metaspace" not in steps
         self.forget()
 
     def forget(self) -> None:
@@ -106,7 +110,12 @@ class Words:
                 yield np.fromiter((i for x in found for i in x), np.int32), np.array([len(x) for x in found], np.int64)
             return
         for _, _, buf, offsets in B.chunks(column):
-            first, last, index = B.spans(buf, offsets)
+            if b"<|" not in buf.tobytes():  # the normaliser does the same; special tokens are matched before it
+                buf = B.LOWER[buf]
+            letter, mark = _LETTER[buf], _MARK[buf]
+            change = np.flatnonzero((letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])) + 1
+            first, last, _ = B.spans(buf, np.union1d(offsets, change))
+            index = np.searchsorted(first, offsets)
             if self.used > POOL:
                 self.forget()
             starts, sizes = self._words(buf, first, last)
@@ -150,14 +159,15 @@ def words(vocabulary: str) -> Words:
 
 def packed(part: int, number: int, doc_ids: np.ndarray, named: np.ndarray, sizes: np.ndarray, ids: np.ndarray, block: int = BLOCK_IDS) -> bytes:
     """A file of the ids of some documents."""
-    different, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-counts, kind="stable")
-    rank = np.empty(len(order), np.uint32)
-    rank[order] = np.arange(len(order), dtype=np.uint32)
-    ranks = rank[inverse]
+    counts = np.bincount(ids)
+    different = np.flatnonzero(counts)
+    different = different[np.argsort(-counts[different], kind="stable")]
+    rank = np.zeros(len(counts), np.uint32)
+    rank[different] = np.arange(len(different), dtype=np.uint32)
+    ranks = rank[ids]
     cut = range(0, len(ids), block)
     payloads = mixing.encode([ranks[i : i + block] for i in cut])
-    squeezed = [zlib.compress(x) for x in (different[order].astype("<u4").tobytes(), doc_ids.astype("<i8").tobytes() + named.astype(np.uint8).tobytes() + sizes.astype("<i8").tobytes())]
+    squeezed = [zlib.compress(x) for x in (different.astype("<u4").tobytes(), doc_ids.astype("<i8").tobytes() + named.astype(np.uint8).tobytes() + sizes.astype("<i8").tobytes())]
     out = [HEADER.pack(MAGIC, part, number, len(doc_ids), len(ids), len(different), block)]
     for x in squeezed:
         out += [struct.pack("<I", len(x)), x]

@@ -30,7 +30,7 @@ _32, _16 = U64(32), U64(16)
 _LOW32 = U64(2**32 - 1)
 #: Bits of the order-0 table's total, its least frequency and its rate; bits of the prediction tables of orders 1 and 2.
 TOTAL, LEAST, RATE = 14, 2, 5
-SLOTS1, SLOTS2 = 11, 12
+SLOTS1, SLOTS2 = 10, 11
 MOST_IDS = (1 << 16) - 1
 
 
@@ -69,7 +69,7 @@ class Encoder:
         self.low[:n], self.range[:n] = low, rng
 
     def emit(self, lanes, low):
-        self.out.append((lanes, (low >> _32).astype(U32)))
+        self.out.append((lanes.astype(np.int32), (low >> _32).astype(U32)))
 
     def choose(self, n, first, second, answer):
         """0, 1 or 2 for each of the first n lanes; first, second: frequencies of 0 and 1 out of 2**16."""
