@@ -250,8 +250,9 @@ def test_progress_log(spark, tmp_path):
 
 
 def test_every_partition_has_one_member(spark):
-    parts = spark.createDataFrame([(t, p) for t in "abc" for p in range(7)], "topic string, partition int")
+    log = spark.createDataFrame([(t, p, 10 * p) for t in "abc" for p in range(7)] * 2, "topic string, partition int, timestamp_ms long")
     for n in (1, 3, 10):
-        for how in (assign.round_robin, assign.ranges):
-            got = how(parts, spark.range(n).select(F.concat(F.lit("m"), F.col("id")).alias("member"))).collect()
-            assert len(got) == 21 and len({(r.topic, r.partition) for r in got}) == 21
+        for how in (assign.by_hash(n), assign.by_range(n, 7)):
+            got = assign.load(log, how).collect()
+            assert sum(r.n_partitions for r in got) == 21 and sum(r.n_records for r in got) == 42 and {r.member for r in got} <= set(range(n))
+    assert {(r.before, r.after) for r in assign.moved(log, assign.by_range(7, 7), assign.by_range(1, 7)).collect()} == {(p, 0) for p in range(7)}

@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 from tidemark import queries as Q
 from tidemark.functions import control_messages
 from tidemark.operators import offsets
-from tidemark.plans.spec import ConsumerSpec, Region, SinkSpec, StartPosition
+from tidemark.plans.spec import ConsumerSpec, Region, StartPosition
 from tidemark.sources import log as logs
 from tidemark.streaming import subscriptions, transactions
 from tidemark.streaming.delivery import Delivery
-from tidemark.streaming.writer import LogWriter
 
 
 def run(d: Delivery) -> None:
@@ -164,54 +163,6 @@ def test_start_at_end_reads_only_later_records(spark, sf, tmp_path):
     assert d.delivered().count() == log.where("topic = 'click' and offset >= 20").count()
 
 
-ROWS = "event_id long, topic string, key int, message string, messageTimestamp long"
-
-
-@pytest.mark.parametrize("transactional", [True, False])
-def test_log_writer(spark, tmp_path, monkeypatch, transactional):
-    """A failed try is repeated as a new generation, a replay replaces its batch, offsets go on, failed rows are told."""
-    spec = SinkSpec(transactional=transactional, flush=4, guarantee_ordering=True, max_generations=2, errors_only=False)
-    w = LogWriter(spark, spec, str(tmp_path / "w"), ["event_id"], 2)
-    rows = spark.createDataFrame([(i, ["a", "b", None][i % 3], i % 5, f"m{i}", 1000 + i) for i in range(30)], ROWS)
-    real = transactions.begin
-    tries = []
-
-    def once_broken(*a):
-        tries.append(1)
-        if len(tries) == 1:
-            raise OSError("broken")
-        return real(*a)
-
-    monkeypatch.setattr(transactions, "begin", once_broken)
-    w.write(rows, 0)
-    assert w.counters == {"nFailedTuples": 10, "producerGeneration": 2}
-    w.write(rows, 0)
-    w.write(rows.withColumn("messageTimestamp", F.col("messageTimestamp") + 100), 1)
-    log = w.log()
-    assert log.count() == 40 and {(r.lo, r.hi, r.n) for r in log.groupBy("topic", "partition").agg(F.min("offset").alias("lo"), (F.max("offset") + 1).alias("hi"), F.count("*").alias("n")).collect()} == {(0, r.log_end, r.log_end) for r in w.ends().where("batch = '1'").collect()}
-    assert log.where("timestamp_ms < 1100").agg(F.max("offset")).first()[0] < log.where("timestamp_ms >= 1100").agg(F.max("offset")).first()[0]
-    told = w.status()
-    assert told.count() == 60 and told.where("failureDescription is not null").count() == 20
-    files = list((tmp_path / "w/log/data/txn_id=0").glob("part-*"))
-    assert len(files) >= 5  # at most four records a file
-    with pytest.raises(OSError):
-        monkeypatch.setattr(transactions, "begin", lambda *a: (_ for _ in ()).throw(OSError("broken")))
-        w.write(rows, 2)
-    assert w.log().count() == 40
-
-
-def test_log_writer_as_a_stream(spark, sf, tmp_path):
-    e = Q.rows_to_write(spark, sf)
-    e.repartition(3).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    w = LogWriter(spark, SinkSpec(transactional=True), str(tmp_path / "w"), ["event_id"], 3)
-    q = w.start(stream)
-    q.awaitTermination(120)
-    assert q.exception() is None
-    log = w.log()
-    assert log.count() == e.count() == log.select("topic", "partition", "offset").distinct().count()
-
-
 def test_transactions(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(5)

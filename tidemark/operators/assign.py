@@ -1,45 +1,33 @@
-"""Assignment of partitions to the members of a group, as window queries, and the difference of two assignments.
+"""What a group's readers would each read: the log grouped by a rule that gives a topic partition its reader.
 
-These show which rows a member of a group would read; Spark itself deals partitions to tasks.
-Their windows have one group and the join with the number of members no key: the
-relations have a row for each member or topic partition of a group, thousands at most,
-and never a row for a record.
+The rules are expressions, so they cost one aggregate over the log, whatever the numbers of partitions and readers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.sink import hashed
 
-def _members(members: DataFrame) -> DataFrame:
-    """(member, m, n): the members in order and their number; a group's members are few."""
-    every = Window.partitionBy(F.lit(0))
-    return members.distinct().select("member", (F.row_number().over(every.orderBy("member")) - 1).alias("m"), F.count("*").over(every).alias("n"))
 
+def by_hash(members: int, topic: str = "topic", partition: str = "partition") -> Column:
+    """The reader of a partition by its name's hash: topics spread over all readers."""
+    return hashed(F.concat(F.col(topic), F.lit("-"), F.col(partition).cast("string")), F.lit(members))
 
-def round_robin(partitions: DataFrame, members: DataFrame) -> DataFrame:
-    """(member, topic, partition): all partitions in order, dealt in turn."""
-    m = _members(members)
-    n = m.agg(F.max("n").alias("n"))
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("topic", "partition")) - 1
-    return partitions.select("topic", "partition").distinct().withColumn("k", place).join(n).withColumn("m", F.col("k") % F.col("n")).join(m.drop("n"), "m").select("member", "topic", "partition")
 
+def by_range(members: int, n_partitions: int, partition: str = "partition") -> Column:
+    """The reader of a partition by its number: each topic is cut into as many runs as there are readers."""
+    return F.floor(F.col(partition) * members / n_partitions).cast("int")
 
-def ranges(partitions: DataFrame, members: DataFrame) -> DataFrame:
-    """(member, topic, partition): each topic's partitions in runs; the first members get one more where they don't divide."""
-    m = _members(members)
-    n = m.agg(F.max("n").alias("n"))
-    topic = Window.partitionBy("topic")
-    parts = partitions.select("topic", "partition").distinct().select("topic", "partition", (F.row_number().over(topic.orderBy("partition")) - 1).alias("k"), F.count("*").over(topic).alias("total")).join(n)
-    each, more = F.floor(F.col("total") / F.col("n")), F.col("total") % F.col("n")
-    cut = more * (each + 1)
-    owner = F.when(F.col("k") < cut, F.floor(F.col("k") / (each + 1))).otherwise(more + F.floor((F.col("k") - cut) / F.greatest(each, F.lit(1))))
-    return parts.withColumn("m", owner).join(m.drop("n"), "m").select("member", "topic", "partition")
 
+def load(log: DataFrame, member: Column) -> DataFrame:
+    """(member, n_partitions, n_records, first_ms, last_ms) of every reader that has anything to read."""
+    each = log.groupBy("topic", "partition").agg(F.count("*").alias("n"), F.min("timestamp_ms").alias("a"), F.max("timestamp_ms").alias("z"))
+    return each.groupBy(member.alias("member")).agg(F.count("*").alias("n_partitions"), F.sum("n").alias("n_records"), F.min("a").alias("first_ms"), F.max("z").alias("last_ms"))
 
-def difference(before: DataFrame, after: DataFrame) -> DataFrame:
-    """(member, topic, partition, change): revoked, assigned or kept."""
-    keys = ["member", "topic", "partition"]
-    joined = before.withColumn("b", F.lit(True)).join(after.withColumn("a", F.lit(True)), keys, "full")
-    return joined.select(*keys, F.when(F.col("a").isNull(), "revoked").when(F.col("b").isNull(), "assigned").otherwise("kept").alias("change"))
+
+def moved(log: DataFrame, before: Column, after: Column) -> DataFrame:
+    """(before, after, n_partitions, n_records): what goes from reader to reader when the rule changes."""
+    each = log.groupBy("topic", "partition").agg(F.count("*").alias("n"))
+    return each.groupBy(before.alias("before"), after.alias("after")).agg(F.count("*").alias("n_partitions"), F.sum("n").alias("n_records"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import offsets
 from tidemark.plans.spec import NO_SEEK
 
 MESSAGE = "action string, topics array<struct<topic:string>>, topicPartitionOffsets array<struct<topic:string,`partition`:string,`offset`:string>>"
@@ -70,3 +71,31 @@ def subscriptions(accepted: DataFrame) -> DataFrame:
 def failed(accepted: DataFrame) -> DataFrame:
     """(consumer, n_failed): messages that were errors, of no kind, or not allowed in the reader's mode."""
     return accepted.groupBy("consumer").agg(F.count_if(~F.col("accepted")).alias("n_failed"))
+
+
+def commits(accepted: DataFrame, delivered: DataFrame, positions: DataFrame) -> DataFrame:
+    """(consumer, seq, topic, partition, action, offset): what a reader commits when a message adds or removes partitions.
+
+    An added partition is committed at once, at the position that its offset or sentinel stands for; a removed one with
+    what was delivered of it since it was added, if it was assigned and anything came.
+    delivered: (consumer, at, topic, partition, offset), the next offset after what was delivered up to ``at``, in the
+    order of ``seq`` and before a message of the same number; a row for each batch and partition.
+    positions: (topic, partition, log_begin, log_end, position), the position without a seek.
+    """
+    key = ["consumer", "topic", "partition"]
+    each = accepted.where("accepted and mode = 'ASSIGNED'").select("consumer", "seq", F.col("kind").startswith("ADD_").alias("add"), F.posexplode("partitions").alias("i", "p"))
+    # Of a partition that a message names twice the last counts.
+    actions = each.groupBy("consumer", "seq", F.col("p.topic").alias("topic"), F.col("p.partition").alias("partition"), "add").agg(F.max_by("p.offset", "i").alias("requested"))
+    none = lambda kind: F.lit(None).cast(kind)
+    events = actions.select(*key, "seq", F.lit(1).alias("turn"), "add", "requested", none("long").alias("next")).unionByName(
+        delivered.select(*key, F.col("at").alias("seq"), F.lit(0).alias("turn"), none("boolean").alias("add"), none("long").alias("requested"), F.col("offset").alias("next"))
+    )
+    # A removal ends a span of messages about a partition; what comes before the first addition of a span isn't the reader's.
+    before = Window.partitionBy(*key).orderBy("seq", "turn").rowsBetween(Window.unboundedPreceding, -1)
+    spans = events.withColumn("span", F.coalesce(F.count_if(~F.col("add")).over(before), F.lit(0)))
+    so_far = Window.partitionBy(*key, "span").orderBy("seq", "turn").rowsBetween(Window.unboundedPreceding, -1)
+    known = spans.withColumn("assigned", F.coalesce(F.max(F.coalesce("add", F.lit(False))).over(so_far), F.lit(False)))
+    known = known.withColumn("reached", F.last(F.when(F.col("assigned"), F.col("next")), ignorenulls=True).over(so_far))
+    added = known.where("add").join(positions, ["topic", "partition"], "left").select(*key, "seq", F.lit("ADD").alias("action"), offsets.seek(F.col("requested"), F.col("position")).alias("offset"))
+    removed = known.where("not add and assigned and reached is not null").select(*key, "seq", F.lit("REMOVE").alias("action"), F.col("reached").alias("offset"))
+    return added.unionByName(removed).select("consumer", "seq", "topic", "partition", "action", "offset")

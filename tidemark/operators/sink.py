@@ -23,35 +23,64 @@ def by_integer_key(key: Column, value: Column, n: Column) -> Column:
 
 def by_hash(key: Column, value: Column, n: Column) -> Column:
     """Keyed rows by the hash of the key; rows without a key are spread by their value. It is one that other engines have, too, so they find a key's partition."""
-    return (F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), value.cast("string")).cast("binary")), 1, 8), 16, 10).cast("long") % n.cast("long")).cast("int")
+    return hashed(F.coalesce(key.cast("string"), value.cast("string")), n)
+
+
+def hashed(text: Column, n: Column) -> Column:
+    return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % n.cast("long")).cast("int")
+
+
+def partitions_of(topic: Column, n_partitions: int | DataFrame) -> Column:
+    """How many partitions a topic has; null of an unknown one. A table (topic, n_partitions), a row for each topic, becomes part of the plan."""
+    if isinstance(n_partitions, int):
+        return F.lit(n_partitions)
+    known = [x for r in n_partitions.select("topic", "n_partitions").collect() for x in (F.lit(r.topic), F.lit(r.n_partitions).cast("int"))]
+    return F.try_element_at(F.create_map(*known), topic) if known else F.lit(None).cast("int")
+
+
+def _routes(df: DataFrame, spec: SinkSpec, n_partitions: int | DataFrame, partitioner: Partitioner) -> Column:
+    """The records of a row, one for each of its topics, with ``failure`` and ``reason`` where one can't be written."""
+    bound = spec.bind(df.schema)
+    kind = lambda role: _KIND[type(df.schema[bound[role]].dataType)]
+    role = lambda name, default: F.col(bound[name]) if name in bound else F.lit(None).cast(default)
+    time, k, v = role("timestamp_ms", "long"), role("key", "string"), F.col(bound["message"])
+    key = serde.encode(k, kind("key")) if "key" in bound else F.lit(None).cast("binary")
+
+    def record(topic: Column) -> Column:
+        n = partitions_of(topic, n_partitions)
+        # A row without key and value is spread by its time: a replay finds the same partition, which taking turns wouldn't.
+        place = F.coalesce(role("partition", "int"), partitioner(k, v, n), hashed(F.coalesce(time.cast("string"), F.lit("")), n))
+        failure = (
+            F.when(topic.isNull() | (topic == ""), F.struct(F.lit("InvalidTopicException").alias("f"), F.lit("the row names no topic").alias("r")))
+            .when(n.isNull(), F.struct(F.lit("UnknownTopicOrPartitionException").alias("f"), F.lit("the topic isn't known").alias("r")))
+            .when(place.isNull() | (place < 0), F.struct(F.lit("IllegalArgumentException").alias("f"), F.concat(F.lit("there is no partition "), F.coalesce(place.cast("string"), F.lit("null"))).alias("r")))
+            .when(place >= n, F.struct(F.lit("UnknownTopicOrPartitionException").alias("f"), F.concat(F.lit("there is no partition "), place.cast("string")).alias("r")))
+        )
+        return F.struct(topic.alias("topic"), place.alias("partition"), time.alias("timestamp_ms"), key.alias("key"), serde.encode(v, kind("message")).alias("value"), failure["f"].alias("failure"), failure["r"].alias("reason"))
+
+    return F.array(*[record(F.lit(t)) for t in spec.topics]) if spec.topics else F.array(record(F.col(bound["topic"])))
+
+
+def verdicts(df: DataFrame, spec: SinkSpec, n_partitions: int | DataFrame = 1, partitioner: Partitioner = by_hash, keep: list[str] | None = None) -> DataFrame:
+    """(topic, partition, timestamp_ms, key, value, failure, reason) of every row and topic: ``failure`` is null where the record is written, so none gets lost.
+
+    keep: columns of the rows that stay, in front.
+    """
+    return df.select(*(keep or []), F.explode(_routes(df, spec, n_partitions, partitioner)).alias("__record")).select(*(keep or []), "__record.*")
+
+
+def routed(df: DataFrame, spec: SinkSpec, n_partitions: int | DataFrame = 1, partitioner: Partitioner = by_hash) -> DataFrame:
+    """(row, records): each row as a struct, with its records as an array, as the data source writes them."""
+    return df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), _routes(df, spec, n_partitions, partitioner).alias("records"))
 
 
 def produce(df: DataFrame, spec: SinkSpec, n_partitions: int | DataFrame = 1, partitioner: Partitioner = by_hash) -> DataFrame:
     """(topic, partition, timestamp_ms, key, value) of the records to write; each row gives one for each of its topics.
 
     Topics of the description come before a column of topics. A row's own partition comes before the partitioner.
-    n_partitions: the same for all topics, or a table (topic, n_partitions).
+    n_partitions: the same for all topics, or a table (topic, n_partitions). What can't be written is in ``verdicts``.
     """
-    bound = spec.bind(df.schema)
-    kind = lambda role: _KIND[type(df.schema[bound[role]].dataType)]
-    topics = F.explode(F.array(*map(F.lit, spec.topics))) if spec.topics else F.col(bound["topic"])
-    null = F.lit(None)
-    rows = df.select(
-        topics.alias("topic"),
-        (F.col(bound["partition"]) if "partition" in bound else null.cast("int")).alias("own_partition"),
-        (F.col(bound["timestamp_ms"]) if "timestamp_ms" in bound else null.cast("long")).alias("timestamp_ms"),
-        (F.col(bound["key"]) if "key" in bound else null.cast("string")).alias("k"),
-        F.col(bound["message"]).alias("v"),
-    )
-    if isinstance(n_partitions, int):
-        rows = rows.withColumn("n_partitions", F.lit(n_partitions))
-    else:
-        rows = rows.join(n_partitions, "topic")
-    return rows.select(
-        "topic", F.coalesce("own_partition", partitioner(F.col("k"), F.col("v"), F.col("n_partitions"))).alias("partition"), "timestamp_ms",
-        (serde.encode(F.col("k"), kind("key")) if "key" in bound else F.lit(None).cast("binary")).alias("key"),
-        serde.encode(F.col("v"), kind("message")).alias("value"),
-    )
+    return verdicts(df, spec, n_partitions, partitioner).where("failure is null").drop("failure", "reason")
 
 
 def classify(errors: DataFrame) -> DataFrame:

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import control_messages, serde
 from tidemark.operators import assign, control, metrics, offsets, sink
 from tidemark.plans.spec import ConsumerSpec, SinkSpec, StartPosition
+from tidemark.sources import datasource, reader, scratch, segments
 from tidemark.sources import log as logs
-from tidemark.sources import reader
+from tidemark.streaming.writer import LogWriter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -285,6 +286,39 @@ def producer_default_partitioner(spark, sf_dir):
     return out.groupBy("topic", serde.decode(F.col("key"), "int32").cast("long").alias("key"), "partition").agg(F.count("*").alias("n"))
 
 
+#: Topics with their partitions; "view" isn't known.
+PARTITIONS = [("click", 2), ("error", 3), ("purchase", 4), ("signup", 1), ("other", 3)]
+
+
+@query("""with r as (select event_id, unnest([nullif(case event_id % 13 when 0 then '' when 1 then null else event_type end, 'x'), 'other']) as topic, unnest([0, 1]) as k,
+    case when event_id % 5 = 0 then cast(event_id % 7 - 2 as int) end as own, case when event_id % 3 <> 0 then cast(user_id as varchar) end as key, case when event_id % 2 = 0 then props end as message, epoch_us(ts) // 1000 as ms from events),
+  p as (select * from (values ('click', 2), ('error', 3), ('purchase', 4), ('signup', 1), ('other', 3)) t(topic, n)),
+  j as (select r.*, n, coalesce(own, cast(('0x' || substr(md5(coalesce(key, message, cast(ms as varchar))), 1, 8)) as bigint) % n) as place from r left join p using (topic))
+  select event_id, k as "copy", coalesce(topic, '(null)') as topic, case when n is null or topic is null or topic = '' or place < 0 or place >= n then null else cast(place as int) end as "partition",
+    case when topic is null or topic = '' then 'InvalidTopicException' when n is null then 'UnknownTopicOrPartitionException' when place < 0 then 'IllegalArgumentException' when place >= n then 'UnknownTopicOrPartitionException' end as failure from j""", log=False)
+def producer_verdicts(spark, sf_dir):
+    """Every row and topic is written or has a failure: null, empty and unknown topics, partitions out of range, rows without key and value."""
+    i = F.col("event_id")
+    rows = events(spark, sf_dir).select(
+        "event_id", F.when(i % 13 == 0, "").when(i % 13 != 1, F.col("event_type")).alias("topic"), F.when(i % 5 == 0, i % 7 - 2).cast("int").alias("partition"),
+        F.when(i % 3 != 0, F.col("user_id").cast("string")).alias("key"), F.when(i % 2 == 0, F.col("props")).alias("message"), F.col("ms").alias("messageTimestamp"),
+    )
+    known = spark.createDataFrame(PARTITIONS, "topic string, n_partitions int")
+    own = sink.verdicts(rows, SinkSpec(), known, keep=["event_id"]).withColumn("copy", F.lit(0))
+    other = sink.verdicts(rows.drop("topic"), SinkSpec(topics="other"), known, keep=["event_id"]).withColumn("copy", F.lit(1))
+    both = own.unionByName(other)
+    return both.select("event_id", "copy", F.coalesce("topic", F.lit("(null)")).alias("topic"), F.when(F.col("failure").isNull(), F.col("partition")).alias("partition"), "failure")
+
+
+@query("""select topic, cast(cast(('0x' || substr(md5(coalesce(case when event_id % 3 <> 0 then cast(user_id as varchar) end, case when event_id % 2 = 0 then props end, cast(epoch_us(ts) // 1000 as varchar))), 1, 8)) as bigint) % 3 as int) as "partition", count(*) as n, count(*) filter (event_id % 6 = 3) as n_bare
+  from (select *, event_type as topic from events) group by 1, 2""", log=False)
+def producer_tombstones_without_key(spark, sf_dir):
+    """Rows with neither key nor value keep their place in the log."""
+    i = F.col("event_id")
+    rows = events(spark, sf_dir).select(F.col("event_type").alias("topic"), F.when(i % 3 != 0, F.col("user_id").cast("string")).alias("key"), F.when(i % 2 == 0, F.col("props")).alias("message"), F.col("ms").alias("messageTimestamp"))
+    return sink.produce(rows, SinkSpec(), 3).groupBy("topic", "partition").agg(F.count("*").alias("n"), F.count_if(F.col("key").isNull() & F.col("value").isNull()).alias("n_bare"))
+
+
 def write_failures(spark, sf_dir):
     """Every 17th row fails on its topic, every 34th also on a second one later."""
     e = events(spark, sf_dir).where("event_id % 17 = 0")
@@ -336,6 +370,77 @@ def error_classification(spark, sf_dir):
     return sink.attempts(sink.classify(e)).groupBy("in_region", "has_status", "retriable", "category", "outcome").agg(F.count("*").alias("n"))
 
 
+# --- segments and the data source ---------------------------------------------------
+
+
+def segment_log(spark, sf_dir) -> str:
+    """The log in two writes, as segments with a manifest."""
+    path, log = scratch.new_folder(spark, "log"), events_log(spark, sf_dir)
+    segments.append(log.where(F.col("timestamp_ms") < START_TIME), path, "old")
+    segments.append(log.where(F.col("timestamp_ms") >= START_TIME), path, "new")
+    datasource.register(spark)
+    return path
+
+
+def from_source(spark, sf_dir, **options) -> DataFrame:
+    return per_partition(spark.read.format("tidemark").options(path=segment_log(spark, sf_dir), isolation="read_uncommitted", **options).load())
+
+
+@query('select topic, "partition", log_begin, log_end from ext')
+def segment_extents(spark, sf_dir):
+    """From the manifest alone."""
+    return segments.extents(spark, segment_log(spark, sf_dir))
+
+
+@query(f"""select topic, "partition", min("offset") as position from log where timestamp_ms >= {START_TIME} group by all""")
+def segment_start_time(spark, sf_dir):
+    """By manifest rows and one segment of a partition."""
+    return segments.start_positions(spark, segment_log(spark, sf_dir), uncommitted(topics=ALL_TOPICS, start_position=StartPosition.TIME, start_time=START_TIME))
+
+
+@query('select topic, "partition", "offset", timestamp_ms, "key", message, cast(event_id // 250 as varchar) as txn_id, txn_state from log')
+def segment_scan(spark, sf_dir):
+    log = segments.read(spark, segment_log(spark, sf_dir))
+    return log.select("topic", "partition", "offset", "timestamp_ms", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("message"), "txn_id", "txn_state")
+
+
+@query(f"select {COUNTS} from log where topic in ('click', 'view') group by all")
+def source_start_beginning(spark, sf_dir):
+    return from_source(spark, sf_dir, topics="click,view", start="beginning")
+
+
+@query(f"select {COUNTS} from log where timestamp_ms >= {START_TIME} group by all")
+def source_start_time(spark, sf_dir):
+    return from_source(spark, sf_dir, pattern=".*", start="time", startTime=str(START_TIME))
+
+
+@query(f"""select {COUNTS} from log where topic = 'click' and "offset" >= case "partition" when 0 then 10 when 2 then 25 end group by all""")
+def source_start_offset(spark, sf_dir):
+    return from_source(spark, sf_dir, topics="click", partitions="0,2", start="offset", startOffsets="10,25")
+
+
+@query(f"""select {COUNTS} from log where topic = 'view' and "partition" > 0 group by all""")
+def source_start_sentinels(spark, sf_dir):
+    """From the end, the beginning, and where a reader without commits starts."""
+    return from_source(spark, sf_dir, topics="view", partitions="0,1,2", start="offset", startOffsets="-1,-2,-3", reset="earliest")
+
+
+@query(f"select {COUNTS} from log where (txn_state is null or txn_state = 'committed') and topic = 'error' group by all")
+def source_read_committed(spark, sf_dir):
+    return per_partition(spark.read.format("tidemark").options(path=segment_log(spark, sf_dir), topics="error", start="first").load())
+
+
+@query("""with p as (select *, cast(cast(('0x' || substr(md5(cast(user_id as varchar)), 1, 8)) as bigint) % 3 as int) as place from events)
+  select event_type as topic, place as "partition", count(*) as n, cast(0 as bigint) as first_offset, count(*) - 1 as last_offset, count(*) as n_offsets, cast(sum(length(props)) as bigint) as chars from p group by all""", log=False)
+def source_write(spark, sf_dir):
+    """Rows written through the data source, twice under one batch number, and read back: offsets without gaps, each row once."""
+    w = LogWriter(spark, SinkSpec(transactional=True), scratch.new_folder(spark, "written"), 3)
+    for _ in range(2):
+        w.write(rows_to_write(spark, sf_dir), 0)
+    log = w.log()
+    return log.groupBy("topic", "partition").agg(F.count("*").alias("n"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), F.countDistinct("offset").alias("n_offsets"), F.sum(F.length(F.col("value").cast("string"))).alias("chars"))
+
+
 # --- commits and replay -------------------------------------------------------------
 
 
@@ -501,6 +606,24 @@ def control_mode_lock(spark, sf_dir):
     return control.failed(control_accepted(spark, sf_dir))
 
 
+@query(f"""with {CONTROL},
+  log as (select event_type as topic, cast(user_id % 3 as int) as p, row_number() over (partition by event_type, user_id % 3 order by event_id) - 1 as o from events),
+  ext as (select topic, p, min(o) as log_begin, max(o) + 1 as log_end from log group by all),
+  m as (select consumer, topic, p, seq, action, case when o = 0 then -3 else o end as requested from a where accepted and form = 'assign'),
+  d as (select user_id as consumer, event_type as topic, cast(event_id % 3 as int) as p, event_id as at, event_id + 1 as next from events where event_id % 4 <> 0),
+  r as (select m.*, coalesce((select max(x.seq) from m x where x.consumer = m.consumer and x.topic = m.topic and x.p = m.p and x.action = 'REMOVE' and x.seq < m.seq), -1) as opened from m),
+  s as (select r.*, (select min(x.seq) from m x where x.consumer = r.consumer and x.topic = r.topic and x.p = r.p and x.action = 'ADD' and x.seq > r.opened and x.seq < r.seq) as added from r)
+  select consumer, seq, topic, p as "partition", action, case when requested = -3 then log_begin else requested end as "offset" from s left join ext using (topic, p) where action = 'ADD'
+  union all select consumer, seq, topic, p, action, next from (
+    select s.*, (select arg_max(d.next, d.at) from d where d.consumer = s.consumer and d.topic = s.topic and d.p = s.p and d.at > s.added and d.at <= s.seq) as next from s where action = 'REMOVE') where next is not null""", log=False)
+def control_commits(spark, sf_dir):
+    """What control messages commit: added partitions at their position, removed ones at what was delivered since."""
+    e = events(spark, sf_dir)
+    delivered = e.where("event_id % 4 <> 0").select(F.col("user_id").alias("consumer"), F.col("event_id").alias("at"), F.col("event_type").alias("topic"), (F.col("event_id") % 3).cast("int").alias("partition"), (F.col("event_id") + 1).alias("offset"))
+    positions = offsets.default_positions(logs.extents(events_log(spark, sf_dir)), None, "earliest")
+    return control.commits(control_accepted(spark, sf_dir), delivered, positions)
+
+
 @query("""select event_id, json_extract_string(j, '$.action') as action, json_extract_string(j, '$.topics[0].topic') as topic, json_array_length(j, '$.topics') as n from (
   select event_id, json_object('action', 'ADD', 'topics', [{'topic': event_type}, {'topic': props}]) as j from events)""", log=False)
 def control_builders(spark, sf_dir):
@@ -530,27 +653,26 @@ def control_builders_of_many(spark, sf_dir):
 
 # --- groups -------------------------------------------------------------------------
 
-
-def members(spark, n):
-    return spark.range(n).select(F.concat(F.lit("m"), F.col("id")).alias("member"))
+BY_HASH = """cast(('0x' || substr(md5(topic || '-' || "partition"), 1, 8)) as bigint)"""
+LOAD = 'count(distinct (topic, "partition")) as n_partitions, cast(count(*) as bigint) as n_records'
 
 
-@query("""select 'm' || (row_number() over (order by topic, "partition") - 1) % 4 as member, topic, "partition" from ext""")
+@query(f"select cast({BY_HASH} % 4 as int) as member, {LOAD}, min(timestamp_ms) as first_ms, max(timestamp_ms) as last_ms from log group by 1")
 def assign_round_robin(spark, sf_dir):
-    return assign.round_robin(logs.extents(events_log(spark, sf_dir)), members(spark, 4))
+    """What each of four readers reads when all partitions are dealt to them alike."""
+    return assign.load(events_log(spark, sf_dir), assign.by_hash(4))
 
 
-@query("""select 'm' || case when "partition" < 2 then 0 else 1 end as member, topic, "partition" from ext""")
+@query(f"""select cast("partition" * 2 // 3 as int) as member, {LOAD}, min(timestamp_ms) as first_ms, max(timestamp_ms) as last_ms from log group by 1""")
 def assign_range(spark, sf_dir):
-    return assign.ranges(logs.extents(events_log(spark, sf_dir)), members(spark, 2))
+    """What each of two readers reads when each topic is cut in two."""
+    return assign.load(events_log(spark, sf_dir), assign.by_range(2, 3))
 
 
-@query(""", n as (select topic, "partition", row_number() over (order by topic, "partition") - 1 as k from ext)
-select coalesce(b.member, a.member) as member, topic, "partition", case when a.member is null then 'revoked' when b.member is null then 'assigned' else 'kept' end as change
-from (select 'm' || k % 4 as member, topic, "partition" from n) b full join (select 'm' || k % 3 as member, topic, "partition" from n) a using (member, topic, "partition")""")
+@query(f"select cast({BY_HASH} % 3 as int) as before, cast({BY_HASH} % 4 as int) as after, {LOAD} from log group by 1, 2")
 def rebalance_diff(spark, sf_dir):
-    parts = logs.extents(events_log(spark, sf_dir))
-    return assign.difference(assign.round_robin(parts, members(spark, 4)), assign.round_robin(parts, members(spark, 3)))
+    """What moves when a fourth reader joins."""
+    return assign.moved(events_log(spark, sf_dir), assign.by_hash(3), assign.by_hash(4))
 
 
 # --- metrics ------------------------------------------------------------------------

@@ -1,90 +1,73 @@
-"""A log as a stream's sink: each micro-batch is routed, numbered and written, and its failed rows are told.
+"""A log as a stream's sink: rows are routed in the plan and written by the data source in two phases.
 
-A batch is written under its own number, so a replay replaces it. With
-``transactional`` its records are seen once the batch is committed, and by readers of
-committed records only then; without, as soon as they are written.
+Every row and topic has a verdict in the plan already; the data source writes what can be
+written, tries again what can be recovered, tells the rest, and gives offsets when a batch is
+committed. With ``transactional`` an aborted batch leaves nothing; without, what its
+finished tasks have written stays and comes again with the replay.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import sink
 from tidemark.plans.spec import SinkSpec
-from tidemark.streaming import transactions
-from tidemark.streaming.delivery import _exists
-
-ENDS = "topic string, partition int, log_end long, batch string"
+from tidemark.sources import datasource, segments
+from tidemark.streaming import errors
 
 
 @dataclass
 class LogWriter:
-    """Writes rows by a description to the log under ``home``. on: columns that tell rows apart, for their status."""
+    """Writes rows by a description to the log under ``home``. name: tells the writers of a log apart."""
 
     spark: SparkSession
     spec: SinkSpec
     home: str
-    on: list[str]
     n_partitions: int | DataFrame = 1
     partitioner: sink.Partitioner = sink.by_hash
-    counters: dict[str, int] = field(default_factory=lambda: {"nFailedTuples": 0, "producerGeneration": 0})
+    name: str = "writer"
+    backoff: float = errors.BACKOFF
+    source: type = datasource.TidemarkLog
+
+    def __post_init__(self):
+        self.spark.dataSource.register(self.source)
 
-    def ends(self) -> DataFrame:
-        path = f"{self.home}/ends"
-        return self.spark.read.schema(ENDS).parquet(path) if _exists(self.spark, path) else self.spark.createDataFrame([], ENDS)
+    def _options(self) -> dict[str, str]:
+        s = self.spec
+        return {"path": self.home, "writer": self.name, "transactional": str(s.transactional), "errorsOnly": str(s.errors_only), "flush": str(s.flush), "generations": str(s.max_generations), "backoff": str(self.backoff)}
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        """One micro-batch, tried again as a new generation until ``max_generations`` of them have failed."""
-        for left in range(self.spec.max_generations - 1, -1, -1):
-            self.counters["producerGeneration"] += 1
-            try:
-                return self._write(rows.persist(), batch_id)
-            except Exception:
-                if not left:
-                    raise
-            finally:
-                rows.unpersist()
-
-    def _write(self, rows: DataFrame, batch_id: int) -> None:
-        records = sink.produce(rows, self.spec, self.n_partitions, self.partitioner)
-        fits = F.col("topic").isNotNull() & (F.col("topic") != "") & (F.col("partition") >= 0)
-        before = self.ends().where(F.col("batch") != str(batch_id)).groupBy("topic", "partition").agg(F.max("log_end").alias("log_end"))
-        place = F.row_number().over(Window.partitionBy("topic", "partition").orderBy("timestamp_ms", "key", "value")) - 1
-        numbered = records.where(F.coalesce(fits, F.lit(False))).withColumn("place", place).join(before, ["topic", "partition"], "left")
-        txn = (F.lit(str(batch_id)), F.lit("committed")) if self.spec.transactional else (F.lit(None).cast("string"), F.lit(None).cast("string"))
-        out = numbered.select("topic", "partition", (F.coalesce("log_end", F.lit(0)) + F.col("place")).cast("long").alias("offset"), "timestamp_ms", "key", "value", txn[1].alias("state"))
-        if self.spec.guarantee_ordering:
-            out = out.repartition("topic", "partition").sortWithinPartitions("topic", "partition", "offset")
-        transactions.begin(out, f"{self.home}/log", str(batch_id), self.spec.flush)
-        written = self.spark.read.parquet(f"{self.home}/log/data/txn_id={batch_id}")
-        written.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("log_end")).coalesce(1).write.mode("overwrite").parquet(f"{self.home}/ends/batch={batch_id}")
-        self._tell(rows, batch_id)
-        transactions.commit(self.spark, f"{self.home}/log", str(batch_id))
-
-    def _tell(self, rows: DataFrame, batch_id: int) -> None:
-        """Store the status rows of a batch; a row whose topic or partition is none has failed."""
-        bound = self.spec.bind(rows.schema)
-        topic = F.col(bound["topic"]) if "topic" in bound else F.lit("topic")
-        bad = topic.isNull() | (topic == "")
-        if "partition" in bound:
-            bad = bad | (F.col(bound["partition"]) < 0)
-        failed = rows.where(F.coalesce(bad, F.lit(False)))
-        failures = failed.select(*self.on, topic.alias("topic"), F.lit("InvalidTopicException").alias("exception"), F.lit("no topic or partition to write to").alias("message"), F.lit(0).alias("seq"))
-        sink.status(rows, failures, self.on, self.spec.errors_only).write.mode("overwrite").parquet(f"{self.home}/status/batch={batch_id}")
-        self.counters["nFailedTuples"] += failed.count()
+        """One batch; a batch number that is there already adds nothing."""
+        self._routed(rows).write.format(self.source.name()).mode("append").options(**self._options(), batch=str(batch_id)).save()
+
+    def _routed(self, rows: DataFrame) -> DataFrame:
+        return sink.routed(rows, self.spec, self.n_partitions, self.partitioner)
 
     def start(self, rows: DataFrame, trigger: dict | None = None) -> StreamingQuery:
-        return rows.writeStream.foreachBatch(self.write).option("checkpointLocation", f"{self.home}/checkpoint").trigger(**(trigger or {"availableNow": True})).start()
+        out = self._routed(rows).writeStream.format(self.source.name()).options(**self._options())
+        return out.option("checkpointLocation", f"{self.home}/checkpoint-{self.name}").trigger(**(trigger or {"availableNow": True})).start()
 
     def log(self) -> DataFrame:
-        """The log as its readers see it: of a transactional writer the committed batches, else all that is written."""
-        if self.spec.transactional:
-            return transactions.read(self.spark, f"{self.home}/log").drop("state")
-        return self.spark.read.parquet(f"{self.home}/log/data").drop("txn_id", "state").withColumns({"txn_id": F.lit(None).cast("string"), "txn_state": F.lit(None).cast("string")})
+        """The log as its readers see it."""
+        return segments.read(self.spark, self.home)
 
     def status(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.home}/status").drop("batch")
+        """The status rows of all batches that are seen."""
+        store = segments.Store(self.home)
+        files = store.manifest("status")["file"].to_pylist()
+        root = self.home.rstrip("/")
+        return self.spark.read.parquet(*[f"{root}/{f}" for f in files]) if files else self.spark.createDataFrame([], "inTuple struct<>, failureDescription string")
+
+    def counters(self) -> DataFrame:
+        """(topic, name, value): records and bytes of time that were written, tries, and rows that failed, each counted once however often it was tried."""
+        m = self.spark.read.schema(segments.MANIFEST_DDL).parquet(f"{self.home}/segments")
+        of_topic = m.where("kind in ('data', 'lost')").groupBy("topic").agg(
+            F.sum(F.when(F.col("kind") == "data", F.col("rows")).otherwise(0)).alias("nSent"), F.sum(F.when(F.col("kind") == "lost", F.col("rows")).otherwise(0)).alias("nLost"),
+            F.sum(F.col("tries") - F.when(F.col("kind") == "data", 1).otherwise(0)).alias("nRetries"), F.max("tries").alias("producerGeneration"),
+        )
+        failed = m.where("kind = 'status'").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("value")).select(F.lit(None).cast("string").alias("topic"), F.lit("nFailedTuples").alias("name"), "value")
+        return of_topic.unpivot("topic", ["nSent", "nLost", "nRetries", "producerGeneration"], "name", "value").unionByName(failed)
