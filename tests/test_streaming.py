@@ -1,5 +1,3 @@
-import json
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +6,7 @@ from tidemark.functions import control_messages
 from tidemark.operators import offsets
 from tidemark.plans.spec import ConsumerSpec, Region, StartPosition
 from tidemark.sources import log as logs
-from tidemark.streaming import subscriptions, transactions
+from tidemark.streaming import error_windows, subscriptions, transactions
 from tidemark.streaming.delivery import Delivery
 
 
@@ -176,6 +174,12 @@ def test_transactions(spark, tmp_path):
     assert {r.txn_state: r["count"] for r in every.groupBy("txn_state").count().collect()} == {"committed": 5, "open": 5, "aborted": 5}
 
 
+def drained(queries):
+    for q in queries:
+        q.processAllAvailable()
+        q.stop()
+
+
 @pytest.mark.parametrize("files", [1, 3])
 def test_control_stream(spark, tmp_path, files):
     m = control_messages.text
@@ -185,26 +189,39 @@ def test_control_stream(spark, tmp_path, files):
     for i in range(files):
         spark.createDataFrame(rows[i * per : (i + 1) * per], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / f"in/{i}"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
-    name = f"states_{files}"
-    q = subscriptions.follow(stream).writeStream.outputMode("update").format("memory").queryName(name).option("checkpointLocation", str(tmp_path / "c")).start()
-    q.processAllAvailable()
-    q.stop()
-    last = {}
-    for r in spark.table(name).collect():
-        last[r.consumer] = r
-    if files == 1:
-        assert (last[1].mode, json.loads(last[1].partitions), last[1].n_failed) == ("ASSIGNED", {"b/1": -3}, 2)
-        assert (last[2].mode, json.loads(last[2].topics), last[2].n_failed) == ("SUBSCRIBED", ["b"], 1)
-    assert {r.consumer for r in last.values()} == {1, 2}
+    drained(subscriptions.follow(stream, str(tmp_path / "home")))
+    got = {tuple(r) for r in subscriptions.followed(spark, str(tmp_path / "home")).collect()}
+    assert got == {(1, "ASSIGNED", "b", 1, -3), (2, "SUBSCRIBED", "b", None, None)}
 
 
 def test_stream_equals_batch_fold(spark, sf, tmp_path):
+    """Also over several batches, in which the messages of each reader go on."""
     rows = Q.control_rows(spark, sf).withColumn("json", F.regexp_replace("json", "topicpartitionoffsets", "topicPartitionOffsets")).select("consumer", F.col("seq").cast("int").alias("seq"), "json")
-    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema("consumer long, seq int, json string").parquet(str(tmp_path / "in"))
-    q = subscriptions.follow(stream).writeStream.outputMode("update").format("memory").queryName("folded").option("checkpointLocation", str(tmp_path / "c")).start()
-    q.processAllAvailable()
-    q.stop()
-    got = {(r.consumer, *k.split("/"), o) for r in spark.table("folded").collect() for k, o in json.loads(r.partitions).items()}
-    want = {(r.consumer, r.topic, str(r.partition), r.offset) for r in Q.control_fold_assignment(spark, sf).collect()}
-    assert got == want
+    for k in range(3):
+        rows.where(f"seq >= {350 * k} and seq < {350 * (k + 1)}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("consumer long, seq int, json string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    drained(subscriptions.follow(stream, str(tmp_path / "home")))
+    now = subscriptions.followed(spark, str(tmp_path / "home"))
+    assert {tuple(r) for r in now.where("mode = 'ASSIGNED'").drop("mode").collect()} == {tuple(r) for r in Q.control_fold_assignment(spark, sf).collect()} != set()
+    assert {tuple(r) for r in now.where("mode = 'SUBSCRIBED'").select("consumer", "topic").collect()} == {tuple(r) for r in Q.control_fold_subscription(spark, sf).collect()} != set()
+    plan = subscriptions.elements(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+def test_error_windows_of_a_stream_are_those_of_the_batch(spark, sf, tmp_path, batches):
+    kinds = F.array(*map(F.lit, ("TimeoutException", "SerializationException", "AuthException")))
+    e = Q.events(spark, sf).select((F.col("user_id") % 5).cast("string").alias("source"), F.get(kinds, (F.col("event_id") % 3).cast("int")).alias("class"), F.col("ms").alias("ts_ms"), "event_id", (F.col("event_id") % 7 == 0).alias("retriable"), (F.col("event_type") == "purchase").alias("is_data"))
+    step = -(-e.count() // batches)
+    for k in range(batches):
+        e.where(f"event_id >= {k * step} and event_id < {(k + 1) * step}").coalesce(1).write.mode("append").parquet(str(tmp_path / f"in/{k}"))
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        q = error_windows.suppressed(stream, 7_200_000).writeStream.outputMode("update").format("memory").queryName(f"errors_{batches}").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        assert q.awaitTermination(100)  # its timers would keep a query without an end busy
+    finally:
+        spark.conf.unset(key)
+    got = sorted(map(tuple, spark.table(f"errors_{batches}").select("event_id", "in_window", "suppressed").collect()))
+    assert got == sorted(map(tuple, Q.poll_error_rules(spark, sf).collect()))

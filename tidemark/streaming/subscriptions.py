@@ -1,52 +1,60 @@
-"""Control messages as a stream: each reader's mode and subscription as keyed state."""
+"""Control messages as a stream: each reader's subscription as state by (consumer, topic, partition).
 
-from __future__ import annotations
+A message sets or removes single topics and partitions, so the state of each is its
+last action: a streaming aggregate with partial sums before its shuffle, which spreads a
+reader with very many messages over all tasks and needs no Python. Which family of
+messages a reader takes is a second such aggregate, by its first valid ADD. What a reader has
+in its mode is the join of the two: what the other family set doesn't count, and a REMOVE
+before the first ADD removes nothing.
+"""
 
-import json
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import functions as F
 
 from tidemark.operators import control
 
-OUTPUT = "consumer bigint, mode string, topics string, partitions string, n_failed bigint"
-STATE = "mode string, topics string, partitions string, n_failed bigint"
-
-
-def fold(mode: str | None, topics: set[str], parts: dict[str, int], rows: list) -> tuple[str | None, set[str], dict[str, int], int]:
-    """The state of one reader after messages in order; parts maps ``topic/partition`` to the requested offset."""
-    failed = 0
-    for r in rows:
-        kind = r.kind if isinstance(r.kind, str) else "NONE"
-        family = "ASSIGNED" if kind.endswith("ASSIGNMENT") else "SUBSCRIBED" if kind.endswith("SUBSCRIPTION") else None
-        if mode is None and kind.startswith("ADD_"):
-            mode = family
-        if family is None or family != mode:
-            failed += 1
-        elif family == "SUBSCRIBED":
-            topics = topics | set(r.topics) if kind.startswith("ADD_") else topics - set(r.topics)
-        else:
-            for p in r.partitions:
-                name = f"{p['topic']}/{p['partition']}"
-                if kind.startswith("ADD_"):
-                    parts[name] = int(p["offset"])
-                else:
-                    parts.pop(name, None)
-    return mode, topics, parts, failed
-
-
-def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    mode, topics, parts, failed = state.get if state.exists else ("", "[]", "{}", 0)
-    rows = [r for pdf in batches for r in pdf.itertuples(index=False)]
-    mode, found, held, more = fold(mode or None, set(json.loads(topics)), json.loads(parts), sorted(rows, key=lambda r: r.seq))
-    new = (mode or "", json.dumps(sorted(found)), json.dumps(held, sort_keys=True), failed + more)
-    state.update(new)
-    yield pd.DataFrame([(key[0], *new)], columns=["consumer", "mode", "topics", "partitions", "n_failed"])
-
-
-def follow(messages: DataFrame) -> DataFrame:
-    """A stream (consumer, seq, json) as a stream of each reader's state after every batch with messages for it."""
-    parsed = control.parse(messages)
-    return parsed.groupBy("consumer").applyInPandasWithState(_update, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout)
+
+def _family(kind: str = "kind"):
+    return F.when(F.col(kind).endswith("ASSIGNMENT"), "ASSIGNED").when(F.col(kind).endswith("SUBSCRIPTION"), "SUBSCRIBED")
+
+
+def elements(messages: DataFrame) -> DataFrame:
+    """messages (consumer, seq, json) as (consumer, family, topic, partition, last): for each topic or partition its last action (seq, i, add, offset). Works on tables and streams; a stream is in update mode."""
+    parsed = control.parse(messages).where("error is null and kind <> 'NONE'")
+    # A topic is like a partition without a number and an offset.
+    topics = F.transform("topics", lambda t: F.struct(t.alias("topic"), F.lit(None).cast("int").alias("partition"), F.lit(None).cast("long").alias("offset")))
+    each = parsed.select("consumer", "seq", _family().alias("family"), F.col("kind").startswith("ADD_").alias("add"), F.posexplode(F.coalesce("partitions", topics)).alias("i", "p"))
+    last = F.max_by(F.struct("seq", "i", "add", F.col("p.offset").alias("offset")), F.struct("seq", "i"))
+    return each.groupBy("consumer", "family", F.col("p.topic").alias("topic"), F.col("p.partition").alias("partition")).agg(last.alias("last"))
+
+
+def modes(messages: DataFrame, region: bool = False) -> DataFrame:
+    """(consumer, mode, since): the family of each reader's first ADD that it may take."""
+    adds = control.parse(messages).where("kind like 'ADD%'").select("consumer", "seq", _family().alias("family"))
+    if region:
+        adds = adds.where("family = 'ASSIGNED'")
+    return adds.groupBy("consumer").agg(F.min_by("family", "seq").alias("mode"), F.min("seq").alias("since"))
+
+
+def current(elements: DataFrame, modes: DataFrame) -> DataFrame:
+    """(consumer, mode, topic, partition, offset) that readers have; from tables of ``elements`` and ``modes`` with any number of updates of a row."""
+    keys = ["consumer", "family", "topic", "partition"]
+    last = elements.groupBy(*keys).agg(F.max_by("last", F.struct("last.seq", "last.i")).alias("last")).where("last.add")
+    mode = modes.groupBy("consumer").agg(F.min_by("mode", "since").alias("mode"))
+    return last.join(mode, "consumer").where("family = mode").select("consumer", "mode", "topic", "partition", "last.offset")
+
+
+def follow(messages: DataFrame, home: str, region: bool = False) -> list:
+    """Start to keep ``elements`` and ``modes`` of a stream as tables under ``home``; a batch that runs again replaces its updates."""
+    started = []
+    for name, df in (("elements", elements(messages)), ("modes", modes(messages, region))):
+        write = lambda b, i, name=name: b.write.mode("overwrite").parquet(f"{home}/{name}/batch={i}")
+        started.append(df.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{home}/checkpoint-{name}").start())
+    return started
+
+
+def followed(spark, home: str) -> DataFrame:
+    """``current`` of what ``follow`` has kept so far."""
+    return current(*[spark.read.parquet(f"{home}/{name}").drop("batch") for name in ("elements", "modes")])
