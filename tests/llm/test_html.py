@@ -170,3 +170,42 @@ def test_edge_rows(spark):
     assert sorted(map(tuple, H.extract_pages(df).collect()), key=repr) == sorted([(1, None, "", 0), (1, "u", "", 0), (None, "u", f"{LONG} {LONG}", 2 * len(LONG) + 1)], key=repr)
     assert H.extract_pages(df.limit(0)).count() == 0
     assert re.search("MapInArrow", H.extract_pages(df)._jdf.queryExecution().toString())
+
+
+A, B, C = ("The harbour was quiet in the morning and the boats lay at the quay while the men mended what the storm had torn.", "In the afternoon it began to rain, and all of them went to the hall where the council was to meet at four.", "Nobody knew then that the bridge would not be there any more when they came back from the meeting in the evening.")
+A, B, C = f"{A} They had been out for the whole night and were tired.", f"{B} It was the first time in years that so many came.", f"{C} Some of them had to stay on the other side for a week."
+NAV = "<ul><li><a href='/'>Home</a></li><li><a href='/a'>News</a></li><li><a href='/b'>About us</a></li></ul>"
+D, E = "Der Hafen war am Morgen still, und die Boote lagen am Kai, als die Leute von der Nacht zurück in die Stadt kamen.", "Am Abend stand das Wasser so hoch, dass niemand mehr über die Brücke gehen konnte, die am Rand der Stadt lag."
+D, E = f"{D} Es war die erste Nacht seit Jahren, in der so viele auf dem Wasser waren und erst spät nach Hause kamen.", f"{E} Die Leute auf der anderen Seite mussten eine Woche lang dort bleiben und auf das Boot warten, das sie holt."
+
+#: Pages of several kinds of sites with what a reader would call the article.
+SITES = {
+    "a form around the page": (f"<body><form method='post' id='aspnetForm' action='./'><input type='hidden' name='__VIEWSTATE' value='x'><div id='header'>{NAV}</div><div id='content'><p>{A}</p><p>{B}</p></div><div id='footer'>Copyright</div></form></body>", [A, B]),
+    "a form around the page, no divs": (f"<form id='form1'><p>{A}</p><p>{B}</p><p>{C}</p></form>", [A, B, C]),
+    "a search form beside an article": (f"<form action='/s'><label>Search the site for all that you want to read</label><input></form><article><p>{A}</p><p>{B}</p></article>", [A, B]),
+    "a sign-up form in an article": (f"<article><p>{A}</p><form class='signup'><p>Get the news of the day by mail and be the first who knows what is on.</p><input></form><p>{B}</p><p>{C}</p></article>", [A, B, C]),
+    "a notice that is the page": (f"<div class='notice'><p>{A}</p><p>{B}</p></div>", [A, B]),
+    "a notice beside an article": (f"<div class='notice'><p>{C}</p></div><div class='story'><p>{A}</p><p>{B}</p></div>", [A, B]),
+    "more comments than article": (f"<article><p>{A}</p><p>{B}</p></article><section class='user-comments'><p>{C}</p><p>{C} So it was.</p><p>{B} I was there.</p><p>{A} Me too.</p></section>", [A, B]),
+    "comments in an article": (f"<article><p>{A}</p><p>{B}</p><div id='comment-list'><article class='comment'><p>{C}</p></article></div></article>", [A, B]),
+    "comments by a service": (f"<div class='post has-comments'><p>{A}</p><p>{B}</p></div><div id='disqus_thread'><div class='replies'><p>{C}</p></div></div>", [A, B]),
+    "a blog": (f"<div id='page'><div id='masthead'><h1>My blog</h1>{NAV}</div><div class='entry'><p>{A}</p><p>{B}</p></div><div class='sidebar'><h3>Links</h3>{NAV}</div></div>", [A, B]),
+    "a paper": (f"<header>{NAV}</header><main><h1>Storm at the harbour of the old town</h1><p>{A}</p><p>{B}</p></main><aside><p>{C}</p></aside><footer><p>All rights reserved by the paper and its authors.</p></footer>", ["Storm at the harbour of the old town", A, B]),
+    "related articles": (f"<div class='story'><p>{A}</p><p>{B}</p></div><div class='related-posts'><h4>Read also</h4><p><a href='/x'>{C}</a></p></div>", [A, B]),
+    "a handbook": (f"<div class='toc-menu'>{NAV}</div><div class='document'><h2>Boats and how they are kept over the winter</h2><p>{A}</p><ul><li>{B}</li><li>{C}</li></ul></div>", ["Boats and how they are kept over the winter", A, B, C]),
+    "tables for layout": (f"<table><tr><td>{NAV}</td><td><p>{A}</p><p>{B}</p></td></tr><tr><td colspan=2>\xa9 2024</td></tr></table>", [A, B]),
+    "a modal over an article": (f"<div class='modal overlay'><p>{C}</p></div><article><p>{A}</p><p>{B}</p></article>", [A, B]),
+    "an advert": (f"<article><p>{A}</p><div class='ad-box'><p>{C}</p></div><p>{B}</p></article>", [A, B]),
+    "German": (f"<nav>{NAV}</nav><div class='text'><p>{D}</p><p>{E}</p></div><div class='newsletter'><p>Melden Sie sich an und lesen Sie am Morgen, was in der Stadt war.</p></div>", [D, E]),
+    "breadcrumbs and sharing": (f"<div class='breadcrumb'><a href='/'>Home</a> &gt; <a href='/n'>News</a></div><div class='story'><p>{A}</p><div class='social-share'><a href='#'>Share</a></div><p>{B}</p></div>", [A, B]),
+    "a cookie bar at the end": (f"<div class='story'><p>{A}</p><p>{B}</p></div><div id='cookie-consent'><p>We use cookies so that we can show you what you like to see on our pages.</p></div>", [A, B]),
+    "nothing but menus": (f"<nav>{NAV}</nav><div class='menu'>{NAV}</div>", []),
+    "a page in one paragraph": (f"<body><p>{A} {B}</p></body>", [f"{A} {B}"]),
+    "hidden text": (f"<div style='display: none'><p>{C}</p></div><article><p>{A}</p><p hidden>{C}</p><p>{B}</p></article>", [A, B]),
+}
+
+
+@pytest.mark.parametrize("name", SITES)
+def test_sites(name):
+    page, want = SITES[name]
+    assert H.extract(page) == "\n".join(want)

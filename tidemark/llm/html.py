@@ -8,9 +8,10 @@ unlinked text, it is a prior for undecided blocks: those in it are rather good a
 look for neighbours in it, those outside rather bad. Blocks with few stop words are
 undecided in it, as paragraphs of articles have few now and then, and bad elsewhere.
 On a page whose language has none of the known stop words, length and links decide.
-A name (class or id) is a feature like others: one that is all boilerplate words leaves
-its element out, one that only has such a word does where the element holds the smaller
-part of the page's unlinked text.
+A tag or name (class or id) is a feature that the text outweighs: a name of boilerplate
+words alone leaves its element out unless that holds four fifths of the page's unlinked
+text, a name with such a word, or a form, unless it holds half. Reader comments are left
+out by their name whatever they hold.
 
 Defined results: a null, empty or markup-free page without text gives "".
 Unclosed elements end with what holds them, or where HTML lets their end tag be left
@@ -48,7 +49,7 @@ TOKEN = re.compile(
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-BOILER_TAGS = frozenset("nav footer aside form menu dialog button select label fieldset head".split())
+BOILER_TAGS = frozenset("nav footer aside menu dialog button select label fieldset head".split())
 #: Words that name what isn't an article, and words that say nothing beside them.
 BOILER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox banner banners sponsor sponsored promo promotion promoted cookie cookies consent gdpr notice notices alert popup modal overlay "
@@ -73,16 +74,21 @@ PARTS = re.compile(r"[a-z]+")
 LETTERS = re.compile(r"[^\W\d_]+")
 WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
 
-NO, WEAK, STRONG = 0, 1, 2
+NO, WEAK, NAMED, STRONG = 0, 1, 2, 3
+#: Percent of the page's unlinked text from which an element is kept in spite of its tag or name.
+KEPT = {WEAK: 50, NAMED: 80}
+#: Words for what readers write, and words that make of them a word about the page.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies respond".split())
+FLAG_WORDS = frozenset("no has have with without open closed allow enable disable hide".split())
 
 
 def boiler(tag: str, rest: str, in_article: bool) -> int:
-    """Whether an element is no part of an article by its tag or attributes (STRONG), or only may be by a part of its name (WEAK)."""
+    """Whether an element is no part of an article by its tag or attributes (STRONG), or is none unless it holds most of the page (NAMED, by its whole name) or half of it (WEAK, by a part of its name; a form)."""
     if tag in BOILER_TAGS or (tag == "header" and not in_article):
         return STRONG
-    if not rest or tag in ("html", "body", "article", "main") and "comment" not in rest.lower():
-        return NO
-    out = NO
+    out = WEAK if tag == "form" else NO
+    if not rest or tag in ("html", "body") or tag in ("article", "main") and "comment" not in rest.lower():
+        return out
     for name, a, b, c in ATTRIBUTE.findall(rest):
         value = (a or b or c).lower()
         name = name.lower()
@@ -90,7 +96,10 @@ def boiler(tag: str, rest: str, in_article: bool) -> int:
             for word in value.split():
                 parts = PARTS.findall(word)
                 if not BOILER_WORDS.isdisjoint(parts):
-                    out = max(out, STRONG if all(x in BOILER_WORDS or x in NEUTRAL_WORDS for x in parts) else WEAK)
+                    named = [x for x in parts if x not in NEUTRAL_WORDS]
+                    if named[-1] in COMMENT_WORDS and named[0] not in FLAG_WORDS:
+                        return STRONG
+                    out = max(out, NAMED if BOILER_WORDS.issuperset(named) else WEAK)
         elif name == "role":
             if value in ROLES:
                 return STRONG
@@ -102,7 +111,7 @@ def boiler(tag: str, rest: str, in_article: bool) -> int:
 class Block:
     __slots__ = ("text", "linked", "excluded", "article", "heading", "weak", "label")
 
-    def __init__(self, text: str, linked: int, excluded: bool, article: bool, heading: bool, weak: tuple[int, ...]):
+    def __init__(self, text: str, linked: int, excluded: bool, article: bool, heading: bool, weak: tuple[tuple[int, int], ...]):
         self.text, self.linked, self.excluded, self.article, self.heading, self.weak = text, linked, excluded, article, heading, weak
         self.label = ""
 
@@ -115,18 +124,18 @@ class Open:
     """The open elements, with implied end tags: what holds an element ends it."""
 
     def __init__(self):
-        self.stack: list[tuple[str, int, int]] = []  # tag, verdict of its name, number of a weak one
+        self.stack: list[tuple[str, int, tuple[int, int]]] = []  # tag, verdict, (number, percent that keeps it)
         self.tags: dict[str, int] = {}
         self.strong = self.article = self.links = 0
-        self.weak: tuple[int, ...] = ()
+        self.weak: tuple[tuple[int, int], ...] = ()
 
-    def push(self, tag: str, kind: int, number: int) -> None:
+    def push(self, tag: str, kind: int, number: tuple[int, int]) -> None:
         self.stack.append((tag, kind, number))
         self.tags[tag] = self.tags.get(tag, 0) + 1
         self.strong += kind == STRONG
         self.article += tag in ("article", "main")
         self.links += tag == "a"
-        if kind == WEAK:
+        if kind in KEPT:
             self.weak += (number,)
 
     def pop(self, at: int = -1) -> None:
@@ -135,7 +144,7 @@ class Open:
         self.strong -= kind == STRONG
         self.article -= tag in ("article", "main")
         self.links -= tag == "a"
-        if kind == WEAK:
+        if kind in KEPT:
             self.weak = tuple(x for x in self.weak if x != number)
 
     def end(self, tag: str) -> None:
@@ -233,8 +242,8 @@ def blocks(page: str) -> list[Block]:
             continue
         if kind and tag not in BLOCKS:
             close()
-        n_weak += kind == WEAK
-        opened.push(tag, kind, n_weak)
+        n_weak += kind in KEPT
+        opened.push(tag, kind, (n_weak, KEPT.get(kind, 0)))
     if at < len(page):
         parts.append(page[at:])
     close()
@@ -242,14 +251,14 @@ def blocks(page: str) -> list[Block]:
 
 
 def outweighed(found: list[Block]) -> list[Block]:
-    """Elements whose name may be boilerplate's are so where they hold the smaller part of the page's text."""
+    """Elements whose tag or name may be boilerplate's are so unless they hold their percentage of the page's text."""
     total = sum(b.unlinked for b in found)
-    held: dict[int, int] = {}
+    held: dict[tuple[int, int], int] = {}
     for b in found:
         for x in b.weak:
             held[x] = held.get(x, 0) + b.unlinked
     for b in found:
-        b.excluded = b.excluded or any(2 * held[x] < total for x in b.weak)
+        b.excluded = b.excluded or any(100 * held[x] < x[1] * total for x in b.weak)
     return found
 
 
