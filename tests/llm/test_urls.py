@@ -45,28 +45,45 @@ def test_scores_are_the_models(spark):
         assert 0 <= r.spam <= 1
 
 
-def test_unseen_urls_of_known_kinds(spark):
+def blocked(spark, weights, names):
+    df = spark.createDataFrame([(i, f"https://{n}.example.info/en/{i}") for i, n in enumerate(names)], "page_id long, url string")
+    got = {r.page_id: r.verdict == "block" for r in U.judge(df, weights, rules=()).collect()}
+    return [got[i] for i in range(len(names))]
+
+
+def test_unseen_names_of_known_words(spark):
+    """Joined names that aren't in the table, with other hosts around them."""
+    weights = U.train(spark)
+    spam = ["best-casino", "viagra4you", "poker-lottery", "cheapcrypto", "warez-torrents", "nude-webcam", "freecoupons", "bitcoin-profits"]
+    clean = ["cityhospital", "forest-river", "kitchenrecipes", "museum-of-history", "mountainrailway", "chemistry-lectures", "localnewspaper", "football-club"]
+    known = {n for n, _ in U.labelled_names()}
+    assert not known & {*spam, *clean}
+    assert sum(blocked(spark, weights, spam)) >= 7 and sum(blocked(spark, weights, clean)) <= 1
+
+
+def test_names_of_which_nothing_is_known(spark):
+    """Names that share no word with the table are allowed, as most sites are; and that is what the bias says."""
     weights = U.train(spark)
-    bad = [f"https://{w}{h}.example.{t}/en/{i}" for i, h in enumerate(("casino-win", "free-bets", "ads-track", "spam-farm", "cheap-pills", "adult-x")) for w in ("", "www.", "m.") for t in ("com", "org")]
-    good = [f"https://{w}{h}.example.{t}/en/{i}" for i, h in enumerate(("thther", "tionsh", "erhand", "inwhed", "rethble")) for w in ("", "www.", "m.") for t in ("com", "org")]
-    df = spark.createDataFrame([(i, u) for i, u in enumerate(bad + good)], "page_id long, url string")
-    got = {r.page_id: r.verdict for r in U.judge(df, weights, rules=()).collect()}
-    assert [got[i] for i in range(len(bad))] == ["block"] * len(bad) and [got[len(bad) + i] for i in range(len(good))] == ["allow"] * len(good)
+    r = np.random.default_rng(3)
+    made = ["".join(r.choice(list("bcdfghjklmnprstvwz")) + r.choice(list("aeiou")) for _ in range(r.integers(3, 6))) for _ in range(200)]
+    assert np.mean(blocked(spark, weights, made)) < 0.05
+    assert blocked(spark, weights, [""]) == [False]
 
 
-def test_names_that_training_has_not_seen(spark, sf):
-    """Whole words are held out of both kinds; and no name of the pages is in the table."""
-    hosts = {r.host for r in U.op10_url_filters(spark, sf).select("host").distinct().collect()}
-    assert not {n for n, _ in U.labelled_names() if "-" in n} & {part for h in hosts for part in h.split(".")}
+def test_words_that_training_has_not_seen(spark):
+    """A tenth of the words is held out of both kinds, and names of held-out words alone are judged: no part of them is known.
+
+    Most of such names are allowed, whatever they are; a known word beside them tells more.
+    """
     out = {w for i, w in enumerate([*U.SPAM_WORDS, *U.CLEAN_WORDS]) if i % 10 == 0}
-    within = lambda name: any(w in name for w in out)
-    names = U.labelled_names()
-    weights = U.train(spark, U.labelled_urls(spark, [x for x in names if not within(x[0])]))
-    joined = [(n, y) for n, y in names if "-" in n and within(n)]  # a word that is held out beside one that isn't
-    df = spark.createDataFrame([(i, f"https://{n}.example.info/en/{i}") for i, (n, _) in enumerate(joined)], "page_id long, url string")
-    got = {r.page_id: r.verdict == "block" for r in U.judge(df, weights, rules=()).collect()}
-    right = [got[i] == bool(y) for i, (_, y) in enumerate(joined)]
-    assert len(joined) > 30 and sum(right) / len(right) > 0.85
+    within = lambda name: any(w in name for w in out)
+    weights = U.train(spark, U.labelled_urls(spark, [x for x in U.labelled_names() if not within(x[0])]))
+    spam, clean = ([w for w in words if w in out] for words in (U.SPAM_WORDS, U.CLEAN_WORDS))
+    hit, miss = np.mean(blocked(spark, weights, spam)), np.mean(blocked(spark, weights, clean))
+    print(f"blocked of held-out words: {hit:.2f} of {len(spam)} spam, {miss:.2f} of {len(clean)} others")
+    assert miss <= 0.05 and hit >= miss
+    beside = lambda words, more: np.mean(blocked(spark, weights, [f"{w}-{k}" for w, k in zip(words, more * 9, strict=False)]))
+    assert beside(spam, ["casino", "torrent", "lottery"]) > 0.3 and beside(clean, ["museum", "forest", "football"]) == 0
 
 
 def test_training_is_that_of_brute_force(spark):
@@ -84,6 +101,7 @@ def test_training_is_that_of_brute_force(spark):
         g = x.T @ ((1 / (1 + np.exp(-x @ w)) - y) / len(y)) + U.DECAY * w
         q += g * g
         w -= U.RATE * g / np.sqrt(q)
+    w[-1] += np.log(U.PRIOR / (1 - U.PRIOR)) - np.log(np.mean(y) / (1 - np.mean(y)))
     assert np.allclose(weights, w, atol=1e-9)
 
 
