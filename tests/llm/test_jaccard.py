@@ -211,3 +211,14 @@ def test_one_of_each(spark, sf):
     assert got.columns == docs.columns and {r.doc_id for r in got.collect()} == want
     small = J.one_of_each(docs, plan=J.Plan(most_broadcast=0))  # by shuffles
     assert {r.doc_id for r in small.collect()} == want
+
+
+def test_columns_of_any_name_stay(spark):
+    """Names that the operator uses itself, with points or in another case, are kept as they are."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, 5, 6, 7, 8), (2, text, 5, 6, 7, 8), (1, text, 5, 6, 7, 9), (3, "other words that stand alone here", 1, 2, 3, 4), (None, text, 0, 0, 0, 0)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "__key", "key", "key_", "a.b"])
+    out = J.one_of_each(df)
+    assert out.columns == df.columns
+    got = sorted(map(tuple, out.collect()), key=str)
+    assert [r[0] for r in got] == [1, 3, None] and got[0][1] == text

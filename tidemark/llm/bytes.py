@@ -1,7 +1,7 @@
 """Numpy helpers over the raw UTF-8 buffers of Arrow string columns.
 
 ``chunks`` cuts an Arrow batch into runs of whole rows of about ``CHUNK`` bytes
-(a longer text is a run of its own), so that temporaries stay small whatever
+and at most ``MOST_ROWS`` rows (a longer text is a run of its own), so that temporaries stay small whatever
 the batch size; ``words`` finds the words of a run and hashes them to 64 bits.
 """
 
@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 18
+#: Rows in a run at most, so that a row's place in it has 16 bits.
+MOST_ROWS = 1 << 15
 U = np.uint64
 
 #: Space and \\x09-\\x0D part words.
@@ -61,7 +63,7 @@ def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.n
     first = 0
     while first < len(column):
         last = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
-        last = min(max(last, first + 1), len(column))
+        last = min(max(last, first + 1), first + MOST_ROWS, len(column))
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
 

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .bytes import LOWER, U, chunks, hashes, mix, shingles, spans
 from .components import components
-from .shared import drop, table, written
+from .shared import drop, fresh, table, written
 
 SALTS = 24
 #: Bits of a set's parity map, in longs. Two sets differ in at least as many shingles as their maps differ in bits.
@@ -390,13 +390,15 @@ def one_of_each(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", p
     dropped = written(found.where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct(), "dropped")
     twice = written(found.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
     few = lambda ids: F.broadcast(ids) if ids.count() <= plan.most_broadcast else ids
-    key = lambda ids: few(ids.withColumnRenamed("doc_id", "__key"))
-    kept = df.join(key(dropped), df[id_col] == F.col("__key"), "left_anti")
+    name = fresh(df, "key")
+    key = lambda ids: few(ids.withColumnRenamed("doc_id", name))
+    mine = lambda rows: F.col(f"`{id_col}`") == F.col(name)
+    kept = df.join(key(dropped), mine(df), "left_anti")
     if twice.isEmpty():
         return kept
     # Ids with several rows are few; only theirs are compared.
-    plain = kept.join(key(twice), kept[id_col] == F.col("__key"), "left_anti")
-    again = kept.join(key(twice), kept[id_col] == F.col("__key"), "left_semi")
+    plain = kept.join(key(twice), mine(kept), "left_anti")
+    again = kept.join(key(twice), mine(kept), "left_semi")
     return plain.unionByName(again.dropDuplicates([id_col, text_col]))
 
 
