@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark import queries as Q
-from tidemark.operators import offsets, sink
+from tidemark.operators import metrics, offsets, sink
 from tidemark.plans.spec import ConsumerSpec, SinkSpec, SpecError, StartPosition
 from tidemark.sources import datasource, segments
 from tidemark.sources import log as logs
@@ -319,3 +319,38 @@ def test_abort_of_a_writer_without_transactions(tmp_path):
     w, message = task(False)
     w.abort([message, None])
     assert w.store.extents() == {("a", 0): (0, 1)}
+
+
+def test_measures_of_a_running_writer(spark, sf, tmp_path):
+    """Totals by topic as the plan observes them, each failure once; rates fade; sizes and latencies have mean and maximum."""
+    e = Q.rows_to_write(spark, sf).withColumn("partition", F.when(F.col("event_id") % 10 == 0, 7).cast("int"))
+    e.repartition(3).write.parquet(str(tmp_path / "in"))
+    seen = metrics.Measures()
+    spark.streams.addListener(seen)
+    try:
+        stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        w = LogWriter(spark, SinkSpec(), f"file://{tmp_path}/w", 3, measured=Q.ALL_TOPICS)
+        q = w.start(stream)
+        q.awaitTermination(120)
+        want = {f"{r.topic}:record-send-total": r["count"] for r in w.log().groupBy("topic").count().collect()}
+        for _ in range(50):
+            if {k: seen.totals.get(k) for k in want} == want:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(seen)
+    values = seen.values()
+    assert {k: values[k] for k in want} == want and len(want) == 5
+    assert sum(v for k, v in values.items() if k.endswith("record-error-total")) == e.where("event_id % 10 = 0").count() == w.status().count()
+    assert values["batch-size-max"] >= values["batch-size-avg"] > 0 and "commit-latency-max" in values and values["click:byte-rate"] > 0
+
+
+def test_rates_fade():
+    m = metrics.Measures(fade_s=10)
+    m.add(0, {"a:record-send-total": 100})
+    assert m.rates["a:record-send-rate"] == 10 and m.totals["a:record-send-total"] == 100
+    m.add(10, {"a:record-send-total": 0})
+    assert abs(m.rates["a:record-send-rate"] - 10 / 2.718281828) < 1e-6
+    for t in range(11, 200):
+        m.add(t, {"a:record-send-total": 5})
+    assert abs(m.rates["a:record-send-rate"] - 5) < 0.3  # five a second

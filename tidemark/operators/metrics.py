@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
@@ -50,6 +53,80 @@ def reader_counters(positions: DataFrame, group_managed: bool) -> DataFrame:
     return c.select(F.explode(F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v)])).alias("name", "value"))
 
 
+def sent(topics: list[str], records: str = "records") -> list[Column]:
+    """Sums over the rows of ``sink.routed``, by topic: records and bytes to send, and records with a failure. They can be observed in a running plan or aggregated."""
+    of = lambda topic: F.filter(F.col(records), lambda r: r["topic"] == topic)
+    out = []
+    for t in topics:
+        mine = of(t)
+        good = F.filter(mine, lambda r: r["failure"].isNull())
+        length = lambda r: F.coalesce(F.octet_length(r["key"]), F.lit(0)) + F.coalesce(F.octet_length(r["value"]), F.lit(0))
+        size = F.aggregate(good, F.lit(0).cast("long"), lambda acc, r: acc + length(r).cast("long"))
+        values = {"record-send-total": F.size(good), "byte-total": size, "record-error-total": F.size(mine) - F.size(good)}
+        out += [F.coalesce(F.sum(v), F.lit(0)).cast("long").alias(f"{t}:{name}") for name, v in values.items()]
+    return out
+
+
+def received(topics: list[str]) -> list[Column]:
+    """Sums over the records of a log by topic: records and bytes consumed, and the highest offset."""
+    out = []
+    for t in topics:
+        mine = F.col("topic") == t
+        length = F.coalesce(F.octet_length("key"), F.lit(0)) + F.coalesce(F.octet_length("value"), F.lit(0))
+        out += [F.count_if(mine).alias(f"{t}:records-consumed-total"), F.coalesce(F.sum(F.when(mine, length)), F.lit(0)).cast("long").alias(f"{t}:bytes-consumed-total")]
+    return out
+
+
+class Measures(StreamingQueryListener):
+    """Totals and rates of what running queries observe, and how long their batches and commits take.
+
+    A rate is the sum of what came, each part fading with the time constant ``fade_s``, by that constant: the mean of a
+    window without an edge. Sizes and latencies have their mean and maximum over all batches.
+    """
+
+    def __init__(self, fade_s: float = 30.0):
+        self.fade_s = fade_s
+        self.totals: dict[str, int] = {}
+        self.rates: dict[str, float] = {}
+        self.sizes: dict[str, list[float]] = {}
+        self.seen_at: float | None = None
+
+    def _note(self, name: str, value: float) -> None:
+        self.sizes.setdefault(name, []).append(value)
+
+    def add(self, at_s: float, values: dict[str, int]) -> None:
+        """What came by a time."""
+        fade = 1.0 if self.seen_at is None else math.exp(-max(at_s - self.seen_at, 0) / self.fade_s)
+        self.seen_at = at_s
+        self.rates = {k: v * fade for k, v in self.rates.items()}
+        for name, n in values.items():
+            if name.endswith("-total"):
+                self.totals[name] = self.totals.get(name, 0) + int(n or 0)
+                rate = name.removesuffix("-total") + "-rate"
+                self.rates[rate] = self.rates.get(rate, 0.0) + (n or 0) / self.fade_s
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        at = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")).timestamp()
+        values = {k: v for row in p.observedMetrics.values() for k, v in row.asDict().items()}
+        self.add(at, values)
+        self._note("batch-size", p.numInputRows)
+        for name, part in (("commit-latency", "commitOffsets"), ("batch-latency", "triggerExecution")):
+            if p.durationMs and part in p.durationMs:
+                self._note(name, p.durationMs[part])
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def values(self) -> dict[str, float]:
+        """All of them by name; totals are whole numbers."""
+        sizes = {f"{k}-{what}": f(v) for k, v in self.sizes.items() for what, f in (("avg", lambda x: sum(x) / len(x)), ("max", max))}
+        return {**self.totals, **self.rates, **sizes}
+
+
 class ProgressLog(StreamingQueryListener):
     """Keeps the duration and rows of each batch of running queries, with the longest so far."""
 

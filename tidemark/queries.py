@@ -713,6 +713,23 @@ def metric_naming(spark, sf_dir):
     return events(spark, sf_dir).select("event_id", metrics.metric_name(raw, F.when(i % 2 == 0, t)).alias("name"))
 
 
+@query("""with r as (select event_type as topic, 4 + length(props) as b, event_id % 11 = 0 as bad from events),
+  t as (select topic, count(*) filter (not bad) as s, coalesce(sum(b) filter (not bad), 0) as b, count(*) filter (bad) as e from r group by 1)
+  select topic || ':' || unnest(['record-send-total', 'byte-total', 'record-error-total']) as name, cast(unnest([s, b, e]) as bigint) as value from t""", log=False)
+def producer_metrics(spark, sf_dir):
+    """What a writer's plan observes of each topic: records, bytes, and records that can't be written."""
+    rows = rows_to_write(spark, sf_dir).withColumn("partition", F.when(F.col("event_id") % 11 == 0, 9).cast("int"))
+    totals = sink.routed(rows, SinkSpec(), 3).agg(*metrics.sent(ALL_TOPICS))
+    return totals.unpivot([], totals.columns, "name", "value")
+
+
+@query(""", t as (select topic, count(*) as n, sum(length("key") + length(message)) as b from log group by 1)
+  select topic || ':' || unnest(['records-consumed-total', 'bytes-consumed-total']) as name, cast(unnest([n, b]) as bigint) as value from t""")
+def consumer_metrics(spark, sf_dir):
+    totals = events_log(spark, sf_dir).agg(*metrics.received(ALL_TOPICS))
+    return totals.unpivot([], totals.columns, "name", "value")
+
+
 @query("""select topic, count(*) as n from (select * from log union all select * from log) group by topic""")
 def fan_in_union(spark, sf_dir):
     """Two readers without a common group each get everything."""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators import sink
+from tidemark.operators import metrics, sink
 from tidemark.plans.spec import SinkSpec
 from tidemark.sources import datasource, segments
 from tidemark.streaming import errors
@@ -22,7 +22,10 @@ from tidemark.streaming import errors
 
 @dataclass
 class LogWriter:
-    """Writes rows by a description to the log under ``home``. name: tells the writers of a log apart."""
+    """Writes rows by a description to the log under ``home``. name: tells the writers of a log apart.
+
+    measured: topics whose records, bytes and failures a running query observes; without, those of the description.
+    """
 
     spark: SparkSession
     spec: SinkSpec
@@ -32,6 +35,7 @@ class LogWriter:
     name: str = "writer"
     backoff: float = errors.BACKOFF
     source: type = datasource.TidemarkLog
+    measured: list[str] | None = None
 
     def __post_init__(self):
         self.spark.dataSource.register(self.source)
@@ -48,7 +52,10 @@ class LogWriter:
         return sink.routed(rows, self.spec, self.n_partitions, self.partitioner)
 
     def start(self, rows: DataFrame, trigger: dict | None = None) -> StreamingQuery:
-        out = self._routed(rows).writeStream.format(self.source.name()).options(**self._options())
+        routed = self._routed(rows)
+        if self.spec.topics or self.measured:
+            routed = routed.observe(f"sent-{self.name}", *metrics.sent(self.spec.topics or self.measured))
+        out = routed.writeStream.format(self.source.name()).options(**self._options())
         return out.option("checkpointLocation", f"{self.home}/checkpoint-{self.name}").trigger(**(trigger or {"availableNow": True})).start()
 
     def log(self) -> DataFrame:
