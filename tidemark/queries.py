@@ -18,6 +18,7 @@ from tidemark.operators import assign, control, metrics, offsets, sink
 from tidemark.plans.spec import ConsumerSpec, SinkSpec, StartPosition
 from tidemark.sources import datasource, reader, scratch, segments
 from tidemark.sources import log as logs
+from tidemark.streaming import error_windows, subscriptions
 from tidemark.streaming.writer import LogWriter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -675,9 +676,72 @@ def rebalance_diff(spark, sf_dir):
     return assign.moved(events_log(spark, sf_dir), assign.by_hash(3), assign.by_hash(4))
 
 
+# --- streams, run until they have read all there is -----------------------------------
+
+
+def drained(*started) -> None:
+    for q in started:
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+
+
+def source_stream(spark, sf_dir, **options) -> DataFrame:
+    """(topic, partition, offset, batch) of every record of a stream of the segments, with the batch that brought it."""
+    home, path = scratch.new_folder(spark, "reader"), segment_log(spark, sf_dir)
+    stream = spark.readStream.format("tidemark").options(path=path, home=f"{home}/positions", isolation="read_uncommitted", **options).load()
+    keep = lambda rows, batch: rows.select("topic", "partition", "offset").write.mode("overwrite").parquet(f"{home}/out/batch={batch}")
+    drained(stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{home}/checkpoint").start())
+    return spark.read.schema("topic string, partition int, offset long, batch int").parquet(f"{home}/out")
+
+
+@query("select cast(b as int) as batch, cast(700 as bigint) as n from (select unnest(range((select count(*) // 700 from log))) as b)")
+def stream_regions(spark, sf_dir):
+    """Every region, and so every batch, has exactly 700 records; what is left waits for more."""
+    return source_stream(spark, sf_dir, pattern=".*", start="beginning", region="700").groupBy("batch").agg(F.count("*").alias("n"))
+
+
+@query(f"select {COUNTS} from log where topic in ('click', 'view') and timestamp_ms >= {START_TIME} group by all")
+def stream_start_time(spark, sf_dir):
+    """From a time on, at most 900 records a batch."""
+    return per_partition(source_stream(spark, sf_dir, topics="click,view", start="time", startTime=str(START_TIME), maxRecords="900"))
+
+
+@query(f"""with {CONTROL}, o as (select consumer, form as mode from a where seq = opened),
+  x as (select *, case when form = 'assign' then p end as part, row_number() over (partition by consumer, form, topic, case when form = 'assign' then p end order by seq desc) as r from a where accepted)
+  select consumer, case mode when 'assign' then 'ASSIGNED' else 'SUBSCRIBED' end as mode, topic, part as "partition", case when form = 'assign' then case when x.o = 0 then -3 else x.o end end as "offset"
+  from x join o using (consumer) where r = 1 and action = 'ADD'""", log=False)
+def stream_control_state(spark, sf_dir):
+    """What readers have after a stream of control messages in several batches."""
+    home = scratch.new_folder(spark, "control")
+    rows = control_rows(spark, sf_dir).withColumn("json", F.regexp_replace("json", "topicpartitionoffsets", "topicPartitionOffsets"))
+    rows.repartitionByRange(3, "seq").write.parquet(f"{home}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/in")
+    drained(*subscriptions.follow(stream, home))
+    return subscriptions.followed(spark, home)
+
+
+@query("""with p as (select *, cast(cast(('0x' || substr(md5(cast(user_id as varchar)), 1, 8)) as bigint) % 3 as int) as place from events)
+  select event_type as topic, place as "partition", count(*) as n, cast(0 as bigint) as first_offset, count(*) - 1 as last_offset from p group by all""", log=False)
+def stream_write(spark, sf_dir):
+    """A stream of several batches through the data source's writer: each row once, offsets without gaps."""
+    home, rows = scratch.new_folder(spark, "stream"), rows_to_write(spark, sf_dir)
+    rows.repartition(3).write.parquet(f"{home}/in")
+    w = LogWriter(spark, SinkSpec(transactional=True), f"{home}/log", 3)
+    drained(w.start(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/in")))
+    return per_partition(w.log())
+
+
 # --- metrics ------------------------------------------------------------------------
 
 
+def polled(spark, sf_dir):
+    """Errors of three classes, and data, of five sources."""
+    kinds = F.array(*map(F.lit, ("TimeoutException", "SerializationException", "AuthException")))
+    return events(spark, sf_dir).select("event_id", "event_type", (F.col("user_id") % 5).alias("source"), F.get(kinds, (F.col("event_id") % 3).cast("int")).alias("class"), (F.col("event_id") % 7 == 0).alias("retriable"), F.col("ms").alias("ts_ms"))
+
+
 @query("""select event_id, in_window, case when retriable then true when class = 'SerializationException' then false else in_window <= 2 end as suppressed from (
   select *, count(*) over (partition by source, class, since order by ts_ms range between 7200000 preceding and current row) as in_window from (
     select e.*, (select max(d.ts_ms) from errors d where d.event_type = 'purchase' and d.source = e.source and d.ts_ms <= e.ts_ms) as since from errors e where e.event_type <> 'purchase'))
@@ -685,12 +749,34 @@ def rebalance_diff(spark, sf_dir):
 select event_id, in_window""", 1), log=False)
 def poll_error_rules(spark, sf_dir):
     """Errors of a class are counted since the last data of their source; some classes are always or never passed over."""
-    kinds = F.array(*map(F.lit, ("TimeoutException", "SerializationException", "AuthException")))
-    e = events(spark, sf_dir).select("event_id", "event_type", (F.col("user_id") % 5).alias("source"), F.get(kinds, (F.col("event_id") % 3).cast("int")).alias("class"), (F.col("event_id") % 7 == 0).alias("retriable"), F.col("ms").alias("ts_ms"))
+    e = polled(spark, sf_dir)
     errors, data = e.where("event_type <> 'purchase'").drop("event_type"), e.where("event_type = 'purchase'").select("source", "ts_ms")
     return metrics.suppressed(errors, 7_200_000, data=data).select("event_id", "in_window", "suppressed")
 
 
+def stream_error_windows(spark, sf_dir):
+    """The same as a stream in several batches, with the windows as keyed state."""
+    home = scratch.new_folder(spark, "errors")
+    e = polled(spark, sf_dir).withColumn("is_data", F.col("event_type") == "purchase").withColumn("source", F.col("source").cast("string")).drop("event_type")
+    week = 604_800_000
+    for lo, hi in ((0, START_TIME - week // 2), (START_TIME - week // 2, START_TIME + week), (START_TIME + week, 1 << 60)):  # one after another, as they come in order of time
+        e.where((F.col("ts_ms") >= lo) & (F.col("ts_ms") < hi)).coalesce(1).write.mode("append").parquet(f"{home}/in")
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/in")
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store, None)
+    spark.conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        out = error_windows.suppressed(stream, 7_200_000)
+        keep = lambda rows, batch: rows.write.mode("overwrite").parquet(f"{home}/out/batch={batch}")
+        drained(out.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{home}/checkpoint").start())
+    finally:
+        spark.conf.unset(store) if before is None else spark.conf.set(store, before)
+    return spark.read.schema(out.schema).parquet(f"{home}/out").select("event_id", "in_window", "suppressed")
+
+
+query(ORACLES["poll_error_rules"], log=False)(stream_error_windows)
+
+
 @query("""select event_id, in_window, in_window <= 2 as suppressed from (select event_id, count(*) over (partition by user_id, event_type order by epoch_us(ts) // 1000 range between 3600000 preceding and current row) as in_window from events)""", log=False)
 def poll_exception_window(spark, sf_dir):
     e = events(spark, sf_dir).select("event_id", F.col("user_id").alias("source"), F.col("event_type").alias("class"), F.col("ms").alias("ts_ms"))
