@@ -56,13 +56,14 @@ class Encoder:
 
     def __init__(self, lanes: int):
         self.low, self.range = np.zeros(lanes, U64), np.full(lanes, 2**64 - 1, U64)
+        self.rows = np.arange(lanes, dtype=np.int64) * 16
         self.out: list[tuple[np.ndarray, np.ndarray]] = []
 
     def _settle(self, n, low, rng):
         """Put out the words that can't change any more. A range of under 32 bits that spans two words is cut to the first."""
         ready = np.flatnonzero(((low ^ (low + rng)) <= _LOW32) | (rng <= _LOW32))
         if len(ready):
-            lo, r = low[ready], rng[ready]
+            lo, r = low.take(ready), rng.take(ready)
             r = np.where((lo ^ (lo + r)) > _LOW32, (~lo + U64(1)) & _LOW32, r)
             self.emit(ready, lo)
             low[ready], rng[ready] = lo << _32, r << _32
@@ -75,26 +76,26 @@ class Encoder:
         """0, 1 or 2 for each of the first n lanes; first, second: frequencies of 0 and 1 out of 2**16."""
         low, part = self.low[:n], self.range[:n] >> _16
         a, b = part * first, part * second
-        start = np.where(answer == 0, U64(0), np.where(answer == 1, a, a + b))
-        size = np.where(answer == 0, a, np.where(answer == 1, b, self.range[:n] - a - b))
-        self._settle(n, low + start, size)
+        past, last = answer > 0, answer > 1
+        size = np.where(last, self.range[:n] - a - b, np.where(past, b, a))
+        self._settle(n, low + a * past + b * last, size)
         return answer
 
     def number(self, n, table, used, rank):
         """Ranks for the lanes in use, by the size of rank + 1 from a table of starts and then its lower bits."""
-        size = order0()[1][rank + U32(1)]
+        size = order0()[1].take(rank + U32(1))
         self._number(n, table, used, size, (rank + U32(1)).astype(U64) ^ (U64(1) << size.astype(U64)))
         return rank, size
 
     def _number(self, n, table, used, size, bits):
-        k, size = np.arange(n) * 16, size.astype(np.int64)
+        k = self.rows[:n] + size
         flat = table.reshape(-1)
-        start = flat[k + size].astype(U64)
-        end = np.where(size == 15, 1 << TOTAL, flat[np.minimum(k + size + 1, len(flat) - 1)]).astype(U64)
-        rng = self.range[:n] >> U64(TOTAL)
-        low = self.low[:n] + np.where(used, rng * start, U64(0))
-        rng = np.where(used, rng * (end - start) >> size.astype(U64), self.range[:n])
-        self._settle(n, low + np.where(used, rng * bits, U64(0)), rng)
+        start = flat.take(k).astype(U64)
+        end = np.where(size == 15, 1 << TOTAL, flat.take(np.minimum(k + 1, len(flat) - 1))).astype(U64)
+        part = self.range[:n] >> U64(TOTAL)
+        rng = part * (end - start) >> size.astype(U64)
+        low = self.low[:n] + (part * start + rng * bits) * used
+        self._settle(n, low, np.where(used, rng, self.range[:n]))
 
     def finish(self) -> list[np.ndarray]:
         """The words of each lane."""
@@ -121,8 +122,8 @@ class Decoder(Encoder):
             self.emit(np.arange(len(words)), None)
 
     def emit(self, lanes, low):
-        at = self.next[lanes]
-        self.code[lanes] = (self.code[lanes] << _32) | self.words[at]
+        at = self.next.take(lanes)
+        self.code[lanes] = (self.code.take(lanes) << _32) | self.words.take(at)
         self.next[lanes] = np.minimum(at + 1, self.last[lanes])
 
     def choose(self, n, first, second, answer):
@@ -135,9 +136,9 @@ class Decoder(Encoder):
         value = np.minimum(off // rng, U64((1 << TOTAL) - 1)).astype(np.int16)
         # The starts at or below the value are a run from the front: ones, then zeros.
         size = np.bitwise_count(np.packbits(table <= value[:, None]).view(">u2")) - np.uint8(1)
-        flat, k, wide = table.reshape(-1), np.arange(n) * 16 + size, size.astype(U64)
-        start = flat[k].astype(U64)
-        end = np.where(size == 15, 1 << TOTAL, flat[np.minimum(k + 1, len(flat) - 1)]).astype(U64)
+        flat, k, wide = table.reshape(-1), self.rows[:n] + size, size.astype(U64)
+        start = flat.take(k).astype(U64)
+        end = np.where(size == 15, 1 << TOTAL, flat.take(np.minimum(k + 1, len(flat) - 1))).astype(U64)
         most = (U64(1) << wide) - U64(1)
         bits = np.minimum((off - rng * start) // (rng * (end - start) >> wide), most)
         self._number(n, table, used, size, bits)
@@ -169,7 +170,7 @@ class Model:
         h = a * U32(0x9E3779B1)
         place[0] += h >> U32(32 - SLOTS1)
         place[1] += (h ^ b * U32(0x85EBCA6B)) * U32(0xC2B2AE35) >> U32(32 - SLOTS2)
-        was = self.slots[place]
+        was = self.slots.take(place)
         guess, sure = was & U32(0xFFFF), (was >> U32(16)).astype(np.int32)
         one, two = guess
         agree = one == two
@@ -179,10 +180,11 @@ class Model:
         at[:2] += sure[::-1] * 2 + agree
         at[2] += history
         at[3] += sure[0]
-        p = self.p[at]
-        s, w = stretch[p[:3] >> 4], self.w[:, :n]
-        dot = (w * s).sum(axis=0) >> 16
-        mixed = squash[np.minimum(np.maximum(dot, -2047), 2047) + 2048]
+        p = self.p.take(at)
+        s, w = stretch.take(p[:3] >> 4), self.w[:, :n]
+        weighed = w * s
+        dot = (weighed[0] + weighed[1] + weighed[2]) >> 16
+        mixed = squash.take(np.minimum(np.maximum(dot, -2047), 2047) + 2048)
         second = np.where(agree, 0, np.maximum((65536 - mixed).astype(np.int64) * p[3] >> 16, 1))  # at least 1, and less than what is left
 
         answer = coder.choose(n, mixed.astype(U64), second.astype(U64), None if ids is None else np.where(ids == two, 0, np.where(ids == one, 1, 2)))
@@ -190,7 +192,8 @@ class Model:
         rank, size = coder.number(n, self.table[:n], spelt, ids)
         got = np.where(spelt, rank, np.where(answer == 0, two, one)) if ids is None else ids
 
-        aims = order0()[0][size] - self.table[:n]
+        aims = order0()[0].take(size, axis=0)
+        aims -= self.table[:n]
         aims >>= RATE
         aims *= spelt[:, None]
         self.table[:n] += aims
