@@ -16,7 +16,7 @@ from tidemark import queries as Q
 from tidemark.functions import control_messages, serde
 from tidemark.operators import assign, control, metrics, offsets, sink
 from tidemark.plans import props
-from tidemark.plans.spec import Commit, ConsumerSpec, Region, SinkSpec, SpecError, StartPosition, check_status_schema
+from tidemark.plans.spec import Commit, ConsumerSpec, Region, SinkSpec, SpecError, StartPosition, check_group, check_status_schema
 from tidemark.sources import log as logs
 from tidemark.sources import reader
 
@@ -256,3 +256,12 @@ def test_every_partition_has_one_member(spark):
             got = assign.load(log, how).collect()
             assert sum(r.n_partitions for r in got) == 21 and sum(r.n_records for r in got) == 42 and {r.member for r in got} <= set(range(n))
     assert {(r.before, r.after) for r in assign.moved(log, assign.by_range(7, 7), assign.by_range(1, 7)).collect()} == {(p, 0) for p in range(7)}
+
+
+def test_readers_of_a_group():
+    one = lambda group, **a: ConsumerSpec(topics="a", group_id=group, **a)
+    check_group([one("g"), one("g"), one("h", region=Region.PERIODIC), one("h", region=Region.PERIODIC), ConsumerSpec(topics="a", region=Region.PERIODIC)])
+    with pytest.raises(SpecError, match="same consistent region"):
+        check_group([one("g"), one("g", region=Region.PERIODIC)])
+    with pytest.raises(SpecError, match="same consistent region"):
+        check_group([one("g", region=Region.PERIODIC), one("g", region=Region.OPERATOR_DRIVEN, trigger_count=5)])

@@ -177,6 +177,17 @@ class ConsumerSpec:
         return {role: name for role, name in roles.items() if name in columns}
 
 
+def check_group(specs: list[ConsumerSpec]) -> None:
+    """The readers of each group are all in one consistent region or all in none, and a group in a region can't start at offsets."""
+    kinds: dict[str, set[Region]] = {}
+    for s in specs:
+        if s.group_id is not None and s.group_managed:
+            kinds.setdefault(s.group_id, set()).add(s.region)
+            need(s.region is Region.NONE or s.position is not StartPosition.OFFSET, f"group {s.group_id} in a consistent region can't start at offsets")
+    for group, regions in kinds.items():
+        need(len(regions) == 1, f"the readers of group {group} must be in the same consistent region or in none")
+
+
 @dataclass
 class SinkSpec:
     """What to write: topics, and the columns of message, key, partition and timestamp."""
