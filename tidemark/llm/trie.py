@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .shared import drop, table, written
 
-#: Parts of a prefix in the first window; ids in a block that is hashed; turns that a conversation can take over.
+#: Parts of a prefix in the first window at least (else as many as a shuffle has partitions); ids in a block that is hashed; turns that a conversation can take over.
 SALTS, BLOCK, MOST_HEAD = 32, 512, 8
 CHUNK = ["conv_id", "chunk"]
 NODE = ["p1", "p2"]
@@ -116,11 +116,12 @@ def prefixes(path: DataFrame) -> DataFrame:
     return joined.select("conv_id", "depth", "n_turns", "bytes", (F.col("l") + F.col("s")).alias("upto"), p1.alias("p1"), p2.alias("p2"), p1.bitwiseXOR(F.col("e1")).alias("q1"), p2.bitwiseXOR(F.col("e2")).alias("q2"))
 
 
-def owners(rows: DataFrame, salts: int = SALTS) -> DataFrame:
+def owners(rows: DataFrame, salts: int | None = None) -> DataFrame:
     """(conv_id, owned, shared, leaf): the depth at which a conversation's own suffix begins, the bytes before it, and whether it owns a leaf.
 
     Conversations that own nothing, copies of smaller ones, are not in it.
     """
+    salts = salts or max(SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("conv_id"), F.lit(salts)))
     part, node = Window.partitionBy(*NODE, "salt"), Window.partitionBy(*NODE)
     least = salted.select("*", F.min("conv_id").over(part).alias("least"), F.max("n_turns").over(part).alias("deepest")).where("conv_id = least")
@@ -130,7 +131,7 @@ def owners(rows: DataFrame, salts: int = SALTS) -> DataFrame:
     return found.select("conv_id", F.col("f.depth").alias("owned"), F.col("f.before").alias("shared"), "leaf")
 
 
-def nodes(rows: DataFrame, salts: int = SALTS) -> DataFrame:
+def nodes(rows: DataFrame, salts: int | None = None) -> DataFrame:
     """(p1, p2, q1, q2, conv_id, depth, owned, n_convs, n_children, n_leaves, saved_tokens) of every node of ``prefixes``."""
     known = rows.join(owners(rows, salts), "conv_id", "left")
     # A copy owns nothing: all of its turns are shared.
@@ -183,7 +184,7 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out([(*node, digest.hexdigest())])
 
 
-def trie(path: DataFrame, salts: int = SALTS, block: int = BLOCK) -> DataFrame:
+def trie(path: DataFrame, salts: int | None = None, block: int = BLOCK) -> DataFrame:
     """The nodes of the trie of ``paths``: (conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256)."""
     rows = written(prefixes(path), "prefixes")
     found = written(nodes(rows, salts), "nodes")
