@@ -129,6 +129,39 @@ def test_regions_are_whole(spark, sf, tmp_path):
         datasource.StreamReader({"path": path, "topics": "click", "region": "5"})
 
 
+def test_batches_side_by_side(spark, sf, tmp_path):
+    """Up to three regions or batches come in one micro-batch; their records tell them apart, also after a restart, a partition that came up and a replay."""
+    datasource.register(spark)
+    order = offsets.arrival_numbers(Q.events_log(spark, sf).where("topic = 'click'").persist())
+    schema = "topic string, partition int, offset long, before long, batch int"
+    for name, args in {"region": {"region": "20"}, "most": {"maxRecords": "20"}}.items():
+        path, home, out = f"file://{tmp_path}/{name}-log", f"{tmp_path}/{name}-home", f"{tmp_path}/{name}-out"
+        for k, where in enumerate(("partition < 2 and arrival < 90", "partition = 2 or arrival >= 90")):
+            segments.append(order.where(where), path)
+            sizes, _ = follow(spark, path, home, out, topics="click", start="beginning", together="3", **args)
+            rows = spark.read.schema(schema).parquet(out)
+            n = order.where("partition < 2 and arrival < 90" if not k else "true").count()
+            want = n - n % 20 if name == "region" else n
+            each = {r.before: r["count"] for r in rows.groupBy("before").count().collect()}
+            assert rows.select("partition", "offset").distinct().count() == rows.count() == want
+            assert max(sizes.values()) == 60 and len(sizes) < len(each)
+            at = 0
+            for before in sorted(each):  # without a gap, and none holds more
+                assert before == at and each[before] <= 20 and (name == "most" or each[before] == 20)
+                at += each[before]
+            # Within a partition no batch is ahead of an earlier one.
+            ordered = rows.orderBy("partition", "offset").collect()
+            assert all(a.partition != b.partition or (a.before <= b.before and a.offset + 1 == b.offset) for a, b in zip(ordered, ordered[1:], strict=False))
+        reader = datasource.StreamReader({"path": path, "home": f"{home}/reader", "topics": "click", "start": "beginning", "together": "3", **args})
+        start = reader.kept("initial")
+        end = datasource.admitted(reader._placed(start, [("click", p) for p in range(3)]), {k: hi for k, (_, hi) in reader.store.extents().items()}, 60)
+        plans = [reader.partitions(datasource.nested(start), datasource.nested(end)) for _ in range(2)]
+        assert plans[0] == plans[1] and sum(b.num_rows for s in plans[0] for b in reader.read(s)) == 60
+    for kind in (datasource.StreamReader, datasource.BatchReader):
+        with pytest.raises(SpecError):
+            kind({"path": path, "topics": "click", "together": "3"})
+
+
 @given(st.dictionaries(st.tuples(st.sampled_from("ab"), st.integers(0, 3)), st.tuples(st.integers(0, 50), st.integers(0, 90)), max_size=6), st.integers(1, 80), st.booleans())
 @settings(max_examples=300, deadline=None)
 def test_admission_by_records(parts, most, exact):

@@ -4,7 +4,10 @@ Reading. A stream's checkpoint holds an offset for each topic partition. The man
 says what there is, so a micro-batch is planned without opening files: each of its tasks
 reads a span of one segment. ``maxRecords`` admits at most so many records to a batch;
 ``region`` admits exactly so many or none, so each batch is one region of that many
-records whatever the sizes of the writes. Options: path, topics, pattern, partitions,
+records whatever the sizes of the writes. With ``together`` a micro-batch brings up to so
+many of these batches side by side, as each micro-batch has a fixed price; every record
+then has ``before``, the number of records that the reader had before its batch, which
+tells batches apart and is the same in a replay. Options: path, topics, pattern, partitions,
 start, startTime, startOffsets, groupId, isolation, reset; home: a folder of the reader
 for its positions, its commits and where it started, which is written once.
 
@@ -23,9 +26,11 @@ from __future__ import annotations
 
 import json
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamArrowWriter, DataSourceStreamReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
@@ -70,6 +75,8 @@ class Span(InputPartition):
     segment: dict
     lo: int
     hi: int
+    cuts: list[int] = field(default_factory=list)  # where the batches side by side end, of those that end in the span
+    before: int = 0  # records before the span's first batch
 
 
 def spans(store: segments.Store, start: segments.Offsets, end: segments.Offsets, most: int = SPAN) -> list[Span]:
@@ -99,6 +106,15 @@ def admitted(start: segments.Offsets, end: segments.Offsets, most: int, exact: b
     return {k: start[k] + share[k] for k in end}
 
 
+def side_by_side(start: segments.Offsets, end: segments.Offsets, most: int) -> list[segments.Offsets]:
+    """The ends of batches of ``most`` records from ``start`` to ``end``, one after another; the last has what is left."""
+    out = []
+    while any(end[k] > start[k] for k in end):
+        start = admitted(start, end, most)
+        out.append(start)
+    return out
+
+
 class _Reading:
     def __init__(self, options):
         self.options, self.spec = options, spec_of(options)
@@ -125,6 +141,11 @@ class _Reading:
 
 
 class BatchReader(_Reading, DataSourceReader):
+    def __init__(self, options):
+        super().__init__(options)
+        if options.get("together"):
+            raise SpecError("a batch read has no batches to bring together")
+
     def partitions(self):
         committed = self.kept("commits")
         start = segments.starts(self.store, self.spec, committed, set(committed))
@@ -142,6 +163,9 @@ class StreamReader(_Reading, DataSourceStreamReader):
         self.most, self.region = int(options.get("maxRecords", 0)), int(options.get("region", 0))
         if (self.region or self.most) and not self.home:
             raise SpecError("batches of a number of records need a home, or a restart wouldn't know where the last one ended")
+        self.together = int(options.get("together", 0))
+        if self.together and not (self.region or self.most):
+            raise SpecError("only batches of a number of records can come together")
         self.at: segments.Offsets | None = None
 
     def initialOffset(self) -> dict:
@@ -174,7 +198,10 @@ class StreamReader(_Reading, DataSourceStreamReader):
         base = at or self.kept("initial")
         start = self._placed(base, end)
         if self.region or self.most:
-            end = admitted(start, end, self.region or self.most, exact=bool(self.region))
+            most, n = self.region or self.most, max(self.together, 1)
+            if self.region:  # as many whole regions as there are
+                n = max(min(n, sum(max(end[k] - start[k], 0) for k in end) // most), 1)
+            end = admitted(start, end, most * n, exact=bool(self.region))
         # Without new records the offsets stay as they were, also where partitions came up.
         return nested(start | {k: max(end[k], start[k]) for k in end} if any(end[k] > start[k] for k in end) else base)
 
@@ -182,7 +209,28 @@ class StreamReader(_Reading, DataSourceStreamReader):
         upto = flat(end)
         self.at = upto
         self.keep("planned", upto)
-        return spans(self.store, self._placed(flat(start), upto), upto)
+        begun = self._placed(flat(start), upto)
+        found = spans(self.store, begun, upto)
+        if not self.together:
+            return found
+        most = self.region or self.most
+        read = sum(begun.values()) - sum(self._placed(self.kept("initial"), begun).values())
+        each = side_by_side({k: begun[k] for k in upto}, upto, most)
+        cuts = {k: [e[k] for e in each] for k in upto}
+        for s in found:
+            mine = cuts[s.segment["topic"], s.segment["partition"]]
+            a, z = bisect_right(mine, s.lo), bisect_right(mine, s.hi - 1)
+            s.cuts, s.before = mine[a:z], read + a * most
+        return found
+
+    def read(self, partition: Span) -> Iterator[pa.RecordBatch]:
+        for b in super().read(partition):
+            if not self.together:
+                yield b
+                continue
+            place = np.searchsorted(np.asarray(partition.cuts, np.int64), b.column("offset").to_numpy(), "right")
+            before = pa.array(partition.before + place * (self.region or self.most), pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns, before], schema=b.schema.append(pa.field("before", pa.int64())))
 
     def commit(self, end: dict) -> None:
         self.keep("commits", flat(end))
@@ -319,7 +367,7 @@ class TidemarkLog(DataSource):
         return "tidemark"
 
     def schema(self) -> str:
-        return SCHEMA
+        return f"{SCHEMA}, before long" if self.options.get("together") else SCHEMA
 
     def reader(self, schema: StructType) -> BatchReader:
         return BatchReader(self.options)
