@@ -162,6 +162,17 @@ def test_batches_side_by_side(spark, sf, tmp_path):
             kind({"path": path, "topics": "click", "together": "3"})
 
 
+def test_files_hold_runs_of_offsets(spark, sf, tmp_path, monkeypatch):
+    """Files of a write don't overlap, so a micro-batch opens only those that hold its records."""
+    monkeypatch.setattr(segments, "RUN", 16)
+    df, path = Q.events_log(spark, sf), f"file://{tmp_path}/log"
+    segments.append(df.repartition(5), path)
+    found = segments.Store(path).manifest().to_pylist()
+    assert all(s["last_offset"] - s["first_offset"] < 16 for s in found)
+    assert all((a["topic"], a["partition"]) != (b["topic"], b["partition"]) or a["last_offset"] + 1 == b["first_offset"] for a, b in zip(found, found[1:], strict=False))
+    assert keys(segments.read(spark, path)) == keys(df)
+
+
 @given(st.dictionaries(st.tuples(st.sampled_from("ab"), st.integers(0, 3)), st.tuples(st.integers(0, 50), st.integers(0, 90)), max_size=6), st.integers(1, 80), st.booleans())
 @settings(max_examples=300, deadline=None)
 def test_admission_by_records(parts, most, exact):

@@ -35,6 +35,9 @@ MANIFEST_DDL = "kind string, batch string, topic string, partition int, file str
 RECORD = pa.schema([("place", pa.int64()), ("timestamp_ms", pa.int64()), ("key", pa.binary()), ("value", pa.binary()), ("txn_id", pa.string()), ("txn_state", pa.string())])
 LOG = pa.schema([("topic", pa.string()), ("partition", pa.int32()), ("offset", pa.int64()), ("timestamp_ms", pa.int64()), ("key", pa.binary()), ("value", pa.binary()), ("txn_id", pa.string()), ("txn_state", pa.string())])
 
+#: Offsets of a partition in one file at most.
+RUN = 1 << 18
+
 #: (topic, partition) to offset.
 Offsets = dict[tuple[str, int], int]
 
@@ -144,16 +147,18 @@ def starts(store: Store, spec: ConsumerSpec, committed: Offsets | None = None, o
 
 
 def append(log: DataFrame, path: str, batch: str | None = None) -> None:
-    """Add records with their offsets to the log under ``path``: the data, then the manifest of its segments, a file of a partition each.
+    """Add records with their offsets to the log under ``path``: the data, then the manifest of its segments, a file for each run of a partition's offsets.
 
-    Repeating a ``batch`` that is there already changes nothing.
+    Runs don't overlap within a write, so a reader of some offsets opens the files that hold them only. Repeating a ``batch`` that is there already changes nothing.
     """
     spark = log.sparkSession
     name = batch or uuid.uuid4().hex
     if Store(path).has(f"segments/{name}.parquet"):
         return
     at = f"{path}/data/{name}"
-    log.select("topic", "partition", F.col("offset").alias("place"), *RECORD.names[1:]).write.mode("overwrite").partitionBy("topic", "partition").parquet(at)
+    keys = ["topic", "partition", "run"]
+    rows = log.select(*keys[:2], F.floor(F.col("offset") / RUN).alias("run"), F.col("offset").alias("place"), *RECORD.names[1:])
+    rows.repartition(*keys).sortWithinPartitions(*keys, "place").write.mode("overwrite").partitionBy(*keys).parquet(at)
     written = spark.read.schema("place long, timestamp_ms long, topic string, partition int").parquet(at)
     file = F.concat(F.lit(f"{name}/"), F.element_at(F.split(F.col("_metadata.file_path"), f"/data/{name}/"), -1))
     found = written.groupBy("topic", "partition", file.alias("file")).agg(F.min("place").alias("lo"), F.max("place").alias("hi"), F.min("timestamp_ms").alias("a"), F.max("timestamp_ms").alias("z"), F.count("*").alias("n"))
