@@ -258,6 +258,28 @@ def test_every_partition_has_one_member(spark):
     assert {(r.before, r.after) for r in assign.moved(log, assign.by_range(7, 7), assign.by_range(1, 7)).collect()} == {(p, 0) for p in range(7)}
 
 
+def test_assignment_names_the_reader_of_every_partition(spark):
+    """Against both deals written out, with topics whose partitions don't divide by the readers and more readers than partitions."""
+    parts = [(t, p) for t, n in (("a", 7), ("b", 1), ("c", 4)) for p in range(n)]
+    log = spark.createDataFrame([(t, p, 10 * p + x) for t, p in parts for x in range(p + 1)], "topic string, partition int, timestamp_ms long")
+    for n in (1, 3, 10):
+        turn = {k: f"m{i % n}" for i, k in enumerate(parts)}
+        runs = {}
+        for t in "abc":
+            mine, at = [k for k in parts if k[0] == t], 0
+            for m in range(n):
+                size = len(mine) // n + (m < len(mine) % n)
+                runs |= {k: f"m{m}" for k in mine[at : at + size]}
+                at += size
+        for how, want in ((assign.in_turn(n), turn), (assign.in_runs(n), runs)):
+            got = assign.assignment(log, how).collect()
+            assert {(r.topic, r.partition): r.member for r in got} == want and len(got) == 12
+            assert all((r.n_records, r.first_ms, r.last_ms) == (r.partition + 1, 10 * r.partition, 11 * r.partition) for r in got)
+        moved = {(r.member, r.topic, r.partition, r.change) for r in assign.changes(log, assign.in_turn(n), assign.in_turn(3)).collect()}
+        after = {k: f"m{i % 3}" for i, k in enumerate(parts)}
+        assert moved == {x for k in parts for x in ([(turn[k], *k, "kept")] if turn[k] == after[k] else [(turn[k], *k, "revoked"), (after[k], *k, "assigned")])}
+
+
 def test_readers_of_a_group():
     one = lambda group, **a: ConsumerSpec(topics="a", group_id=group, **a)
     check_group([one("g"), one("g"), one("h", region=Region.PERIODIC), one("h", region=Region.PERIODIC), ConsumerSpec(topics="a", region=Region.PERIODIC)])
