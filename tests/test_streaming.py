@@ -208,6 +208,29 @@ def test_stream_equals_batch_fold(spark, sf, tmp_path):
     assert "partial_max_by" in plan and "Python" not in plan
 
 
+def test_control_texts_are_parsed_once(spark):
+    """No filter parses a text again; readers without an ADD have no mode, and in a region topics open none."""
+    m = control_messages.text
+    rows = spark.createDataFrame([(1, 0, m("REMOVE", topics=["a"])), (2, 1, m("ADD", topics=["a"])), (2, 2, m("ADD", partitions=[("a", 0, 5)])), (3, 3, "{"), (3, 4, '{"action": "add"}')], "consumer long, seq int, json string")
+    assert {tuple(r) for r in subscriptions.modes(rows).collect()} == {(2, "SUBSCRIBED", 1)}
+    assert {tuple(r) for r in subscriptions.modes(rows, region=True).collect()} == {(2, "ASSIGNED", 2)}
+    assert {(r.consumer, r.family, r.last.add) for r in subscriptions.elements(rows).collect()} == {(1, "SUBSCRIBED", False), (2, "SUBSCRIBED", True), (2, "ASSIGNED", True)}
+    for df in (subscriptions.elements(rows), subscriptions.modes(rows)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
+
+
+def test_batches_of_control_messages_have_many_tasks(spark, sf, monkeypatch):
+    """Each of the three batches is read from several files, not by one task."""
+    homes = []
+    real = Q.scratch.new_folder
+    monkeypatch.setattr(Q.scratch, "new_folder", lambda s, label: homes.append(real(s, label)) or homes[-1])
+    assert Q.stream_control_state(spark, sf).count() > 0
+    files = spark.read.parquet(f"{homes[0]}/in").inputFiles()
+    batches = spark.read.parquet(f"{homes[0]}/elements").select("batch").distinct().count()
+    assert batches == 3 and len(files) >= 2 * batches
+
+
 @pytest.mark.parametrize("batches", [1, 4])
 def test_error_windows_of_a_stream_are_those_of_the_batch(spark, sf, tmp_path, batches):
     kinds = F.array(*map(F.lit, ("TimeoutException", "SerializationException", "AuthException")))

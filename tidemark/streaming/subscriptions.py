@@ -22,7 +22,7 @@ def _family(kind: str = "kind"):
 
 def elements(messages: DataFrame) -> DataFrame:
     """messages (consumer, seq, json) as (consumer, family, topic, partition, last): for each topic or partition its last action (seq, i, add, offset). Works on tables and streams; a stream is in update mode."""
-    parsed = control.parse(messages).where("error is null and kind <> 'NONE'")
+    parsed = control.parse(messages)  # without a filter, which would parse each text once more for every condition; errors and NONE have no elements
     # A topic is like a partition without a number and an offset.
     topics = F.transform("topics", lambda t: F.struct(t.alias("topic"), F.lit(None).cast("int").alias("partition"), F.lit(None).cast("long").alias("offset")))
     each = parsed.select("consumer", "seq", _family().alias("family"), F.col("kind").startswith("ADD_").alias("add"), F.posexplode(F.coalesce("partitions", topics)).alias("i", "p"))
@@ -32,10 +32,9 @@ def elements(messages: DataFrame) -> DataFrame:
 
 def modes(messages: DataFrame, region: bool = False) -> DataFrame:
     """(consumer, mode, since): the family of each reader's first ADD that it may take."""
-    adds = control.parse(messages).where("kind like 'ADD%'").select("consumer", "seq", _family().alias("family"))
-    if region:
-        adds = adds.where("family = 'ASSIGNED'")
-    return adds.groupBy("consumer").agg(F.min_by("family", "seq").alias("mode"), F.min("seq").alias("since"))
+    opens = F.col("kind").like("ADD_ASSIGNMENT" if region else "ADD%")
+    adds = control.parse(messages).select("consumer", F.when(opens, F.struct("seq", _family().alias("family"))).alias("add"))
+    return adds.groupBy("consumer").agg(F.min_by("add.family", "add.seq").alias("mode"), F.min("add.seq").alias("since")).where("since is not null")
 
 
 def current(elements: DataFrame, modes: DataFrame) -> DataFrame:
