@@ -113,6 +113,36 @@ def test_work_of_a_template_grows_in_proportion(spark, monkeypatch):
     assert rest[1] <= 3 * max(rest[0], 10) and rest[1] < 300
 
 
+def near_copies(rng, n, most):
+    """A text and copies of it, each with up to ``most`` words changed, left out or put in."""
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for d in range(n):
+        words = list(base)
+        for _ in range(rng.randint(0, most) if d else 0):
+            at = rng.randrange(len(words))
+            words[at : at + 1] = rng.choice(([], ["e" + str(rng.randint(0, 9))], [f"e{d}", words[at]]))
+        rows.append((d, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("hot", [0, 3, 40])
+def test_hot_lists_of_near_copies_of_all_sizes_lose_no_link(spark, hot):
+    rng = random.Random(hot)
+    check(spark, near_copies(rng, 150, 9) + [(500 + d, t + " " + " ".join(f"t{i}" for i in range(d % 40))) for d, t in near_copies(rng, 80, 4)], hot=hot)
+
+
+def test_a_large_group_of_near_copies_gives_few_candidates(spark, monkeypatch):
+    """What all copies share brings together only those that differ in little enough to link."""
+    counts = []
+    real = J.by_prefix
+    monkeypatch.setattr(J, "by_prefix", lambda *a: (found := real(*a), counts.append(found.count()))[0])
+    rows = near_copies(random.Random(3), 400, 8)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in J.near_duplicates(df, plan=J.Plan(hot=20)).collect()} == {d: c for d, _, c in brute(rows)}
+    assert counts and counts[0] < 10 * len(rows)
+
+
 def test_the_last_salt_is_enough_for_any_set(spark, monkeypatch):
     monkeypatch.setattr(J, "SALTS", 1)
     rng = random.Random(2)

@@ -273,21 +273,39 @@ def verify(pairs: DataFrame, docs: DataFrame, plan: Plan, label: str) -> DataFra
 
 
 def by_prefix(docs: DataFrame, comps: DataFrame, plan: Plan) -> DataFrame:
-    """Candidates (a, b) among the members of hot lists: of two linked sets of n shingles, the n - ceil(n p / q) + 1 rarest of each have one in common.
+    """Candidates (a, b) among the members of hot lists: two linked sets have a first common shingle in the order of their rarity.
 
-    A list is hot where many texts share a passage and don't link. What they share is frequent among them, so
-    their rarest shingles are those that they don't share, and the lists of these are short.
+    A list is hot where many texts share a passage and don't link. With n shingles in a set, the r-th rarest is the
+    first common one only if the n - r + 1 from there on are enough for the intersection, which bounds the size of the
+    partner from above (``most``). What the texts share is frequent among them and comes after what they don't share,
+    so it brings together those whose own shingles are few enough to link. The lists of frequent shingles are
+    parted by bands of the smaller set's size, and pairs within a list's largest component are never formed.
     """
     sets = whole_sets(docs, plan).withColumn("of", F.xxhash64("shingles")).withColumn("n", F.size("shingles"))
     each = sets.select("node", "of", "n", F.explode("shingles").alias("s"))
     common = each.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")  # what one set has finds nothing, but is the rarest
     ranked = each.join(common, "s", "left").withColumn("r", F.row_number().over(Window.partitionBy("node", "of").orderBy(F.coalesce("df", F.lit(1)), "s")))
-    prefix = ranked.where(F.col("df").isNotNull() & (F.col("r") <= F.col("n") - F.ceil(F.col("n") * plan.p / F.lit(float(plan.q)) - 1e-9) + 1))
-    placed = prefix.join(comps, "node", "left").select("s", "node", "n", F.coalesce("component", "node").alias("component"))
-    placed = written(placed, "prefixes")
-    x, y = placed.alias("x"), placed.alias("y")
-    sizes = F.expr(f"x.s = y.s and x.component <> y.component and x.node < y.node and x.n * {plan.p} <= y.n * {plan.q} and y.n * {plan.p} <= x.n * {plan.q}")
-    return x.join(y, sizes).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    most = F.expr(f"least(n * {plan.q} div {plan.p}, ((n - r + 1) * {plan.p + plan.q} - n * {plan.p}) div {plan.p})")
+    prefix = ranked.where("df is not null").withColumn("least", F.expr(f"(n * {plan.p} + {plan.q - 1}) div {plan.q}")).withColumn("most", most).where("least <= most")
+    placed = prefix.join(comps, "node", "left").select("s", "df", "node", "n", "least", "most", F.coalesce("component", "node").alias("component"))
+    # Bands of the smaller size, some 3 % wide. Lists of few sets have one.
+    band = lambda size: F.floor(F.log(size.cast("double")) * 32).cast("int")
+    few = F.col("df") <= plan.hot
+    as_small = F.when(few, F.lit(0)).otherwise(band(F.col("n")))
+    as_large = F.when(few, F.array(F.lit(0))).otherwise(F.sequence(band(F.col("least")), band(F.least("n", "most"))))
+    small = placed.where("most >= n").select("s", as_small.alias("band"), "node", "n", "least", "most", "component", F.lit(True).alias("small"))
+    large = placed.select("s", F.explode(as_large).alias("band"), "node", "n", "least", "most", "component", F.lit(False).alias("small"))
+    rows = written(small.union(large), "prefixes")
+    parts = rows.groupBy("s", "band", "component").agg(F.count("*").alias("c"))
+    mains = written(parts.groupBy("s", "band").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("c", "component")).alias("main")).where("parts > 1").drop("parts"), "prefix-mains")
+    met = written(rows.join(mains, ["s", "band"]), "prefix-members")
+    drop(rows, mains)
+    x, y = met.where("component <> main").alias("x"), met.alias("y")
+    order = F.expr("x.small <> y.small and x.small = (x.n < y.n or (x.n = y.n and x.node < y.node))")
+    fits = F.expr("x.s = y.s and x.band = y.band and x.component <> y.component and x.n between y.least and y.most and y.n between x.least and x.most")
+    pairs = written(x.join(y, fits & order).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "prefix-pairs")
+    drop(met)
+    return pairs
 
 
 def link_classes(docs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
