@@ -190,3 +190,22 @@ def test_documents_whole(spark):
     assert {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in docs.select("doc_id").collect()} == dict(zip(got.doc_id, got.held_out))
     labels = spark.read.parquet(f"{sf}/labels.parquet").where(X.held_out(F.col("doc_id"))).toPandas().merge(got, on="doc_id")
     assert (labels.toxic == labels.predicted).mean() > 0.9
+
+
+def test_freed_memory_is_given_back():
+    import re
+    import subprocess
+    import sys
+
+    program = """
+import re
+from tidemark.llm.shared import give_back
+held = lambda: int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) // 1024
+kept = [bytes(60_000) for _ in range(2_000)]
+kept = kept[::100]
+before = held()
+give_back()
+print(before, held())
+"""
+    before, after = map(int, re.findall(r"\d+", subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, check=True).stdout)[-2:])
+    assert after < before - 60

@@ -7,6 +7,7 @@ lost executor loses nothing.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -60,3 +61,10 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def give_back() -> None:
+    """Give the memory that this process has freed back to the system, where the C library can. Else a driver keeps what a fit took once."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(ctypes.c_size_t(0))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytes import DIGIT, U, chunks, hashes, lowered, mix, spans, word_bytes
-from .shared import drop, fresh, table, written
+from .shared import drop, fresh, give_back, table, written
 
 PREFIXES = (4, 5, 6, 7, 8)  # in bytes of UTF-8
 BUCKETS = 1 << 18  # hashed counts of terms that no example has
@@ -436,6 +436,8 @@ def keep_clean(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col:
     row = fresh(df, "__row")
     packed = df.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)]).alias(row), F.col(text_col).alias("text"))
     judged = score(packed, model, "text", row).where("score < 0.5")
+    del model  # tasks have it from its broadcast
+    give_back()
     return judged.select(*[F.col(row)[f"c{i}"].alias(c) for i, c in enumerate(df.columns)])
 
 
