@@ -35,6 +35,14 @@ def test_words_are_encoded_as_whole_texts_are(texts):
     assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(x) for x in want]
 
 
+@given(st.lists(st.text(alphabet="aB1é\u0338\u0301 '<|>!\"#$%&()*+,-./:;=?@[\\]^_`{}~", max_size=40), min_size=1, max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_marks_part_words(texts):
+    ids, sizes = (np.concatenate(x) for x in zip(*I.words(I.VOCABULARY).encode(pa.array(texts)), strict=True))
+    want = [library(t) for t in texts]
+    assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(x) for x in want]
+
+
 def test_slots_of_words_are_bounded_and_forgotten():
     w = I.Words(I.VOCABULARY)
     text = " ".join(f"word{i}" for i in range(30_000))
@@ -74,6 +82,35 @@ def test_ranks_beyond_the_most_are_refused():
         M.encode([np.array([M.MOST_IDS], np.uint32)])
 
 
+@given(st.lists(st.integers(0, 3) | st.integers(0, 49_407), max_size=60), st.integers(1, 60))
+@settings(max_examples=100, deadline=None)
+def test_phrases_are_spelt_as_they_were(ids, times):
+    ids = np.array(ids * times, np.int32)
+    data = I.packed(0, 0, np.array([1]), np.array([True]), np.array([len(ids)]), ids, 16)
+    assert (I.unpacked(data)[5] == ids).all()
+
+
+def test_ids_that_go_together_are_coded_in_one_step(monkeypatch):
+    r = np.random.default_rng(2)
+    words = [r.integers(0, 3000, r.integers(2, 5)) for _ in range(500)]
+    ids = np.concatenate([words[i] for i in r.integers(0, 500, 20_000)]).astype(np.int32)
+    steps = []
+    code = M.encode
+    monkeypatch.setattr(I.mixing, "encode", lambda blocks: steps.extend(map(len, blocks)) or code(blocks))
+    data = I.packed(0, 0, np.array([1]), np.array([True]), np.array([len(ids)]), ids)
+    assert sum(steps) < 0.55 * len(ids) and (I.unpacked(data)[5] == ids).all()
+
+
+def test_new_words_are_encoded_many_at_a_time():
+    w = I.Words(I.VOCABULARY)
+    calls = []
+    library_of = w.library
+    w.library = lambda texts: calls.extend(texts) or library_of(texts)
+    text = " ".join(f"new{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)) + " x<y <|endoftext|> é#a b=c`d [e]_f"
+    assert np.concatenate([x for x, _ in w.encode(pa.array([text]))]).tolist() == library(text)
+    assert len(calls) < 30
+
+
 def test_damage_is_noticed():
     ids = np.random.default_rng(1).integers(0, 500, 3000).astype(np.int32)
     data = I.packed(3, 1, np.array([5, 6]), np.array([True, False]), np.array([1000, 2000]), ids, 512)

@@ -4,21 +4,25 @@ Documents are dealt by ranges of their ids, so every task writes one run of them
 files in order are the corpus in order. A task encodes its texts and writes files of
 about ``most_ids`` ids:
 
-    header   magic, part and number of the file, documents, ids, different ids, ids in a block
-    table    the different ids, the most frequent first; deflated
+    header   magic, part and number of the file, documents, ids, different ids, pairs, phrases, phrases in a block
+    table    the different ids, how many pairs each round has, the pairs, and the phrases that
+             occur, the most frequent first; deflated
     index    for each document its id (and whether it has one) and how many ids it has; deflated
-    blocks   for each: how many ids, how many bytes, crc32 of the ids, crc32 of the bytes, the bytes
+    blocks   for each: how many phrases, how many bytes, crc32 of the ids, crc32 of the bytes, the bytes
     end      crc32 of all of the above, and an end mark
 
-Blocks hold ranks in the table, coded by ``mixing``; each is reset and checked on its
-own. A reader gets a whole file and decodes its blocks side by side. Where a document
-starts in the corpus follows from sums over the files, in two steps, so no task lists
-all of them.
+A phrase is an id or a pair of phrases: in a few rounds the neighbours that occur together
+most often become one phrase, so the coder takes about half as many steps as there are
+ids. Blocks hold ranks of phrases in the table, coded by ``mixing``; each is reset and
+checked on its own. A reader gets a whole file and decodes its blocks side by side. Where
+a document starts in the corpus follows from sums over the files, in two steps, so no
+task lists all of them.
 
 The text side runs the tokenizers library. A vocabulary that lowers case, splits at
 white space, drops it and splits letters from marks (checked in its file) encodes
 different words once: a worker keeps the ids of words of up to ``LONGEST`` bytes in two-way
-slots by their 64-bit hashes, of a fixed number; other vocabularies get whole texts.
+slots by their 64-bit hashes, of a fixed number; other vocabularies get whole texts. The
+library gets new words by the hundred, with a special token between them.
 
 Defined results: a null or empty text has the end id alone. Documents come by id, those
 without one first, then by their text's hash and length; repeated rows are documents of
@@ -29,6 +33,7 @@ changed raises ValueError.
 
 from __future__ import annotations
 
+import itertools
 import os
 import struct
 import zlib
@@ -47,17 +52,22 @@ from .tokens import locate
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-#: Ids in a file and in a block.
-MOST_IDS, BLOCK_IDS = 8_000_000, 2048
+#: Ids in a file, and phrases in a block.
+MOST_IDS, BLOCK = 8_000_000, 1024
+#: Pairs that each round makes phrases of, at most, and how often they must occur.
+ROUNDS, LEAST = (32_000, 16_000, 8_000), 8
+#: New words that the library gets as one text.
+JOINED = 100
 #: Slots for known words, their longest, and ids that are kept for them.
 SLOTS, LONGEST, POOL = 1 << 21, 64, 1 << 24
 #: An ASCII letter and one of these marks never share a match of the split pattern, nor a special token.
 _LETTER = B.LETTER & (np.arange(256) < 0x80)
-_MARK = np.isin(np.arange(256), np.frombuffer(b'.,;:!?()"-', np.uint8))
-MAGIC, END = b"TDMKIDS1", b"TDMK.\n"
-HEADER = struct.Struct("<8sqqqqqq")
-BLOCK = struct.Struct("<IIII")
+_MARK = np.isin(np.arange(256), np.frombuffer(b'.,;:!?()"-#$%&*+/=@[]\\^_`{}~', np.uint8))
+MAGIC, END = b"TDMKIDS2", b"TDMK.\n"
+HEADER = struct.Struct("<8sqqqqqqqq")
+OF_BLOCK = struct.Struct("<IIII")
 U64 = np.uint64
+_SPREAD = np.uint32(0x9E3779B1)
 
 
 # --- encoding ---------------------------------------------------------------------
@@ -84,6 +94,10 @@ class Words:
         steps = tok.pre_tokenizer.__getstate__().decode() if tok.pre_tokenizer else ""
         # So do letters and marks, and case is none of what is left then.
         self.parted = "Lowercase" in (tok.normalizer.__getstate__().decode() if tok.normalizer else "") and r"[^\\s\\p{L}\\p{N}]+" in steps and '"Removed"' in steps and '"invert":true' in steps and "Metaspace" not in steps
+        added = tok.get_added_tokens_decoder()
+        # A special token parts a text before anything else is done with it. One that no word without "<" can be a part of:
+        between = [(i, t.content) for i, t in sorted(added.items()) if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
+        self.between = between[0] if between and all(t.content.startswith("<") for t in added.values()) else None
         self.forget()
 
     def forget(self) -> None:
@@ -91,10 +105,20 @@ class Words:
         self.start, self.size = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int32)
         self.pool, self.used = np.zeros(1 << 16, np.int32), 0
 
-    def _put(self, runs: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    def runs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, one after another, and how many each has."""
+        if self.between and len(words) > 1 and not any("<" in x for x in words):
+            mark, text = self.between
+            found = self.library([text.join((*words[i : i + JOINED], "")) for i in range(0, len(words), JOINED)])
+            ids = np.fromiter(itertools.chain.from_iterable(found), np.int32)
+            ends = np.flatnonzero(ids == mark)
+            if len(ends) == len(words):
+                return ids[ids != mark], np.diff(ends, prepend=-1) - 1
+        found = self.library(words)
+        return np.fromiter(itertools.chain.from_iterable(found), np.int32), np.array([len(x) for x in found], np.int64)
+
+    def _put(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where new runs of ids are in the pool, and their sizes."""
-        sizes = np.array([len(x) for x in runs], np.int64)
-        ids = np.fromiter((i for x in runs for i in x), np.int32, int(sizes.sum()))
         if self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate((self.pool[: self.used], np.zeros(max(len(ids), len(self.pool)), np.int32)))
         self.pool[self.used : self.used + len(ids)] = ids
@@ -113,8 +137,10 @@ class Words:
             if b"<|" not in buf.tobytes():  # the normaliser does the same; special tokens are matched before it
                 buf = B.LOWER[buf]
             letter, mark = _LETTER[buf], _MARK[buf]
-            change = np.flatnonzero((letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])) + 1
-            first, last, _ = B.spans(buf, np.union1d(offsets, change))
+            new = np.zeros(len(buf) + 1, bool)
+            new[1:-1] = (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
+            new[offsets] = True
+            first, last, _ = B.spans(buf, np.flatnonzero(new))
             index = np.searchsorted(first, offsets)
             if self.used > POOL:
                 self.forget()
@@ -134,7 +160,11 @@ class Words:
             keys, at, back = np.unique(h[new], return_index=True, return_inverse=True)
             a, z = first[new[at]], last[new[at]]
             data = buf.tobytes()
-            where, count = self._put(self.library([data[i:j].decode() for i, j in zip(a.tolist(), z.tolist(), strict=True)]))
+            text = [data[i:j].decode() for i, j in zip(a.tolist(), z.tolist(), strict=True)]
+            plain = np.array(["<" not in x for x in text])
+            where, count = np.zeros(len(text), np.int64), np.zeros(len(text), np.int64)
+            for of in (np.flatnonzero(plain), np.flatnonzero(~plain)):
+                where[of], count[of] = self._put(*self.runs([text[i] for i in of.tolist()]))
             starts[new], sizes[new] = where[back], count[back]
             keep = np.flatnonzero(z - a <= LONGEST)
             to = np.where(self.keys[slot[new[at]]] == 0, slot[new[at]], other[new[at]])[keep]
@@ -157,23 +187,84 @@ def words(vocabulary: str) -> Words:
 # --- files ------------------------------------------------------------------------
 
 
-def packed(part: int, number: int, doc_ids: np.ndarray, named: np.ndarray, sizes: np.ndarray, ids: np.ndarray, block: int = BLOCK_IDS) -> bytes:
+def phrased(ids: np.ndarray, n: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Ids below n (at most ``mixing.MOST_IDS``) as fewer phrases, and the pairs of phrases that each round adds; the first is phrase n."""
+    found = ids.astype(np.uint16)
+    rounds: list[np.ndarray] = []
+    for most in ROUNDS:
+        most = min(most, mixing.MOST_IDS - n)
+        if most <= 0 or len(found) < 2:
+            break
+        key = found[:-1].astype(np.uint32) << np.uint32(16) | found[1:]
+        order = np.sort(key)
+        at = np.flatnonzero(np.concatenate(([True], order[1:] != order[:-1])))
+        times = np.diff(np.append(at, len(order)))
+        often = np.flatnonzero(times >= LEAST)
+        if len(often) > most:
+            often = often[np.argsort(-times[often], kind="stable")[:most]]
+        # Of pairs that want one slot of this table the last gets it. No pair has all bits set.
+        pairs = order[at[often]]
+        held = np.full(1 << 20, 2**32 - 1, np.uint32)
+        held[pairs * _SPREAD >> np.uint32(12)] = pairs
+        pairs = pairs[held[pairs * _SPREAD >> np.uint32(12)] == pairs]
+        if not len(pairs):
+            break
+        slot = key * _SPREAD >> np.uint32(12)
+        hit = np.flatnonzero(held.take(slot) == key)
+        # Of pairs that overlap every other one is taken, from the first of them on.
+        place = np.arange(len(hit))
+        run = np.where(np.concatenate(([True], hit[1:] > hit[:-1] + 1)), place, 0)
+        hit = hit[(place - np.maximum.accumulate(run)) & 1 == 0]
+        held[pairs * _SPREAD >> np.uint32(12)] = np.arange(n, n + len(pairs))
+        found[hit] = held.take(slot.take(hit))
+        keep = np.ones(len(found), bool)
+        keep[hit + 1] = False
+        found = found[keep]
+        rounds.append(pairs)
+        n += len(pairs)
+    return found, rounds
+
+
+def spelt(different: np.ndarray, rounds: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the ids of each phrase are in a pool, how many they are, and the pool."""
+    starts, sizes, pool = np.arange(len(different)), np.ones(len(different), np.int64), different
+    for pairs in rounds:
+        parts = np.stack((pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)), axis=1).ravel()
+        need(int(parts.max()) < len(sizes), "its phrases don't fit")
+        ids, each = expanded(starts[parts], sizes[parts], pool), sizes[parts].reshape(-1, 2).sum(axis=1)
+        starts, sizes, pool = np.append(starts, len(pool) + np.cumsum(each) - each), np.append(sizes, each), np.append(pool, ids)
+    return starts, sizes, pool
+
+
+def packed(part: int, number: int, doc_ids: np.ndarray, named: np.ndarray, sizes: np.ndarray, ids: np.ndarray, block: int = BLOCK) -> bytes:
     """A file of the ids of some documents."""
-    counts = np.bincount(ids)
-    different = np.flatnonzero(counts)
-    different = different[np.argsort(-counts[different], kind="stable")]
+    different = np.flatnonzero(np.bincount(ids))
+    if len(different) > mixing.MOST_IDS:
+        raise ValueError(f"at most {mixing.MOST_IDS} different ids")
+    place = np.zeros(int(different[-1]) + 1 if len(different) else 0, np.uint16)
+    place[different] = np.arange(len(different))
+    found, rounds = phrased(place.take(ids), len(different))
+    counts = np.bincount(found)
+    used = np.flatnonzero(counts)
+    used = used[np.argsort(-counts[used], kind="stable")]
     rank = np.zeros(len(counts), np.uint32)
-    rank[different] = np.arange(len(different), dtype=np.uint32)
-    ranks = rank[ids]
-    cut = range(0, len(ids), block)
+    rank[used] = np.arange(len(used), dtype=np.uint32)
+    ranks = rank.take(found)
+    cut = range(0, len(found), block)
     payloads = mixing.encode([ranks[i : i + block] for i in cut])
-    squeezed = [zlib.compress(x) for x in (different.astype("<u4").tobytes(), doc_ids.astype("<i8").tobytes() + named.astype(np.uint8).tobytes() + sizes.astype("<i8").tobytes())]
-    out = [HEADER.pack(MAGIC, part, number, len(doc_ids), len(ids), len(different), block)]
+    pairs = np.concatenate([*rounds, np.zeros(0, np.uint32)])
+    columns = [different.astype("<u4"), np.array([len(x) for x in rounds], "<u4"), (pairs >> np.uint32(16)).astype("<u2"), pairs.astype("<u2"), used.astype("<u2")]
+    squeezed = [zlib.compress(x) for x in (b"".join(x.tobytes() for x in columns), doc_ids.astype("<i8").tobytes() + named.astype(np.uint8).tobytes() + sizes.astype("<i8").tobytes())]
+    out = [HEADER.pack(MAGIC, part, number, len(doc_ids), len(ids), len(different), len(rounds), len(pairs), block)]
     for x in squeezed:
         out += [struct.pack("<I", len(x)), x]
-    raw = ids.astype("<u4")
+    raw = memoryview(ids.astype("<u4").tobytes())
+    ends = np.cumsum(spelt(different, rounds)[1].take(found))
+    first = 0
     for i, p in zip(cut, payloads, strict=True):
-        out += [BLOCK.pack(len(raw[i : i + block]), len(p), zlib.crc32(raw[i : i + block].tobytes()), zlib.crc32(p)), p]
+        last = 4 * int(ends[min(i + block, len(found)) - 1])
+        out += [OF_BLOCK.pack(len(ranks[i : i + block]), len(p), zlib.crc32(raw[first:last]), zlib.crc32(p)), p]
+        first = last
     body = b"".join(out)
     return body + struct.pack("<I", zlib.crc32(body)) + END
 
@@ -187,7 +278,7 @@ def unpacked(data: bytes) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray,
     """What ``packed`` was given: (part, number, doc_ids, named, sizes, ids)."""
     need(len(data) >= HEADER.size + 4 + len(END) and data.endswith(END), "cut short")
     body = data[: -len(END) - 4]
-    magic, part, number, n_docs, n_ids, n_different, block = HEADER.unpack_from(body)
+    magic, part, number, n_docs, n_ids, n_different, n_rounds, n_pairs, block = HEADER.unpack_from(body)
     need(magic == MAGIC, "of another kind")
     need(struct.unpack("<I", data[-len(END) - 4 : -len(END)])[0] == zlib.crc32(body), "its checksum doesn't hold")
     at = HEADER.size
@@ -196,30 +287,41 @@ def unpacked(data: bytes) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray,
         size = struct.unpack_from("<I", body, at)[0]
         raw.append(zlib.decompress(body[at + 4 : at + 4 + size]))
         at += 4 + size
-    different = np.frombuffer(raw[0], "<u4")
-    need(len(different) == n_different and len(raw[1]) == 17 * n_docs, "its index doesn't fit")
+    of_table = 4 * (n_different + n_rounds + n_pairs)
+    need(len(raw[0]) >= of_table and len(raw[1]) == 17 * n_docs, "its index doesn't fit")
+    different, of_rounds = np.split(np.frombuffer(raw[0], "<u4", n_different + n_rounds), [n_different])
+    left, right = np.frombuffer(raw[0], "<u2", 2 * n_pairs, 4 * (n_different + n_rounds)).reshape(2, -1).astype(np.uint32)
+    need(int(of_rounds.sum()) == n_pairs, "its pairs don't fit")
+    starts, spans, pool = spelt(different, np.split(left << np.uint32(16) | right, np.cumsum(of_rounds)[:-1]) if n_rounds else [])
+    used = np.frombuffer(raw[0], "<u2", offset=of_table)
+    need(not len(used) or int(used.max()) < len(spans), "its phrases don't fit")
+    starts, spans = starts[used], spans[used]
     doc_ids, sizes = np.frombuffer(raw[1][: 8 * n_docs], "<i8"), np.frombuffer(raw[1][9 * n_docs :], "<i8")
     named = np.frombuffer(raw[1][8 * n_docs : 9 * n_docs], np.uint8).astype(bool)
     lengths, sums, payloads = [], [], []
     while at < len(body):
-        n, size, of_ids, of_bytes = BLOCK.unpack_from(body, at)
-        payload = body[at + BLOCK.size : at + BLOCK.size + size]
+        n, size, of_ids, of_bytes = OF_BLOCK.unpack_from(body, at)
+        payload = body[at + OF_BLOCK.size : at + OF_BLOCK.size + size]
         need(zlib.crc32(payload) == of_bytes, f"block {len(sums)} has changed")
         lengths.append(n)
         sums.append(of_ids)
         payloads.append(payload)
-        at += BLOCK.size + size
-    need(sum(lengths) == n_ids == int(sizes.sum()), "its blocks don't fit")
-    ids = [different[np.minimum(r, max(n_different - 1, 0))] for r in mixing.decode(payloads, lengths)]
-    for k, (x, crc) in enumerate(zip(ids, sums, strict=True)):
-        need(zlib.crc32(x.tobytes()) == crc, f"block {k} doesn't decode")
-    return part, number, doc_ids, named, sizes, np.concatenate([*ids, np.zeros(0, "<u4")])
+        at += OF_BLOCK.size + size
+    need(n_ids == int(sizes.sum()), "its index doesn't fit")
+    found = np.minimum(np.concatenate([*mixing.decode(payloads, lengths), np.zeros(0, np.uint32)]), max(len(used) - 1, 0))
+    each = spans.take(found) if len(found) else np.zeros(0, np.int64)
+    ids = expanded(starts.take(found), each, pool) if len(found) else np.zeros(0, "<u4")
+    raw_ids, ends = memoryview(ids.tobytes()), np.concatenate(([0], np.cumsum(each)))[np.cumsum([0, *lengths])]
+    for k, (i, j, crc) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), sums, strict=True)):
+        need(zlib.crc32(raw_ids[4 * i : 4 * j]) == crc, f"block {k} doesn't decode")
+    need(len(ids) == n_ids, "its blocks don't fit")
+    return part, number, doc_ids, named, sizes, ids
 
 
 # --- the corpus -------------------------------------------------------------------
 
 
-def write(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", most_ids: int = MOST_IDS, block: int = BLOCK_IDS) -> None:
+def write(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", most_ids: int = MOST_IDS, block: int = BLOCK) -> None:
     """Encode every text, append ``end_id`` to each, and write all ids under ``path`` in ascending order of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
