@@ -138,6 +138,44 @@ def test_scores_follow_their_rows_through_any_plan(spark):
     assert len(twice) == 1200 and all((r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 3)) == want[r.doc_id] for r in twice)
 
 
+def test_equal_histories_are_worked_out_once(monkeypatch):
+    """Copies of a text cost a round one softmax for each different history, and count as often as they occur."""
+    text = " ".join(f"w{i % 40} the" for i in range(300))
+    [counts] = L.count_tokens([pa.RecordBatch.from_arrays([pa.array([text] * 50)], ["text"])])
+    h, c, of = (x.to_numpy() for x in counts.columns)
+    bins = {int(b): (int(c[of == b].sum()), int((of == b).sum())) for b in np.unique(of)}
+    model = L.start(dict(zip(h.view(np.uint64).tolist(), of.tolist())), bins, int(c.sum()), len(h), h.view(np.uint64), c)
+    worked = []
+    real = L.Model.probabilities
+    monkeypatch.setattr(L.Model, "probabilities", lambda m, rows, *more: worked.append(len(rows)) or real(m, rows, *more))
+    [out] = L.slopes(model, [pa.RecordBatch.from_arrays([pa.array([text] * 50)], ["text"])])
+    assert sum(worked) < 0.02 * model.n
+    got = np.zeros((-(-L.ROWS // L.BLOCK) * L.BLOCK, 2 * L.LEAVES))
+    for block, sums in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+        piece = L.unpacked(sums)
+        got[block * L.BLOCK : block * L.BLOCK + len(piece)] = piece
+    want = np.zeros((len(got), 2, L.LEAVES))
+    [(_, _, buf, at)] = chunks(pa.array([text]))
+    h, bins, first = L.tokens(buf, at)
+    k, leaf, _ = model.outcomes(h, bins)
+    history, many = model.history(h, first), k >= L.SINGLE
+    for rows, target in ((model.class_rows(history), k), (model.leaf_rows([x[many] for x in history], k[many]), leaf[many])):
+        p = real(model, rows)
+        for r, t, x in zip(rows, target, p):
+            want[r, 0] += 50 * x
+            want[r, 1, t] += 50
+    assert np.allclose(got, want.reshape(len(got), -1), rtol=2e-3, atol=0.05)
+
+
+def test_sums_by_row():
+    r = np.random.default_rng(4)
+    for rows in (np.zeros(0, np.int32), np.full(9, 3, np.int32), r.integers(0, 30, 500).astype(np.int32), np.sort(r.integers(0, 30, 500)).astype(np.int32), np.arange(40, dtype=np.int32)):
+        p, sums, want = r.random((len(rows), 5)), np.ones((40, 5)), np.ones((40, 5))
+        L.grouped(sums, rows, p)
+        np.add.at(want, rows, p)
+        assert np.allclose(sums, want)
+
+
 def test_rounds_take_every_training_row(spark, monkeypatch):
     """Each training token is observed once over all rounds, and copies of one text aren't all in one round."""
     rows = [(i, f"w{i} x y") for i in range(200)] + [(i, "copy of one text") for i in range(200, 400)] + [(None, None)]

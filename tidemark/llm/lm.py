@@ -52,7 +52,8 @@ STARTS = np.cumsum([0] + [1 << b for b in BITS + LEAF_BITS])
 BIAS = int(STARTS[-1])  # the classes' bias, and then one row for the leaves of each class
 ROWS = BIAS + 1 + CLASSES
 BLOCK = 64
-RUN = 1 << 14  # tokens whose probabilities are held at once
+RUN = 1 << 13  # histories or tokens whose probabilities are held at once
+TOGETHER, MOST = 1 << 21, 1 << 19  # bytes of text, and tokens, whose equal histories are worked out once
 COUNTED = 4_000_000  # tokens that a task adds up at once
 NEVER = -40.0  # weight of a leaf that no word has
 
@@ -171,34 +172,49 @@ class Model:
 
     def sums(self, rows: np.ndarray) -> np.ndarray:
         """The sum of the weights for each token and outcome. It is far from where exp overflows: a bias is at most 0, and a step at most 2."""
-        z = self.weights[rows[:, 0]]
+        z = self.weights.take(rows[:, 0], axis=0)
         for i in range(1, rows.shape[1]):
-            z += self.weights[rows[:, i]]
+            z += self.weights.take(rows[:, i], axis=0)
         return z
 
-    def probabilities(self, rows: np.ndarray) -> np.ndarray:
-        """Softmax over the outcomes for each token."""
+    def probabilities(self, rows: np.ndarray, times: np.ndarray | float = 1) -> np.ndarray:
+        """Softmax over the outcomes for each token, times how often it occurs."""
         z = self.sums(rows)
         np.exp(z, out=z)
-        z *= 1 / z.sum(axis=1, keepdims=True)
+        z *= (times / z.sum(axis=1))[:, None]
         return z
 
 
+def histories(rows: np.ndarray) -> np.ndarray:
+    """Four rows of the weights (16 bits hold each) as one number, ordered by the last and then the first of them."""
+    key = rows[:, 3].astype(U)
+    for i in range(3):
+        key = key << U(16) | rows[:, i].astype(U)
+    return key
+
+
+def rows_of(keys: np.ndarray) -> np.ndarray:
+    """The rows of ``histories``."""
+    return np.stack([(keys >> U(shift) & U(0xFFFF)).astype(np.int32) for shift in (32, 16, 0, 48)], axis=1)
+
+
 def grouped(sums: np.ndarray, rows: np.ndarray, p: np.ndarray, few: int = 6) -> None:
     """Add the rows of p to the rows of sums that are named; rows named up to ``few`` times are added turn by turn."""
-    if len(rows) and (rows == rows[0]).all():
-        sums[rows[0]] += p.sum(axis=0)
+    if not len(rows):
         return
-    order = np.argsort(rows)
-    own = rows[order]
-    new = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.zeros(0, np.int64)
+    if (rows[1:] < rows[:-1]).any():
+        order = np.argsort(rows)
+        own, of = rows[order], lambda i: p.take(order[i], axis=0)
+    else:
+        own, of = rows, lambda i: p[i]
+    new = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
     size = np.diff(np.append(new, len(own)))
     for i in np.flatnonzero(size > few):
-        sums[own[new[i]]] += p[order[new[i] : new[i] + size[i]]].sum(axis=0)
+        sums[own[new[i]]] += of(slice(new[i], new[i] + size[i])).sum(axis=0)
     small = np.flatnonzero(size <= few)
     for j in range(few):
         turn = new[small[size[small] > j]]
-        sums[own[turn]] += p[order[turn + j]]
+        sums[own[turn]] += of(turn + j)
 
 
 def slopes(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,19 +225,24 @@ def slopes(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     since = 0
 
     def learn(rows: np.ndarray, target: np.ndarray) -> None:
-        p = model.probabilities(rows)
         for i in range(rows.shape[1]):
             cell, n = np.unique(rows[:, i] * np.int32(LEAVES) + target.astype(np.int32), return_counts=True)
             observed[cell] += n
-            grouped(recent, rows[:, i], p)
+        # What is expected depends on the history alone, so equal ones are worked out once.
+        keys, times = np.unique(histories(rows), return_counts=True)
+        for i in range(0, len(keys), RUN):
+            some = rows_of(keys[i : i + RUN])
+            p = model.probabilities(some, times[i : i + RUN].astype(np.float32))
+            for of in some.T:
+                grouped(recent, of, p)
 
     for b in batches:
-        for _, _, buf, offsets in chunks(b.column(0), 1 << 18):
+        for _, _, buf, offsets in chunks(b.column(0), TOGETHER):
             h, bins, at = tokens(buf, offsets)
             history = model.history(h, at)
             k, leaf, _ = model.outcomes(h, bins)
-            for i in range(0, len(h), RUN):
-                of = np.arange(i, min(i + RUN, len(h)))
+            for i in range(0, len(h), MOST):
+                of = np.arange(i, min(i + MOST, len(h)))
                 learn(model.class_rows([x[of] for x in history]), k[of])
                 many = of[k[of] >= SINGLE]
                 learn(model.leaf_rows([x[many] for x in history], k[many]), leaf[many])
