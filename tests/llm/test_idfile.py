@@ -111,6 +111,52 @@ def test_new_words_are_encoded_many_at_a_time():
     assert len(calls) < 30
 
 
+def test_words_of_letters_go_to_the_model_alone():
+    w = I.Words(I.VOCABULARY)
+    calls = []
+    library_of = w.library
+    w.library = lambda texts: calls.extend(texts) or library_of(texts)
+    text = " ".join(f"NEW{chr(97 + i % 26)}é{chr(0xC0 + i % 20)}{chr(97 + i // 26)}" for i in range(600)) + " a,b 's"
+    assert np.concatenate([x for x, _ in w.encode(pa.array([text]))]).tolist() == library(text)
+    assert sum(map(len, calls)) < 100
+
+
+@given(st.lists(st.text(alphabet="aZß×÷ªºµÀÖØÞÿéÉſK\u0301\u0345ŸΣ' 1", max_size=30), min_size=1, max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_latin_letters_beside_others(texts):
+    ids, sizes = (np.concatenate(x) for x in zip(*I.words(I.VOCABULARY).encode(pa.array(texts)), strict=True))
+    want = [library(t) for t in texts]
+    assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(x) for x in want]
+
+
+@pytest.mark.parametrize("steps", [1, 2, 700])
+def test_coding_costs_what_the_model_says(monkeypatch, steps):
+    """A block takes the bits of its frequencies, and up to 64 for the coder's state."""
+    r = np.random.default_rng(steps)
+    ids = np.where(r.random(steps) < 0.3, 65_534, r.integers(0, 65_535, steps)).astype(np.uint32)
+    bits = []
+    number, choose = M.Encoder.number, M.Encoder.choose
+
+    def counted(self, n, table, others, rank):
+        size = int(rank[0] + 1).bit_length() - 1
+        ends = [*table[0].tolist(), 1 << M.TOTAL]
+        if not len(others):
+            bits.append(M.TOTAL - np.log2(ends[size + 1] - ends[size]) + size)
+        return number(self, n, table, others, rank)
+
+    def asked(self, n, first, second, answer):
+        share = [int(first[0]), int(second[0]), 65536 - int(first[0]) - int(second[0])]
+        bits.append(16 - np.log2(share[int(answer[0])]))
+        return choose(self, n, first, second, answer)
+
+    monkeypatch.setattr(M.Encoder, "number", counted)
+    monkeypatch.setattr(M.Encoder, "choose", asked)
+    data = M.encode([ids])[0]
+    assert sum(bits) < 8 * len(data) < sum(bits) + 64 + 1
+    monkeypatch.undo()
+    assert (M.decode([data], [steps])[0] == ids).all()
+
+
 def test_damage_is_noticed():
     ids = np.random.default_rng(1).integers(0, 500, 3000).astype(np.int32)
     data = I.packed(3, 1, np.array([5, 6]), np.array([True, False]), np.array([1000, 2000]), ids, 512)

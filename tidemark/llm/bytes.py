@@ -70,11 +70,15 @@ def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.n
 
 def spans(buf: np.ndarray, offsets: np.ndarray, word: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words, and for each row the index of its first word (and the number of words at the end)."""
-    if not len(buf):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = word[buf]
     new = np.zeros(len(buf) + 1, bool)  # a row begins here
     new[offsets] = True
+    return runs(word[buf], new, offsets)
+
+
+def runs(inside: np.ndarray, new: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``spans`` by whether each byte is in a word and whether each place, the end too, parts words."""
+    if not len(inside):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     before = np.concatenate(([False], inside[:-1]))
     after = np.concatenate((inside[1:], [False]))
     starts = np.flatnonzero(inside & (~before | new[:-1]))

@@ -1,4 +1,4 @@
-"""An adaptive context-mixing range coder for token ids, many blocks at a time.
+"""An adaptive context-mixing coder for token ids, many blocks at a time.
 
 Every block starts from the same fresh model, so it can be read without any other. The
 model predicts the next id three ways: the last id that followed the same two ids
@@ -9,8 +9,10 @@ prediction, by that of the order-1 prediction, and by how the last ids were foun
 mixing weights learn with each answer. Then the order-1 id is asked for. An id that
 neither predicts is coded by order 0: ids are numbered by their frequency in the file,
 the number's size in bits has adaptive frequencies in each block, and its lower bits,
-among which frequencies differ little, are even. All of this drives one carryless range
-coder with a state of 64 bits and words of 32.
+among which frequencies differ little, are even. All of this drives an asymmetric-numeral
+coder (rANS) with a state of 64 bits and words of 32: its encoder first runs the model
+over a whole block, then codes from the last step to the first; its decoder goes forward
+and divides nothing.
 
 A block is a lane: numpy works on the same place of all blocks at once. All arithmetic
 is on integers, and tables come from decimal arithmetic, so every machine decodes what
@@ -30,7 +32,7 @@ _32, _16 = U64(32), U64(16)
 _LOW32 = U64(2**32 - 1)
 #: Bits of the order-0 table's total, its least frequency and its rate; bits of the prediction tables of orders 1 and 2.
 TOTAL, LEAST, RATE = 14, 2, 5
-SLOTS1, SLOTS2 = 10, 11
+SLOTS1, SLOTS2 = 9, 10
 MOST_IDS = (1 << 16) - 1
 
 
@@ -51,60 +53,72 @@ def order0() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return aims, sizes, (np.arange(16) << (TOTAL - 4)).astype(np.int16)
 
 
+def parts(first: np.ndarray, second: np.ndarray, past: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and frequencies out of 2**16 of the answers 0, 1 (past) and 2 (past and last)."""
+    both = first + second
+    return np.where(past, np.where(last, both, first), U32(0)), np.where(past, np.where(last, U32(65536) - both, second), first)
+
+
 class Encoder:
-    """Range coder lanes that put out 32-bit words."""
+    """Lanes of an asymmetric-numeral coder that put out 32-bit words. What a step codes is held, as the last step has to be coded first."""
 
-    def __init__(self, lanes: int):
-        self.low, self.range = np.zeros(lanes, U64), np.full(lanes, 2**64 - 1, U64)
+    def __init__(self, steps: int, lanes: int):
+        self.x = np.full(lanes, 1 << 32, U64)
         self.rows = np.arange(lanes, dtype=np.int64) * 16
+        self.held = np.zeros((5, steps, lanes), np.uint16)  # of the answer its start and frequency, of the number those of its size and its lower bits
+        self.sizes = np.zeros((steps, lanes), np.uint8)
+        self.counts: list[int] = []
         self.out: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def _settle(self, n, low, rng):
-        """Put out the words that can't change any more. A range of under 32 bits that spans two words is cut to the first."""
-        ready = np.flatnonzero(((low ^ (low + rng)) <= _LOW32) | (rng <= _LOW32))
-        if len(ready):
-            lo, r = low.take(ready), rng.take(ready)
-            r = np.where((lo ^ (lo + r)) > _LOW32, (~lo + U64(1)) & _LOW32, r)
-            self.emit(ready, lo)
-            low[ready], rng[ready] = lo << _32, r << _32
-        self.low[:n], self.range[:n] = low, rng
-
-    def emit(self, lanes, low):
-        self.out.append((lanes.astype(np.int32), (low >> _32).astype(U32)))
-
     def choose(self, n, first, second, answer):
         """0, 1 or 2 for each of the first n lanes; first, second: frequencies of 0 and 1 out of 2**16."""
-        low, part = self.low[:n], self.range[:n] >> _16
-        a, b = part * first, part * second
-        past, last = answer > 0, answer > 1
-        size = np.where(last, self.range[:n] - a - b, np.where(past, b, a))
-        self._settle(n, low + a * past + b * last, size)
+        t = len(self.counts)
+        self.counts.append(n)
+        self.held[0, t, :n], self.held[1, t, :n] = parts(first, second, answer > 0, answer > 1)
         return answer
 
-    def number(self, n, table, used, rank):
-        """Ranks for the lanes in use, by the size of rank + 1 from a table of starts and then its lower bits."""
-        size = order0()[1].take(rank + U32(1))
-        self._number(n, table, used, size, (rank + U32(1)).astype(U64) ^ (U64(1) << size.astype(U64)))
+    def number(self, n, table, others, rank):
+        """Ranks for all lanes but some others, by the size of rank + 1 from a table of starts and then its lower bits."""
+        t, more = len(self.counts) - 1, rank + U32(1)
+        size = order0()[1].take(more)
+        start, end = self.of_size(n, table, size)
+        end -= start
+        bits = more.astype(np.uint16)
+        bits -= np.left_shift(1, size, dtype=np.uint16)
+        at = self.held[:, t, :n]
+        at[2], at[3], at[4], self.sizes[t, :n] = start, end, bits, size
+        at[2:, others] = [[0], [1 << TOTAL], [0]]  # the whole: nothing is coded
+        self.sizes[t, others] = 0
         return rank, size
 
-    def _number(self, n, table, used, size, bits):
-        k = self.rows[:n] + size
-        flat = table.reshape(-1)
-        start = flat.take(k).astype(U64)
-        end = np.where(size == 15, 1 << TOTAL, flat.take(np.minimum(k + 1, len(flat) - 1))).astype(U64)
-        part = self.range[:n] >> U64(TOTAL)
-        rng = part * (end - start) >> size.astype(U64)
-        low = self.low[:n] + (part * start + rng * bits) * used
-        self._settle(n, low, np.where(used, rng, self.range[:n]))
+    def of_size(self, n, table, size):
+        """Where a size starts and ends in its lane's table."""
+        flat, k = table.reshape(-1), self.rows[:n] + size
+        end = flat.take(k + 1, mode="clip")
+        end[size == 15] = 1 << TOTAL
+        return flat.take(k), end
 
     def finish(self) -> list[np.ndarray]:
-        """The words of each lane."""
-        lanes = np.arange(len(self.low))
-        for _ in range(2):
-            self.emit(lanes, self.low)
-            self.low = self.low << _32
-        lane = np.concatenate([x[0] for x in self.out])
-        words = np.concatenate([x[1] for x in self.out])[np.argsort(lane, kind="stable")]
+        """The words of each lane, in the order of the steps."""
+        for t in range(len(self.counts) - 1, -1, -1):
+            n = self.counts[t]
+            x, size = self.x[:n], self.sizes[t, :n].astype(U64)
+            for start, freq, bits, total in ((2, 3, 4, TOTAL), (0, 1, None, 16)):
+                part = self.held[freq, t, :n].astype(U64)
+                # A lane whose state would not fit 64 bits puts out a word before.
+                ready = np.flatnonzero(x >> (U64(64 - total) - size if bits else U64(64 - total)) >= part)
+                if len(ready):
+                    full = x.take(ready)
+                    self.out.append((ready.astype(np.uint16), full.astype(U32)))
+                    x[ready] = full >> _32
+                if bits:
+                    x <<= size
+                    x |= self.held[bits, t, :n]
+                x += x // part * (U64(1 << total) - part) + self.held[start, t, :n]
+        lanes = np.arange(len(self.x), dtype=np.uint16)
+        self.out += [(lanes, self.x.astype(U32)), (lanes, (self.x >> _32).astype(U32))]
+        lane = np.concatenate([x[0] for x in reversed(self.out)])
+        words = np.concatenate([x[1] for x in reversed(self.out)])[np.argsort(lane, kind="stable")]
         return np.split(words, np.cumsum(np.bincount(lane, minlength=len(lanes)))[:-1])
 
 
@@ -112,37 +126,49 @@ class Decoder(Encoder):
     """The same lanes, fed with the words."""
 
     def __init__(self, words: list[np.ndarray]):
-        super().__init__(len(words))
+        super().__init__(0, len(words))
         # A damaged block may ask for words beyond its end; it gets zeros and its checksum tells.
         self.words = np.concatenate([x for w in words for x in (w.astype(U64), np.zeros(2, U64))])
         sizes = np.array([len(w) + 2 for w in words])
         self.next, self.last = np.cumsum(sizes) - sizes, np.cumsum(sizes) - 1
-        self.code = np.zeros(len(words), U64)
-        for _ in range(2):
-            self.emit(np.arange(len(words)), None)
+        self.x = self.words.take(self.next) << _32 | self.words.take(self.next + 1)
+        self.next = np.minimum(self.next + 2, self.last)
 
-    def emit(self, lanes, low):
-        at = self.next.take(lanes)
-        self.code[lanes] = (self.code.take(lanes) << _32) | self.words.take(at)
-        self.next[lanes] = np.minimum(at + 1, self.last[lanes])
+    def _fill(self, x):
+        """A lane of under 32 bits takes a word."""
+        ready = np.flatnonzero(x <= _LOW32)
+        if len(ready):
+            at = self.next.take(ready)
+            x[ready] = x.take(ready) << _32 | self.words.take(at)
+            self.next[ready] = np.minimum(at + 1, self.last.take(ready))
 
     def choose(self, n, first, second, answer):
-        off, part = self.code[:n] - self.low[:n], self.range[:n] >> _16
-        a = part * first
-        return super().choose(n, first, second, (off >= a).astype(np.int32) + (off >= a + part * second))
-
-    def number(self, n, table, used, rank):
-        off, rng = self.code[:n] - self.low[:n], self.range[:n] >> U64(TOTAL)
-        value = np.minimum(off // rng, U64((1 << TOTAL) - 1)).astype(np.int16)
+        x = self.x[:n]
+        value = x.astype(U32) & U32(0xFFFF)
+        past, last = value >= first, value >= first + second
+        start, freq = parts(first, second, past, last)
+        x >>= _16
+        x *= freq
+        x += value - start
+        self._fill(x)
+        return past.astype(np.int32) + last
+
+    def number(self, n, table, others, rank):
+        x = self.x[:n]
+        as_were = x.take(others)
+        value = x.astype(np.int16) & np.int16((1 << TOTAL) - 1)
         # The starts at or below the value are a run from the front: ones, then zeros.
         size = np.bitwise_count(np.packbits(table <= value[:, None]).view(">u2")) - np.uint8(1)
-        flat, k, wide = table.reshape(-1), self.rows[:n] + size, size.astype(U64)
-        start = flat.take(k).astype(U64)
-        end = np.where(size == 15, 1 << TOTAL, flat.take(np.minimum(k + 1, len(flat) - 1))).astype(U64)
-        most = (U64(1) << wide) - U64(1)
-        bits = np.minimum((off - rng * start) // (rng * (end - start) >> wide), most)
-        self._number(n, table, used, size, bits)
-        return ((bits | most + U64(1)) - U64(1)).astype(U32), size
+        start, end = self.of_size(n, table, size)
+        x >>= U64(TOTAL)
+        x *= (end - start).astype(U64)
+        x += (value - start).astype(U64)
+        one = U32(1) << size
+        found = (x.astype(U32) & (one - U32(1)) | one) - U32(1)
+        x >>= size
+        x[others] = as_were
+        self._fill(x)
+        return found, size
 
 
 class Model:
@@ -185,17 +211,20 @@ class Model:
         weighed = w * s
         dot = (weighed[0] + weighed[1] + weighed[2]) >> 16
         mixed = squash.take(np.minimum(np.maximum(dot, -2047), 2047) + 2048)
-        second = np.where(agree, 0, np.maximum((65536 - mixed).astype(np.int64) * p[3] >> 16, 1))  # at least 1, and less than what is left
+        first = mixed.astype(U32)
+        second = np.maximum((U32(65536) - first) * p[3].astype(U32) >> U32(16), U32(1))  # at least 1, and less than what is left
+        second[agree] = 0
 
-        answer = coder.choose(n, mixed.astype(U64), second.astype(U64), None if ids is None else np.where(ids == two, 0, np.where(ids == one, 1, 2)))
-        spelt = answer == 2
-        rank, size = coder.number(n, self.table[:n], spelt, ids)
-        got = np.where(spelt, rank, np.where(answer == 0, two, one)) if ids is None else ids
+        answer = coder.choose(n, first, second, None if ids is None else np.where(ids == two, 0, np.where(ids == one, 1, 2)))
+        others = np.flatnonzero(answer != 2)
+        got, size = coder.number(n, self.table[:n], others, ids)
+        if ids is None:
+            got[others] = np.where(answer.take(others) == 0, two.take(others), one.take(others))
 
         aims = order0()[0].take(size, axis=0)
         aims -= self.table[:n]
         aims >>= RATE
-        aims *= spelt[:, None]
+        aims[others] = 0
         self.table[:n] += aims
         hit = answer == 0
         self.w[:, :n] = np.minimum(np.maximum(w + (s * (hit * np.int32(4095) - (mixed >> 4)) >> 12), -(1 << 17)), 1 << 17)
@@ -221,7 +250,7 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
         ids[: sizes[lane], lane] = blocks[i]
     if ids.size and int(ids.max()) >= MOST_IDS:
         raise ValueError(f"ranks must be under {MOST_IDS}")
-    coder, model = Encoder(len(blocks)), Model(len(blocks))
+    coder, model = Encoder(len(ids), len(blocks)), Model(len(blocks))
     for t in range(len(ids)):
         n = int(np.searchsorted(-sizes, -t, "left"))  # the lanes that have a t-th rank
         model.step(coder, n, ids[t, :n])
