@@ -129,6 +129,19 @@ def test_latin_letters_beside_others(texts):
     assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(x) for x in want]
 
 
+def test_only_what_followed_the_same_ids_is_asked_for(monkeypatch):
+    asked = []
+    choose = M.Encoder.choose
+    monkeypatch.setattr(M.Encoder, "choose", lambda self, n, lanes, *rest: asked.append(len(lanes)) or choose(self, n, lanes, *rest))
+    ids = np.random.default_rng(3).permutation(60_000)[:1000].astype(np.uint32)
+    again = np.concatenate((ids[:100], ids[:100]))
+    for block, least, most in ((ids, 0, 5), (again, 95, 105)):
+        asked.clear()
+        data = M.encode([block])
+        assert least <= sum(asked) <= most
+        assert (M.decode(data, [len(block)])[0] == block).all()
+
+
 @pytest.mark.parametrize("steps", [1, 2, 700])
 def test_coding_costs_what_the_model_says(monkeypatch, steps):
     """A block takes the bits of its frequencies, and up to 64 for the coder's state."""
@@ -144,10 +157,10 @@ def test_coding_costs_what_the_model_says(monkeypatch, steps):
             bits.append(M.TOTAL - np.log2(ends[size + 1] - ends[size]) + size)
         return number(self, n, table, others, rank)
 
-    def asked(self, n, first, second, answer):
-        share = [int(first[0]), int(second[0]), 65536 - int(first[0]) - int(second[0])]
-        bits.append(16 - np.log2(share[int(answer[0])]))
-        return choose(self, n, first, second, answer)
+    def asked(self, n, lanes, first, second, answer):
+        for x, y, k in zip(first.tolist(), second.tolist(), answer.tolist(), strict=True):
+            bits.append(16 - np.log2([x, y, 65536 - x - y][k]))
+        return choose(self, n, lanes, first, second, answer)
 
     monkeypatch.setattr(M.Encoder, "number", counted)
     monkeypatch.setattr(M.Encoder, "choose", asked)

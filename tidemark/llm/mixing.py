@@ -6,8 +6,10 @@ model predicts the next id three ways: the last id that followed the same two id
 (order 0). Whether the order-2 id is the one is a yes or no whose probability mixes
 three adaptive estimates in the logistic domain: by the confidence of the order-2
 prediction, by that of the order-1 prediction, and by how the last ids were found; the
-mixing weights learn with each answer. Then the order-1 id is asked for. An id that
-neither predicts is coded by order 0: ids are numbered by their frequency in the file,
+mixing weights learn with each answer. Then the order-1 id is asked for. Nothing is asked
+where neither context has been seen before (each prediction bears a check of its context),
+and where one has, the other order's prediction is the same. An id that neither predicts
+is coded by order 0: ids are numbered by their frequency in the file,
 the number's size in bits has adaptive frequencies in each block, and its lower bits,
 among which frequencies differ little, are even. All of this drives an asymmetric-numeral
 coder (rANS) with a state of 64 bits and words of 32: its encoder first runs the model
@@ -65,16 +67,16 @@ class Encoder:
     def __init__(self, steps: int, lanes: int):
         self.x = np.full(lanes, 1 << 32, U64)
         self.rows = np.arange(lanes, dtype=np.int64) * 16
-        self.held = np.zeros((5, steps, lanes), np.uint16)  # of the answer its start and frequency, of the number those of its size and its lower bits
+        self.asked: list[tuple[np.ndarray, ...]] = []  # in each step the lanes, and their answers' starts and frequencies
+        self.held = np.zeros((3, steps, lanes), np.uint16)  # of the number the start and frequency of its size, and its lower bits
         self.sizes = np.zeros((steps, lanes), np.uint8)
         self.counts: list[int] = []
         self.out: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def choose(self, n, first, second, answer):
-        """0, 1 or 2 for each of the first n lanes; first, second: frequencies of 0 and 1 out of 2**16."""
-        t = len(self.counts)
+    def choose(self, n, asked, first, second, answer):
+        """0, 1 or 2 for some of the first n lanes; first, second: frequencies of 0 and 1 out of 2**16."""
         self.counts.append(n)
-        self.held[0, t, :n], self.held[1, t, :n] = parts(first, second, answer > 0, answer > 1)
+        self.asked.append((asked.astype(np.uint16), *(x.astype(np.uint16) for x in parts(first, second, answer > 0, answer > 1))))
         return answer
 
     def number(self, n, table, others, rank):
@@ -86,8 +88,8 @@ class Encoder:
         bits = more.astype(np.uint16)
         bits -= np.left_shift(1, size, dtype=np.uint16)
         at = self.held[:, t, :n]
-        at[2], at[3], at[4], self.sizes[t, :n] = start, end, bits, size
-        at[2:, others] = [[0], [1 << TOTAL], [0]]  # the whole: nothing is coded
+        at[0], at[1], at[2], self.sizes[t, :n] = start, end, bits, size
+        at[:, others] = [[0], [1 << TOTAL], [0]]  # the whole: nothing is coded
         self.sizes[t, others] = 0
         return rank, size
 
@@ -98,23 +100,25 @@ class Encoder:
         end[size == 15] = 1 << TOTAL
         return flat.take(k), end
 
+    def _spill(self, x, lanes):
+        full = x.take(lanes)
+        self.out.append((lanes.astype(np.uint16), full.astype(U32)))
+        x[lanes] = full >> _32
+
     def finish(self) -> list[np.ndarray]:
         """The words of each lane, in the order of the steps."""
-        for t in range(len(self.counts) - 1, -1, -1):
-            n = self.counts[t]
-            x, size = self.x[:n], self.sizes[t, :n].astype(U64)
-            for start, freq, bits, total in ((2, 3, 4, TOTAL), (0, 1, None, 16)):
-                part = self.held[freq, t, :n].astype(U64)
-                # A lane whose state would not fit 64 bits puts out a word before.
-                ready = np.flatnonzero(x >> (U64(64 - total) - size if bits else U64(64 - total)) >= part)
-                if len(ready):
-                    full = x.take(ready)
-                    self.out.append((ready.astype(np.uint16), full.astype(U32)))
-                    x[ready] = full >> _32
-                if bits:
-                    x <<= size
-                    x |= self.held[bits, t, :n]
-                x += x // part * (U64(1 << total) - part) + self.held[start, t, :n]
+        for n, (asked, start, freq), held, sizes in zip(reversed(self.counts), reversed(self.asked), self.held.swapaxes(0, 1)[::-1], self.sizes[::-1], strict=True):
+            x, size = self.x[:n], sizes[:n].astype(U64)
+            part = held[1, :n].astype(U64)
+            # A lane whose state would not fit 64 bits puts out a word before.
+            self._spill(x, np.flatnonzero(x >> U64(64 - TOTAL) - size >= part))
+            x <<= size
+            x |= held[2, :n]
+            x += x // part * (U64(1 << TOTAL) - part) + held[0, :n]
+            part = freq.astype(U64)
+            self._spill(x, asked[x.take(asked) >> U64(48) >= part])
+            some = x.take(asked)
+            x[asked] = some + some // part * (U64(1 << 16) - part) + start
         lanes = np.arange(len(self.x), dtype=np.uint16)
         self.out += [(lanes, self.x.astype(U32)), (lanes, (self.x >> _32).astype(U32))]
         lane = np.concatenate([x[0] for x in reversed(self.out)])
@@ -134,23 +138,23 @@ class Decoder(Encoder):
         self.x = self.words.take(self.next) << _32 | self.words.take(self.next + 1)
         self.next = np.minimum(self.next + 2, self.last)
 
-    def _fill(self, x):
-        """A lane of under 32 bits takes a word."""
-        ready = np.flatnonzero(x <= _LOW32)
-        if len(ready):
-            at = self.next.take(ready)
-            x[ready] = x.take(ready) << _32 | self.words.take(at)
-            self.next[ready] = np.minimum(at + 1, self.last.take(ready))
+    def _fill(self, x, lanes):
+        """Those of the lanes with under 32 bits take a word."""
+        lanes = lanes[x.take(lanes) <= _LOW32]
+        at = self.next.take(lanes)
+        x[lanes] = x.take(lanes) << _32 | self.words.take(at)
+        self.next[lanes] = np.minimum(at + 1, self.last.take(lanes))
 
-    def choose(self, n, first, second, answer):
-        x = self.x[:n]
+    def choose(self, n, asked, first, second, answer):
+        x = self.x.take(asked)
         value = x.astype(U32) & U32(0xFFFF)
         past, last = value >= first, value >= first + second
         start, freq = parts(first, second, past, last)
         x >>= _16
         x *= freq
         x += value - start
-        self._fill(x)
+        self.x[asked] = x
+        self._fill(self.x, asked)
         return past.astype(np.int32) + last
 
     def number(self, n, table, others, rank):
@@ -167,7 +171,7 @@ class Decoder(Encoder):
         found = (x.astype(U32) & (one - U32(1)) | one) - U32(1)
         x >>= size
         x[others] = as_were
-        self._fill(x)
+        self._fill(x, np.flatnonzero(x <= _LOW32))
         return found, size
 
 
@@ -178,12 +182,13 @@ class Model:
     CONTEXTS = 64
 
     def __init__(self, lanes: int):
-        self.slots = np.zeros(lanes * ((1 << SLOTS1) + (1 << SLOTS2)), U32)  # a predicted rank, and its confidence in the bits above
+        self.slots = np.zeros(lanes * ((1 << SLOTS1) + (1 << SLOTS2)), U32)  # a predicted rank, its confidence in 4 bits above, and a check of its context
         lane = np.arange(lanes, dtype=np.int64)
         self.slot_base = np.stack((lane << SLOTS1, (lanes << SLOTS1) + (lane << SLOTS2)))
         self.p = np.full(lanes * self.CONTEXTS * 4, 1 << 14, np.int32)
         self.p_base = lane * (self.CONTEXTS * 4) + np.arange(4)[:, None] * self.CONTEXTS
-        self.w = np.full((3, lanes), 26_000, np.int32)
+        self.w = np.full(3 * lanes, 26_000, np.int32)
+        self.w_base = np.arange(3 * lanes).reshape(3, lanes)
         self.table = np.tile(order0()[2], (lanes, 1))
         self.history = np.zeros(lanes, np.int32)
         self.before = np.zeros((2, lanes), U32)
@@ -192,22 +197,33 @@ class Model:
         """Code the next rank of the first n lanes; without ranks, they come from the coder."""
         stretch, squash = logistic()
         a, b = self.before[0, :n], self.before[1, :n]
+        h = np.empty((2, n), U32)
+        np.multiply(a, U32(0x9E3779B1), out=h[0])
+        h[1] = (h[0] ^ b * U32(0x85EBCA6B)) * U32(0xC2B2AE35)
         place = self.slot_base[:, :n].copy()
-        h = a * U32(0x9E3779B1)
-        place[0] += h >> U32(32 - SLOTS1)
-        place[1] += (h ^ b * U32(0x85EBCA6B)) * U32(0xC2B2AE35) >> U32(32 - SLOTS2)
+        place[0] += h[0] >> U32(32 - SLOTS1)
+        place[1] += h[1] >> U32(32 - SLOTS2)
+        h <<= U32(SLOTS2)
+        h |= U32(1 << 31)  # an empty slot is of no context
+        h &= U32(0xFFF << 20)
         was = self.slots.take(place)
-        guess, sure = was & U32(0xFFFF), (was >> U32(16)).astype(np.int32)
-        one, two = guess
+        guess, held = was & U32(0xFFFF), was >> U32(16) & U32(15)
+        known = (was ^ h) < U32(1 << 20)
+
+        # The lanes with a prediction; where there is one of one order only, the other order's is the same.
+        asked = np.flatnonzero(known[0] | known[1])
+        base = self.p_base.take(asked, axis=1)
+        sure = (held * known).take(asked, axis=1).astype(np.int32)
+        one, two = guess.take(asked, axis=1)
+        one, two = np.where(sure[0] > 0, one, two), np.where(sure[1] > 0, two, one)
         agree = one == two
-        history = self.history[:n]
-
-        at = self.p_base[:, :n].copy()
+        history = self.history.take(asked)
+        at = base
         at[:2] += sure[::-1] * 2 + agree
         at[2] += history
         at[3] += sure[0]
-        p = self.p.take(at)
-        s, w = stretch.take(p[:3] >> 4), self.w[:, :n]
+        p, of_w = self.p.take(at), self.w_base.take(asked, axis=1)
+        s, w = stretch.take(p[:3] >> 4), self.w.take(of_w)
         weighed = w * s
         dot = (weighed[0] + weighed[1] + weighed[2]) >> 16
         mixed = squash.take(np.minimum(np.maximum(dot, -2047), 2047) + 2048)
@@ -215,11 +231,13 @@ class Model:
         second = np.maximum((U32(65536) - first) * p[3].astype(U32) >> U32(16), U32(1))  # at least 1, and less than what is left
         second[agree] = 0
 
-        answer = coder.choose(n, first, second, None if ids is None else np.where(ids == two, 0, np.where(ids == one, 1, 2)))
-        others = np.flatnonzero(answer != 2)
+        true = None if ids is None else ids.take(asked)
+        answer = coder.choose(n, asked, first, second, None if ids is None else np.where(true == two, 0, np.where(true == one, 1, 2)))
+        right = np.flatnonzero(answer != 2)
+        others = asked.take(right)
         got, size = coder.number(n, self.table[:n], others, ids)
         if ids is None:
-            got[others] = np.where(answer.take(others) == 0, two.take(others), one.take(others))
+            got[others] = np.where(answer == 0, two, one).take(right)
 
         aims = order0()[0].take(size, axis=0)
         aims -= self.table[:n]
@@ -227,14 +245,14 @@ class Model:
         aims[others] = 0
         self.table[:n] += aims
         hit = answer == 0
-        self.w[:, :n] = np.minimum(np.maximum(w + (s * (hit * np.int32(4095) - (mixed >> 4)) >> 12), -(1 << 17)), 1 << 17)
+        self.w[of_w] = np.minimum(np.maximum(w + (s * (hit * np.int32(4095) - (mixed >> 4)) >> 12), -(1 << 17)), 1 << 17)
         p[:3] += (hit * np.int32(65535) - p[:3]) >> 4
         p[3] += np.where(hit | agree, 0, ((answer == 1) * np.int32(65535) - p[3]) >> 4)
         self.p[at] = p
-        right = guess == got
-        worse = np.where(sure >= 2, guess | (sure >> 1).astype(U32) << U32(16), got | U32(1 << 16))
-        self.slots[place] = np.where(right, was + (sure < 15).astype(U32) * U32(1 << 16), worse)
-        self.history[:n] = (history << 2 | answer) & 63
+        self.history[asked] = (history << 2 | answer) & 63
+        more = was + (held < 15).astype(U32) * U32(1 << 16)
+        less = np.where(held >= 2, was - (held - (held >> U32(1)) << U32(16)), h | got | U32(1 << 16))
+        self.slots[place] = np.where(known & (guess == got), more, less)
         self.before[1, :n], self.before[0, :n] = a, got
         return got
 
