@@ -280,6 +280,21 @@ def test_assignment_names_the_reader_of_every_partition(spark):
         assert moved == {x for k in parts for x in ([(turn[k], *k, "kept")] if turn[k] == after[k] else [(turn[k], *k, "revoked"), (after[k], *k, "assigned")])}
 
 
+def test_assignment_says_what_each_reader_has_in_all(spark, sf):
+    """Against the records added up by reader, with fewer and more readers than partitions; then the query over all events."""
+    parts = [(t, p) for t, n in (("a", 7), ("b", 1), ("c", 4)) for p in range(n)]
+    log = spark.createDataFrame([(t, p, 10 * p + x) for t, p in parts for x in range(p + 1)], "topic string, partition int, timestamp_ms long")
+    for n in (1, 5, 20):
+        got = assign.with_loads(assign.assignment(log, assign.in_turn(n))).collect()
+        assert {(r.topic, r.partition, r.member) for r in got} == {(*k, f"m{i % n}") for i, k in enumerate(parts)} and len(got) == 12
+        for r in got:
+            mine = [p for i, (_, p) in enumerate(parts) if f"m{i % n}" == r.member]
+            assert (r.n_partitions, r.reader_records, r.reader_first_ms, r.reader_last_ms) == (len(mine), sum(p + 1 for p in mine), 10 * min(mine), 11 * max(mine))
+    got = Q.QUERIES["assign_round_robin"](spark, sf).collect()
+    assert {(r.member, r.n_partitions) for r in got} == {("m0", 4), ("m1", 4), ("m2", 4), ("m3", 3)}
+    assert sum(dict((r.member, r.reader_records) for r in got).values()) == sum(r.n_records for r in got) == spark.read.parquet(f"{sf}/events.parquet").count()
+
+
 def test_readers_of_a_group():
     one = lambda group, **a: ConsumerSpec(topics="a", group_id=group, **a)
     check_group([one("g"), one("g"), one("h", region=Region.PERIODIC), one("h", region=Region.PERIODIC), ConsumerSpec(topics="a", region=Region.PERIODIC)])

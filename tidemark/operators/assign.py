@@ -62,6 +62,15 @@ def assignment(log: DataFrame, member: Column) -> DataFrame:
     return placed(log).select(member.alias("member"), "topic", "partition", "n_records", "first_ms", "last_ms")
 
 
+def with_loads(dealt: DataFrame) -> DataFrame:
+    """An assignment with what its reader has to read in all: n_partitions, reader_records, reader_first_ms, reader_last_ms, the same in each of the reader's rows."""
+    reader = Window.partitionBy("member")
+    return dealt.select(
+        "*", F.count("*").over(reader).alias("n_partitions"), F.sum("n_records").over(reader).alias("reader_records"),
+        F.min("first_ms").over(reader).alias("reader_first_ms"), F.max("last_ms").over(reader).alias("reader_last_ms"),
+    )
+
+
 def changes(log: DataFrame, before: Column, after: Column) -> DataFrame:
     """(member, topic, partition, change, n_records): what each reader keeps, gives up (revoked) and gets (assigned)."""
     row = lambda member, change: F.struct(member.alias("member"), F.lit(change).alias("change"))
